@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossaflow.llm import audio, bpe, token_counts, urls
+from glossaflow.llm import audio, bpe, neardup, token_counts, urls
 from glossaflow.llm.common import read
 
 
@@ -25,6 +25,10 @@ def op6_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(read(spark, sf_dir, "pages"))
 
@@ -33,5 +37,6 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op5_token_counts": op5_token_counts,
     "op6_audio": op6_audio,
+    "op8_neardup": op8_neardup,
     "op9_urls": op9_urls,
 }
