@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossaflow.llm import audio, bpe, neardup, token_counts, urls
+from glossaflow.llm import audio, bpe, lines, neardup, token_counts, urls
 from glossaflow.llm.common import read
 
 
@@ -13,6 +13,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(read(spark, sf_dir, "documents"))))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"))
 
@@ -35,6 +40,7 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op4_line_dedup": op4_line_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_audio": op6_audio,
     "op8_neardup": op8_neardup,
