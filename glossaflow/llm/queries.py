@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossaflow.llm import audio, bpe, lines, neardup, token_counts, urls
+from glossaflow.llm import audio, bpe, lines, mixing, neardup, quality, token_counts, toxicity, urls
 from glossaflow.llm.common import read
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(read(spark, sf_dir, "documents"))))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
@@ -38,11 +46,18 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(read(spark, sf_dir, "pages"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
+    "op3_quality": op3_quality,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_audio": op6_audio,
     "op8_neardup": op8_neardup,
     "op9_urls": op9_urls,
+    "op10_mixing": op10_mixing,
 }
