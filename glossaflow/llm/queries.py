@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossaflow.llm import audio, bpe, lines, mixing, neardup, quality, token_counts, toxicity, urls
+from glossaflow.llm import audio, bpe, lines, mixing, neardup, quality, token_counts, toxicity, urls, vptree
 from glossaflow.llm.common import read
 
 
@@ -38,6 +38,10 @@ def op6_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_audio": op6_audio,
+    "op7_vptree": op7_vptree,
     "op8_neardup": op8_neardup,
     "op9_urls": op9_urls,
     "op10_mixing": op10_mixing,
