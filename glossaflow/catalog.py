@@ -1,4 +1,613 @@
-"""Every registered query of the lexical operators, with its SQL."""
+"""Every registered query of the lexical operators, with its SQL.
+
+The SQL is written for DuckDB over the same tables and says the same thing in
+its own words; it shares no code with the operators but fixed values.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from glossaflow.functions import similarity as sim
+from glossaflow.functions import text as tx
+from glossaflow.operators import entries as en
+from glossaflow.operators import layout, lexicon, merge, quality, sections
+from glossaflow.plans import dictionary, reference_book, samples
+from glossaflow.plans.samples import ARABIC_LETTERS, LATIN_LETTERS
 
 QUERIES = {}
-ORACLES = {}
+ORACLES: dict[str, str] = {}
+
+
+def _query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- pieces of SQL -----------------------------------------------------------
+
+S = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+AR = r"[\x{0600}-\x{06FF}\x{0750}-\x{077F}\x{08A0}-\x{08FF}]"
+
+
+def _strip(c: str) -> str:
+    return f"regexp_replace({c}, '^{S}+|{S}+$', '', 'g')"
+
+
+def _collapse(c: str) -> str:
+    return f"regexp_replace({c}, '{S}+', ' ', 'g')"
+
+
+def _clean(c: str) -> str:
+    return f"trim({_collapse(f'replace(replace(replace(coalesce({c}, {_Q}), chr(160), {_SP}), chr(8203), {_Q}), chr(8207), {_Q})')})"
+
+
+_Q, _SP = "''", "' '"
+_ARABIZE = f"translate(lower({{}}), '{LATIN_LETTERS}', '{ARABIC_LETTERS}')"
+
+LINES = """lines AS (
+  SELECT doc_id AS pdf, unnest(range(len(l)))::INT AS page, unnest(l) AS text
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))"""
+BOXES = f"""{LINES}, toks AS (
+  SELECT pdf, page, unnest(range(len(t)))::INT AS pos, unnest(t) AS token
+  FROM (SELECT pdf, page, list_filter(string_split(text, ' '), lambda t: t <> '') AS t FROM lines)),
+boxes AS (
+  SELECT pdf, page, pos,
+    CASE WHEN pos % 7 = 3 THEN (pos * 31 % 4000)::VARCHAR
+         WHEN pos % 11 = 5 THEN token || {_ARABIZE.format('token')}
+         WHEN pos % 3 = 1 THEN {_ARABIZE.format('token')} ELSE token END AS text,
+    (pos * 173 % 900)::INT AS x, ((pos // 7) * 14 + pos * 5 % 9)::INT AS y, 40 AS w, 12 AS h, (pos * 7 % 100)::INT AS conf, 1000 AS width
+  FROM toks)"""
+#: Rows of print, by recursion over each column's boxes in order of y.
+ROWS = f"""{BOXES}, kept AS (
+  SELECT *, CASE WHEN x + 20 < 500 THEN 0 ELSE 1 END AS col FROM boxes WHERE conf >= 30 AND {_strip('text')} <> ''),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY pdf, page, col ORDER BY y, pos) AS k FROM kept),
+walked AS (
+  SELECT pdf, page, col, k, pos, y AS anchor, 0 AS row FROM ordered WHERE k = 1
+  UNION ALL
+  SELECT o.pdf, o.page, o.col, o.k, o.pos, CASE WHEN abs(o.y - r.anchor) > 12 THEN o.y ELSE r.anchor END,
+         CASE WHEN abs(o.y - r.anchor) > 12 THEN r.row + 1 ELSE r.row END
+  FROM walked r JOIN ordered o ON o.pdf = r.pdf AND o.page = r.page AND o.col = r.col AND o.k = r.k + 1),
+placed AS (SELECT o.* EXCLUDE (k), w.row FROM ordered o JOIN walked w USING (pdf, page, col, pos))"""
+
+
+def _kind(c: str, digits: int) -> str:
+    return f"""CASE WHEN regexp_matches({c}, '^[0-9]{{1,{digits}}}$') THEN 'digit'
+      WHEN regexp_matches({c}, '[A-Za-z]') AND regexp_matches({c}, '{AR}') THEN 'mixed'
+      WHEN regexp_matches({c}, '{AR}') THEN 'arabic' WHEN regexp_matches({c}, '[A-Za-z]') THEN 'english' ELSE 'noise' END"""
+
+
+def _fixes(c: str, profile: str) -> str:
+    rules = {
+        "v2": ((r"\b0([a-z])", r"o\1"), (r"([a-z])0\b", r"\1o"), (r"\|", "l")),
+        "v3": ((r"\b0([a-z])", r"o\1"), (r"([a-z])0\b", r"\1o"), (r"\|([a-z])", r"l\1"), (r"([a-z])\|", r"\1l"), (r"\brn\b", "m"), (r"\bcl\b", "d")),
+    }
+    rules["v4"] = rules["v3"][:4]
+    for pattern, into in rules[profile]:
+        c = f"regexp_replace({c}, '{pattern}', '{into}', 'g')"
+    return c
+
+
+def _row_texts(profile: str) -> str:
+    digits = 4 if profile == "v2" else 5
+    latin = _strip(r"regexp_replace(text, '[^A-Za-z .;,\-]', '', 'g')")
+    letters = _strip(rf"regexp_replace(text, '[^\x{{0600}}-\x{{06FF}}\x{{0750}}-\x{{077F}}\x{{08A0}}-\x{{08FF}} .;,\-]', '', 'g')")
+    arabic = "string_agg(a, ' ' ORDER BY a DESC)" if profile == "v4" else "string_agg(a, ' ' ORDER BY x DESC, y, pos)"
+    english = _fixes(_strip("coalesce(string_agg(e, ' ' ORDER BY x, y, pos), '')"), profile)
+    english = english if profile == "v4" else _strip(_collapse(english))
+    return f"""{ROWS}, typed AS (SELECT *, {_kind('text', digits)} AS kind FROM placed),
+sides AS (SELECT *, CASE WHEN kind = 'english' THEN text WHEN kind = 'mixed' THEN {latin} END AS e0,
+  CASE WHEN kind = 'arabic' THEN text WHEN kind = 'mixed' THEN {letters} END AS a0 FROM typed),
+sided AS (SELECT *, CASE WHEN length(e0) >= 2 THEN e0 END AS e, nullif(a0, '') AS a FROM sides),
+row_texts AS (SELECT pdf, page, col, row, arg_min(y, (x, y, pos)) AS y,
+  arg_min(text, (x, y, pos)) FILTER (kind = 'digit') AS number0,
+  {english} AS english, {_strip(f"coalesce({arabic}, '')")} AS arabic,
+  min(x) FILTER (e IS NOT NULL) AS english_x, min(x) FILTER (a IS NOT NULL) AS arabic_x
+  FROM sided GROUP BY pdf, page, col, row),
+rt AS (SELECT * EXCLUDE (number0), number0::BIGINT AS number FROM row_texts)"""
+
+
+def _folded(profile: str, numbered: bool = True, arabic_first: bool = False) -> str:
+    e, a, n = "english <> ''", "arabic <> ''", "number IS NOT NULL"
+    if profile == "v4":
+        return f"{_row_texts(profile)}, folded AS (SELECT pdf, page, col, row AS entry, NULL::BIGINT AS number, english, arabic, y FROM rt WHERE {e} OR {a})"
+    if not numbered:
+        start, more, number = "coalesce(english_x < arabic_x, false)", "true", "entry::BIGINT"
+        used = f"{e} OR {a}"
+    else:
+        start = f"{n} AND {a}" if arabic_first else f"{n} AND {e}" if profile == "v2" else f"{n} AND ({e} OR {a})"
+        more = "false" if profile == "v2" else "true" if arabic_first else "arabic = ''"
+        number, used = "max(number) FILTER (start)", f"{e} OR {a} OR {n}"
+    return f"""{_row_texts(profile)}, used AS (SELECT *, {start} AS start FROM rt WHERE {used}),
+counted AS (SELECT *, (sum(start::INT) OVER (PARTITION BY pdf, page, col ORDER BY row))::INT AS entry FROM used),
+folded AS (SELECT pdf, page, col, entry, {number} AS number,
+  coalesce(string_agg(nullif(CASE WHEN start OR {more} THEN english ELSE '' END, ''), ' ' ORDER BY row), '') AS english,
+  coalesce(string_agg(nullif(arabic, ''), ' ' ORDER BY row), '') AS arabic, max(y) FILTER (start) AS y
+  FROM counted WHERE entry > 0 GROUP BY pdf, page, col, entry)"""
+
+
+HEADERS = {"v2": "^(الجامعة|قسم|مجلة|©|صفحة)", "v3": "^(الجامعة|قسم|مجلة|©|صفحة|المحتوى|الفهرس)"}
+
+
+def _noise(e: str, a: str, profile: str) -> str:
+    no_latin = f"NOT regexp_matches({e}, '[A-Za-z]')"
+    no_arabic = f"NOT regexp_matches({a}, '{AR}')"
+    if profile == "v4":
+        return f"({e} = '' AND {a} = '') OR ({e} <> '' AND ({no_latin} OR length({e}) < 2))"
+    patterns = [r"^[0-9]{1,3}$", "^©.*$", HEADERS[profile], rf"^[A-Z{S[1:-1]}]{{20,}}$"]
+    if profile == "v3":
+        patterns.append("^(Digitized|Internet Archive|Google|University|Library|Catholic Press)")
+    marked = " OR ".join(f"regexp_matches({c}, '{p}')" for p in patterns for c in (e, a))
+    if profile == "v2":
+        return f"{marked} OR {no_latin} OR {no_arabic} OR length({e}) < 2"
+    return f"{marked} OR ({e} = '' AND {a} = '') OR ({e} <> '' AND ({no_latin} OR length({e}) < 2)) OR ({a} <> '' AND {no_arabic})"
+
+
+def _tidied_english(c: str) -> str:
+    return _strip(f"regexp_replace({_collapse(_strip(c))}, '{S}+[.,;:]{S}*$', '')")
+
+
+def _tidied_arabic(c: str, profile: str) -> str:
+    out = _collapse(_strip(c))
+    for mark in (8206, 8207) if profile == "v2" else (8206, 8207, 8205, 8204):
+        out = f"replace({out}, chr({mark}), '')"
+    return _strip(out if profile == "v2" else f"regexp_replace({out}, '{S}+[.,;:]{S}*$', '')")
+
+
+def _dictionary(profile: str, numbered: bool = True, arabic_first: bool = False) -> str:
+    e = "english" if profile in ("v2", "v4") else _tidied_english("english")
+    a = "arabic" if profile == "v4" else _tidied_arabic("arabic", profile)
+    order = "page, col, entry" if profile == "v4" else "coalesce(nullif(number, 0), 1000000), page, y, col, entry"
+    return f"""WITH RECURSIVE {_folded(profile, numbered, arabic_first)},
+tidy AS (SELECT * EXCLUDE (english, arabic), {e} AS e, {a} AS a FROM folded),
+firsts AS (SELECT * FROM tidy WHERE NOT ({_noise('e', 'a', profile)})
+  QUALIFY row_number() OVER (PARTITION BY pdf, lower(e), a ORDER BY {order}) = 1)
+SELECT pdf, row_number() OVER (PARTITION BY pdf ORDER BY {order}) AS id, e AS "English", a AS "Arabic" FROM firsts"""
+
+
+# --- cleaning ----------------------------------------------------------------
+
+
+def _hard_spaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document lines with a hard space before each space."""
+    docs = _table(spark, sf_dir, "documents").withColumn("text", F.replace("text", F.lit(" "), F.lit("\u00a0 ")))
+    return docs.select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
+
+
+HARD_SPACED = """hard AS (SELECT doc_id, source, unnest(range(len(l)))::INT AS line_no, unnest(l) AS raw
+  FROM (SELECT doc_id, source, string_split(replace(text, ' ', chr(160) || ' '), chr(10)) AS l FROM documents))"""
+
+
+@_query("clean_lines", f"WITH {HARD_SPACED} SELECT doc_id, line_no, line FROM (SELECT doc_id, line_no, {_clean('raw')} AS line FROM hard) WHERE length(line) >= 2")
+def clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _hard_spaced(spark, sf_dir).select("doc_id", "line_no", tx.clean(F.col("raw")).alias("line"))
+    return lines.where(F.length("line") >= 2)
+
+
+@_query("numbered_entries", f"""WITH {HARD_SPACED}, cleaned AS (SELECT *, {_clean('raw')} AS line FROM hard),
+firsts AS (SELECT * FROM cleaned WHERE length(line) >= 2 QUALIFY row_number() OVER (PARTITION BY lower(line) ORDER BY doc_id, line_no) = 1)
+SELECT row_number() OVER (ORDER BY doc_id, line_no) AS id, line AS term, source AS source_file FROM firsts""")
+def numbered_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _hard_spaced(spark, sf_dir).withColumn("line", tx.clean(F.col("raw"))).where(F.length("line") >= 2)
+    first = merge.first_wins(lines, [F.lower("line")], ["doc_id", "line_no"])
+    return merge.renumber(first, ["doc_id", "line_no"]).select("id", F.col("line").alias("term"), F.col("source").alias("source_file"))
+
+
+@_query("dedup_first_wins", "SELECT doc_id, source, n_chars FROM documents QUALIFY row_number() OVER (PARTITION BY lower(text), lang ORDER BY doc_id) = 1")
+def dedup_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return merge.first_wins(docs, [F.lower("text"), F.col("lang")], ["doc_id"]).select("doc_id", "source", "n_chars")
+
+
+_ENTITY_SQL = "t"
+for _from, _to in (("&nbsp;", "chr(160)"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"), ("&apos;", "chr(39)"), ("&middot;", "chr(183)"), ("&copy;", "chr(169)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&amp;", "'&'")):
+    _ENTITY_SQL = f"replace({_ENTITY_SQL}, '{_from}', {_to})"
+
+
+@_query("strip_html", rf"""SELECT page_id, {_clean(_ENTITY_SQL)} AS body FROM (SELECT page_id, regexp_replace(regexp_replace(html,
+  '(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g') AS t FROM pages)""")
+def strip_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", tx.strip_html(F.col("html")).alias("body"))
+
+
+@_query("safe_name", r"""SELECT page_id, regexp_replace(trim(regexp_replace(regexp_replace(url, '[^\p{L}\p{N}_\x{0600}-\x{06FF}\x{0750}-\x{077F}\-. ]+', '_', 'g'), '\.{2,}', '.', 'g')), '[._]+$', '') AS name FROM pages""")
+def safe_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", tx.safe_name(F.col("url")).alias("name"))
+
+
+def _noisy_latin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").withColumn("noisy", F.translate("text", "oO|", "00|")).withColumn("noisy", F.replace("noisy", F.lit("li"), F.lit("|i")))
+
+
+for _profile in ("v2", "v3", "v4"):
+
+    @_query(f"ocr_fixes_{_profile}", f"""SELECT doc_id, {_fixes("regexp_replace(n, '[^ -~]', 'x', 'g')", _profile)} AS fixed FROM (SELECT doc_id, replace(translate(text, 'oO', '00'), 'li', '|i') AS n FROM documents)""")
+    def _ocr_fixes(spark: SparkSession, sf_dir: str, profile: str = _profile) -> DataFrame:
+        noisy = _noisy_latin(spark, sf_dir).withColumn("noisy", F.regexp_replace("noisy", "[^ -~]", "x"))
+        return noisy.select("doc_id", tx.fix_ocr(F.col("noisy"), profile).alias("fixed"))
+
+
+@_query("clean_sides", f"""WITH {BOXES} SELECT pdf, page, pos, {_tidied_english("text || ' .'")} AS english, {_tidied_arabic("chr(8207) || text || chr(8204) || '  ;'", 'v3')} AS arabic FROM boxes""")
+def clean_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    boxes = samples.word_boxes(_table(spark, sf_dir, "documents"))
+    english = tx.clean_english(F.concat("text", F.lit(" .")))
+    arabic = tx.clean_arabic(F.concat(F.lit("\u200f"), "text", F.lit("\u200c  ;")), "v3")
+    return boxes.select("pdf", "page", "pos", english.alias("english"), arabic.alias("arabic"))
+
+
+@_query("normalize_arabic", f"""SELECT doc_id, trim(translate(regexp_replace({_ARABIZE.format('text')}, 'ا', 'أ\u064e', 'g'), 'آأإؤئى' || chr(1648) || '\u064b\u064c\u064d\u064e\u064f\u0650\u0651\u0652', 'اااويي')) AS folded FROM documents""")
+def normalize_arabic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.replace(samples.to_arabic(F.col("text")), F.lit("ا"), F.lit("أ\u064e"))
+    return _table(spark, sf_dir, "documents").select("doc_id", F.btrim(tx.normalize_arabic(body)).alias("folded"))
+
+
+def _half_arabic(text):
+    return F.concat(text, F.lit(" "), F.regexp_replace(samples.to_arabic(text), "ه", "\u064f\u064fـ"))
+
+
+@_query("garble_flags", f"""WITH t AS (SELECT doc_id, text || ' ' || regexp_replace({_ARABIZE.format('text')}, 'ه', '\u064f\u064fـ', 'g') AS t FROM documents),
+c AS (SELECT doc_id, length(t) AS n, len(regexp_extract_all(t, '[\\x{{064B}}-\\x{{0652}}]{{2,}}')) AS marks, len(regexp_extract_all(t, '[\\x{{0621}}-\\x{{063A}}\\x{{0641}}-\\x{{064A}}]{{2,}}')) AS words,
+  len(regexp_extract_all(t, '[\\x{{FB50}}-\\x{{FDFF}}\\x{{FE70}}-\\x{{FEFF}}]')) AS forms, len(regexp_extract_all(t, '[\\x{{0640}}-\\x{{065F}}\\x{{0670}}-\\x{{06FF}}]')) AS odd,
+  len(regexp_extract_all(t, '[\\x{{0640}}\\x{{064B}}-\\x{{065F}}\\x{{0670}}-\\x{{06FF}}]')) AS odd_strict, len(regexp_extract_all(t, '[\\x{{0621}}-\\x{{063A}}\\x{{0641}}-\\x{{064A}}]')) AS letters FROM t)
+SELECT doc_id, n >= 50 AND (marks / greatest(words, 1) > 0.15 OR forms > 5 OR (letters > 0 AND odd / letters > 0.5)) AS garbled,
+  n >= 50 AND (marks / greatest(words, 1) > 0.15 OR forms > 5 OR (letters > 0 AND odd_strict / letters > 0.5)) AS garbled_strict,
+  n >= 50 AND ((words > 0 AND marks / words > 0.15) OR (letters > 0 AND odd / letters > 0.5)) AS garbled_incremental FROM c""")
+def garble_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = _table(spark, sf_dir, "documents").select("doc_id", _half_arabic(F.col("text")).alias("t"))
+    t = F.col("t")
+    return body.select("doc_id", tx.is_garbled(t).alias("garbled"), tx.is_garbled(t, strict=True).alias("garbled_strict"), tx.is_garbled(t, presentation=False).alias("garbled_incremental"))
+
+
+@_query("split_columns", f"""WITH {LINES}, gapped AS (SELECT pdf, page, replace(text, '. ', '.   ') AS raw FROM lines)
+SELECT pdf, page, {_clean('raw')} AS parity_term, '' AS parity_definition, {_clean("regexp_extract(" + _strip('raw') + f", '^(.*?)(?:{S}{{2,}}|\\t|$)', 1)")} AS strict_term,
+  {_clean("regexp_extract(" + _strip('raw') + f", '^.*?(?:{S}{{2,}}|\\t)(.*)$', 1)")} AS strict_definition FROM gapped""")
+def split_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = samples.lines_of(_table(spark, sf_dir, "documents")).withColumn("raw", F.replace("text", F.lit(". "), F.lit(".   ")))
+    loose, strict = tx.split_columns(F.col("raw")), tx.split_columns(F.col("raw"), strict=True)
+    return lines.select("pdf", "page", loose[0].alias("parity_term"), loose[1].alias("parity_definition"), strict[0].alias("strict_term"), strict[1].alias("strict_definition"))
+
+
+@_query("classify_tokens", f"WITH {BOXES} SELECT pdf, {_kind('text', 4)} AS kind, count(*) AS tokens, min(length(text))::INT AS shortest FROM boxes GROUP BY ALL")
+def classify_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    boxes = samples.word_boxes(_table(spark, sf_dir, "documents"))
+    return boxes.groupBy("pdf", tx.classify(F.col("text")).alias("kind")).agg(F.count("*").alias("tokens"), F.min(F.length("text")).alias("shortest"))
+
+
+# --- merging -----------------------------------------------------------------
+
+
+def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four chunks of documents: first words as term, language as definition."""
+    docs = _table(spark, sf_dir, "documents")
+    term = F.concat(F.lit(" "), F.substring_index("text", " ", 3))
+    definition = F.when(F.col("doc_id") % 10 == 0, "").otherwise(F.col("lang"))
+    return docs.select((F.col("doc_id") % 4).alias("chunk"), "doc_id", term.alias("term"), definition.alias("definition"), F.col("source").alias("source_file"))
+
+
+CHUNKS = f"""chunks AS (SELECT doc_id % 4 AS chunk, doc_id, {_strip("' ' || array_to_string(string_split(text, ' ')[1:3], ' ')")} AS term,
+  CASE WHEN doc_id % 10 = 0 THEN '' ELSE lang END AS definition, source AS source_file FROM documents)"""
+
+
+@_query("merge_chunks_named", f"""WITH {CHUNKS}, firsts AS (SELECT * FROM chunks WHERE term <> '' AND definition <> ''
+  QUALIFY row_number() OVER (PARTITION BY lower(term), definition ORDER BY chunk, doc_id) = 1)
+SELECT row_number() OVER (ORDER BY chunk, doc_id) AS id, term, definition, source_file FROM firsts""")
+def merge_chunks_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _chunks(spark, sf_dir)
+    return merge.merge_named(merge.union_all([rows.where(F.col("chunk") == k) for k in range(4)]), ["chunk", "doc_id"])
+
+
+@_query("merge_chunks_positional", f"""WITH {CHUNKS}, firsts AS (SELECT * FROM chunks WHERE doc_id % 7 <> 0
+  QUALIFY row_number() OVER (PARTITION BY lower(term), definition ORDER BY chunk, doc_id) = 1)
+SELECT row_number() OVER (ORDER BY chunk, doc_id) AS id, term AS "English", definition AS "Arabic" FROM firsts""")
+def merge_chunks_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = F.when(F.col("doc_id") % 7 == 0, F.array("term")).otherwise(F.array(F.col("doc_id").cast("string"), "term", "definition"))
+    return merge.merge_positional(_chunks(spark, sf_dir).withColumn("cells", cells), ["chunk", "doc_id"])
+
+
+# --- structure ---------------------------------------------------------------
+
+#: The documents hold no Arabic: their headings are lines that begin so.
+_CHAPTERS = ("^(The|And|Les|De|La|Los|Die|Und|In)" + tx.SPACE,)
+_LETTERS = "[À-ÿ]|th"
+
+
+def _typed(c: str) -> str:
+    return f"""CASE WHEN {c} = '' THEN 'content' WHEN regexp_matches({c}, '^(The|And|Les|De|La|Los|Die|Und|In){S}') THEN 'chapter'
+      WHEN regexp_matches({c}, '[\\x{{c0}}-\\x{{ff}}]|th') AND length({c}) < 60 AND {c} LIKE '%:' THEN 'section'
+      WHEN regexp_matches({c}, '^[0-9]+[.)_]') OR regexp_matches({c}, '^[-\\x{{2022}}*]') THEN 'list_item'
+      WHEN {c} LIKE '%|%' OR {c} LIKE '%' || chr(9) || '%' THEN 'table' ELSE 'content' END"""
+
+
+#: Some short lines end in a colon, some begin with a number.
+_HEADED = "CASE WHEN length(text) < 59 AND page % 2 = 0 THEN text || ':' WHEN page % 5 = 3 THEN page || '. ' || text ELSE text END"
+
+
+def _headed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = samples.lines_of(_table(spark, sf_dir, "documents"))
+    n = F.col("page")
+    text = F.when((F.length("text") < 59) & (n % 2 == 0), F.concat("text", F.lit(":"))).when(n % 5 == 3, F.concat(n.cast("string"), F.lit(". "), F.col("text"))).otherwise(F.col("text"))
+    return lines.select("pdf", F.col("page").alias("line_no"), text.alias("text"))
+
+
+TYPED = f"""{LINES}, headed AS (SELECT pdf, page AS line_no, {_strip(_HEADED)} AS text FROM lines),
+typed AS (SELECT *, {_typed('text')} AS "Type" FROM headed WHERE text <> '')"""
+FILLED = f"""{TYPED}, marked AS (SELECT *, sum(("Type" = 'chapter')::INT) OVER (PARTITION BY pdf ORDER BY line_no) AS g FROM typed),
+filled AS (SELECT pdf, line_no, "Type",
+  coalesce(last_value(CASE WHEN "Type" = 'chapter' THEN text END IGNORE NULLS) OVER (PARTITION BY pdf ORDER BY line_no ROWS UNBOUNDED PRECEDING), '') AS "Section",
+  coalesce(last_value(CASE WHEN "Type" = 'section' THEN text END IGNORE NULLS) OVER (PARTITION BY pdf, g ORDER BY line_no ROWS UNBOUNDED PRECEDING), '') AS "Subsection",
+  text AS "Content" FROM marked)"""
+
+
+@_query("content_type_lines", f'WITH {TYPED} SELECT pdf, line_no, "Type" AS kind FROM typed')
+def content_type_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _headed(spark, sf_dir).withColumn("text", tx.strip(F.col("text"))).where("text <> ''")
+    return lines.select("pdf", "line_no", tx.content_type(F.col("text"), chapters=_CHAPTERS, letters=_LETTERS).alias("kind"))
+
+
+def _structured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _headed(spark, sf_dir).withColumn("text", tx.strip(F.col("text"))).where("text <> ''")
+    return sections.structure(lines, ["pdf"], ["line_no"], chapters=_CHAPTERS, letters=_LETTERS)
+
+
+@_query("section_fill", f"WITH {FILLED} SELECT * FROM filled")
+def section_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _structured(spark, sf_dir)
+
+
+@_query("line_report", f"""WITH {FILLED}, c AS (SELECT pdf, count(*) AS total_lines, count(*) FILTER ("Type" = 'chapter') AS chapters, count(*) FILTER ("Type" = 'section') AS sections,
+  count(*) FILTER ("Type" = 'content') AS content_lines, count(*) FILTER ("Type" = 'content' AND regexp_matches("Content", '[\\x{{c0}}-\\x{{ff}}]|th')) AS arabic_lines FROM filled GROUP BY pdf)
+SELECT *, round_even(coalesce(arabic_lines / nullif(content_lines, 0), 0)::DOUBLE, 3)::DOUBLE AS arabic_content_ratio, coalesce(arabic_lines / nullif(content_lines, 0), 0) > 0.5 AND total_lines > 50 AS pdf_deletable FROM c""")
+def line_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.line_report(_structured(spark, sf_dir), ["pdf"], _LETTERS)
+
+
+# --- layout and entries ------------------------------------------------------
+
+
+def _boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return samples.word_boxes(_table(spark, sf_dir, "documents"))
+
+
+@_query("ocr_words", f"WITH {BOXES} SELECT pdf, page, pos, text, conf FROM boxes WHERE conf >= 30")
+def ocr_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.confident(_boxes(spark, sf_dir)).select("pdf", "page", "pos", "text", "conf")
+
+
+@_query("page_range", f"WITH {BOXES} SELECT pdf, page, count(*) AS boxes FROM boxes WHERE page >= 6 AND page < 9 GROUP BY pdf, page")
+def page_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.page_range(_boxes(spark, sf_dir), chunk_size=3, chunk=2).groupBy("pdf", "page").agg(F.count("*").alias("boxes"))
+
+
+@_query("column_split", f"WITH {BOXES} SELECT pdf, page, CASE WHEN x + 20 < 500 THEN 0 ELSE 1 END AS col, CASE WHEN x + 20 < 420 THEN 0 ELSE 1 END AS col_by_gutter, count(*) AS boxes FROM boxes GROUP BY ALL")
+def column_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x, w = F.col("x"), F.col("w")
+    cols = [layout.split_by_ratio(x, w, F.col("width")).alias("col"), layout.split_by_gutter(x, w, F.lit(420)).alias("col_by_gutter")]
+    return _boxes(spark, sf_dir).groupBy("pdf", "page", *cols).agg(F.count("*").alias("boxes"))
+
+
+@_query("row_clusters", f"WITH RECURSIVE {ROWS} SELECT pdf, page, col, pos, row FROM placed")
+def row_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dictionary.place_words(_boxes(spark, sf_dir), dictionary.Options("v2")).select("pdf", "page", "col", "pos", "row")
+
+
+@_query("line_buckets", f"WITH {BOXES} SELECT pdf, page, (y // 15)::BIGINT AS line, string_agg(text, ' ' ORDER BY x, pos) AS text, round(avg(conf), 6) AS conf FROM boxes GROUP BY pdf, page, y // 15")
+def line_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.line_buckets(_boxes(spark, sf_dir)).withColumn("conf", F.round("conf", 6))
+
+
+_ENTRY_VARIANTS = {"v2": ("v2", True, False), "v3": ("v3", True, False), "v3_arabic": ("v3", True, True), "nonum": ("v3", False, False), "v4": ("v4", True, False)}
+for _name, (_p, _numbered, _arabic) in _ENTRY_VARIANTS.items():
+
+    @_query(f"entries_{_name}", f"WITH RECURSIVE {_folded(_p, _numbered, _arabic)} SELECT pdf, page, col, entry, number, english, arabic, y FROM folded")
+    def _entries(spark: SparkSession, sf_dir: str, options: tuple = (_p, _numbered, _arabic)) -> DataFrame:
+        profile, numbered, arabic = options
+        return dictionary.raw_entries(_boxes(spark, sf_dir), dictionary.Options(profile, numbered=numbered, arabic_first=arabic))
+
+    @_query(f"dictionary_{_name}", _dictionary(_p, _numbered, _arabic))
+    def _dictionaries(spark: SparkSession, sf_dir: str, options: tuple = (_p, _numbered, _arabic)) -> DataFrame:
+        profile, numbered, arabic = options
+        return dictionary.dictionary(_boxes(spark, sf_dir), dictionary.Options(profile, numbered=numbered, arabic_first=arabic))
+
+
+_HEAD = "array_to_string(string_split(raw, ' ')[1:3], ' ')"
+
+
+@_query("text_layer_entries", f"""WITH raw AS (SELECT doc_id AS pdf, unnest(range(len(l)))::INT AS i, unnest(l) AS raw FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
+t AS (SELECT pdf, i // 4 AS page, i, {_strip(f"CASE WHEN i % 3 = 0 THEN {_HEAD} || ' ' || {_ARABIZE.format(_HEAD)} WHEN i % 3 = 1 THEN {_ARABIZE.format('raw')} ELSE raw END")} AS text FROM raw),
+k AS (SELECT *, regexp_matches(text, '[A-Za-z]') AS l, regexp_matches(text, '{AR}') AS r FROM t),
+runs AS (SELECT *, list_transform(regexp_extract_all(text, '({AR}+(?:{S}+{AR}+)*|[^{AR[1:-1]}]+)'), lambda x: {_strip('x')}) AS p FROM k WHERE l OR r),
+sides AS (SELECT pdf, page, i, l AND r AS two,
+  CASE WHEN l AND r THEN {_strip("array_to_string(list_filter(p, lambda x: regexp_matches(x, '[A-Za-z]')), ' ')")} WHEN l THEN text ELSE '' END AS e,
+  CASE WHEN l AND r THEN {_strip(f"array_to_string(list_filter(p, lambda x: regexp_matches(x, '{AR}')), ' ')")} WHEN r THEN text ELSE '' END AS a FROM runs),
+s AS (SELECT *, two OR row_number() OVER (PARTITION BY pdf, page ORDER BY i) = 1 AS start FROM sides),
+n AS (SELECT *, (sum(start::INT) OVER (PARTITION BY pdf, page ORDER BY i))::INT AS entry FROM s)
+SELECT pdf, page::INT AS page, entry, coalesce(string_agg(nullif(e, ''), ' ' ORDER BY i), '') AS english, coalesce(string_agg(nullif(a, ''), ' ' ORDER BY i), '') AS arabic FROM n GROUP BY pdf, page, entry""")
+def text_layer_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return en.fold_text_lines(samples.bilingual_lines(_table(spark, sf_dir, "documents")))
+
+
+@_query("dual_pass", f"""WITH {BOXES}, one AS (SELECT * FROM boxes WHERE pos % 3 <> 1 AND regexp_matches(text, '[A-Za-z]')),
+two AS (SELECT * FROM boxes WHERE pos % 2 = 1 AND regexp_matches(text, '{AR}')),
+near AS (SELECT * FROM two t WHERE NOT EXISTS (SELECT 1 FROM one o WHERE o.pdf = t.pdf AND o.page = t.page AND abs(o.x - t.x) < 20 AND abs(o.y - t.y) < 20)),
+taken AS (SELECT pdf, page, x, y, text FROM one UNION SELECT pdf, page, x, y, text FROM near)
+SELECT * FROM taken UNION SELECT pdf, page, x, y, text FROM boxes""")
+def dual_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    boxes = _boxes(spark, sf_dir)
+    return layout.dual_pass(boxes.where("pos % 3 <> 1"), boxes.where("pos % 2 = 1"), boxes).select("pdf", "page", "x", "y", "text")
+
+
+def _ink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as column profiles: the place is x, the size of a value ink."""
+    rows = _table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("page"), F.col("label").alias("pdf"), F.posexplode("embedding").alias("x", "v"))
+    return rows.select("pdf", "page", "x", F.abs(F.col("v").cast("double")).alias("ink"), F.lit(64).alias("width"))
+
+
+INK = """ink AS (SELECT label AS pdf, vec_id AS page, unnest(range(len(embedding)))::INT AS x, abs(unnest(embedding)::DOUBLE) AS ink FROM embeddings),
+profile AS (SELECT pdf, page, arg_min(x, (ink, x)) AS gutter_x, min(ink) AS least, avg(ink) AS mean FROM ink WHERE x >= 16 AND x < 48 GROUP BY pdf, page),
+profiles AS (SELECT pdf, page, gutter_x, CASE WHEN least < mean * 0.3 THEN 2 ELSE 1 END AS num_columns FROM profile)"""
+
+
+@_query("gutter_argmin", f"WITH {INK} SELECT * FROM profiles")
+def gutter_argmin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.column_profile(_ink(spark, sf_dir)).select("pdf", "page", "gutter_x", "num_columns")
+
+
+@_query("layout_vote", f"""WITH {INK}, v AS (SELECT pdf, avg((page % 3 = 0)::INT) > 0.5 AS is_scanned, avg((page % 3 <> 0)::INT) > 0.5 AS has_text,
+  CASE WHEN avg((num_columns = 2)::INT) > 0.5 THEN 2 ELSE 1 END AS num_columns, coalesce(trunc(avg(gutter_x) FILTER (num_columns = 2)), 0)::INT AS g FROM profiles GROUP BY pdf)
+SELECT pdf, is_scanned, has_text, num_columns, CASE WHEN num_columns = 2 THEN g ELSE 0 END AS gutter_x FROM v""")
+def layout_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = layout.column_profile(_ink(spark, sf_dir)).withColumns(
+        {"is_scanned": F.col("page") % 3 == 0, "has_text": F.col("page") % 3 != 0, "page_width": F.lit(64), "page_height": F.lit(1), "image_w": F.lit(0), "image_h": F.lit(0)}
+    )
+    return layout.layout_vote(pages).select("pdf", "is_scanned", "has_text", "num_columns", "gutter_x")
+
+
+@_query("page_route", f"""WITH t AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN text ELSE text || ' ' || {_ARABIZE.format('text')} END AS t, doc_id % 3 = 0 AS scanned FROM documents),
+c AS (SELECT *, length(t) AS n, len(regexp_extract_all(t, '{AR}')) AS ar, len(regexp_extract_all(t, '[\\x{{064B}}-\\x{{0652}}]{{2,}}')) AS marks, len(regexp_extract_all(t, '[\\x{{0621}}-\\x{{063A}}\\x{{0641}}-\\x{{064A}}]{{2,}}')) AS words,
+  len(regexp_extract_all(t, '[\\x{{0640}}\\x{{064B}}-\\x{{065F}}\\x{{0670}}-\\x{{06FF}}]')) AS odd, len(regexp_extract_all(t, '[\\x{{0621}}-\\x{{063A}}\\x{{0641}}-\\x{{064A}}]')) AS letters FROM t)
+SELECT doc_id, CASE WHEN n > 50 AND ar > n * 0.1 AND NOT (marks / greatest(words, 1) > 0.15 OR (letters > 0 AND odd / letters > 0.5)) THEN 'text' ELSE 'ocr' END AS route,
+  length({_strip('t')}) > 100 AND NOT scanned AS text_page FROM c""")
+def page_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    text = F.when(F.col("doc_id") % 2 == 0, F.col("text")).otherwise(F.concat("text", F.lit(" "), samples.to_arabic(F.col("text"))))
+    pages = docs.select("doc_id", text.alias("t"))
+    return pages.select("doc_id", sections.text_route(F.col("t"), strict=True).alias("route"), sections.is_text_page(F.col("t"), F.col("doc_id") % 3 == 0).alias("text_page"))
+
+
+@_query("reference_book", f"""WITH pages0 AS (SELECT doc_id AS pdf, conv AS page, CASE WHEN conv = 0 THEN text WHEN doc_id % 2 = 0 THEN ' ' ELSE {_ARABIZE.format('text')} END AS ara, text AS second FROM documents, (VALUES (0), (1)) v(conv)),
+p AS (SELECT pdf, page, coalesce(nullif({_strip('ara')}, ''), second) AS text FROM pages0),
+l AS (SELECT pdf, page, unnest(range(len(l)))::INT AS line_no, unnest(l) AS raw FROM (SELECT pdf, page, string_split(text, chr(10)) AS l FROM p)),
+t AS (SELECT pdf, page, line_no, {_strip('raw')} AS text FROM l)
+SELECT pdf, page::INT AS page, count(*) AS n_lines, count(*) FILTER (text LIKE '%|%') AS bars, max(length(text))::INT AS longest FROM t WHERE text <> '' GROUP BY pdf, page""")
+def reference_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("page", F.explode(F.array(F.lit(0), F.lit(1))))
+    scan = F.when(F.col("page") == 0, F.col("text")).when(F.col("doc_id") % 2 == 0, " ").otherwise(samples.to_arabic(F.col("text")))
+    pages = reference_book.page_texts(docs.select(F.col("doc_id").alias("pdf"), "page", F.lit("").alias("text"), scan.alias("text_ara"), F.col("text").alias("text_both")))
+    lines = sections.page_lines(pages, ["pdf", "page"])
+    return lines.groupBy("pdf", "page").agg(F.count("*").alias("n_lines"), F.count_if(F.col("text").contains("|")).alias("bars"), F.max(F.length("text")).alias("longest"))
+
+
+# --- lexicon -----------------------------------------------------------------
+
+
+def _frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.word_frequencies(_table(spark, sf_dir, "documents"))
+
+
+FREQ = f"freq AS (SELECT word, count(*) AS freq FROM (SELECT unnest(list_filter(regexp_split_to_array(lower(text), '{S}+'), lambda t: t <> '')) AS word FROM documents) GROUP BY word)"
+
+
+@_query("word_freq", f"WITH {FREQ} SELECT word, freq FROM freq")
+def word_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _frequencies(spark, sf_dir)
+
+
+@_query("lexicon_known", f"""WITH {FREQ}, lex AS (SELECT word FROM freq WHERE freq >= 20), t AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(text, '{S}+'), lambda t: t <> '')) AS token FROM documents)
+SELECT doc_id, count(*) AS tokens, count(*) FILTER (lower(token) IN (SELECT word FROM lex)) AS known FROM t GROUP BY doc_id""")
+def lexicon_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lex = _frequencies(spark, sf_dir).where("freq >= 20")
+    tokens = _table(spark, sf_dir, "documents").select("doc_id", F.explode(tx.words(F.col("text"))).alias("token"))
+    return lexicon.known(tokens, lex).groupBy("doc_id").agg(F.count("*").alias("tokens"), F.count_if("known").alias("known"))
+
+
+def _rare_and_common(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    # One byte a letter, as the SQL engine's edit distance counts bytes.
+    docs = _table(spark, sf_dir, "documents").select(F.regexp_replace("text", "[^\n -~]", "x").alias("text"))
+    freq = lexicon.word_frequencies(docs)
+    return freq.where("freq = 2 and length(word) >= 6").select(F.col("word").alias("token")), freq.where("freq >= 20 and length(word) >= 4")
+
+
+@_query("spell_edits", f"""WITH {FREQ.replace("lower(text)", "lower(regexp_replace(text, '[^' || chr(10) || ' -~]', 'x', 'g'))")}, rare AS (SELECT word AS token FROM freq WHERE freq = 2 AND length(word) >= 6), lex AS (SELECT word, freq FROM freq WHERE freq >= 20 AND length(word) >= 4)
+SELECT token, word, levenshtein(token, word)::INT AS edits FROM rare JOIN lex ON abs(length(token) - length(word)) <= 1 AND levenshtein(token, word) <= 1
+QUALIFY row_number() OVER (PARTITION BY token ORDER BY levenshtein(token, word), freq DESC, word) = 1""")
+def spell_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.nearest_by_edits(*_rare_and_common(spark, sf_dir))
+
+
+@_query("spell_correct")
+def spell_correct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rare, common = _rare_and_common(spark, sf_dir)
+    return lexicon.correct_tokens(rare, common)
+
+
+@_query("similarity_ratio")
+def similarity_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.clean(F.col("text")).alias("text"))
+    pair = turns.join(turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")), ["conv_id", "turn"])
+    a, b = F.substring_index("text", " ", 12), F.substring_index("answer", " ", 12)
+    return pair.select("conv_id", "turn", sim.guarded_ratio(a, b).alias("ratio"), sim.letter_bound(a, b).alias("bound"))
+
+
+@_query("gold_eval", f"""WITH ours AS (SELECT lower(array_to_string(string_split(text, ' ')[1:3], ' ')) AS t, lang AS d FROM documents WHERE doc_id % 3 <> 0),
+gold AS (SELECT lower(array_to_string(string_split(text, ' ')[1:3], ' ')) AS t, lang AS d FROM documents WHERE doc_id % 2 = 0),
+c AS (SELECT count(*) AS gold_rows, count(*) FILTER (t IN (SELECT t FROM ours)) AS shared_terms, count(*) FILTER ((t, d) IN (SELECT t, d FROM ours)) AS exact_pairs FROM gold)
+SELECT gold_rows, (SELECT count(*) FROM ours) AS output_rows, shared_terms, exact_pairs, shared_terms / gold_rows AS shared_share, exact_pairs / gold_rows AS exact_share FROM c""")
+def gold_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _table(spark, sf_dir, "documents").select("doc_id", F.substring_index("text", " ", 3).alias("term"), F.col("lang").alias("definition"))
+    return lexicon.overlap(pairs.where("doc_id % 3 <> 0"), pairs.where("doc_id % 2 = 0"))
+
+
+# --- reports -----------------------------------------------------------------
+
+
+@_query("quality_report", """WITH e AS (SELECT source, CASE WHEN n_chars % 5 = 0 THEN '' ELSE text END AS "English", CASE WHEN n_chars % 3 = 0 THEN '' ELSE lang END AS "Arabic" FROM documents),
+c AS (SELECT source, count(*) AS total_entries, count(*) FILTER ("English" <> '') AS entries_with_english, count(*) FILTER ("Arabic" <> '') AS entries_with_arabic,
+  count(*) FILTER ("English" <> '' AND "Arabic" <> '') AS entries_with_both, round_even(avg(length("English"))::DOUBLE, 1)::DOUBLE AS avg_english_len, round_even(avg(length("Arabic"))::DOUBLE, 1)::DOUBLE AS avg_arabic_len FROM e GROUP BY source)
+SELECT *, round_even((entries_with_both / total_entries)::DOUBLE, 3)::DOUBLE AS estimated_accuracy, entries_with_both / total_entries > 0.5 AND total_entries > 50 AS pdf_deletable FROM c""")
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    pairs = docs.select("source", F.when(F.col("n_chars") % 5 == 0, "").otherwise(F.col("text")).alias("English"), F.when(F.col("n_chars") % 3 == 0, "").otherwise(F.col("lang")).alias("Arabic"))
+    return quality.entry_report(pairs, ["source"], profile="v4")
+
+
+def _statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources as dictionaries: rows counted, some missing or failed."""
+    docs = _table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("rows"), F.min("doc_id").alias("first"))
+    first = F.col("first")
+    status = quality.status_of(F.when(first % 5 == 4, 0).otherwise(F.col("rows")), exists=first % 7 != 3, supported=first % 4 != 2, error=F.when(first % 6 == 5, "ValueError"))
+    kept = docs.select(F.col("source").alias("name"), F.when(first % 2 == 0, "html").otherwise("pdf").alias("format"), "rows", status.alias("status"))
+    return kept.withColumn("rows", F.when(F.col("status") == "OK", F.col("rows")).otherwise(0))
+
+
+STATUSES = """d AS (SELECT source AS name, count(*) AS rows, min(doc_id) AS f FROM documents GROUP BY source),
+s AS (SELECT name, CASE WHEN f % 2 = 0 THEN 'html' ELSE 'pdf' END AS format, rows, CASE WHEN f % 4 = 2 THEN 'UNSUPPORTED_FORMAT' WHEN f % 7 = 3 THEN 'MISSING' WHEN f % 6 = 5 THEN 'ERROR: ValueError' WHEN f % 5 = 4 THEN 'EMPTY' ELSE 'OK' END AS status FROM d),
+st AS (SELECT name, format, CASE WHEN status = 'OK' THEN rows ELSE 0 END AS rows, status FROM s)"""
+
+
+@_query("status_report", f"WITH {STATUSES} SELECT CASE WHEN status LIKE 'ERROR%' THEN 'ERROR' ELSE status END AS status, count(*) AS dictionaries, sum(rows)::BIGINT AS rows FROM st GROUP BY 1")
+def status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.status_report(_statuses(spark, sf_dir))
+
+
+@_query("format_rollup", f"WITH {STATUSES} SELECT CASE WHEN grouping(format) = 1 THEN 'TOTAL' ELSE format END AS format, count(*) AS dictionaries, sum(rows)::BIGINT AS rows FROM st GROUP BY ROLLUP (st.format)")
+def format_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.format_rollup(_statuses(spark, sf_dir))
+
+
+@_query("report_lines", f"""WITH {STATUSES}, n AS (SELECT count(*) AS n, count(*) FILTER (status = 'OK') AS good, sum(rows) FILTER (status = 'OK') AS rows FROM st)
+SELECT 1 AS section, name, rpad(name[:48], 50, ' ') || lpad(rows::VARCHAR, 8, ' ') || '  ' || status AS line FROM st
+UNION ALL SELECT 2, '0', 'Total dictionaries: ' || n FROM n UNION ALL SELECT 2, '1', 'OK: ' || good FROM n UNION ALL SELECT 2, '2', 'Total entries (OK): ' || format('{{:,}}', coalesce(rows, 0)::BIGINT) FROM n""")
+def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report_lines(_statuses(spark, sf_dir))
+
+
+@_query("engine_score", f"""WITH t AS (SELECT conv_id, turn, role, {_strip('text')} AS b, length(text) % 100 AS conf, turn % 5 = 4 AS failed FROM conversations)
+SELECT conv_id, turn, role, round(conf * length(b) * (length(regexp_replace(b, '[^\\p{{L}}\\s\\x{{0600}}-\\x{{06FF}}]', '', 'g')) / greatest(length(b), 1)) * CASE WHEN failed THEN 0.1 ELSE 1 END, 4) AS score FROM t""")
+def engine_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").withColumns({"confidence": (F.length("text") % 100).cast("double"), "failed": F.col("turn") % 5 == 4})
+    return quality.engine_scores(turns, ["conv_id", "turn", "role"], failed="failed").withColumn("score", F.round("score", 4))
+
+
+@_query("top_listing", "SELECT source, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 20")
+def top_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.top_listing(_table(spark, sf_dir, "documents"), "source", "doc_id").select("source", "doc_id")
