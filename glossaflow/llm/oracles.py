@@ -1 +1,101 @@
-ORACLES: dict[str, str] = {}
+"""SQL for the queries that SQL can express, written for DuckDB.
+
+Said from the definitions, not from the operators' steps: near duplicates are
+counted over all shared shingles, neighbours over all pairs.
+"""
+
+from __future__ import annotations
+
+S = r"[ \t\n\x{0b}\f\r]"
+
+OP4 = rf"""
+WITH lines AS (
+  SELECT doc_id, unnest(range(len(l)))::INT AS pos, unnest(l) AS raw, text
+  FROM (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents)),
+toks AS (
+  SELECT doc_id, pos, list_transform(list_filter(regexp_split_to_array(raw, '{S}+'), lambda t: t <> ''),
+    lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS t FROM lines),
+leafed AS (SELECT doc_id, pos, t, len(t) AS n, len(t) || ' ' || array_to_string(t[1:3], ' ') AS leaf FROM toks WHERE len(t) >= 3),
+occ AS (SELECT * FROM leafed WHERE leaf IN (SELECT leaf FROM leafed GROUP BY leaf HAVING count(*) >= 5)),
+lined AS (SELECT leaf, t, n, count(DISTINCT doc_id) AS docs FROM occ GROUP BY leaf, t, n),
+tok AS (SELECT leaf, t, n, docs, unnest(range(len(t)))::INT AS i, unnest(t) AS w FROM lined),
+seen AS (SELECT leaf, i, w FROM tok GROUP BY leaf, i, w HAVING sum(docs) >= 5),
+shaped AS (
+  SELECT k.leaf, k.t, k.n, list(CASE WHEN s.w IS NOT NULL AND k.w <> '<*>' THEN k.w ELSE '<*>' END ORDER BY k.i) AS shape,
+    count(*) FILTER (s.w IS NOT NULL AND k.w <> '<*>') AS constants
+  FROM tok k LEFT JOIN seen s ON s.leaf = k.leaf AND s.i = k.i AND s.w = k.w GROUP BY k.leaf, k.t, k.n),
+held AS (
+  SELECT s.leaf, s.shape, count(DISTINCT o.doc_id) AS docs FROM occ o JOIN shaped s ON s.leaf = o.leaf AND s.t = o.t
+  WHERE s.constants > 0 GROUP BY s.leaf, s.shape, s.n, s.constants HAVING count(DISTINCT o.doc_id) >= 5 AND s.constants >= s.n * 0.8),
+top AS (SELECT leaf, shape FROM held QUALIFY row_number() OVER (PARTITION BY leaf ORDER BY docs DESC, shape) = 1),
+drawn AS (
+  SELECT s.leaf, s.t, CASE WHEN p.leaf IS NOT NULL AND len(list_filter(list_zip(s.t, p.shape), lambda z: z[1] = z[2] AND z[2] <> '<*>')) >= s.n * 0.8 THEN p.shape ELSE h.shape END AS shape
+  FROM shaped s LEFT JOIN top p ON p.leaf = s.leaf LEFT JOIN held h ON h.leaf = s.leaf AND h.shape = s.shape WHERE s.constants > 0),
+members AS (SELECT o.doc_id, o.pos, d.leaf, d.shape FROM occ o JOIN drawn d ON d.leaf = o.leaf AND d.t = o.t WHERE d.shape IS NOT NULL),
+gone AS (SELECT m.doc_id, m.pos FROM members m JOIN (SELECT leaf, shape, min(doc_id) AS f FROM members GROUP BY leaf, shape) f ON f.leaf = m.leaf AND f.shape = m.shape WHERE m.doc_id <> f.f)
+SELECT l.doc_id, count(*) AS n_lines, count(g.pos) AS n_dropped,
+  md5(coalesce(string_agg(l.raw, chr(10) ORDER BY l.pos) FILTER (g.pos IS NULL), '')) AS text_md5
+FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos GROUP BY l.doc_id
+"""
+
+OP7 = """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding) AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM p
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+"""
+
+OP8 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x{0b}\f\r]+'), lambda t: t <> '') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+both AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT doc_id AS d, doc_id AS r FROM documents UNION SELECT x.d, e.b FROM reach x JOIN "both" e ON e.a = x.r)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, r.c AS component_id, w.doc_id = r.c AS kept
+FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT d, min(r) AS c FROM reach GROUP BY d) r ON r.d = w.doc_id
+""".replace("both AS MATERIALIZED", '"both" AS MATERIALIZED')
+
+_LEVEL = """t{d} AS (SELECT gram, a, b, gram[1:{d}] AS ctx FROM {source}),
+s{d} AS (SELECT ctx, sum(a) AS na, sum(b) AS nb, count(*) FILTER (a > 0) AS ta, count(*) FILTER (b > 0) AS tb FROM t{d} GROUP BY ctx),
+p{d} AS (SELECT t.gram, coalesce((t.a + s.ta * {qa}) / nullif(s.na + s.ta, 0), {qa}) AS pa, coalesce((t.b + s.tb * {qb}) / nullif(s.nb + s.tb, 0), {qb}) AS pb
+  FROM t{d} t JOIN s{d} s ON s.ctx = t.ctx{join})"""
+
+
+def _levels() -> str:
+    parts = []
+    for d in range(4):
+        source = "(SELECT gram, sum(a) AS a, sum(b) AS b FROM (SELECT gram[" + str(4 - d) + ":] AS gram, a, b FROM g3) GROUP BY gram)"
+        lower = f" JOIN p{d - 1} q ON q.gram = t.gram[2:]" if d else ""
+        qa, qb = ("q.pa", "q.pb") if d else ("0.025::DOUBLE", "0.025::DOUBLE")
+        parts.append(_LEVEL.format(d=d, source=source, qa=qa, qb=qb, join=lower))
+    return ",\n".join(parts)
+
+
+OP9 = rf"""
+WITH u AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest FROM pages),
+h AS (SELECT *, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r AS (SELECT *, CASE
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/' END AS rule FROM h),
+j AS (SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS ruled,
+  regexp_replace(translate(CASE WHEN contains(url, '://') THEN rest ELSE coalesce(url, '') END, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), '[^a-z0/._?=&%#:-]', '~', 'g') AS sym FROM r),
+e AS (SELECT page_id, host, path, rule, ruled, sym, unnest(list_transform(range(1, length(sym) + 2), lambda i: ('^^^' || sym || '$')[i:i + 3])) AS gram FROM j),
+g3 AS (SELECT gram, count(*) FILTER (ruled = 'allow') AS a, count(*) FILTER (ruled = 'block') AS b FROM e GROUP BY gram),
+{_levels()},
+k AS (SELECT sym, avg(ln(pa) - ln(pb)) AS ratio FROM e JOIN p3 USING (gram) GROUP BY sym),
+sc AS (SELECT j.page_id, j.host, j.path, j.rule, j.ruled, k.ratio FROM j JOIN k USING (sym)),
+bins AS (SELECT floor(greatest(-20.0, least(20.0, ratio)) * 1000)::BIGINT AS bin, count(*) FILTER (ruled = 'allow') AS a, count(*) FILTER (ruled = 'block') AS b FROM sc WHERE ruled IS NOT NULL GROUP BY 1),
+cum AS (SELECT bin, sum(a) OVER (ORDER BY bin DESC) / sum(a) OVER () - sum(b) OVER (ORDER BY bin DESC) / sum(b) OVER () AS gain FROM bins),
+cut AS (SELECT coalesce((SELECT bin FROM cum ORDER BY gain DESC, abs(bin), bin LIMIT 1) / 1000.0, 0.0) AS cut)
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN ratio >= (SELECT cut FROM cut) THEN 'allow' ELSE 'block' END) AS verdict, round(ratio, 6) AS ratio FROM sc
+"""
+
+ORACLES: dict[str, str] = {"op4_line_dedup": OP4, "op7_vptree": OP7, "op8_neardup": OP8, "op9_urls": OP9}
