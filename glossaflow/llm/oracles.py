@@ -93,8 +93,8 @@ g3 AS (SELECT gram, count(*) FILTER (ruled = 'allow') AS a, count(*) FILTER (rul
 k AS (SELECT sym, avg(ln(pa) - ln(pb)) AS ratio FROM e JOIN p3 USING (gram) GROUP BY sym),
 sc AS (SELECT j.page_id, j.host, j.path, j.rule, j.ruled, k.ratio FROM j JOIN k USING (sym)),
 bins AS (SELECT floor(greatest(-20.0, least(20.0, ratio)) * 1000)::BIGINT AS bin, count(*) FILTER (ruled = 'allow') AS a, count(*) FILTER (ruled = 'block') AS b FROM sc WHERE ruled IS NOT NULL GROUP BY 1),
-cum AS (SELECT bin, sum(a) OVER (ORDER BY bin DESC) / sum(a) OVER () - sum(b) OVER (ORDER BY bin DESC) / sum(b) OVER () AS gain FROM bins),
-cut AS (SELECT coalesce((SELECT bin FROM cum ORDER BY gain DESC, abs(bin), bin LIMIT 1) / 1000.0, 0.0) AS cut)
+cum AS (SELECT greatest(lag(bin, 1, -20001) OVER (ORDER BY bin) + 1, least(bin, 0)) AS edge, sum(a) OVER (ORDER BY bin DESC) / sum(a) OVER () - sum(b) OVER (ORDER BY bin DESC) / sum(b) OVER () AS gain FROM bins),
+cut AS (SELECT coalesce((SELECT edge FROM cum WHERE gain IS NOT NULL ORDER BY gain DESC, abs(edge), edge LIMIT 1) / 1000.0, 0.0) AS cut)
 SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN ratio >= (SELECT cut FROM cut) THEN 'allow' ELSE 'block' END) AS verdict, round(ratio, 6) AS ratio FROM sc
 """
 

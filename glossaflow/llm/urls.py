@@ -128,20 +128,20 @@ def score(judged: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def cut(scored: DataFrame) -> DataFrame:
-    """One row (cut): the bin edge with the best balanced accuracy on what
-    rules decided; ties go to the edge nearest zero, then the lower."""
+    """One row (cut): the cut with the best balanced accuracy on what rules
+    decided. Between two neighbouring scores it lies as near to zero as it can;
+    ties go to the cut nearest zero, then the lower."""
     bins = (
         scored.where("ruled is not null")
         .groupBy(F.floor(F.greatest(F.lit(-20.0), F.least(F.lit(20.0), "ratio")) * BINS).alias("bin"))
         .agg(F.sum((F.col("ruled") == "allow").cast("long")).alias("a"), F.sum((F.col("ruled") == "block").cast("long")).alias("b"))
     )
     summed = bins.selectExpr(
-        "bin",
-        "try_divide(sum(a) over (order by bin desc), sum(a) over ()) as kept",
-        "try_divide(sum(b) over (order by bin desc), sum(b) over ()) as passed",
+        f"greatest(lag(bin, 1, {-20 * BINS - 1}) over (order by bin) + 1, least(bin, 0)) as edge",
+        "try_divide(sum(a) over (order by bin desc), sum(a) over ()) - try_divide(sum(b) over (order by bin desc), sum(b) over ()) as gain",
     )
-    best = summed.selectExpr("max_by(bin, struct(kept - passed, -abs(bin), -bin)) as bin")
-    return best.select(F.coalesce(F.col("bin") / F.lit(float(BINS)), F.lit(0.0)).alias("cut"))
+    best = summed.selectExpr("max_by(edge, struct(gain, -abs(edge), -edge)) as edge")
+    return best.select(F.coalesce(F.col("edge") / F.lit(float(BINS)), F.lit(0.0)).alias("cut"))
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -149,8 +149,9 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     models'."""
     judged = apply_rules(pages, rules, id_col, url_col).withColumn("symbols", symbols(F.col("url")))
     model = materialize(train(judged), "url-model")
-    ratios = score(judged, model)
+    # Written, so that the join below can split a URL of very many rows.
+    ratios = materialize(score(judged, model), "url-ratios")
     scored = materialize(judged.join(ratios, "symbols").drop("symbols", "url"), "url-scores")
     limit = cut(scored).first()["cut"]
     verdict = F.coalesce("ruled", F.when(F.col("ratio") >= limit, "allow").otherwise("block"))
-    return scored.select(id_col, "host", "path", "rule", verdict.alias("verdict"), "ratio")
+    return scored.select(id_col, "host", "path", "rule", verdict.alias("verdict"), F.round("ratio", 6).alias("ratio"))
