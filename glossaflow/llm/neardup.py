@@ -252,6 +252,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = grouped.join(least, "component").select("node", "component_id")
     # Only copies and linked classes have a component other than themselves.
     moved = classes.join(linked, "node", "left").where("copies > 1 or component_id is not null").select(F.col("node").alias("key"), F.coalesce("component_id", "id").alias("component_id"))
+    # Written, so that both sides of the join below are plain shuffles and a
+    # class of very many copies can be split.
+    moved = materialize(moved, "moved")
     out = each.drop("signature").join(moved, "key", "left")
     return out.select(id_col, "n_shingles", F.when(F.col(id_col).isNotNull(), F.coalesce("component_id", id_col)).alias("component_id")).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 
