@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from glossaflow.llm.bpe import default_pattern, safe_chunks
 from glossaflow.llm.common import WHITE
 
-CACHE_SIZE = 1_000_000
+CACHE_SIZE = 500_000
 TOKEN_LIMIT = 1024
 
 #: Blocks whose letters, digits and spaces are the same in every Unicode
