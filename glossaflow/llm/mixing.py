@@ -26,6 +26,7 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,17 +42,24 @@ SPACE = r"[ \t-\r]+"
 
 
 def token_count(text: Column) -> Column:
-    """White-space tokens of a whole text."""
-    plain = F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " "))
-    return F.when(plain == "", 0).otherwise(F.length(plain) - F.length(F.replace(plain, F.lit(" "), F.lit(""))) + 1).cast("long")
+    """White-space tokens of a whole text.
+
+    Where no two spaces meet the spaces are counted; only other texts are
+    rewritten by a pattern first.
+    """
+    plain = F.btrim(F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(" ")))
+    odd = reduce(lambda a, b: a | b, (plain.contains(s) for s in ("  ", "\t", "\r", "\x0b", "\x0c")))
+    single = F.when(odd, F.btrim(F.regexp_replace(plain, SPACE, " "))).otherwise(plain)
+    return F.when(single == "", 0).otherwise(F.length(single) - F.length(F.replace(single, F.lit(" "), F.lit(""))) + 1).cast("long")
 
 
 def topic(text: Column) -> Column:
     """A coarse topic from what a text holds: licence notices, contact data,
     tables, or prose by length."""
+    legal = text.contains("icense") | text.contains("icence") | text.contains("ll rights reserved")
     return (
-        F.when(text.rlike("(?i)licen[sc]e|all rights reserved"), "legal")
-        .when(text.rlike("[A-Za-z0-9._]+@[A-Za-z0-9]"), "contact")
+        F.when(legal, "legal")
+        .when(text.contains("@") & text.rlike("[A-Za-z0-9]@[A-Za-z0-9]"), "contact")
         .when(text.contains(" | "), "table")
         .when(F.length(text) < 1000, "short")
         .otherwise("prose")
@@ -143,7 +151,8 @@ def plan(each: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = No
 
 def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic_col: str | None = None, temperature: float = TEMPERATURE, share: float = SHARE, rounds: int = ROUNDS) -> DataFrame:
     """(id, source, lang, topic, tokens, probability, kept) of every document."""
-    each = cells_of(docs, id_col, text_col, source_col, lang_col, topic_col)
+    # One pass over the texts; what follows needs none of them.
+    each = materialize(cells_of(docs, id_col, text_col, source_col, lang_col, topic_col), "cells-of")
     cells = materialize(plan(each, targets, temperature=temperature, share=share, rounds=rounds).select(*DIMENSIONS, "probability"), "calibrated")
     out = each.join(checked_broadcast(cells, cells.count()), list(DIMENSIONS), "left")
     probability = F.when(F.col("tokens") > 0, F.coalesce("probability", F.lit(0.0))).otherwise(0.0)
