@@ -3,7 +3,7 @@
 A logistic model on the words that a text holds and on their stems (leading
 characters, for languages that compound and inflect). For every training text that
 names a group, a counterfactual copy names another group of the same kind
-instead; the fit penalises the squared change of the score between the two. The
+instead, in words and stems; the fit penalises the squared change of the score between the two. The
 model cannot learn that a group's name alone is toxic, and neutral mentions
 stay clean.
 
@@ -89,25 +89,27 @@ def counterfactuals(words: set[str], kinds: Mapping[str, Sequence[str]] = IDENTI
     return out
 
 
-def fit_words(rows: Sequence[Sequence[int]], labels: np.ndarray, swaps: Sequence[tuple[int, int]], size: int, penalty: float = PENALTY, ridge: float = RIDGE, steps: int = 400) -> tuple[np.ndarray, float]:
+def fit_words(rows: Sequence[Sequence[int]], labels: np.ndarray, swaps: Sequence[Sequence[int]], size: int, penalty: float = PENALTY, ridge: float = RIDGE, steps: int = 400) -> tuple[np.ndarray, float]:
     """Weights and bias by accelerated gradient steps over sparse rows.
 
     Minimises the mean logistic loss, plus the ridge, plus ``penalty`` times
     the mean squared difference of score between a row and its counterfactual.
-    A swap of one word changes a score by the two words' difference only.
+    A swap lists what it takes (i + 1) and what it brings (-i - 1).
     """
     n = len(labels)
     r = np.repeat(np.arange(n), [len(x) for x in rows])
     c = np.fromiter((i for x in rows for i in x), np.int64, len(r))
-    a, b = (np.array([s[k] for s in swaps], np.int64) for k in (0, 1))
+    k = np.repeat(np.arange(len(swaps)), [len(x) for x in swaps])
+    signed = np.fromiter((i for x in swaps for i in x), np.int64, len(k))
+    at, sign = np.abs(signed) - 1, np.sign(signed)
     w, bias = np.zeros(size), float(np.log(max(labels.mean(), 1e-6) / max(1 - labels.mean(), 1e-6)))
     m, v = np.zeros(size + 1), np.zeros(size + 1)
     for t in range(1, steps + 1):
         gap = sigmoid(np.bincount(r, w[c], n) + bias) - labels
         grad = np.bincount(c, gap[r], size) / n + ridge / n * w
-        if len(a):
-            change = 2 * penalty * (w[a] - w[b]) / len(a)
-            grad += np.bincount(a, change, size) - np.bincount(b, change, size)
+        if len(swaps):
+            change = np.bincount(k, w[at] * sign, len(swaps))
+            grad += 2 * penalty / len(swaps) * np.bincount(at, sign * change[k], size)
         g = np.append(grad, gap.mean())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -131,9 +133,9 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     seen = spelled.select(F.explode("words").alias("word"), "label").groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
     share = (F.col("a") + F.col("b")) / (pos + neg)
     z = F.abs(F.col("a") / pos - F.col("b") / neg) / F.sqrt(share * (1 - share) * (1 / pos + 1 / neg) + 1e-12)
-    terms = sorted({t for k in kinds.values() for t in k})
+    terms = sorted(features_of({t for k in kinds.values() for t in k}))
     chosen = seen.where(((F.col("a") + F.col("b") >= MIN_DOCS) & (z >= LEAST_Z)) | F.col("word").isin(terms)).select("word", z.alias("z")).orderBy(F.desc("z"), "word").limit(VOCABULARY)
-    vocabulary = sorted({r["word"] for r in chosen.collect()}.union(terms))
+    vocabulary = sorted(r["word"] for r in chosen.collect())
     place = {w: i for i, w in enumerate(vocabulary)}
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,13 +144,17 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             for text in batch.column(0):
                 words = words_of(text.as_py())
                 rows.append(sorted(place[w] for w in features_of(words).intersection(place)))
-                swaps.append([i for pair in counterfactuals(words, kinds) for i in (place[pair[0]], place[pair[1]])])
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(swaps, pa.list_(pa.int32())), batch.column(1)], ["rows", "swaps", "label"])
-
-    data = sample.select("text", "label").mapInArrow(index, "rows array<int>, swaps array<int>, label int").toPandas()
+                before, changes = features_of(words), []
+                for term, other in counterfactuals(words, kinds):
+                    after = features_of(words - {term} | {other})
+                    changes.append([place[w] + 1 for w in sorted((before - after).intersection(place))] + [-place[w] - 1 for w in sorted((after - before).intersection(place))])
+                swaps.append(changes)
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(swaps, pa.list_(pa.list_(pa.int32()))), batch.column(1)], ["rows", "swaps", "label"])
+
+    data = sample.select("text", "label").mapInArrow(index, "rows array<int>, swaps array<array<int>>, label int").toPandas()
     order = sorted(range(len(data)), key=lambda i: (list(data["rows"][i]), data["label"][i]))  # same sums in every run
-    pairs = [(int(s[k]), int(s[k + 1])) for i in order for s in [data["swaps"][i]] for k in range(0, len(s), 2)]
-    w, bias = fit_words([data["rows"][i] for i in order], data["label"].to_numpy(float)[order], pairs, len(place), penalty)
+    changes = [[int(x) for x in s] for i in order for s in data["swaps"][i] if len(s)]
+    w, bias = fit_words([data["rows"][i] for i in order], data["label"].to_numpy(float)[order], changes, len(place), penalty)
     return Model(bias, {word: float(w[i]) for word, i in place.items() if abs(w[i]) > 1e-3})
 
 
