@@ -30,6 +30,18 @@ def length_bound(a: Column, b: Column) -> Column:
     return 2.0 * F.least(F.length(a), F.length(b)) / (F.length(a) + F.length(b))
 
 
+def letter_mask(text: Column) -> Column:
+    """The letters of a text as bits of one number, 64 classes of them."""
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.ascii(c) % 64).cast("int"))
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0).cast("bigint"), lambda s, c: s.bitwiseOR(bit(c)))
+
+
+def mask_bound(a: Column, b: Column, mask_a: Column, mask_b: Column) -> Column:
+    """Letters that the other side lacks altogether match nothing."""
+    left = lambda text, ours, theirs: F.length(text) - F.bit_count(ours.bitwiseAND(F.bitwise_not(theirs)))
+    return 2.0 * F.least(left(a, mask_a, mask_b), left(b, mask_b, mask_a)) / (F.length(a) + F.length(b))
+
+
 def letter_bound(a: Column, b: Column) -> Column:
     """Twice the letters in common, in any order, over all letters."""
     letters = F.array_distinct(F.split(a, ""))

@@ -59,10 +59,11 @@ def candidates(tokens: DataFrame, lexicon: DataFrame, threshold: float = THRESHO
     """(token, word, freq) pairs of like length whose bounds reach
     ``threshold``; both sides distinct."""
     lengths = F.sequence(F.length("token") - gap, F.length("token") + gap)
-    ours = tokens.select("token", F.explode(lengths).alias("len"))
-    theirs = _small(lexicon.select("word", "freq", F.length("word").alias("len")), words)
+    ours = tokens.select("token", sim.letter_mask(F.col("token")).alias("ma"), F.explode(lengths).alias("len"))
+    theirs = _small(lexicon.select("word", "freq", F.length("word").alias("len"), sim.letter_mask(F.col("word")).alias("mb")), words)
     a, b = F.col("token"), F.col("word")
-    return ours.join(theirs, "len").where(sim.length_bound(a, b) >= threshold).where(sim.letter_bound(a, b) >= threshold).select("token", "word", "freq")
+    near = (sim.length_bound(a, b) >= threshold) & (sim.mask_bound(a, b, F.col("ma"), F.col("mb")) >= threshold)
+    return ours.join(theirs, "len").where(near).where(sim.letter_bound(a, b) >= threshold).select("token", "word", "freq")
 
 
 def nearest_words(tokens: DataFrame, lexicon: DataFrame, threshold: float = THRESHOLD, gap: int = LENGTH_GAP, words: int | None = None) -> DataFrame:

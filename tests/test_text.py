@@ -71,7 +71,7 @@ def test_ratio_depends_on_the_order(spark):
 def test_bounds_are_never_below_the_ratio(spark, pairs):
     rows = spark.createDataFrame(pairs, "a string, b string")
     a, b = F.col("a"), F.col("b")
-    bad = rows.select(sim.ratio(a, b).alias("r"), sim.letter_bound(a, b).alias("l"), sim.length_bound(a, b).alias("n")).where("r > l + 1e-9 or l > n + 1e-9")
+    bad = rows.select(sim.ratio(a, b).alias("r"), sim.letter_bound(a, b).alias("l"), sim.length_bound(a, b).alias("n"), sim.mask_bound(a, b, sim.letter_mask(a), sim.letter_mask(b)).alias("m")).where("r > l + 1e-9 or l > n + 1e-9 or l > m + 1e-9")
     assert bad.count() == 0
 
 
