@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from glossaflow.llm.common import lean
+
 PAD = 192
 #: Output frames that one block computes.
 BLOCK = 16_384
@@ -221,7 +223,7 @@ def store(items: DataFrame, id_col: str = "doc_id", payload_col: str = "payload"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], [id_col, "n_bytes", "media"])
 
     schema = T.StructType([items.schema[id_col], T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())])
-    return items.select(id_col, payload_col).mapInArrow(run, schema)
+    return items.select(id_col, payload_col).mapInArrow(lean(run), schema)
 
 
 def features(media: DataFrame, id_col: str = "doc_id", settings: Settings = Settings(), tensors: bool = True) -> DataFrame:
@@ -266,7 +268,7 @@ def features(media: DataFrame, id_col: str = "doc_id", settings: Settings = Sett
             names = [f.name for f in fields[2:]]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([r[n] for r in rows], kinds.get(n, pa.int64())) for n in names)], [f.name for f in fields])
 
-    return media.select(id_col, "n_bytes", "media").mapInArrow(run, schema)
+    return media.select(id_col, "n_bytes", "media").mapInArrow(lean(run), schema)
 
 
 def of_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

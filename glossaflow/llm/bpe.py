@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossaflow.llm.common import WHITE
+from glossaflow.llm.common import WHITE, lean
 
 CHUNK = 65_536
 LONG_RUN = 4_096
@@ -101,7 +101,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, p
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(packed, pa.binary())], [id_col, "n_tokens", "ids"])
 
     schema = T.StructType([docs.schema[id_col], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(lean(run), schema)
 
 
 def decode(encoded: DataFrame, id_col: str = "doc_id", *, path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -121,7 +121,29 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", *, path: str | None = Non
 
     columns = [id_col, "n_tokens", "ids"]
     schema = T.StructType([*(encoded.schema[c] for c in columns), T.StructField("decoded", T.BinaryType())])
-    return encoded.select(columns).mapInArrow(run, schema)
+    return encoded.select(columns).mapInArrow(lean(run), schema)
+
+
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """(id, n_tokens, ids, decoded): :func:`encode` and :func:`decode` in one
+    pass, so that a task holds one worker and one copy of the ranks."""
+    path, pattern = path or default_path(), pattern or default_pattern()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        encoding = load_encoding(path, pattern)
+        for batch in batches:
+            packed, decoded, counts = [], [], []
+            for text in batch.column(1):
+                ids = np.array(encode_text(encoding, text.as_py() or ""), "<u4")
+                counts.append(len(ids))
+                packed.append(ids.tobytes())
+                decoded.append(encoding.decode_bytes(np.frombuffer(packed[-1], "<u4").tolist()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(packed, pa.binary()), pa.array(decoded, pa.binary())], [id_col, "n_tokens", "ids", "decoded"])
+
+    schema = T.StructType([docs.schema[id_col], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
+    return docs.select(id_col, text_col).mapInArrow(lean(run), schema)
 
 
 def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossaflow.llm.common import drop_ids, keep_ids, materialize
+from glossaflow.llm.common import drop_ids, keep_ids, lean, materialize
 
 WORDS = 5
 PERCENT = 85
@@ -46,8 +46,8 @@ POSTED, MATCHES = 32, 17
 LEAST = 40
 #: Lists up to this length are joined pair by pair.
 SHORT = 64
-#: Shingles of one block of a long list, in expectation.
-BLOCK_SHINGLES = 500_000
+#: Shingles and members of one block of a long list, in expectation.
+BLOCK_SHINGLES, BLOCK_MEMBERS = 500_000, 1_000
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _A = _RANDOM.integers(1, 1 << 62, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -104,7 +104,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.list_(pa.int32()))], [id_col, "n_shingles", "key", "signature"])
 
     schema = T.StructType([docs.schema[id_col], T.StructField("n_shingles", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("signature", T.ArrayType(T.IntegerType()))])
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(lean(run), schema)
 
 
 def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -121,7 +121,7 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     sets.append(shingle_hashes(words).view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["node", "hashes"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, "node binary, hashes array<bigint>")
+    return docs.select(id_col, text_col).mapInArrow(lean(run), "node binary, hashes array<bigint>")
 
 
 def post(classes: DataFrame) -> DataFrame:
@@ -213,7 +213,7 @@ def _forest(rows: pd.DataFrame) -> pd.DataFrame:
 
 def link_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links in long lists: (token, component, node, n) met block by block."""
-    blocks = members.groupBy("token").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    blocks = members.groupBy("token").agg(F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / BLOCK_MEMBERS)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = members.join(blocks, "token").withColumn("own", own).select("token", "component", "node", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
     dealt = dealt.select("token", "component", "node", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossaflow.llm.common import checked_broadcast, materialize
+from glossaflow.llm.common import checked_broadcast, drop_ids, lean, materialize
 from glossaflow.llm.labelled import fit_dense, labelled_sample, sigmoid
 
 THRESHOLD = 0.35
@@ -74,7 +74,7 @@ def evidence(docs: DataFrame, weights: list[float] | None, id_col: str = "doc_id
 
     cut = docs.select(F.col(id_col).alias("id"), *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((host_col, "host"), (path_col, "path"))), text_col)
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), T.StructField("evidence", T.DoubleType())])
-    return cut.mapInArrow(run, schema)
+    return cut.mapInArrow(lean(run), schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", only: Column | None = None) -> tuple[list[float] | None, float]:
@@ -86,7 +86,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             x = [form(t.as_py()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], ["x", "label"])
 
-    found = sample.select("text", "label").mapInArrow(run, "x array<double>, label int").toPandas()
+    found = sample.select("text", "label").mapInArrow(lean(run), "x array<double>, label int").toPandas()
     y = found["label"].to_numpy(float)
     if not len(y) or y.min() == y.max():
         return None, 0.5
@@ -141,8 +141,6 @@ def judge(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
 def keep_good(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """``docs`` without the rejected ones, all columns as they were."""
-    from glossaflow.llm.common import drop_ids
-
     id_col = settings.get("id_col", "doc_id")
     gone = judge(docs, labels, **settings).where(~F.col("kept")).select(id_col).where(F.col(id_col).isNotNull()).distinct()
     return drop_ids(docs, materialize(gone, "rejected"), id_col)

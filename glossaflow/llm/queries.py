@@ -14,7 +14,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(bpe.decode(bpe.encode(read(spark, sf_dir, "documents"))))
+    return bpe.digests(bpe.round_trip(read(spark, sf_dir, "documents")))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from glossaflow.llm.bpe import default_pattern, safe_chunks
-from glossaflow.llm.common import WHITE
+from glossaflow.llm.common import WHITE, lean
 
 CACHE_SIZE = 500_000
 TOKEN_LIMIT = 1024
@@ -155,4 +155,4 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             )
 
     schema = T.StructType([docs.schema[id_col], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())])
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(lean(run), schema)

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from glossaflow.llm.common import lean
 from glossaflow.llm.labelled import labelled_sample, sigmoid
 
 VOCABULARY = 5_000
@@ -129,7 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             found = [sorted(features_of(words_of(t.as_py()))) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), batch.column(1)], ["words", "label"])
 
-    spelled = sample.select("text", "label").mapInArrow(spell, "words array<string>, label int")
+    spelled = sample.select("text", "label").mapInArrow(lean(spell), "words array<string>, label int")
     seen = spelled.select(F.explode("words").alias("word"), "label").groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
     share = (F.col("a") + F.col("b")) / (pos + neg)
     z = F.abs(F.col("a") / pos - F.col("b") / neg) / F.sqrt(share * (1 - share) * (1 / pos + 1 / neg) + 1e-12)
@@ -151,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
                 swaps.append(changes)
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(swaps, pa.list_(pa.list_(pa.int32()))), batch.column(1)], ["rows", "swaps", "label"])
 
-    data = sample.select("text", "label").mapInArrow(index, "rows array<int>, swaps array<array<int>>, label int").toPandas()
+    data = sample.select("text", "label").mapInArrow(lean(index), "rows array<int>, swaps array<array<int>>, label int").toPandas()
     order = sorted(range(len(data)), key=lambda i: (list(data["rows"][i]), data["label"][i]))  # same sums in every run
     changes = [[int(x) for x in s] for i in order for s in data["swaps"][i] if len(s)]
     w, bias = fit_words([data["rows"][i] for i in order], data["label"].to_numpy(float)[order], changes, len(place), penalty)
@@ -167,7 +168,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([model.score(t.as_py()) for t in batch.column(1)], pa.float64())], [id_col, "score"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, T.StructType([docs.schema[id_col], T.StructField("score", T.DoubleType())]))
+    return docs.select(id_col, text_col).mapInArrow(lean(run), T.StructType([docs.schema[id_col], T.StructField("score", T.DoubleType())]))
 
 
 def held_out(id_column: Column) -> Column:
