@@ -7,7 +7,8 @@ In the others a token is constant where at least ``MIN_DOCS`` documents have
 it at its place, and else becomes ``<*>``, too. What results is the line's
 template. A template that recurs in at least ``MIN_DOCS`` documents, with at
 least ``SIMILAR`` of its tokens constant, is boilerplate, and so is any line
-of the leaf that agrees with the leaf's commonest template in that share.
+of the leaf that agrees with one of its templates in that share. Templates are
+also made of the tokens that twice, four times ... as many documents have.
 
 Boilerplate lines are dropped from every document but the one with the
 smallest id, so that what a group of copies says is said once.
@@ -90,29 +91,45 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_tokens:
 
 def templates(occurring: DataFrame, min_docs: int, similar: float) -> DataFrame:
     """(leaf, line_hash, first_id): the distinct lines of ``occurring`` that
-    are boilerplate, with the smallest document id of their template."""
-    lines = materialize(occurring.groupBy("leaf", "line_hash").agg(F.first("line").alias("line"), F.countDistinct("id").alias("docs")), "lines")
-    tokens = lines.select("leaf", "line_hash", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
-    constant = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("seen")).where(F.col("seen") >= min_docs).drop("seen")
-    places = tokens.where("token <> '<*>'").join(constant, ["leaf", "at", "token"]).groupBy("leaf", "line_hash").agg(F.collect_list("at").alias("kept"))
-    shaped = lines.join(places, ["leaf", "line_hash"]).select(
-        "leaf", "line_hash", "line",
-        F.expr("transform(split(line, ' '), (t, i) -> if(array_contains(kept, i), t, '<*>'))").alias("shape"), F.size("kept").alias("constants"),
-    )
-    shaped = materialize(shaped.withColumns({"n": F.size("shape"), "template": F.xxhash64("shape")}), "shapes")
-    counted = (
-        occurring.select("leaf", "line_hash", "id").join(shaped.select("leaf", "line_hash", "template", "constants", "n"), ["leaf", "line_hash"])
-        .groupBy("leaf", "template").agg(F.countDistinct("id").alias("docs"), F.first("constants").alias("constants"), F.first("n").alias("n"))
-        .where((F.col("docs") >= min_docs) & (F.col("constants") >= F.col("n") * similar))
-    )
-    counted = materialize(counted, "templates")
-    # The commonest template of a leaf; ties go to the smaller shape.
-    top = shaped.join(counted.select("leaf", "template", "docs"), ["leaf", "template"]).groupBy("leaf").agg(F.min(F.struct((-F.col("docs")).alias("rank"), "shape", "template")).alias("top"))
-    top = materialize(top, "leaf-tops")  # written, so that a leaf of very many lines can be split
-    agree = F.size(F.filter(F.zip_with(F.split("line", " "), "top.shape", lambda x, y: (x == y) & (y != "<*>")), lambda x: x))
-    near = shaped.join(top, "leaf").where(agree >= F.col("n") * similar).select("leaf", "line_hash", F.col("top.template").alias("joined"))
-    own = shaped.join(counted.select("leaf", "template"), ["leaf", "template"]).select("leaf", "line_hash", "template")
-    drawn = own.join(near, ["leaf", "line_hash"], "full_outer").select("leaf", "line_hash", F.coalesce("joined", "template").alias("template"))
+    are boilerplate, with the smallest document id of their template.
+
+    A template is the (place, token) pairs of a line that at least a level of
+    documents have in the leaf. Levels double from ``min_docs``, so a field whose
+    values are each in less than half of a family's documents is one at some
+    level, however large the family is. A line goes to the commonest recurring
+    template it agrees with. Two that differ in few enough places are equal in
+    all places of one band at least, if there is one band more than such places:
+    the equi-join on bands loses no pair.
+    """
+    lines = occurring.groupBy("leaf", "line_hash").agg(F.first("line").alias("line"), F.countDistinct("id").alias("docs"))
+    lines = materialize(lines.withColumn("words", F.split("line", " ")).withColumn("n", F.size("words")).drop("line"), "lines")
+    tokens = lines.select("leaf", "line_hash", "n", "docs", F.posexplode("words").alias("at", "token")).where("token <> '<*>'")
+    seen = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("seen")).where(F.col("seen") >= min_docs)
+    enough = F.ceil(F.col("n") * similar).cast("int")
+    places = tokens.join(seen, ["leaf", "at", "token"]).groupBy("leaf", "line_hash", "n").agg(F.sort_array(F.collect_list(F.struct("at", "token", "seen"))).alias("places")).where(F.size("places") >= enough)
+    places = materialize(places.withColumn("counts", F.sort_array(F.col("places.seen"), asc=False)), "places")
+
+    levels = F.transform(F.sequence(F.lit(0), F.lit(40)), lambda k: F.lit(min_docs) * F.pow(F.lit(2), k))
+    # Levels that leave the same places are one.
+    reached = F.transform(F.filter(levels, lambda x: x <= F.get("counts", enough - 1)), lambda x: F.array_min(F.filter("counts", lambda c: c >= x)))
+    shaped = places.withColumn("level", F.explode(F.array_distinct(reached)))
+    shaped = shaped.withColumn("shape", F.transform(F.filter("places", lambda x: x["seen"] >= F.col("level")), lambda x: F.struct(x["at"].alias("at"), x["token"].alias("token"))))
+    shaped = materialize(shaped.select("leaf", "line_hash", "n", "shape", F.xxhash64("n", "shape").alias("template")), "shapes")
+    counted = occurring.select("leaf", "line_hash", "id").join(shaped.select("leaf", "line_hash", "template"), ["leaf", "line_hash"]).groupBy("leaf", "template").agg(F.countDistinct("id").alias("docs"))
+    held = materialize(counted.where(F.col("docs") >= min_docs).join(shaped.groupBy("leaf", "template").agg(F.first("shape").alias("shape"), F.first("n").alias("n")), ["leaf", "template"]), "templates")
+
+    def banded(rows: DataFrame, name: str, pairs: str) -> DataFrame:
+        """(leaf, name, key) of each band whose places are all in ``pairs``."""
+        bands = F.col("n") - enough + 1
+        each = rows.select("leaf", name, "n", bands.alias("bands"), F.explode(pairs).alias("x")).withColumn("band", F.col("x.at") % F.col("bands"))
+        each = each.groupBy("leaf", name, "n", "bands", "band").agg(F.sort_array(F.collect_list(F.struct("x.at", "x.token"))).alias("held"))
+        return each.where(F.size("held") == F.floor((F.col("n") - 1 - F.col("band")) / F.col("bands")) + 1).select("leaf", name, F.xxhash64("band", "held").alias("key"))
+
+    keys = materialize(banded(held, "template", "shape"), "bands")  # written, so that a leaf of very many lines can be split
+    met = materialize(banded(places, "line_hash", "places").join(keys, ["leaf", "key"]).select("leaf", "line_hash", "template").distinct(), "met")
+    agree = F.size(F.filter("shape", lambda x: F.get("words", x["at"]) == x["token"]))
+    near = met.join(held.select("leaf", "template", "docs", "shape"), ["leaf", "template"]).join(lines.select("leaf", "line_hash", "words", "n"), ["leaf", "line_hash"]).where(agree >= enough)
+    drawn = near.groupBy("leaf", "line_hash").agg(F.min(F.struct((-F.col("docs")).alias("rank"), "template")).alias("top")).select("leaf", "line_hash", "top.template")
     drawn = materialize(drawn, "boilerplate")
     first = occurring.select("leaf", "line_hash", "id").join(drawn, ["leaf", "line_hash"]).groupBy("leaf", "template").agg(F.min("id").alias("first_id"))
     return drawn.join(first, ["leaf", "template"]).select("leaf", "line_hash", "first_id")

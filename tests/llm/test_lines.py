@@ -35,3 +35,21 @@ def test_odd_texts(frame, odd_texts):
     kept = [(i, t, 0) for i, t in odd_texts if i is not None and t != "one two three four five six"]
     assert got == sorted(kept + [(4, "one two three four five six", 0)] * 2 + [(None, "", 1)] * 5 + [(i, "", 1) for i in (9, 10, 11, 12)], key=str)
     assert lines.dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_every_family_of_a_leaf_goes(frame):
+    # Same leaf: a common family, and one whose fields take values that are
+    # each in five documents or more, in combinations that are in fewer.
+    rows = [(i, "please read our full terms of use before you go on") for i in range(40)]
+    days, towns = [f"day{c}" for c in "abcde"], [f"town{c}" for c in "abcde"]
+    rows += [(100 + i, f"please read our notes on {days[i % 5]} trips to {towns[i // 5]} by train") for i in range(25)]
+    rows.append((200, "please read our notes on someday trips to elsewhere by train"))
+    got = {r["doc_id"]: r["n_dropped"] for r in lines.dedup_lines(frame(rows)).collect()}
+    assert got == {i: int(i not in (0, 100)) for i, _ in rows}
+
+
+def test_a_variant_of_a_second_template_goes_too(frame):
+    rows = [(i, "please read our full terms of use before you go on") for i in range(9)]
+    rows += [(20 + i, "please read our old notes on cats and dogs and mice") for i in range(6)] + [(30, "please read our old notes on cats and dogs and rats")]
+    got = {r["doc_id"]: r["n_dropped"] for r in lines.dedup_lines(frame(rows)).collect()}
+    assert got == {i: int(i not in (0, 20)) for i, _ in rows}
