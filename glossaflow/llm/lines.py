@@ -9,6 +9,8 @@ template. A template that recurs in at least ``MIN_DOCS`` documents, with at
 least ``SIMILAR`` of its tokens constant, is boilerplate, and so is any line
 of the leaf that agrees with one of its templates in that share. Templates are
 also made of the tokens that twice, four times ... as many documents have.
+For lines of ``LONG_TOKENS`` tokens or more ``LONG_DOCS`` documents are enough,
+where at least ``LONG_SIMILAR`` of the tokens are constant.
 
 Boilerplate lines are dropped from every document but the one with the
 smallest id, so that what a group of copies says is said once.
@@ -41,7 +43,9 @@ DEPTH = 3
 MIN_DOCS = 5
 MIN_TOKENS = 3
 SIMILAR = 0.8
-
+#: Lines of so many tokens recur from so many documents on, if that share of
+#: their template is constant.
+LONG_TOKENS, LONG_DOCS, LONG_SIMILAR = 50, 2, 0.95
 
 
 _DIGIT = re.compile(rb"[0-9]")
@@ -56,26 +60,27 @@ def tokens_of(line: bytes) -> list[bytes]:
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_tokens: int, *, whole: bool) -> DataFrame:
-    """(leaf) of every line long enough; with ``whole`` also (id, text_hash,
-    pos, line_hash, line)."""
+    """(leaf, n) of every line long enough; with ``whole`` (id, text_hash, pos,
+    leaf, line_hash, line)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
-            source, places, leaves, lines = [], [], [], []
+            source, places, leaves, sizes, lines = [], [], [], [], []
             for i, text in enumerate(batch.column(2)):
                 for pos, line in enumerate((text.as_py() or "").encode("utf-8", "replace").split(b"\n")):
                     tokens = tokens_of(line)
                     if len(tokens) >= min_tokens:
                         leaves.append(xxhash.xxh3_64_intdigest(b"%d %s" % (len(tokens), b" ".join(tokens[:depth]))))
+                        sizes.append(len(tokens))
                         if whole:
                             source.append(i)
                             places.append(pos)
                             lines.append(b" ".join(tokens))
             leaf = pa.array(np.array(leaves, np.uint64).view(np.int64))
             if not whole:
-                yield pa.RecordBatch.from_arrays([leaf], ["leaf"])
+                yield pa.RecordBatch.from_arrays([leaf, pa.array(sizes, pa.int32())], ["leaf", "n"])
                 continue
             hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines)).view(np.int64)
             at = pa.array(source, pa.int64())
@@ -86,15 +91,16 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_tokens:
     fields = [T.StructField("id", docs.schema[id_col].dataType), T.StructField("text_hash", T.LongType()), T.StructField("pos", T.IntegerType())]
     leaf = T.StructField("leaf", T.LongType())
     rest = [T.StructField("line_hash", T.LongType()), T.StructField("line", T.StringType())]
-    return cut.mapInArrow(lean(run), T.StructType([*fields, leaf, *rest] if whole else [leaf]))
+    return cut.mapInArrow(lean(run), T.StructType([*fields, leaf, *rest] if whole else [leaf, T.StructField("n", T.IntegerType())]))
 
 
-def templates(occurring: DataFrame, min_docs: int, similar: float) -> DataFrame:
+def templates(occurring: DataFrame, min_docs: int, similar: float, long: tuple[int, int, float]) -> DataFrame:
     """(leaf, line_hash, first_id): the distinct lines of ``occurring`` that
     are boilerplate, with the smallest document id of their template.
 
     A template is the (place, token) pairs of a line that at least a level of
-    documents have in the leaf. Levels double from ``min_docs``, so a field whose
+    documents have in the leaf. Levels double from ``min_docs`` (and, in lines of
+    long[0] tokens, from long[1]), so a field whose
     values are each in less than half of a family's documents is one at some
     level, however large the family is. A line goes to the commonest recurring
     template it agrees with. Two that differ in few enough places are equal in
@@ -104,19 +110,23 @@ def templates(occurring: DataFrame, min_docs: int, similar: float) -> DataFrame:
     lines = occurring.groupBy("leaf", "line_hash").agg(F.first("line").alias("line"), F.countDistinct("id").alias("docs"))
     lines = materialize(lines.withColumn("words", F.split("line", " ")).withColumn("n", F.size("words")).drop("line"), "lines")
     tokens = lines.select("leaf", "line_hash", "n", "docs", F.posexplode("words").alias("at", "token")).where("token <> '<*>'")
-    seen = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("seen")).where(F.col("seen") >= min_docs)
+    seen = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("seen")).where(F.col("seen") >= min(min_docs, long[1]))
     enough = F.ceil(F.col("n") * similar).cast("int")
     places = tokens.join(seen, ["leaf", "at", "token"]).groupBy("leaf", "line_hash", "n").agg(F.sort_array(F.collect_list(F.struct("at", "token", "seen"))).alias("places")).where(F.size("places") >= enough)
     places = materialize(places.withColumn("counts", F.sort_array(F.col("places.seen"), asc=False)), "places")
 
-    levels = F.transform(F.sequence(F.lit(0), F.lit(40)), lambda k: F.lit(min_docs) * F.pow(F.lit(2), k))
+    doubled = [F.transform(F.sequence(F.lit(0), F.lit(40)), lambda k, least=least: F.lit(least) * F.pow(F.lit(2), k)) for least in (min_docs, long[1])]
+    levels = F.when(F.col("n") >= long[0], F.concat(*doubled)).otherwise(doubled[0])
     # Levels that leave the same places are one.
     reached = F.transform(F.filter(levels, lambda x: x <= F.get("counts", enough - 1)), lambda x: F.array_min(F.filter("counts", lambda c: c >= x)))
     shaped = places.withColumn("level", F.explode(F.array_distinct(reached)))
     shaped = shaped.withColumn("shape", F.transform(F.filter("places", lambda x: x["seen"] >= F.col("level")), lambda x: F.struct(x["at"].alias("at"), x["token"].alias("token"))))
     shaped = materialize(shaped.select("leaf", "line_hash", "n", "shape", F.xxhash64("n", "shape").alias("template")), "shapes")
     counted = occurring.select("leaf", "line_hash", "id").join(shaped.select("leaf", "line_hash", "template"), ["leaf", "line_hash"]).groupBy("leaf", "template").agg(F.countDistinct("id").alias("docs"))
-    held = materialize(counted.where(F.col("docs") >= min_docs).join(shaped.groupBy("leaf", "template").agg(F.first("shape").alias("shape"), F.first("n").alias("n")), ["leaf", "template"]), "templates")
+    held = counted.where(F.col("docs") >= min(min_docs, long[1])).join(shaped.groupBy("leaf", "template").agg(F.first("shape").alias("shape"), F.first("n").alias("n")), ["leaf", "template"])
+    # Templates of few documents have to be nearly constant.
+    held = held.withColumn("share", F.when(F.col("docs") >= min_docs, similar).when(F.col("n") >= long[0], long[2]))
+    held = materialize(held.where(F.size("shape") >= F.col("n") * F.col("share")), "templates")
 
     def banded(rows: DataFrame, name: str, pairs: str) -> DataFrame:
         """(leaf, name, key) of each band whose places are all in ``pairs``."""
@@ -128,22 +138,23 @@ def templates(occurring: DataFrame, min_docs: int, similar: float) -> DataFrame:
     keys = materialize(banded(held, "template", "shape"), "bands")  # written, so that a leaf of very many lines can be split
     met = materialize(banded(places, "line_hash", "places").join(keys, ["leaf", "key"]).select("leaf", "line_hash", "template").distinct(), "met")
     agree = F.size(F.filter("shape", lambda x: F.get("words", x["at"]) == x["token"]))
-    near = met.join(held.select("leaf", "template", "docs", "shape"), ["leaf", "template"]).join(lines.select("leaf", "line_hash", "words", "n"), ["leaf", "line_hash"]).where(agree >= enough)
+    near = met.join(held.select("leaf", "template", "docs", "shape", "share"), ["leaf", "template"]).join(lines.select("leaf", "line_hash", "words", "n"), ["leaf", "line_hash"]).where(agree >= F.col("n") * F.col("share"))
     drawn = near.groupBy("leaf", "line_hash").agg(F.min(F.struct((-F.col("docs")).alias("rank"), "template")).alias("top")).select("leaf", "line_hash", "top.template")
     drawn = materialize(drawn, "boilerplate")
     first = occurring.select("leaf", "line_hash", "id").join(drawn, ["leaf", "line_hash"]).groupBy("leaf", "template").agg(F.min("id").alias("first_id"))
     return drawn.join(first, ["leaf", "template"]).select("leaf", "line_hash", "first_id")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR, long: tuple[int, int, float] = (LONG_TOKENS, LONG_DOCS, LONG_SIMILAR)) -> DataFrame:
     """``docs`` with boilerplate lines out of ``text_col``, plus the columns
-    ``n_lines`` and ``n_dropped`` (which replace any of that name)."""
+    ``n_lines`` and ``n_dropped`` (which replace any of that name).
+    ``long`` has the tokens, documents and constant share of long lines."""
     # Lines bound the documents of a leaf from above.
-    reached = _lines(docs, id_col, text_col, depth, min_tokens, whole=False).groupBy("leaf").count()
-    leaves = materialize(reached.where(F.col("count") >= min_docs).select("leaf"), "leaves")
+    reached = _lines(docs, id_col, text_col, depth, min_tokens, whole=False).groupBy("leaf", "n").count()
+    leaves = materialize(reached.where(F.col("count") >= F.when(F.col("n") >= long[0], min(min_docs, long[1])).otherwise(min_docs)).select("leaf"), "leaves")
     lines = _lines(docs, id_col, text_col, depth, min_tokens, whole=True)
     occurring = materialize(lines.join(checked_broadcast(leaves, leaves.count()), "leaf"), "occurring")
-    drawn = templates(occurring, min_docs, similar)
+    drawn = templates(occurring, min_docs, similar, long)
     gone = occurring.join(drawn, ["leaf", "line_hash"]).where(~F.col("id").eqNullSafe(F.col("first_id")))
     drops = materialize(gone.groupBy("id", "text_hash").agg(F.collect_set("pos").alias("drops")), "drops")
     key = [F.col(id_col).eqNullSafe(F.col("_id")), F.xxhash64(text_col) == F.col("_hash")]

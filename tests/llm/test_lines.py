@@ -53,3 +53,13 @@ def test_a_variant_of_a_second_template_goes_too(frame):
     rows += [(20 + i, "please read our old notes on cats and dogs and mice") for i in range(6)] + [(30, "please read our old notes on cats and dogs and rats")]
     got = {r["doc_id"]: r["n_dropped"] for r in lines.dedup_lines(frame(rows)).collect()}
     assert got == {i: int(i not in (0, 20)) for i, _ in rows}
+
+
+def test_long_lines_of_two_documents_go(frame):
+    passage = " ".join(f"{c}{d}" for c in "abcdef" for d in "abcdefghij")
+    near, far = passage.replace("ff", "zz"), " ".join(passage.split()[:40] + [f"{c}{c}z" for c in "abcdefghijklmnopqrst"])
+    rows = [(1, f"own line of one\n{passage}"), (2, f"{passage}\nown line of two"), (3, near), (4, far), (5, " ".join(passage.split()[:49])), (6, " ".join(passage.split()[:49]))]
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(frame(rows)).collect()}
+    assert got == dict(rows) | {2: "own line of two", 3: ""}
+    apart = {r["n_dropped"] for r in lines.dedup_lines(frame(rows), long=(lines.LONG_TOKENS, lines.MIN_DOCS, lines.SIMILAR)).collect()}
+    assert apart == {0}
