@@ -3,8 +3,8 @@
 1. Each text becomes a set of shingle hashes and a MinHash signature. Equal
    word sequences fall into one class; only classes are compared.
 2. The first ``POSTED`` coordinates are posted under (coordinate, value). Two
-   sets at the threshold agree on at least ``MATCHES`` of them but for a chance
-   under 1e-5, so each class needs postings only under the prefix of its
+   sets at the threshold agree on at least ``agreeing`` many of them but for a
+   chance under 5e-6, so each class needs postings only under the prefix of its
    rarest values: skipping the others loses no such pair, and common values
    (a passage that many documents share) stay out of the lists.
 3. Each list is first merged with one pivot only, the member whose values
@@ -26,7 +26,8 @@ empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -40,10 +41,10 @@ from glossaflow.llm.common import drop_ids, keep_ids, lean, materialize
 WORDS = 5
 PERCENT = 85
 COORDINATES = 64
-POSTED, MATCHES = 32, 17
-#: Agreeing coordinates of all COORDINATES that a pair needs to be confirmed;
-#: at the threshold 54 are expected, and fewer than 40 have a chance of 4e-6.
-LEAST = 40
+POSTED = 32
+#: Chance of a pair at the threshold to have too few agreeing coordinates: of
+#: those posted to meet, or of all to be confirmed.
+MISSED = 5e-6
 #: Lists up to this length are joined pair by pair.
 SHORT = 64
 #: Shingles and members of one block of a long list, in expectation.
@@ -55,6 +56,16 @@ _B = _RANDOM.integers(0, 1 << 62, COORDINATES, dtype=np.uint64)
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
+def agreeing(coordinates: int, percent: int) -> int:
+    """The most agreeing ones of ``coordinates`` that can be asked for."""
+    p, below = percent / 100, 0.0
+    for k in range(coordinates + 1):
+        below += comb(coordinates, k) * p**k * (1 - p) ** (coordinates - k)
+        if below >= MISSED:
+            return k
+    return coordinates
+
+
 def split_words(text: str | None) -> list[bytes]:
     """ASCII-lower-cased words between ASCII white space."""
     return (text or "").encode("utf-8", "replace").lower().split()
@@ -124,37 +135,38 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(id_col, text_col).mapInArrow(lean(run), "node binary, hashes array<bigint>")
 
 
-def post(classes: DataFrame) -> DataFrame:
+def post(classes: DataFrame, percent: int) -> DataFrame:
     """(node, n, mass, token): each class under its rarest shared values.
 
     ``mass`` sums how often the class's values occur: the centre of a group of
     near copies shares more values than any other member.
     """
+    matches = max(agreeing(POSTED, percent), 1)
     tokens = classes.select("node", "n", F.posexplode(F.slice("signature", 1, POSTED))).select("node", "n", (F.shiftleft(F.col("pos").cast("long"), 32) + F.col("col") + F.lit(1 << 31)).alias("token"))
     counts = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     per_node = tokens.join(counts, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
     # Values that occur once come first in the prefix and need no posting.
-    kept = per_node.where(F.size("shared") >= MATCHES).selectExpr("node", "n", "aggregate(shared, 0L, (s, x) -> s + x.df) as mass", f"slice(shared, 1, size(shared) - {MATCHES - 1}) as prefix")
+    kept = per_node.where(F.size("shared") >= matches).selectExpr("node", "n", "aggregate(shared, 0L, (s, x) -> s + x.df) as mass", f"slice(shared, 1, size(shared) - {matches - 1}) as prefix")
     return kept.select("node", "n", "mass", F.explode("prefix").alias("p")).select("node", "n", "mass", "p.token")
 
 
-def _near_sizes(a: str, b: str):
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+def _near_sizes(a: str, b: str, percent: int):
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Those (a, b) of ``pairs`` whose full sets reach the threshold."""
     brief = classes.select("node", "signature")
     agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
     likely = (
         pairs.join(brief.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a")
         .join(brief.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b")
-        .where(agree >= LEAST)
+        .where(agree >= agreeing(COORDINATES, percent))
         .select("a", "b")
     )
     both = likely.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a").join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
     common = both.select("a", "b", F.size(F.array_intersect("ha", "hb")).cast("long").alias("common"), (F.size("ha") + F.size("hb")).cast("long").alias("total"))
-    return common.where(F.col("common") * 100 >= (F.col("total") - F.col("common")) * PERCENT).select("a", "b")
+    return common.where(F.col("common") * 100 >= (F.col("total") - F.col("common")) * percent).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -180,62 +192,67 @@ def components(links: DataFrame) -> DataFrame:
         state = now
 
 
-def _forest(rows: pd.DataFrame) -> pd.DataFrame:
+def _forest(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Links between components among one block pair's sets, as a forest."""
-    nodes, lookup = rows["node"].tolist(), {}
-    comps = np.array([lookup.setdefault(c, len(lookup)) for c in rows["component"]])
-    sets = [np.asarray(h, np.int64) for h in rows["hashes"]]
-    sizes = np.array([len(h) for h in sets])
-    values, local = np.unique(np.concatenate(sets), return_inverse=True)
-    # Hashes of a single set cannot be common to two.
-    shared = np.bincount(local, minlength=len(values)) > 1
-    places = np.cumsum(shared) - 1
-    width = -(-int(shared.sum()) // 64) or 1
-    bits = np.zeros((len(sets), width), np.uint64)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    on = shared[local]
-    at = places[local[on]]
-    np.bitwise_or.at(bits, (owner[on], at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
-    root = np.arange(len(lookup))
-    out: list[tuple[bytes, bytes]] = []
-    for i in range(len(sets) - 1):
-        # One pass per row: those after it, of other components, of like size.
-        rest = np.flatnonzero((root[comps[i + 1 :]] != root[comps[i]]) & (np.minimum(sizes[i + 1 :], sizes[i]) * 100 >= np.maximum(sizes[i + 1 :], sizes[i]) * PERCENT)) + i + 1
-        if not len(rest):
-            continue
-        common = np.bitwise_count(bits[rest] & bits[i]).sum(1, dtype=np.int64)
-        for j in rest[common * 100 >= (sizes[rest] + sizes[i] - common) * PERCENT]:
-            if (r := root[comps[j]]) != root[comps[i]]:
-                root[root == r] = root[comps[i]]
-                out.append((nodes[i], nodes[j]))
-    return pd.DataFrame(out, columns=["a", "b"])
-
-
-def link_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        nodes, lookup = rows["node"].tolist(), {}
+        comps = np.array([lookup.setdefault(c, len(lookup)) for c in rows["component"]])
+        sets = [np.asarray(h, np.int64) for h in rows["hashes"]]
+        sizes = np.array([len(h) for h in sets])
+        values, local = np.unique(np.concatenate(sets), return_inverse=True)
+        # Hashes of a single set cannot be common to two.
+        shared = np.bincount(local, minlength=len(values)) > 1
+        places = np.cumsum(shared) - 1
+        width = -(-int(shared.sum()) // 64) or 1
+        bits = np.zeros((len(sets), width), np.uint64)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        on = shared[local]
+        at = places[local[on]]
+        np.bitwise_or.at(bits, (owner[on], at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
+        root = np.arange(len(lookup))
+        out: list[tuple[bytes, bytes]] = []
+        for i in range(len(sets) - 1):
+            # One pass per row: those after it, of other components, of like size.
+            rest = np.flatnonzero((root[comps[i + 1 :]] != root[comps[i]]) & (np.minimum(sizes[i + 1 :], sizes[i]) * 100 >= np.maximum(sizes[i + 1 :], sizes[i]) * percent)) + i + 1
+            if not len(rest):
+                continue
+            common = np.bitwise_count(bits[rest] & bits[i]).sum(1, dtype=np.int64)
+            for j in rest[common * 100 >= (sizes[rest] + sizes[i] - common) * percent]:
+                if (r := root[comps[j]]) != root[comps[i]]:
+                    root[root == r] = root[comps[i]]
+                    out.append((nodes[i], nodes[j]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return run
+
+
+def link_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links in long lists: (token, component, node, n) met block by block."""
     blocks = members.groupBy("token").agg(F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / BLOCK_MEMBERS)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = members.join(blocks, "token").withColumn("own", own).select("token", "component", "node", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
     dealt = dealt.select("token", "component", "node", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    return dealt.join(sets, "node").groupBy("token", "low", "high").applyInPandas(_forest, "a binary, b binary")
+    return dealt.join(sets, "node").groupBy("token", "low", "high").applyInPandas(_forest(percent), "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every document."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = PERCENT) -> DataFrame:
+    """(id, n_shingles, component_id, kept) of every document; those whose
+    similarity is ``percent`` or more are linked."""
     each = materialize(signatures(docs, id_col, text_col), "signatures")
     named = each.where(F.col("key").isNotNull() & F.col(id_col).isNotNull())
     classes = materialize(
         named.groupBy(F.col("key").alias("node")).agg(F.min(F.struct(F.col(id_col).alias("id"), "n_shingles", "signature")).alias("x"), F.count("*").alias("copies")).select("node", "x.id", F.col("x.n_shingles").alias("n"), "x.signature", "copies"),
         "classes",
     )
-    posted = materialize(post(classes), "postings")
+    posted = materialize(post(classes, percent), "postings")
     wanted = materialize(classes.join(posted.select("node").distinct(), "node", "left_semi").select(F.col("id").alias(id_col)), "compared")
     sets = materialize(shingle_sets(keep_ids(docs, wanted, id_col), id_col, text_col).dropDuplicates(["node"]), "shingle-sets")
 
     pivots = posted.groupBy("token").agg(F.max(F.struct("mass", "node", "n")).alias("pivot"), F.count("*").alias("size")).where("size > 1")
-    spokes = posted.join(pivots, "token").where(F.col("node") != F.col("pivot.node")).where(_near_sizes("n", "pivot.n"))
+    spokes = posted.join(pivots, "token").where(F.col("node") != F.col("pivot.node")).where(_near_sizes("n", "pivot.n", percent))
     first = spokes.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
-    links = materialize(confirm(first, sets, classes), "links")
+    links = materialize(confirm(first, sets, classes, percent), "links")
 
     grouped = components(links)
     placed = materialize(posted.drop("mass").join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
@@ -243,8 +260,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     live = placed.join(lists, "token")
     short, long = live.where(F.col("size") <= SHORT).drop("size"), live.where(F.col("size") > SHORT).drop("size")
     other = short.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    pairs = short.withColumnRenamed("node", "a").join(other, "token").where((F.col("a") < F.col("b")) & (F.col("component") != F.col("cb")) & _near_sizes("n", "nb")).select("a", "b").distinct()
-    more = materialize(confirm(pairs, sets, classes).unionByName(link_blocks(long, sets)), "links")
+    pairs = short.withColumnRenamed("node", "a").join(other, "token").where((F.col("a") < F.col("b")) & (F.col("component") != F.col("cb")) & _near_sizes("n", "nb", percent)).select("a", "b").distinct()
+    more = materialize(confirm(pairs, sets, classes, percent).unionByName(link_blocks(long, sets, percent)), "links")
 
     grouped = components(links.unionByName(more))
     smallest = grouped.join(classes.select("node", "id"), "node")
@@ -259,7 +276,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(id_col, "n_shingles", F.when(F.col(id_col).isNotNull(), F.coalesce("component_id", id_col)).alias("component_id")).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group, all columns as they were."""
-    gone = near_duplicates(docs, id_col, text_col).where(~F.col("kept")).select(id_col).distinct()
+    gone = near_duplicates(docs, id_col, text_col, percent=percent).where(~F.col("kept")).select(id_col).distinct()
     return drop_ids(docs, materialize(gone, "removed"), id_col)

@@ -71,3 +71,18 @@ def test_odd_texts(frame, odd_texts):
     kept = neardup.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "None"]
+
+
+def test_the_threshold_is_a_parameter(spark, frame):
+    import corpus_pipeline
+
+    rng, words, rows = random.Random(5), [f"w{i}" for i in range(4000)], []
+    for k in range(40):  # pairs that share 80 to 84 of 100 shingles
+        own = rng.choices(words, k=104 - (k % 4))
+        rows += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(own[: len(own) - 10] + rng.choices(words, k=10)))]
+    near = [len(a & b) / len(a | b) for a, b in ((shingles(rows[i][1]), shingles(rows[i + 1][1])) for i in range(0, 80, 2))]
+    assert 0.8 <= min(near) and max(near) < 0.85
+    docs = frame(rows)
+    assert neardup.keep_one(docs).count() == 80
+    assert {r["doc_id"] for r in corpus_pipeline.drop_copies(spark, docs, "").collect()} == set(range(0, 80, 2))
+    assert (neardup.agreeing(32, 85), neardup.agreeing(64, 85), neardup.agreeing(32, 80), neardup.agreeing(64, 80)) == (17, 40, 14, 36)
