@@ -2,28 +2,36 @@ r"""Line dedup by a tree of log templates.
 
 Lines fall into the leaves of a fixed-depth tree: the number of tokens, then
 the ``DEPTH`` leading tokens, where a token with a digit is a variable field
-``<*>``. Leaves that fewer than ``MIN_DOCS`` documents reach are left alone.
-In the others a token is constant where at least ``MIN_DOCS`` documents have
-it at its place, and else becomes ``<*>``, too. What results is the line's
-template. A template that recurs in at least ``MIN_DOCS`` documents, with at
-least ``SIMILAR`` of its tokens constant, is boilerplate, and so is any line
-of the leaf that agrees with one of its templates in that share. Templates are
-also made of the tokens that twice, four times ... as many documents have.
-For lines of ``LONG_TOKENS`` tokens or more ``LONG_DOCS`` documents are enough,
-where at least ``LONG_SIMILAR`` of the tokens are constant.
+``<*>``. In a leaf the documents of each token at its place are counted. A
+line's template keeps its commonest tokens, at least ``SIMILAR`` per cent of
+all (those as common as the rarest kept stay, too); the others become ``<*>``.
+What varies in a family of lines is rarer than what does not, so its lines
+share one template, whatever else is in the leaf and however large it is. A
+template of at least ``MIN_DOCS`` documents is boilerplate. Lines of
+``LONG_TOKENS`` tokens or more are so from ``LONG_DOCS`` documents on where
+they agree in ``LONG_SIMILAR`` per cent of their tokens. Order plays no part,
+and lines meet in aggregates of their template only: no pairs are made.
 
 Boilerplate lines are dropped from every document but the one with the
 smallest id, so that what a group of copies says is said once.
 
-Texts never leave their partition: what is shuffled is a hash per line, and
-the lines of recurring leaves. Counts are pre-aggregated; a passage in a third
-of all documents is one row of each aggregate.
+A line is a row of hashes until its leaf is known to recur; the words of such
+leaves are then read once more, each distinct line once. A bitmap of
+``BITMAP_BITS`` bits tells the readers which leaves to look for; its size is
+fixed, and what it lets through in vain a join takes out. Nothing else is
+broadcast. Counts are pre-aggregated, so a passage in a third of all documents
+is one row of each aggregate.
 
 Cases: a null text stays null, an empty one empty; blank lines and lines of
-fewer than ``MIN_TOKENS`` tokens are never dropped; rows with a null id count
-for no document and are never the one that keeps a line; rows that repeat an id are told apart by
-their text, and equal rows are treated alike. Very long lines are compared
-whole. An empty table gives an empty result. Extra columns are kept.
+fewer than ``MIN_TOKENS`` tokens are never dropped; tokens with a digit are
+never constant; rows with a null id count for no document and are never the
+one that keeps a line; rows that repeat an id are told apart by their text and
+count as one document, equal rows are treated alike, and of a line that stands
+twice in the document that keeps it both stay. Equally common tokens stay or go
+together, so there are no ties to break. Very long lines are compared whole.
+Leaves, lines, tokens and templates are known by 64-bit hashes. An empty table
+gives an empty result. Extra columns of any name are kept; ``n_lines`` and
+``n_dropped`` replace columns of that name.
 """
 
 from __future__ import annotations
@@ -33,20 +41,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossaflow.llm.common import checked_broadcast, lean, materialize
+from glossaflow.llm.common import lean, materialize
 
 DEPTH = 3
 MIN_DOCS = 5
 MIN_TOKENS = 3
-SIMILAR = 0.8
-#: Lines of so many tokens recur from so many documents on, if that share of
-#: their template is constant.
-LONG_TOKENS, LONG_DOCS, LONG_SIMILAR = 50, 2, 0.95
-
+#: Per cent of a line's tokens that its template keeps.
+SIMILAR = 80
+#: Lines of so many tokens recur from so many documents on, if that per cent
+#: of their tokens is kept.
+LONG_TOKENS, LONG_DOCS, LONG_SIMILAR = 50, 2, 95
+BITMAP_BITS = 1 << 25
 
 _DIGIT = re.compile(rb"[0-9]")
 
@@ -59,113 +68,155 @@ def tokens_of(line: bytes) -> list[bytes]:
     return tokens
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_tokens: int, *, whole: bool) -> DataFrame:
-    """(leaf, n) of every line long enough; with ``whole`` (id, text_hash, pos,
-    leaf, line_hash, line)."""
+def _cut(text: str | None, depth: int, min_tokens: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(place, tokens, leaf, line) of the lines that are long enough."""
+    import xxhash
+
+    for pos, line in enumerate((text or "").encode("utf-8", "replace").split(b"\n")):
+        tokens = tokens_of(line)
+        if len(tokens) >= min_tokens:
+            yield pos, len(tokens), xxhash.xxh3_64_intdigest(b"%d %s" % (len(tokens), b" ".join(tokens[:depth]))), b" ".join(tokens)
+
+
+def _hashes(values: list[int]) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64))
+
+
+def line_hashes(docs: DataFrame, id_col: str, text_col: str, depth: int, min_tokens: int) -> DataFrame:
+    """(id, text_hash, pos, n, leaf, line_hash) of every line long enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
-            source, places, leaves, sizes, lines = [], [], [], [], []
+            source, places, sizes, leaves, lines = [], [], [], [], []
             for i, text in enumerate(batch.column(2)):
-                for pos, line in enumerate((text.as_py() or "").encode("utf-8", "replace").split(b"\n")):
-                    tokens = tokens_of(line)
-                    if len(tokens) >= min_tokens:
-                        leaves.append(xxhash.xxh3_64_intdigest(b"%d %s" % (len(tokens), b" ".join(tokens[:depth]))))
-                        sizes.append(len(tokens))
-                        if whole:
-                            source.append(i)
-                            places.append(pos)
-                            lines.append(b" ".join(tokens))
-            leaf = pa.array(np.array(leaves, np.uint64).view(np.int64))
-            if not whole:
-                yield pa.RecordBatch.from_arrays([leaf, pa.array(sizes, pa.int32())], ["leaf", "n"])
-                continue
-            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines)).view(np.int64)
+                for pos, n, leaf, line in _cut(text.as_py(), depth, min_tokens):
+                    source.append(i)
+                    places.append(pos)
+                    sizes.append(n)
+                    leaves.append(leaf)
+                    lines.append(xxhash.xxh3_64_intdigest(line))
             at = pa.array(source, pa.int64())
-            columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(places, pa.int32()), leaf, pa.array(hashes), pa.array(lines, pa.binary()).cast(pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "text_hash", "pos", "leaf", "line_hash", "line"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(places, pa.int32()), pa.array(sizes, pa.int32()), _hashes(leaves), _hashes(lines)],
+                ["id", "text_hash", "pos", "n", "leaf", "line_hash"],
+            )
+
+    cut = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    schema = T.StructType(
+        [T.StructField("id", docs.schema[id_col].dataType), T.StructField("text_hash", T.LongType()), T.StructField("pos", T.IntegerType())]
+        + [T.StructField("n", T.IntegerType()), T.StructField("leaf", T.LongType()), T.StructField("line_hash", T.LongType())]
+    )
+    return cut.mapInArrow(lean(run), schema)
+
+
+def _bit(leaf: Column) -> Column:
+    return F.pmod(leaf, F.lit(BITMAP_BITS)) + 1
+
+
+def line_words(docs: DataFrame, leaves: DataFrame, text_col: str, depth: int, min_tokens: int) -> DataFrame:
+    """(leaf, line_hash, words) of the distinct lines of ``leaves``, and of
+    others whose leaf shares a bit with one of them."""
+    width = 32_768  # the bits of one row of Spark's bitmap functions
+    made = leaves.select(_bit(F.col("leaf")).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    bitmap = np.zeros(BITMAP_BITS // 8, np.uint8)
+    for row in made.toLocalIterator():  # at most BITMAP_BITS / width rows
+        start = (row["bucket"] - 1) * width // 8
+        bitmap[start : start + width // 8] = np.frombuffer(row["bits"], np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        bits = shared.value
+        for batch in batches:
+            found: dict[bytes, int] = {}
+            for text in batch.column(0):
+                for _, _, leaf, line in _cut(text.as_py(), depth, min_tokens):
+                    bit = leaf % BITMAP_BITS
+                    if bits[bit >> 3] >> (bit & 7) & 1:
+                        found[line] = leaf
+            hashes = [xxhash.xxh3_64_intdigest(line) for line in found]
+            yield pa.RecordBatch.from_arrays([_hashes(list(found.values())), _hashes(hashes), pa.array(list(found), pa.binary()).cast(pa.string())], ["leaf", "line_hash", "line"])
+
+    return docs.select(text_col).mapInArrow(lean(run), "leaf long, line_hash long, line string")
+
+
+def _nth(counts: Column, n: Column, percent: int) -> Column:
+    """How common the rarest token is that a template has to keep, or null."""
+    return F.get(counts, F.floor((n * percent + 99) / 100).cast("int") - 1)
+
 
-    cut = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), text_col)
-    fields = [T.StructField("id", docs.schema[id_col].dataType), T.StructField("text_hash", T.LongType()), T.StructField("pos", T.IntegerType())]
-    leaf = T.StructField("leaf", T.LongType())
-    rest = [T.StructField("line_hash", T.LongType()), T.StructField("line", T.StringType())]
-    return cut.mapInArrow(lean(run), T.StructType([*fields, leaf, *rest] if whole else [leaf, T.StructField("n", T.IntegerType())]))
+def _template(at_least: Column, percent: int) -> Column:
+    kept = F.transform(F.filter("places", lambda p: p["seen"] >= at_least), lambda p: p["key"])
+    return F.when(at_least.isNotNull(), F.xxhash64(F.lit(percent), "leaf", kept))
 
 
-def templates(occurring: DataFrame, min_docs: int, similar: float, long: tuple[int, int, float]) -> DataFrame:
+def templates(occurring: DataFrame, words: DataFrame, min_docs: int, similar: int, long: tuple[int, int, int]) -> DataFrame:
     """(leaf, line_hash, first_id): the distinct lines of ``occurring`` that
-    are boilerplate, with the smallest document id of their template.
-
-    A template is the (place, token) pairs of a line that at least a level of
-    documents have in the leaf. Levels double from ``min_docs`` (and, in lines of
-    long[0] tokens, from long[1]), so a field whose
-    values are each in less than half of a family's documents is one at some
-    level, however large the family is. A line goes to the commonest recurring
-    template it agrees with. Two that differ in few enough places are equal in
-    all places of one band at least, if there is one band more than such places:
-    the equi-join on bands loses no pair.
-    """
-    lines = occurring.groupBy("leaf", "line_hash").agg(F.first("line").alias("line"), F.countDistinct("id").alias("docs"))
-    lines = materialize(lines.withColumn("words", F.split("line", " ")).withColumn("n", F.size("words")).drop("line"), "lines")
-    tokens = lines.select("leaf", "line_hash", "n", "docs", F.posexplode("words").alias("at", "token")).where("token <> '<*>'")
-    seen = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("seen")).where(F.col("seen") >= min(min_docs, long[1]))
-    enough = F.ceil(F.col("n") * similar).cast("int")
-    places = tokens.join(seen, ["leaf", "at", "token"]).groupBy("leaf", "line_hash", "n").agg(F.sort_array(F.collect_list(F.struct("at", "token", "seen"))).alias("places")).where(F.size("places") >= enough)
-    places = materialize(places.withColumn("counts", F.sort_array(F.col("places.seen"), asc=False)), "places")
-
-    doubled = [F.transform(F.sequence(F.lit(0), F.lit(40)), lambda k, least=least: F.lit(least) * F.pow(F.lit(2), k)) for least in (min_docs, long[1])]
-    levels = F.when(F.col("n") >= long[0], F.concat(*doubled)).otherwise(doubled[0])
-    # Levels that leave the same places are one.
-    reached = F.transform(F.filter(levels, lambda x: x <= F.get("counts", enough - 1)), lambda x: F.array_min(F.filter("counts", lambda c: c >= x)))
-    shaped = places.withColumn("level", F.explode(F.array_distinct(reached)))
-    shaped = shaped.withColumn("shape", F.transform(F.filter("places", lambda x: x["seen"] >= F.col("level")), lambda x: F.struct(x["at"].alias("at"), x["token"].alias("token"))))
-    shaped = materialize(shaped.select("leaf", "line_hash", "n", "shape", F.xxhash64("n", "shape").alias("template")), "shapes")
-    counted = occurring.select("leaf", "line_hash", "id").join(shaped.select("leaf", "line_hash", "template"), ["leaf", "line_hash"]).groupBy("leaf", "template").agg(F.countDistinct("id").alias("docs"))
-    held = counted.where(F.col("docs") >= min(min_docs, long[1])).join(shaped.groupBy("leaf", "template").agg(F.first("shape").alias("shape"), F.first("n").alias("n")), ["leaf", "template"])
-    # Templates of few documents have to be nearly constant.
-    held = held.withColumn("share", F.when(F.col("docs") >= min_docs, similar).when(F.col("n") >= long[0], long[2]))
-    held = materialize(held.where(F.size("shape") >= F.col("n") * F.col("share")), "templates")
-
-    def banded(rows: DataFrame, name: str, pairs: str) -> DataFrame:
-        """(leaf, name, key) of each band whose places are all in ``pairs``."""
-        bands = F.col("n") - enough + 1
-        each = rows.select("leaf", name, "n", bands.alias("bands"), F.explode(pairs).alias("x")).withColumn("band", F.col("x.at") % F.col("bands"))
-        each = each.groupBy("leaf", name, "n", "bands", "band").agg(F.sort_array(F.collect_list(F.struct("x.at", "x.token"))).alias("held"))
-        return each.where(F.size("held") == F.floor((F.col("n") - 1 - F.col("band")) / F.col("bands")) + 1).select("leaf", name, F.xxhash64("band", "held").alias("key"))
-
-    keys = materialize(banded(held, "template", "shape"), "bands")  # written, so that a leaf of very many lines can be split
-    met = materialize(banded(places, "line_hash", "places").join(keys, ["leaf", "key"]).select("leaf", "line_hash", "template").distinct(), "met")
-    agree = F.size(F.filter("shape", lambda x: F.get("words", x["at"]) == x["token"]))
-    near = met.join(held.select("leaf", "template", "docs", "shape", "share"), ["leaf", "template"]).join(lines.select("leaf", "line_hash", "words", "n"), ["leaf", "line_hash"]).where(agree >= F.col("n") * F.col("share"))
-    drawn = near.groupBy("leaf", "line_hash").agg(F.min(F.struct((-F.col("docs")).alias("rank"), "template")).alias("top")).select("leaf", "line_hash", "top.template")
-    drawn = materialize(drawn, "boilerplate")
-    first = occurring.select("leaf", "line_hash", "id").join(drawn, ["leaf", "line_hash"]).groupBy("leaf", "template").agg(F.min("id").alias("first_id"))
-    return drawn.join(first, ["leaf", "template"]).select("leaf", "line_hash", "first_id")
-
-
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR, long: tuple[int, int, float] = (LONG_TOKENS, LONG_DOCS, LONG_SIMILAR)) -> DataFrame:
+    are boilerplate, with the smallest document id of their template."""
+    held = occurring.where(F.col("id").isNotNull()).groupBy("leaf", "line_hash", "id").agg(F.first("n").alias("n"))
+    held = materialize(held, "held")
+    key = F.transform("words", lambda w, i: F.when(w != "<*>", F.xxhash64("leaf", i, w)))
+    distinct = words.join(held.select("leaf", "line_hash").distinct(), ["leaf", "line_hash"], "left_semi").dropDuplicates(["leaf", "line_hash"])
+    keyed = distinct.withColumn("words", F.split("line", " ")).select("leaf", "line_hash", F.size("words").alias("n"), F.array_compact(key).alias("keys"))
+    keyed = materialize(keyed, "keyed")
+
+    # A document with one line of a leaf counts for all its tokens as it is;
+    # only where it has several may a token be seen twice.
+    each = materialize(held.groupBy("leaf", "id").agg(F.count("*").alias("c"), F.min("line_hash").alias("line_hash")), "each")
+    single = each.where("c = 1").groupBy("leaf", "line_hash").agg(F.count("*").alias("docs"))
+    one = single.join(keyed, ["leaf", "line_hash"]).select(F.explode("keys").alias("key"), "docs").groupBy("key").agg(F.sum("docs").alias("seen"))
+    several = held.join(each.where("c > 1").select("leaf", "id"), ["leaf", "id"], "left_semi")
+    many = several.join(keyed, ["leaf", "line_hash"]).select(F.explode("keys").alias("key"), "id").distinct().groupBy("key").agg(F.count("*").alias("seen"))
+    seen = one.unionByName(many).groupBy("key").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= min(min_docs, long[1]))
+    # Written, so that the join below can split what very many lines share.
+    seen = materialize(seen, "seen")
+
+    places = keyed.select("leaf", "line_hash", "n", F.explode("keys").alias("key")).join(seen, "key")
+    places = places.groupBy("leaf", "line_hash", "n").agg(F.sort_array(F.collect_list(F.struct("seen", "key")), asc=False).alias("places"))
+    counts = F.col("places.seen")
+    whole, near = _nth(counts, F.col("n"), similar), F.when(F.col("n") >= long[0], _nth(counts, F.col("n"), long[2]))
+    shaped = places.select("leaf", "line_hash", F.array_compact(F.array(_template(whole, similar), _template(near, long[2]))).alias("shapes"), F.lit(0).alias("k"))
+    shaped = materialize(shaped.select("leaf", "line_hash", F.posexplode("shapes").alias("strict", "template")), "templates")
+
+    # What a strict template holds also holds one template of the other kind,
+    # and the same one: a line goes to that if it recurs.
+    met = held.select("leaf", "line_hash", "id").join(shaped, ["leaf", "line_hash"])
+    counted = met.groupBy("template", "strict").agg(F.countDistinct("id").alias("docs"), F.min("id").alias("first_id"))
+    recurring = materialize(counted.where(F.col("docs") >= F.when(F.col("strict") == 0, min_docs).otherwise(long[1])).select("template", "first_id"), "recurring")
+    drawn = shaped.join(recurring, "template").groupBy("leaf", "line_hash").agg(F.min_by("first_id", "strict").alias("first_id"))
+    return materialize(drawn, "boilerplate")
+
+
+def drops_of(docs: DataFrame, id_col: str, text_col: str, *, depth: int, min_docs: int, min_tokens: int, similar: int, long: tuple[int, int, int]) -> DataFrame:
+    """(id, text_hash, drops): the places of the lines that each text loses."""
+    lines = materialize(line_hashes(docs, id_col, text_col, depth, min_tokens), "lines")
+    reached = lines.where(F.col("id").isNotNull()).select("leaf", "n", "id").distinct().groupBy("leaf", "n").agg(F.count("*").alias("docs"))
+    leaves = materialize(reached.where(F.col("docs") >= F.when(F.col("n") >= long[0], min(min_docs, long[1])).otherwise(min_docs)).select("leaf"), "leaves")
+    # Joins by shuffle whatever the size: what is broadcast would grow.
+    occurring = materialize(lines.join(leaves.hint("merge"), "leaf"), "occurring")
+    drawn = templates(occurring, line_words(docs, leaves, text_col, depth, min_tokens), min_docs, similar, long)
+    gone = occurring.join(drawn.hint("merge"), ["leaf", "line_hash"]).where(~F.col("id").eqNullSafe(F.col("first_id")))
+    return materialize(gone.groupBy("id", "text_hash").agg(F.collect_set("pos").alias("drops")), "drops")
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similar: int = SIMILAR, long: tuple[int, int, int] = (LONG_TOKENS, LONG_DOCS, LONG_SIMILAR)) -> DataFrame:
     """``docs`` with boilerplate lines out of ``text_col``, plus the columns
     ``n_lines`` and ``n_dropped`` (which replace any of that name).
-    ``long`` has the tokens, documents and constant share of long lines."""
-    # Lines bound the documents of a leaf from above.
-    reached = _lines(docs, id_col, text_col, depth, min_tokens, whole=False).groupBy("leaf", "n").count()
-    leaves = materialize(reached.where(F.col("count") >= F.when(F.col("n") >= long[0], min(min_docs, long[1])).otherwise(min_docs)).select("leaf"), "leaves")
-    lines = _lines(docs, id_col, text_col, depth, min_tokens, whole=True)
-    occurring = materialize(lines.join(checked_broadcast(leaves, leaves.count()), "leaf"), "occurring")
-    drawn = templates(occurring, min_docs, similar, long)
-    gone = occurring.join(drawn, ["leaf", "line_hash"]).where(~F.col("id").eqNullSafe(F.col("first_id")))
-    drops = materialize(gone.groupBy("id", "text_hash").agg(F.collect_set("pos").alias("drops")), "drops")
-    key = [F.col(id_col).eqNullSafe(F.col("_id")), F.xxhash64(text_col) == F.col("_hash")]
-    drops = drops.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("drops").alias("_drops"))
-    # What is broadcast grows with the places, not only with the documents.
-    places = drops.agg(F.coalesce(F.sum(F.size("_drops") + 4), F.lit(0))).first()[0]
-    out = docs.join(checked_broadcast(drops, places // 4), key[0] & key[1], "left")
-    left = F.expr(f"array_join(filter(split(`{text_col}`, '\n'), (x, i) -> not array_contains(_drops, i)), '\n')")
-    return out.withColumns(
-        {
-            "n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(text_col, "\n"))).cast("long"),
-            "n_dropped": F.when(F.col("_drops").isNull(), 0).otherwise(F.size("_drops")).cast("long"),
-        }
-    ).withColumn(text_col, F.when(F.col("_drops").isNull(), F.col(text_col)).otherwise(left)).drop("_id", "_hash", "_drops")
+    ``long`` has the tokens, documents and per cent of long lines."""
+    drops = drops_of(docs, id_col, text_col, depth=depth, min_docs=min_docs, min_tokens=min_tokens, similar=similar, long=long)
+    # The document is one struct, so that none of its names meets one of ours.
+    whole = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"))
+    key = whole["id"].eqNullSafe(drops["id"]) & (whole["text_hash"] == drops["text_hash"])
+    joined = whole.join(drops.hint("shuffle_hash"), key, "left").select("doc", "text", "drops")
+    lines = F.split("text", "\n")
+    left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("drops", i)), "\n")
+    made = {
+        text_col: F.when(F.col("drops").isNull(), F.col("text")).otherwise(left),
+        "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"),
+        "n_dropped": F.coalesce(F.size("drops"), F.lit(0)).cast("long"),
+    }
+    kept = [made.pop(c).alias(c) if c in made else F.col("doc").getField(c).alias(c) for c in docs.columns]
+    return joined.select(*kept, *(c.alias(name) for name, c in made.items()))

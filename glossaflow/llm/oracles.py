@@ -16,23 +16,20 @@ toks AS (
   SELECT doc_id, pos, list_transform(list_filter(regexp_split_to_array(raw, '{S}+'), lambda t: t <> ''),
     lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS t FROM lines),
 leafed AS (SELECT doc_id, pos, t, len(t) AS n, len(t) || ' ' || array_to_string(t[1:3], ' ') AS leaf FROM toks WHERE len(t) >= 3),
-occ AS (SELECT * FROM leafed WHERE leaf IN (SELECT leaf FROM leafed GROUP BY leaf HAVING count(*) >= 5)),
-lined AS (SELECT leaf, t, n, count(DISTINCT doc_id) AS docs FROM occ GROUP BY leaf, t, n),
-tok AS (SELECT leaf, t, n, docs, unnest(range(len(t)))::INT AS i, unnest(t) AS w FROM lined),
-seen AS (SELECT leaf, i, w FROM tok GROUP BY leaf, i, w HAVING sum(docs) >= 5),
+tok AS (SELECT DISTINCT doc_id, leaf, t, n, unnest(range(len(t)))::INT AS i, unnest(t) AS w FROM leafed),
+seen AS (SELECT leaf, i, w, count(DISTINCT doc_id) AS seen FROM tok WHERE w <> '<*>' GROUP BY leaf, i, w),
+counted AS (
+  SELECT k.leaf, k.t, k.n, list({{'i': k.i, 'w': k.w, 'seen': s.seen}} ORDER BY k.i) AS places, list(s.seen ORDER BY s.seen DESC) AS counts
+  FROM (SELECT DISTINCT leaf, t, n, i, w FROM tok) k JOIN seen s USING (leaf, i, w) GROUP BY k.leaf, k.t, k.n),
+kinds AS (
+  SELECT leaf, t, 5 AS need, 0 AS strict, places, counts[(n * 80 + 99) // 100] AS least FROM counted
+  UNION ALL SELECT leaf, t, 2, 1, places, counts[(n * 95 + 99) // 100] FROM counted WHERE n >= 50),
 shaped AS (
-  SELECT k.leaf, k.t, k.n, list(CASE WHEN s.w IS NOT NULL AND k.w <> '<*>' THEN k.w ELSE '<*>' END ORDER BY k.i) AS shape,
-    count(*) FILTER (s.w IS NOT NULL AND k.w <> '<*>') AS constants
-  FROM tok k LEFT JOIN seen s ON s.leaf = k.leaf AND s.i = k.i AND s.w = k.w GROUP BY k.leaf, k.t, k.n),
-held AS (
-  SELECT s.leaf, s.shape, count(DISTINCT o.doc_id) AS docs FROM occ o JOIN shaped s ON s.leaf = o.leaf AND s.t = o.t
-  WHERE s.constants > 0 GROUP BY s.leaf, s.shape, s.n, s.constants HAVING count(DISTINCT o.doc_id) >= 5 AND s.constants >= s.n * 0.8),
-top AS (SELECT leaf, shape FROM held QUALIFY row_number() OVER (PARTITION BY leaf ORDER BY docs DESC, shape) = 1),
-drawn AS (
-  SELECT s.leaf, s.t, CASE WHEN p.leaf IS NOT NULL AND len(list_filter(list_zip(s.t, p.shape), lambda z: z[1] = z[2] AND z[2] <> '<*>')) >= s.n * 0.8 THEN p.shape ELSE h.shape END AS shape
-  FROM shaped s LEFT JOIN top p ON p.leaf = s.leaf LEFT JOIN held h ON h.leaf = s.leaf AND h.shape = s.shape WHERE s.constants > 0),
-members AS (SELECT o.doc_id, o.pos, d.leaf, d.shape FROM occ o JOIN drawn d ON d.leaf = o.leaf AND d.t = o.t WHERE d.shape IS NOT NULL),
-gone AS (SELECT m.doc_id, m.pos FROM members m JOIN (SELECT leaf, shape, min(doc_id) AS f FROM members GROUP BY leaf, shape) f ON f.leaf = m.leaf AND f.shape = m.shape WHERE m.doc_id <> f.f)
+  SELECT leaf, t, need, strict, list_transform(list_filter(places, lambda p: p.seen >= least), lambda p: {{'i': p.i, 'w': p.w}}) AS shape FROM kinds WHERE least IS NOT NULL),
+members AS (SELECT o.doc_id, o.pos, o.leaf, s.need, s.strict, s.shape FROM leafed o JOIN shaped s ON s.leaf = o.leaf AND s.t = o.t),
+held AS (SELECT leaf, strict, shape, min(doc_id) AS f FROM members GROUP BY leaf, strict, shape, need HAVING count(DISTINCT doc_id) >= need),
+drawn AS (SELECT m.doc_id, m.pos, arg_min(h.f, h.strict) AS f FROM members m JOIN held h ON h.leaf = m.leaf AND h.strict = m.strict AND h.shape = m.shape GROUP BY m.doc_id, m.pos),
+gone AS (SELECT doc_id, pos FROM drawn WHERE doc_id <> f)
 SELECT l.doc_id, count(*) AS n_lines, count(g.pos) AS n_dropped,
   md5(coalesce(string_agg(l.raw, chr(10) ORDER BY l.pos) FILTER (g.pos IS NULL), '')) AS text_md5
 FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos GROUP BY l.doc_id

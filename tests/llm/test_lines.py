@@ -61,5 +61,30 @@ def test_long_lines_of_two_documents_go(frame):
     rows = [(1, f"own line of one\n{passage}"), (2, f"{passage}\nown line of two"), (3, near), (4, far), (5, " ".join(passage.split()[:49])), (6, " ".join(passage.split()[:49]))]
     got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(frame(rows)).collect()}
     assert got == dict(rows) | {2: "own line of two", 3: ""}
-    apart = {r["n_dropped"] for r in lines.dedup_lines(frame(rows), long=(lines.LONG_TOKENS, lines.MIN_DOCS, lines.SIMILAR)).collect()}
+    apart = {r["n_dropped"] for r in lines.dedup_lines(frame(rows), long=(lines.LONG_TOKENS, lines.MIN_DOCS, lines.LONG_SIMILAR)).collect()}
     assert apart == {0}
+
+
+def test_constants_are_counted_by_document(frame):
+    rows = [(i, "alpha beta gamma delta one of them here") for i in range(5)] + [(9, "alpha beta gamma q l m n o")]
+    alone = {r["doc_id"]: r["n_dropped"] for r in lines.dedup_lines(frame(rows)).collect()}
+    more = rows[:5] + [(9, "\n".join(["alpha beta gamma q l m n o"] + [f"alpha beta gamma q l m n {c}" for c in "pqrstuv"]))]
+    with_more = {r["doc_id"]: r["n_dropped"] for r in lines.dedup_lines(frame(more)).collect()}
+    assert alone == with_more == {0: 0, 1: 1, 2: 1, 3: 1, 4: 1, 9: 0}
+
+
+def test_names_that_clash(spark):
+    names = ["_id", "_hash", "_drops", "doc", "id", "text_hash", "drops", "n_lines", "leaf", "n_dropped"]
+    rows = [(i, "the very same line of text", *([f"mine{i}"] * len(names))) for i in range(6)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    out = lines.dedup_lines(docs)
+    assert out.columns == docs.columns
+    for r in out.collect():
+        assert [r[c] for c in names if c[:2] != "n_"] == [f"mine{r['doc_id']}"] * 8
+        assert (r["n_lines"], r["n_dropped"]) == (1, int(r["doc_id"] > 0))
+
+
+def test_a_document_that_holds_a_line_twice_keeps_both(frame):
+    rows = [(i, "this is said by all of them\nthis is said by all of them") for i in range(5)] + [(0, "another text of id zero\nthis is said by all of them")]
+    got = sorted((r["doc_id"], r["n_dropped"]) for r in lines.dedup_lines(frame(rows)).collect())
+    assert got == [(0, 0), (0, 0), (1, 2), (2, 2), (3, 2), (4, 2)]
