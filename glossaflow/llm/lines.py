@@ -116,7 +116,7 @@ def _bit(leaf: Column) -> Column:
 
 
 def line_words(docs: DataFrame, leaves: DataFrame, text_col: str, depth: int, min_tokens: int) -> DataFrame:
-    """(leaf, line_hash, words) of the distinct lines of ``leaves``, and of
+    """(leaf, line_hash, line) of the distinct lines of ``leaves``, and of
     others whose leaf shares a bit with one of them."""
     width = 32_768  # the bits of one row of Spark's bitmap functions
     made = leaves.select(_bit(F.col("leaf")).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
@@ -148,45 +148,41 @@ def _nth(counts: Column, n: Column, percent: int) -> Column:
     return F.get(counts, F.floor((n * percent + 99) / 100).cast("int") - 1)
 
 
-def _template(at_least: Column, percent: int) -> Column:
-    kept = F.transform(F.filter("places", lambda p: p["seen"] >= at_least), lambda p: p["key"])
-    return F.when(at_least.isNotNull(), F.xxhash64(F.lit(percent), "leaf", kept))
-
-
 def templates(occurring: DataFrame, words: DataFrame, min_docs: int, similar: int, long: tuple[int, int, int]) -> DataFrame:
-    """(leaf, line_hash, first_id): the distinct lines of ``occurring`` that
-    are boilerplate, with the smallest document id of their template."""
-    held = occurring.where(F.col("id").isNotNull()).groupBy("leaf", "line_hash", "id").agg(F.first("n").alias("n"))
-    held = materialize(held, "held")
+    """(line_hash, first_id): the distinct lines of ``occurring`` that are
+    boilerplate, with the smallest document id of their template."""
+    held = materialize(occurring.where(F.col("id").isNotNull()).select("leaf", "line_hash", "id").distinct(), "held")
     key = F.transform("words", lambda w, i: F.when(w != "<*>", F.xxhash64("leaf", i, w)))
-    distinct = words.join(held.select("leaf", "line_hash").distinct(), ["leaf", "line_hash"], "left_semi").dropDuplicates(["leaf", "line_hash"])
-    keyed = distinct.withColumn("words", F.split("line", " ")).select("leaf", "line_hash", F.size("words").alias("n"), F.array_compact(key).alias("keys"))
+    distinct = words.join(held.select("line_hash").distinct(), "line_hash", "left_semi").dropDuplicates(["line_hash"])
+    keyed = distinct.withColumn("words", F.split("line", " ")).select("line_hash", F.size("words").alias("n"), F.array_compact(key).alias("keys"))
     keyed = materialize(keyed, "keyed")
 
     # A document with one line of a leaf counts for all its tokens as it is;
     # only where it has several may a token be seen twice.
     each = materialize(held.groupBy("leaf", "id").agg(F.count("*").alias("c"), F.min("line_hash").alias("line_hash")), "each")
-    single = each.where("c = 1").groupBy("leaf", "line_hash").agg(F.count("*").alias("docs"))
-    one = single.join(keyed, ["leaf", "line_hash"]).select(F.explode("keys").alias("key"), "docs").groupBy("key").agg(F.sum("docs").alias("seen"))
+    single = each.where("c = 1").groupBy("line_hash").agg(F.count("*").alias("docs"))
+    one = single.join(keyed, "line_hash").select(F.explode("keys").alias("key"), "docs").groupBy("key").agg(F.sum("docs").alias("seen"))
     several = held.join(each.where("c > 1").select("leaf", "id"), ["leaf", "id"], "left_semi")
-    many = several.join(keyed, ["leaf", "line_hash"]).select(F.explode("keys").alias("key"), "id").distinct().groupBy("key").agg(F.count("*").alias("seen"))
+    many = several.join(keyed, "line_hash").select(F.explode("keys").alias("key"), "id").distinct().groupBy("key").agg(F.count("*").alias("seen"))
     seen = one.unionByName(many).groupBy("key").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= min(min_docs, long[1]))
     # Written, so that the join below can split what very many lines share.
     seen = materialize(seen, "seen")
 
-    places = keyed.select("leaf", "line_hash", "n", F.explode("keys").alias("key")).join(seen, "key")
-    places = places.groupBy("leaf", "line_hash", "n").agg(F.sort_array(F.collect_list(F.struct("seen", "key")), asc=False).alias("places"))
+    places = keyed.select("line_hash", "n", F.explode("keys").alias("key")).join(seen, "key")
+    places = places.groupBy("line_hash", "n").agg(F.sort_array(F.collect_list(F.struct("seen", "key")), asc=False).alias("places"))
+    places = places.where(F.size("places") >= F.floor((F.col("n") * min(similar, long[2]) + 99) / 100))
     counts = F.col("places.seen")
-    whole, near = _nth(counts, F.col("n"), similar), F.when(F.col("n") >= long[0], _nth(counts, F.col("n"), long[2]))
-    shaped = places.select("leaf", "line_hash", F.array_compact(F.array(_template(whole, similar), _template(near, long[2]))).alias("shapes"), F.lit(0).alias("k"))
-    shaped = materialize(shaped.select("leaf", "line_hash", F.posexplode("shapes").alias("strict", "template")), "templates")
-
-    # What a strict template holds also holds one template of the other kind,
-    # and the same one: a line goes to that if it recurs.
-    met = held.select("leaf", "line_hash", "id").join(shaped, ["leaf", "line_hash"])
+    least = F.array(_nth(counts, F.col("n"), similar), F.when(F.col("n") >= long[0], _nth(counts, F.col("n"), long[2])))
+    shaped = places.select("line_hash", "places", F.posexplode(least).alias("strict", "least")).where("least is not null")
+    kept = F.transform(F.filter("places", lambda p: p["seen"] >= F.col("least")), lambda p: p["key"])
+    shaped = materialize(shaped.select("line_hash", "strict", F.xxhash64("strict", kept).alias("template")), "templates")
+
+    # Lines of one strict template have the other kind's template in common,
+    # too: they all go to that if it recurs, and else to the strict one.
+    met = held.select("line_hash", "id").join(shaped, "line_hash")
     counted = met.groupBy("template", "strict").agg(F.countDistinct("id").alias("docs"), F.min("id").alias("first_id"))
     recurring = materialize(counted.where(F.col("docs") >= F.when(F.col("strict") == 0, min_docs).otherwise(long[1])).select("template", "first_id"), "recurring")
-    drawn = shaped.join(recurring, "template").groupBy("leaf", "line_hash").agg(F.min_by("first_id", "strict").alias("first_id"))
+    drawn = shaped.join(recurring, "template").groupBy("line_hash").agg(F.min_by("first_id", "strict").alias("first_id"))
     return materialize(drawn, "boilerplate")
 
 
@@ -198,7 +194,7 @@ def drops_of(docs: DataFrame, id_col: str, text_col: str, *, depth: int, min_doc
     # Joins by shuffle whatever the size: what is broadcast would grow.
     occurring = materialize(lines.join(leaves.hint("merge"), "leaf"), "occurring")
     drawn = templates(occurring, line_words(docs, leaves, text_col, depth, min_tokens), min_docs, similar, long)
-    gone = occurring.join(drawn.hint("merge"), ["leaf", "line_hash"]).where(~F.col("id").eqNullSafe(F.col("first_id")))
+    gone = occurring.join(drawn.hint("merge"), "line_hash").where(~F.col("id").eqNullSafe(F.col("first_id")))
     return materialize(gone.groupBy("id", "text_hash").agg(F.collect_set("pos").alias("drops")), "drops")
 
 
