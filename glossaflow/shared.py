@@ -4,19 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCOPES: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset (tests, a laptop) a
-    temporary folder of this machine, kept for the session."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """``spark.checkpoint.dir``; where it is unset a temporary folder of this
+    machine, kept for the session. That is for local masters only: elsewhere
+    executors would write to folders that the others cannot see."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        context = spark.sparkContext
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-        found = context.getCheckpointDir()
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
@@ -24,7 +29,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, not the plan so far.
+    The table stays until the :func:`scratch` it was made in ends; outside of
+    one it stays, as the frame that is returned may be read at any time.
     """
     path = f"{shared_dir(df.sparkSession)}/glossaflow/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_table(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables made inside are deleted at the end: whatever depends on them has
+    to be written by then."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            delete_table(spark, path)
