@@ -8,8 +8,11 @@ hysteresis. Patches of the filterbank are kept as a fixed-shape Arrow tensor
 
 Cases: a null or empty payload is padded to one block; equal payloads give
 equal values whatever batch they come in; very long payloads are processed in
-blocks of ``BLOCK`` samples that overlap by what filter and frame need, so
-memory does not grow with the length. Extra columns are ignored.
+blocks of ``BLOCK`` frames that overlap by what filter and frame need, so that
+beside the payload and its own features only one block is in memory; rows are
+handed on as soon as they make ``BATCH_BYTES``; a frame at a level itself is
+above it; repeated rows are described each on its own; an empty table gives an
+empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ from glossaflow.llm.common import lean
 PAD = 192
 #: Output frames that one block computes.
 BLOCK = 16_384
+#: Media bytes of the rows that are handed on at once.
+BATCH_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -144,20 +149,25 @@ def log_mel(payload: bytes, s: Settings) -> Iterator[tuple[np.ndarray, np.ndarra
         yield np.log(power @ s.mel + 1e-10), energy
 
 
-def segments(blocks: Iterator[np.ndarray], s: Settings) -> list[tuple[int, int]]:
+class Segments:
     """Frames [start, end) of sound: open above one level, close below a lower."""
-    out, start, at = [], None, 0
-    for energy in blocks:
+
+    def __init__(self, s: Settings):
+        self.s, self.found, self.start, self.at = s, [], None, 0
+
+    def add(self, energy: np.ndarray) -> None:
         # Only frames outside the two levels can change the state.
-        mark = np.where(energy >= s.open_db, 1, np.where(energy < s.close_db, -1, 0))
+        mark = np.where(energy >= self.s.open_db, 1, np.where(energy < self.s.close_db, -1, 0))
         for i in np.flatnonzero(mark):
-            if mark[i] > 0 and start is None:
-                start = at + int(i)
-            elif mark[i] < 0 and start is not None:
-                out.append((start, at + int(i)))
-                start = None
-        at += len(energy)
-    return out + ([(start, at)] if start is not None else [])
+            if mark[i] > 0 and self.start is None:
+                self.start = self.at + int(i)
+            elif mark[i] < 0 and self.start is not None:
+                self.found.append((self.start, self.at + int(i)))
+                self.start = None
+        self.at += len(energy)
+
+    def all(self) -> list[tuple[int, int]]:
+        return self.found + ([(self.start, self.at)] if self.start is not None else [])
 
 
 def tensor_bytes(patches: np.ndarray) -> bytes:
@@ -177,12 +187,12 @@ def read_tensor(data: bytes) -> np.ndarray:
 
 def describe(payload: bytes, s: Settings) -> dict:
     """Features of one payload: summary, tensor of patches, spans in seconds."""
-    total, squares, energies, patches, frames = np.zeros(s.bands), np.zeros(s.bands), [], [], 0
+    total, squares, sound, patches, frames = np.zeros(s.bands), np.zeros(s.bands), Segments(s), [], 0
     rest = np.empty((0, s.bands), np.float32)
     for mel, energy in log_mel(payload, s):
         total += mel.sum(0)
         squares += (mel**2).sum(0)
-        energies.append(energy)
+        sound.add(energy)
         frames += len(mel)
         rows = np.concatenate([rest, mel.astype(np.float16).astype(np.float32)])
         whole = len(rows) // s.patch * s.patch
@@ -192,7 +202,7 @@ def describe(payload: bytes, s: Settings) -> dict:
         filled = np.full((1, s.patch, s.bands), np.float32(np.log(1e-10)))
         filled[0, : len(rest)] = rest
         patches.append(filled)
-    spans = segments(iter(energies), s)
+    spans = sound.all()
     step = s.hop / s.rate_out
     mean = total / frames
     spread = np.sqrt(np.maximum(0, squares / frames - mean**2))
@@ -249,11 +259,14 @@ def features(media: DataFrame, id_col: str = "doc_id", settings: Settings = Sett
     span_type = pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())]))
     kinds = {"payload_sha256": pa.string(), "media_sha256": pa.string(), "feature": pa.string(), "tensor": pa.binary(), "spans": span_type, "segments": span_type}
 
+    names = [f.name for f in fields[2:]]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for stored in batch.column(2):
+            rows, begin, size = [], 0, 0
+            for at, stored in enumerate(batch.column(2)):
                 data = stored.as_py()
+                size += len(data)
                 payload = wav_payload(data)
                 rows.append(
                     {
@@ -265,8 +278,10 @@ def features(media: DataFrame, id_col: str = "doc_id", settings: Settings = Sett
                     }
                     | describe(payload, settings)
                 )
-            names = [f.name for f in fields[2:]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([r[n] for r in rows], kinds.get(n, pa.int64())) for n in names)], [f.name for f in fields])
+                if size >= BATCH_BYTES or at + 1 == batch.num_rows:
+                    done = batch.slice(begin, at + 1 - begin)
+                    yield pa.RecordBatch.from_arrays([done.column(0), done.column(1), *(pa.array([r[n] for r in rows], kinds.get(n, pa.int64())) for n in names)], [f.name for f in fields])
+                    rows, begin, size = [], at + 1, 0
 
     return media.select(id_col, "n_bytes", "media").mapInArrow(lean(run), schema)
 

@@ -4,7 +4,8 @@ Cases: a null text counts as empty (no ids); an empty text has no ids and
 decodes to no bytes; repeated rows are encoded each on its own; very long
 texts are cut at boundaries that every match respects, and white-space runs
 too long for the library's backtracking are encoded as the single matches
-they are. Extra columns are ignored; outputs carry the id column only.
+they are; an empty table gives an empty result. Extra columns are ignored;
+outputs carry the id column only.
 """
 
 from __future__ import annotations

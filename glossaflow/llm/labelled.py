@@ -16,14 +16,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, *, id_co
     """(id, text, label): up to ``rows`` labelled documents, texts distinct.
 
     ``only`` limits the labels used, as a condition on the id. The choice
-    follows a hash of the id, so it is the same in every run.
+    follows a hash of the id, so it is the same in every run; of equal texts
+    the smallest id and the largest label count, as they do for equal ids.
     """
     given = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
     given = given.where(only) if only is not None else given
     chosen = given.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label")).orderBy(F.xxhash64("id"), "id").limit(rows)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     joined = texts.join(F.broadcast(chosen), "id")  # at most ``rows`` ids
-    return materialize(joined.dropDuplicates(["text"]), "sample")
+    return materialize(joined.groupBy("text").agg(F.min("id").alias("id"), F.max("label").alias("label")).select("id", "text", "label"), "sample")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -2,7 +2,7 @@
 
 Documents fall into cells of (source, language, topic); a cell's mass is its
 number of tokens. Raking scales the cells until their sums over each of the
-three dimensions are the target marginals, and documents are then sampled, each
+three dimensions are the target marginals (within ``TOLERANCE``), and documents are then sampled, each
 with its cell's calibrated probability, by a hash of the id: the same document
 is always judged the same way.
 
@@ -19,13 +19,16 @@ normalised.
 Cases: null texts count as empty and have no tokens; documents without tokens
 weigh nothing, have probability 0 and are not kept; a null source, language or
 topic is a value of its own, ``""``; equal ids share their draw, rows with a
-null id are drawn as id ``""``; an empty table gives an empty result. Extra
-columns are ignored.
+null id are drawn as id ``""``; very long texts are counted whole; repeated
+rows are kept or dropped alike and count in their cell each; a draw equal to
+the probability is not kept, so probability 0 keeps nothing; an empty table
+gives an empty result. Extra columns of any name are ignored by ``mix`` and
+kept by ``sample``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,7 +39,10 @@ from glossaflow.llm.common import checked_broadcast, materialize
 TEMPERATURE = 0.7
 #: Tokens kept, as a share of all.
 SHARE = 0.5
-ROUNDS = 12
+#: Rounds of raking at most, and the relative error of a marginal at which
+#: they end.
+ROUNDS = 100
+TOLERANCE = 1e-10
 ROUNDS_PER_TABLE = 4
 SPACE = r"[ \t-\r]+"
 
@@ -66,8 +72,8 @@ def topic(text: Column) -> Column:
     )
 
 
-def cells_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic_col: str | None = None) -> DataFrame:
-    """(id, source, lang, topic, tokens) of every document."""
+def cells_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic_col: str | None = None, *more: Column) -> DataFrame:
+    """(id, source, lang, topic, tokens) of every document, and ``more``."""
     about = F.col(topic_col) if topic_col else topic(F.col(text_col))
     return docs.select(
         F.col(id_col).alias("id"),
@@ -75,6 +81,7 @@ def cells_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
         F.coalesce(about.cast("string"), F.lit("")).alias("topic"),
         token_count(F.col(text_col)).alias("tokens"),
+        *more,
     )
 
 
@@ -91,8 +98,13 @@ def marginal(cells: DataFrame, dim: str, target: Mapping[str, float] | None, tem
     return weighed.select(dim, (F.col("w") / F.lit(total or 1.0)).alias("share"))
 
 
-def rake(cells: DataFrame, marginals: Mapping[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """``cells`` (dimensions, mass) with ``weight``, the raked share."""
+def rake(cells: DataFrame, marginals: Mapping[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """``cells`` (dimensions, mass) with ``weight``, the raked share.
+
+    Rounds over all dimensions go on until every marginal is within
+    ``tolerance`` of its target, ``rounds`` at most: targets that no weights of
+    the cells can meet are never met. :func:`marginal_error` tells.
+    """
     fitted = cells.withColumn("weight", F.col("mass").cast("double"))
     for dim, target in marginals.items():
         fitted = fitted.join(target.withColumnRenamed("share", f"share_{dim}"), dim, "left")
@@ -103,35 +115,38 @@ def rake(cells: DataFrame, marginals: Mapping[str, DataFrame], rounds: int = ROU
             fitted = fitted.withColumn("weight", F.coalesce(F.try_divide(F.col("weight") * F.col(f"share_{dim}"), total), F.lit(0.0)))
         if (k + 1) % ROUNDS_PER_TABLE == 0 or k + 1 == rounds:
             fitted = materialize(fitted, "raked")
+            if marginal_error(fitted, list(marginals)) <= tolerance:
+                break
     return fitted
 
 
+def marginal_error(raked: DataFrame, dims: Sequence[str]) -> float:
+    """The largest relative error of a marginal of ``raked``, 0 for no cells."""
+    sums = [raked.groupBy(d).agg(F.sum("weight").alias("w"), F.max(f"share_{d}").alias("t")).where("t > 0") for d in dims]
+    errors = reduce(lambda a, b: a.unionByName(b), (s.select(F.abs(F.col("w") / F.col("t") - 1).alias("e")) for s in sums))
+    return errors.agg(F.max("e")).first()[0] or 0.0
+
+
 def calibrate(raked: DataFrame, share: float = SHARE) -> DataFrame:
     """``raked`` with ``probability``: weight over mass, scaled so that the
     expected tokens are ``share`` of all, and 1 where that would exceed 1.
 
-    The scale is found by bisection on an aggregate of the cells, so cells
-    that are full hand their excess to the others in proportion.
+    The scale is exact: with the cells that are full set aside, the others take
+    what is left in proportion; that may fill some more, until none is. Each
+    step is one aggregate of the cells.
     """
-    total = raked.agg(F.sum("mass")).first()[0] or 0
-    wanted = share * total
-    low, high = 0.0, max(wanted, 1.0)
-    ratio = F.col("weight") / F.col("mass")
-
-    def expected(scales: list[float]) -> list[float]:
-        row = raked.agg(*(F.sum(F.least(F.lit(1.0), ratio * s) * F.col("mass")) for s in scales)).first()
-        return [x or 0.0 for x in row]
-
-    reachable = raked.where("weight > 0").agg(F.sum("mass"), F.max(F.col("mass") / F.col("weight"))).first()
-    if total and reachable[0]:
-        wanted = min(wanted, float(reachable[0]))
-        high = float(reachable[1])
-        for _ in range(4):  # sixteen-fold narrowing in each pass
-            steps = [low + (high - low) * i / 16 for i in range(17)]
-            got = expected(steps)
-            at = next((i for i, x in enumerate(got) if x >= wanted * (1 - 1e-12)), 16)
-            low, high = steps[max(at - 1, 0)], steps[at]
-    return raked.withColumn("probability", F.least(F.lit(1.0), F.col("weight") / F.col("mass") * high))
+    raked = materialize(raked, "weights")
+    wanted = share * (raked.agg(F.sum("mass")).first()[0] or 0)
+    scale, full = 0.0, -1
+    while True:
+        filled = (F.col("weight") * scale >= F.col("mass")) & F.lit(full >= 0)
+        row = raked.where("weight > 0").agg(F.count_if(filled), F.sum(F.when(filled, F.col("mass"))), F.sum(F.when(~filled, F.col("weight")))).first()
+        if row[0] == full or not row[2]:
+            break
+        full, scale = row[0], (wanted - (row[1] or 0)) / row[2]
+    # All that can be kept is less than what is wanted: keep that.
+    over = F.lit(bool(row[0]) and not row[2])
+    return raked.withColumn("probability", F.when(over & (F.col("weight") > 0), 1.0).otherwise(F.least(F.lit(1.0), F.col("weight") / F.col("mass") * scale)))
 
 
 def draw(id_column: Column) -> Column:
@@ -142,28 +157,28 @@ def draw(id_column: Column) -> Column:
 DIMENSIONS = ("source", "lang", "topic")
 
 
-def plan(each: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, *, temperature: float = TEMPERATURE, share: float = SHARE, rounds: int = ROUNDS) -> DataFrame:
+def plan(each: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, *, temperature: float = TEMPERATURE, share: float = SHARE, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
     """(source, lang, topic, mass, weight, probability) of every cell."""
     cells = materialize(each.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("mass")).where("mass > 0"), "cells")
     marginals = {d: marginal(cells, d, (targets or {}).get(d), temperature) for d in DIMENSIONS}
-    return calibrate(rake(cells, marginals, rounds), share)
+    return calibrate(rake(cells, marginals, rounds, tolerance), share)
 
 
-def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic_col: str | None = None, temperature: float = TEMPERATURE, share: float = SHARE, rounds: int = ROUNDS) -> DataFrame:
+def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic_col: str | None = None, **settings) -> DataFrame:
     """(id, source, lang, topic, tokens, probability, kept) of every document."""
     # One pass over the texts; what follows needs none of them.
     each = materialize(cells_of(docs, id_col, text_col, source_col, lang_col, topic_col), "cells-of")
-    cells = materialize(plan(each, targets, temperature=temperature, share=share, rounds=rounds).select(*DIMENSIONS, "probability"), "calibrated")
-    out = each.join(checked_broadcast(cells, cells.count()), list(DIMENSIONS), "left")
+    cells = materialize(plan(each, targets, **settings).select(*DIMENSIONS, "probability"), "calibrated")
+    out = each.join(checked_broadcast(cells), list(DIMENSIONS), "left")
     probability = F.when(F.col("tokens") > 0, F.coalesce("probability", F.lit(0.0))).otherwise(0.0)
     out = out.select(F.col("id").alias(id_col), *DIMENSIONS, "tokens", probability.alias("probability"))
     return out.withColumn("kept", draw(F.col(id_col)) < F.col("probability"))
 
 
-def sample(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", **settings) -> DataFrame:
+def sample(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic_col: str | None = None, **settings) -> DataFrame:
     """The documents that :func:`mix` keeps, all columns as they were."""
-    each = cells_of(docs, id_col, text_col, source_col, lang_col)
-    cells = materialize(plan(each, targets, **settings).select(*(F.col(d).alias(f"_{d}") for d in DIMENSIONS), F.col("probability").alias("_p")), "calibrated")
-    names = {"_source": F.coalesce(F.col(source_col).cast("string"), F.lit("")), "_lang": F.coalesce(F.col(lang_col).cast("string"), F.lit("")), "_topic": F.coalesce(topic(F.col(text_col)), F.lit(""))}
-    placed = docs.withColumns(names).join(checked_broadcast(cells, cells.count()), list(names))
-    return placed.where((token_count(F.col(text_col)) > 0) & (draw(F.col(id_col)) < F.col("_p"))).select(docs.columns)
+    about = (id_col, text_col, source_col, lang_col, topic_col)
+    cells = materialize(plan(cells_of(docs, *about), targets, **settings).select(*DIMENSIONS, "probability"), "calibrated")
+    # The document is one struct, so that none of its names meets one of ours.
+    placed = cells_of(docs, *about, F.struct("*").alias("doc")).where("tokens > 0").join(checked_broadcast(cells), list(DIMENSIONS))
+    return placed.where(draw(F.col("id")) < F.col("probability")).select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))

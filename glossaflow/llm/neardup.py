@@ -18,10 +18,13 @@ a list, not its square. Every list is either one aggregate row or cut into
 blocks of a fixed number of shingles.
 
 Cases: a null text counts as empty; empty texts have no shingles and are
-linked with nothing; a text of fewer words than a shingle is one shingle. Rows
-with a null id have no component, are linked with nothing and are kept. Where
-an id is repeated each row is judged by its own text. An empty table gives an
-empty result. Extra columns are ignored.
+linked with nothing; a text of fewer words than a shingle is one shingle; very
+long texts are read whole. Rows with a null id have no component, are linked
+with nothing and are kept. Where an id is repeated each row is judged by its
+own text: it takes the component of that text, whose name is its smallest id.
+Ties at the threshold are links. An empty table gives an empty result. Extra
+columns of any name are ignored by ``near_duplicates`` and kept by
+``keep_one``.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossaflow.llm.common import drop_ids, keep_ids, lean, materialize
+from glossaflow.llm.common import keep_ids, lean, materialize, without_rows
 
 WORDS = 5
 PERCENT = 85
@@ -98,24 +101,24 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, key, signature); key names the word sequence and is
-    null for texts without words."""
+    """(id, text_hash, n_shingles, key, signature); key names the word sequence
+    and is null for texts without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
             sizes, keys, rows = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 words = split_words(text.as_py())
                 hashes = shingle_hashes(words)
                 sizes.append(len(hashes))
                 keys.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
                 rows.append(signature(hashes) if words else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.list_(pa.int32()))], [id_col, "n_shingles", "key", "signature"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.list_(pa.int32()))], ["id", "text_hash", "n_shingles", "key", "signature"])
 
-    schema = T.StructType([docs.schema[id_col], T.StructField("n_shingles", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("signature", T.ArrayType(T.IntegerType()))])
-    return docs.select(id_col, text_col).mapInArrow(lean(run), schema)
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("text_hash", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("key", T.BinaryType()), T.StructField("signature", T.ArrayType(T.IntegerType()))])
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")).mapInArrow(lean(run), schema)
 
 
 def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,17 +239,17 @@ def link_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return dealt.join(sets, "node").groupBy("token", "low", "high").applyInPandas(_forest(percent), "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every document; those whose
-    similarity is ``percent`` or more are linked."""
+def grouped_rows(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """(id, text_hash, n_shingles, component, component_id) of every row; the
+    last two are null where the row is alone in its component."""
     each = materialize(signatures(docs, id_col, text_col), "signatures")
-    named = each.where(F.col("key").isNotNull() & F.col(id_col).isNotNull())
+    named = each.where(F.col("key").isNotNull() & F.col("id").isNotNull())
     classes = materialize(
-        named.groupBy(F.col("key").alias("node")).agg(F.min(F.struct(F.col(id_col).alias("id"), "n_shingles", "signature")).alias("x"), F.count("*").alias("copies")).select("node", "x.id", F.col("x.n_shingles").alias("n"), "x.signature", "copies"),
+        named.groupBy(F.col("key").alias("node")).agg(F.min(F.struct("id", "n_shingles", "signature")).alias("x"), F.count("*").alias("copies")).select("node", "x.id", F.col("x.n_shingles").alias("n"), "x.signature", "copies"),
         "classes",
     )
     posted = materialize(post(classes, percent), "postings")
-    wanted = materialize(classes.join(posted.select("node").distinct(), "node", "left_semi").select(F.col("id").alias(id_col)), "compared")
+    wanted = materialize(classes.join(posted.select("node").distinct(), "node", "left_semi").select(F.col("id").alias(id_col)).distinct(), "compared")
     sets = materialize(shingle_sets(keep_ids(docs, wanted, id_col), id_col, text_col).dropDuplicates(["node"]), "shingle-sets")
 
     pivots = posted.groupBy("token").agg(F.max(F.struct("mass", "node", "n")).alias("pivot"), F.count("*").alias("size")).where("size > 1")
@@ -266,17 +269,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = components(links.unionByName(more))
     smallest = grouped.join(classes.select("node", "id"), "node")
     least = smallest.groupBy("component").agg(F.min("id").alias("component_id"))
-    linked = grouped.join(least, "component").select("node", "component_id")
+    linked = grouped.join(least, "component").select("node", "component", "component_id")
     # Only copies and linked classes have a component other than themselves.
-    moved = classes.join(linked, "node", "left").where("copies > 1 or component_id is not null").select(F.col("node").alias("key"), F.coalesce("component_id", "id").alias("component_id"))
+    moved = classes.join(linked, "node", "left").where("copies > 1 or component_id is not null")
     # Written, so that both sides of the join below are plain shuffles and a
     # class of very many copies can be split.
-    moved = materialize(moved, "moved")
-    out = each.drop("signature").join(moved, "key", "left")
-    return out.select(id_col, "n_shingles", F.when(F.col(id_col).isNotNull(), F.coalesce("component_id", id_col)).alias("component_id")).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
+    moved = materialize(moved.select(F.col("node").alias("key"), F.coalesce("component", "node").alias("component"), F.coalesce("component_id", "id").alias("component_id")), "moved")
+    return each.drop("signature").join(moved, "key", "left").drop("key")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = PERCENT) -> DataFrame:
+    """(id, n_shingles, component_id, kept) of every document; those whose
+    similarity is ``percent`` or more are linked."""
+    out = grouped_rows(docs, id_col, text_col, percent)
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
+    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each group, all columns as they were."""
-    gone = near_duplicates(docs, id_col, text_col, percent=percent).where(~F.col("kept")).select(id_col).distinct()
-    return drop_ids(docs, materialize(gone, "removed"), id_col)
+    """``docs`` with one row of each group, all columns as they were.
+
+    The row of smallest id stays; where that id has several texts in the group,
+    the one of smallest hash, and of rows of equal id and text any one."""
+    rows = grouped_rows(docs, id_col, text_col, percent).where(F.col("component").isNotNull() & F.col("id").isNotNull())
+    rows = materialize(rows.groupBy("component", "component_id", "id", "text_hash").agg(F.count("*").alias("n")), "grouped")
+    first = materialize(rows.where("id = component_id").groupBy("component").agg(F.min("text_hash").alias("first")), "first")
+    placed = rows.join(first, "component").withColumn("stays", (F.col("id") == F.col("component_id")) & (F.col("text_hash") == F.col("first")))
+    gone = materialize(placed.where("not stays or n > 1").select("id", "text_hash", "stays"), "removed")
+    out = without_rows(docs, gone.select("id", "text_hash"), id_col, text_col)
+    # Only rows that stay and are repeated as a whole are looked at once more.
+    twice = gone.where("stays")
+    if twice.isEmpty():
+        return out
+    whole = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"))
+    once = whole.join(twice.select("id", "text_hash"), ["id", "text_hash"], "left_semi").dropDuplicates(["id", "text_hash"])
+    return out.unionByName(once.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns)))

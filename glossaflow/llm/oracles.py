@@ -97,36 +97,29 @@ SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN ratio >= (SELECT cut
 
 
 
-def _raked() -> str:
-    """Twelve rounds over three dimensions, each a window over the cells."""
-    parts = ["r0 AS (SELECT c.*, mass::DOUBLE AS w, s1.share AS s_source, s2.share AS s_lang, s3.share AS s_topic FROM cells c JOIN m_source s1 USING (source) JOIN m_lang s2 USING (lang) JOIN m_topic s3 USING (topic))"]
-    for k in range(36):
-        dim = ("source", "lang", "topic")[k % 3]
-        parts.append(f"r{k + 1} AS {'MATERIALIZED ' if k % 3 == 2 else ''}(SELECT * REPLACE (coalesce(w * s_{dim} / nullif(sum(w) OVER (PARTITION BY {dim}), 0), 0) AS w) FROM r{k})")
-    for dim in ("topic", "lang", "source"):
-        parts.insert(0, f"m_{dim} AS (SELECT {dim}, p / sum(p) OVER () AS share FROM (SELECT {dim}, pow(sum(mass), 0.7) AS p FROM cells GROUP BY {dim}))")
-    for k in range(4):
-        parts.append(
-            f"""e{k} AS (SELECT i, sum(least(1.0, w / mass * (low + (high - low) * i / 16)) * mass) AS got FROM h{k}, range(17) t(i), r36 GROUP BY i),
-h{k + 1} AS (SELECT low + (high - low) * greatest(spot - 1, 0) / 16 AS low, low + (high - low) * spot / 16 AS high FROM h{k},
-  (SELECT coalesce(min(i), 16) AS spot FROM e{k} WHERE got >= (SELECT 0.5 * sum(mass) FROM cells) * (1 - 1e-12)))"""
-        )
-        if k == 0:
-            parts.insert(-1, "h0 AS (SELECT 0.0::DOUBLE AS low, max(mass / w)::DOUBLE AS high FROM r36 WHERE w > 0)")
-    return ",\n".join(parts)
-
+_ONCE = "(SELECT * REPLACE (coalesce(w * s_{dim} / nullif(sum(w) OVER (PARTITION BY {dim}), 0), 0) AS w) FROM {of})"
+_ROUND = _ONCE.format(dim="topic", of=_ONCE.format(dim="lang", of=_ONCE.format(dim="source", of="r WHERE k < 100")))
+_TARGETS = ", ".join(f"m_{d} AS (SELECT {d}, p / sum(p) OVER () AS share FROM (SELECT {d}, pow(sum(mass), 0.7) AS p FROM cells GROUP BY {d}))" for d in ("source", "lang", "topic"))
 
+#: A hundred rounds of raking; the scale by the sorted cells: those of smallest
+#: mass to weight are full, and the first share of the rest that fills none is it.
 OP10 = f"""
-WITH docs AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+WITH RECURSIVE docs AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
   CASE WHEN contains(text, 'icense') OR contains(text, 'icence') OR contains(text, 'll rights reserved') THEN 'legal'
        WHEN regexp_matches(text, '[A-Za-z0-9]@[A-Za-z0-9]') THEN 'contact' WHEN contains(text, ' | ') THEN 'table'
        WHEN length(text) < 1000 THEN 'short' ELSE 'prose' END AS topic,
   len(list_filter(regexp_split_to_array(coalesce(text, ''), '{S}+'), lambda t: t <> '')) AS tokens FROM documents),
 cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::BIGINT AS mass FROM docs GROUP BY ALL HAVING sum(tokens) > 0),
-{_raked()},
-done AS (SELECT source, lang, topic, least(1.0, w / mass * (SELECT high FROM h4)) AS p FROM r36),
+{_TARGETS},
+r AS (SELECT 0 AS k, c.*, mass::DOUBLE AS w, s1.share AS s_source, s2.share AS s_lang, s3.share AS s_topic FROM cells c JOIN m_source s1 USING (source) JOIN m_lang s2 USING (lang) JOIN m_topic s3 USING (topic)
+  UNION ALL SELECT * REPLACE (k + 1 AS k) FROM {_ROUND}),
+raked AS (SELECT * FROM r WHERE k = 100),
+sorted AS (SELECT mass / w AS ratio, coalesce(sum(mass) OVER before, 0) AS full_mass, sum(w) OVER rest AS open_weight FROM raked WHERE w > 0
+  WINDOW before AS (ORDER BY mass / w, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), rest AS (ORDER BY mass / w, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+scale AS (SELECT coalesce(arg_min(x, ratio) FILTER (x <= ratio), max(ratio)) AS scale FROM (SELECT ratio, ((SELECT 0.5 * sum(mass) FROM cells) - full_mass) / open_weight AS x FROM sorted)),
+done AS (SELECT source, lang, topic, least(1.0, w / mass * (SELECT scale FROM scale)) AS p FROM raked),
 out AS (SELECT d.*, CASE WHEN tokens > 0 THEN coalesce(p, 0) ELSE 0 END AS p FROM docs d LEFT JOIN done USING (source, lang, topic))
-SELECT doc_id, source, lang, topic, tokens, round(p, 9) AS probability, ('0x' || md5('mix:' || doc_id)[1:8])::BIGINT / 4294967296.0 < p AS kept FROM out
+SELECT doc_id, source, lang, topic, tokens, round(p, 6) AS probability, ('0x' || md5('mix:' || doc_id)[1:8])::BIGINT / 4294967296.0 < p AS kept FROM out
 """
 
 ORACLES: dict[str, str] = {"op10_mixing": OP10, "op4_line_dedup": OP4, "op7_vptree": OP7, "op8_neardup": OP8, "op9_urls": OP9}

@@ -13,10 +13,16 @@ row of each map task. Their table is broadcast where its counted number allows
 it, else joined by a shuffle of ids and scores. The classifier is fitted on a
 bounded sample of labelled rows (``labelled.SAMPLE_ROWS``).
 
-Cases: null texts count as empty; a null host or path is the value ``""``;
-without labels of both kinds the classifier says 0.5 for all and everything is
-kept; an empty table gives an empty result. Extra columns are ignored by
-``judge`` and kept by ``keep_good``.
+Host and path come from a URL column where there is one (:func:`site_of`), else
+from two columns that the caller names.
+
+Cases: null texts count as empty, and so does a null host or path, the value
+``""``; very long texts are read whole; without labels of both kinds the
+classifier says 0.5 for all and everything is kept. Each row is judged by its
+own text and site, so rows that repeat an id may be judged apart, equal rows
+are judged alike, and each counts in its site's sums; a score equal to the
+threshold is kept. An empty table gives an empty result. Extra columns of any
+name are ignored by ``judge`` and kept by ``keep_good``.
 """
 
 from __future__ import annotations
@@ -30,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossaflow.llm.common import checked_broadcast, drop_ids, lean, materialize
+from glossaflow.llm.common import checked_broadcast, lean, materialize, without_rows
 from glossaflow.llm.labelled import fit_dense, labelled_sample, sigmoid
 
 THRESHOLD = 0.35
@@ -59,8 +65,16 @@ def form(text: str) -> list[float]:
     ]
 
 
+def site_of(url: Column) -> tuple[Column, Column]:
+    """(host, first part of the path) of a URL, both empty without ``://``."""
+    rest = F.when(F.instr(url, "://") > 0, F.substring(url, F.instr(url, "://") + 3, F.length(url))).otherwise(F.lit(""))
+    host = F.lower(F.regexp_extract(rest, "^[^/?#]*", 0))
+    return host, F.regexp_extract(rest, "^[^/?#]*(/[^/?#]*)", 1)
+
+
 def evidence(docs: DataFrame, weights: list[float] | None, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang") -> DataFrame:
-    """(id, host, path, evidence): the classifier's probability of quality."""
+    """(id, text_hash, host, path, evidence): the classifier's probability of
+    quality of each row."""
     w = np.array(weights) if weights is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,12 +82,12 @@ def evidence(docs: DataFrame, weights: list[float] | None, id_col: str = "doc_id
             if w is None or not batch.num_rows:
                 p = np.full(batch.num_rows, 0.5)
             else:
-                x = np.array([form(t.as_py() or "") for t in batch.column(3)])
+                x = np.array([form(t.as_py() or "") for t in batch.column(4)])
                 p = np.clip(sigmoid(x @ w[:-1] + w[-1]), 1e-4, 1 - 1e-4)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(p, pa.float64())], ["id", "host", "path", "evidence"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(p, pa.float64())], ["id", "text_hash", "host", "path", "evidence"])
 
-    cut = docs.select(F.col(id_col).alias("id"), *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((host_col, "host"), (path_col, "path"))), text_col)
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), T.StructField("evidence", T.DoubleType())])
+    cut = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((host_col, "host"), (path_col, "path"))), text_col)
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("text_hash", T.LongType()), T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), T.StructField("evidence", T.DoubleType())])
     return cut.mapInArrow(lean(run), schema)
 
 
@@ -127,20 +141,28 @@ def _bounded(p: Column) -> Column:
     return F.greatest(F.lit(0.001), F.least(F.lit(0.999), p))
 
 
-def judge(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", threshold: float = THRESHOLD, only: Column | None = None) -> DataFrame:
-    """(id, evidence, site, score, kept): ``site`` is the path's posterior."""
+def judged(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", url_col: str | None = None, threshold: float = THRESHOLD, only: Column | None = None) -> DataFrame:
+    """(id, text_hash, evidence, site, score, kept) of each row."""
+    if url_col:
+        host, path = site_of(F.col(url_col))
+        host_col, path_col = (next(n for k in range(len(docs.columns) + 1) if (n := f"{name}{k}") not in docs.columns) for name in ("host", "path"))
+        docs = docs.withColumns({host_col: host, path_col: path})
     weights, prior = fit(docs, labels, id_col, text_col, only=only)
     each = evidence(docs, weights, id_col, text_col, host_col, path_col)
     each = materialize(each, "evidence")
     known = materialize(sites(each), "sites")
-    placed = each.join(checked_broadcast(known, known.count()), ["host", "path"])
+    placed = each.join(checked_broadcast(known), ["host", "path"])
     odds = _logit(F.col("evidence")) - _logit(F.lit(min(max(prior, 0.001), 0.999))) + _logit(_bounded(F.col("posterior")))
     score = 1 / (1 + F.exp(-odds))
-    return placed.select(F.col("id").alias(id_col), "evidence", F.col("posterior").alias("site"), score.alias("score"), (score >= threshold).alias("kept"))
+    return placed.select("id", "text_hash", "evidence", F.col("posterior").alias("site"), score.alias("score"), (score >= threshold).alias("kept"))
+
+
+def judge(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", **settings) -> DataFrame:
+    """(id, evidence, site, score, kept): ``site`` is the path's posterior."""
+    return judged(docs, labels, id_col=id_col, **settings).select(F.col("id").alias(id_col), "evidence", "site", "score", "kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """``docs`` without the rejected ones, all columns as they were."""
-    id_col = settings.get("id_col", "doc_id")
-    gone = judge(docs, labels, **settings).where(~F.col("kept")).select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    return drop_ids(docs, materialize(gone, "rejected"), id_col)
+    gone = judged(docs, labels, **settings).where(~F.col("kept")).select("id", "text_hash").distinct()
+    return without_rows(docs, materialize(gone, "rejected"), settings.get("id_col", "doc_id"), settings.get("text_col", "text"))

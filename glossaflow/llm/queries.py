@@ -51,7 +51,7 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read(spark, sf_dir, "documents")).withColumn("probability", F.round("probability", 9))
+    return mixing.mix(read(spark, sf_dir, "documents")).withColumn("probability", F.round("probability", 6))
 
 
 QUERIES = {

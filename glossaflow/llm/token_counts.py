@@ -12,12 +12,14 @@ Cases: a null text counts as empty (no tokens); special strings inside a text
 are special tokens, as is the library's default; texts with characters whose
 class differs between Unicode versions go to the library whole; very long
 texts are taken in pieces that split no pre-token. Repeated rows are counted
-each on its own. Extra columns are ignored.
+each on its own. An empty table gives an empty result. Extra columns are
+ignored.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -132,19 +134,25 @@ class Counter:
         return sum(map(self.spaced.__getitem__, words))
 
 
-@cache
-def _counter(path: str, pattern: str, key: int, table) -> Counter:
-    return Counter(path, pattern, table.value)
+_LAST: dict[str, tuple] = {}
+
+
+def _counter(path: str, pattern: str, name: str, table) -> Counter:
+    """The worker's counter; one is kept, for the call that came last."""
+    if _LAST.get("name") != name:
+        _LAST.clear()
+        _LAST.update(name=name, counter=Counter(path, pattern, table.value))
+    return _LAST["counter"]
 
 
 def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, path: str | None = None, pattern: str | None = None, limit: int = TOKEN_LIMIT, frequent: Iterable[str] = ()) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) of every text; a pure map."""
     path, pattern = path or default_path(), pattern or default_pattern()
     table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(path, frequent))
-    key = id(table)
+    name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(path, pattern, key, table)
+        counter = _counter(path, pattern, name, table)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             tokens = [counter.count(t) for t in texts]

@@ -13,9 +13,11 @@ the driver from at most ``labelled.SAMPLE_ROWS`` labelled rows and at most
 a broadcast of that size.
 
 Cases: null texts count as empty and get the score of a text without known
-words; without labels of both kinds every score is the labels' own share (0
-without any); repeated words count once, so repeated text changes nothing; an
-empty table gives an empty result. Extra columns are ignored; labels, language,
+words; very long texts are read whole; without labels of both kinds every
+score is the labels' own share (0 without any); repeated words count once, so
+repeated text changes nothing; repeated rows are scored each on its own; words
+equally telling are chosen in alphabetical order; a score equal to the
+threshold is toxic; an empty table gives an empty result. Extra columns are ignored; labels, language,
 source and id are never inputs of a score.
 """
 
@@ -175,8 +177,8 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, *, kinds: Mapping[str, Sequence[str]] = IDENTITY, penalty: float = PENALTY) -> DataFrame:
     """(id, held_out, score, predicted), trained on what is not held out."""
-    model = train(docs, labels, id_col=id_col, text_col=text_col, only=~held_out(F.col(id_col)))
+    model = train(docs, labels, id_col=id_col, text_col=text_col, only=~held_out(F.col(id_col)), kinds=kinds, penalty=penalty)
     scored = score(docs, model, id_col, text_col)
     return scored.select(id_col, held_out(F.col(id_col)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -123,7 +123,7 @@ def score(judged: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame:
     Repeats of a string count several times in its mean, which leaves the mean
     as it is and needs no distinct beforehand.
     """
-    known = checked_broadcast(model, model.count())
+    known = checked_broadcast(model)
     return judged.select("symbols", F.explode(grams(F.col("symbols"), order)).alias("gram")).join(known, "gram").groupBy("symbols").agg(F.avg("gain").alias("ratio"))
 
 

@@ -51,8 +51,52 @@ def test_resampling_keeps_a_tone():
 def test_segments_have_hysteresis():
     s = audio.Settings()
     levels = np.array([-60, -20, -25, -29, -31, -25, -20, -60.0])
-    assert audio.segments(iter([levels[:3], levels[3:]]), s) == [(1, 4), (6, 7)]
-    assert audio.segments(iter([np.array([-10.0, -25.0])]), s) == [(0, 2)]
+    for blocks, found in (([levels[:3], levels[3:]], [(1, 4), (6, 7)]), ([np.array([-10.0, -25.0])], [(0, 2)])):
+        sound = audio.Segments(s)
+        for block in blocks:
+            sound.add(block)
+        assert sound.all() == found
+
+
+def test_features_equal_direct_sums(frame, monkeypatch):
+    """Resampling, filterbank and energy of whole payloads, sum by sum."""
+    s = audio.Settings()
+    taps = s.taps
+    t = np.arange(taps) - (taps - 1) / 2
+    h = np.sinc(t / 2) / 2 * np.hamming(taps)
+    h /= h.sum()
+    monkeypatch.setattr(audio, "BATCH_BYTES", 2_000)
+    rows = [(i, "some words " * n) for i, n in ((1, 3), (2, 150), (3, 400), (4, 1))]
+    got = {r["doc_id"]: r for r in audio.features(audio.store(audio.of_texts(frame(rows)))).collect()}
+    for i, text in rows:
+        data = text.encode()
+        data += b" " * (-len(data) % 192)
+        x = (np.frombuffer(data, np.uint8).astype(float) - 128) / 128
+        n = max(s.frame, -(-len(x) // 2))
+        frames = 1 + max(0, -(-(n - s.frame) // s.hop))
+        total = (frames - 1) * s.hop + s.frame
+        y = np.array([sum(h[taps - 1 - k] * x[j] for k in range(taps) if 0 <= (j := 2 * m - (taps - 1) // 2 + k) < len(x)) for m in range(total)])
+        mel = 700 * (10 ** (np.linspace(0, 2595 * np.log10(1 + s.rate / 4 / 700), s.bands + 2) / 2595) - 1)
+        bins = np.arange(s.frame // 2 + 1) * s.rate / 2 / s.frame
+        table, energies = [], []
+        for f in range(frames):
+            w = y[f * s.hop : f * s.hop + s.frame]
+            energies.append(10 * np.log10(max(0.0, float(np.mean(w**2) - np.mean(w) ** 2)) + 1e-10))
+            wave = w * np.hanning(s.frame)
+            power = [abs(sum(wave * np.exp(-2j * np.pi * k * np.arange(s.frame) / s.frame))) ** 2 for k in range(s.frame // 2 + 1)]
+            row = []
+            for b in range(s.bands):
+                low, mid, high = mel[b : b + 3]
+                row.append(np.log(sum(p * max(0.0, min((f0 - low) / (mid - low), (high - f0) / (high - mid))) for p, f0 in zip(power, bins, strict=True)) + 1e-10))
+            table.append(row)
+        table, sound = np.array(table), audio.Segments(s)
+        sound.add(np.array(energies))
+        spans = sound.all()
+        counts, means = got[i]["feature"].split("|")[:3], [float(v) for v in got[i]["feature"].split("|")[3].split(",")]
+        assert counts == [str(frames), str(len(spans)), str(sum(b - a for a, b in spans))]
+        assert np.allclose(means, [*table.mean(0), *table.std(0)], atol=2e-4)
+        tensor = audio.read_tensor(bytes(got[i]["tensor"])).reshape(-1, s.bands)[:frames]
+        assert np.allclose(tensor, table, atol=2e-2)
 
 
 def pages(spark, rows):

@@ -73,6 +73,23 @@ def test_odd_texts(frame, odd_texts):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "None"]
 
 
+def test_rows_are_dropped_not_ids(spark):
+    a, b = "the first text of them all is this one here", "quite another text with words of its own to say"
+    near = a + " now"
+
+    def left(rows):
+        docs = spark.createDataFrame([(i, t, "x", "y", "z") for i, t in rows], "doc_id long, text string, component_id string, id string, doc string")
+        out = neardup.keep_one(docs, percent=80)
+        assert out.columns == docs.columns
+        return sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+
+    assert left([(1, a), (2, a), (2, b)]) == [(1, a), (2, b)]
+    assert left([(1, a), (1, a)]) == [(1, a)]
+    assert left([(1, a), (1, a), (2, near), (2, b), (2, b), (3, near)]) == [(1, a), (2, b)]
+    assert len(left([(1, a), (1, near), (2, a)])) == 1
+    assert left([(None, a), (1, a), (None, a), (2, None), (2, None)]) == sorted([(None, a), (None, a), (1, a), (2, None), (2, None)], key=str)
+
+
 def test_the_threshold_is_a_parameter(spark, frame):
     import corpus_pipeline
 
