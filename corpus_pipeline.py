@@ -2,18 +2,26 @@
 
 Each stage takes (spark, docs, sf_dir) and returns the documents it keeps; the
 last returns their token ids. A stage's output is written before the next one
-reads it, so a lost executor costs a part of one stage. Null texts count as
-empty, an empty table passes through all stages, and all columns of the
-documents are kept up to the last stage.
+reads it, so a lost executor costs a part of one stage; what a stage wrote for
+itself is deleted then.
+
+Cases: null and empty texts stay until mixing, which keeps no document without
+tokens; very long texts are read whole in every stage; rows with a null id are
+judged as others are, but are no near copies; rows that repeat an id are judged
+each by its own text, and of rows equal in id and text one stays; of near
+copies the smallest id stays; all columns of the documents, of any name, are
+kept up to the last stage; an empty table passes through all stages.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossaflow.llm import bpe, lines, mixing, neardup, quality
-from glossaflow.llm.common import materialize, read
+from glossaflow.llm.common import read, scratch, shared_dir
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,5 +69,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = f"{shared_dir(spark)}/glossaflow/stage-{name}-{uuid.uuid4().hex}"
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
