@@ -15,6 +15,7 @@ from glossaflow.operators import entries as en
 from glossaflow.operators import layout, lexicon, merge, quality, sections
 from glossaflow.plans import dictionary, reference_book, samples
 from glossaflow.plans.samples import ARABIC_LETTERS, LATIN_LETTERS
+from glossaflow.shared import materialize
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -287,31 +288,33 @@ def classify_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four chunks of documents: first words as term, language as definition."""
+    """Four chunks of lines as terms, with their language as definition."""
     docs = _table(spark, sf_dir, "documents")
-    term = F.concat(F.lit(" "), F.substring_index("text", " ", 3))
-    definition = F.when(F.col("doc_id") % 10 == 0, "").otherwise(F.col("lang"))
-    return docs.select((F.col("doc_id") % 4).alias("chunk"), "doc_id", term.alias("term"), definition.alias("definition"), F.col("source").alias("source_file"))
+    lines = docs.select((F.col("doc_id") % 4).alias("chunk"), "doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return lines.select("chunk", "doc_id", "line_no", F.concat(F.lit(" "), "line").alias("term"), F.col("lang").alias("definition"), F.col("source").alias("source_file"))
 
 
-CHUNKS = f"""chunks AS (SELECT doc_id % 4 AS chunk, doc_id, {_strip("' ' || array_to_string(string_split(text, ' ')[1:3], ' ')")} AS term,
-  CASE WHEN doc_id % 10 = 0 THEN '' ELSE lang END AS definition, source AS source_file FROM documents)"""
+_CHUNK_ORDER = ["chunk", "doc_id", "line_no"]
+CHUNKS = f"""raw AS (SELECT doc_id % 4 AS chunk, doc_id, lang, source, unnest(range(len(l)))::INT AS line_no, unnest(l) AS line
+  FROM (SELECT doc_id, lang, source, string_split(text, chr(10)) AS l FROM documents)),
+chunks AS (SELECT chunk, doc_id, line_no, {_strip("line")} AS term, lang AS definition, source AS source_file, line FROM raw)"""
 
 
 @_query("merge_chunks_named", f"""WITH {CHUNKS}, firsts AS (SELECT * FROM chunks WHERE term <> '' AND definition <> ''
-  QUALIFY row_number() OVER (PARTITION BY lower(term), definition ORDER BY chunk, doc_id) = 1)
-SELECT row_number() OVER (ORDER BY chunk, doc_id) AS id, term, definition, source_file FROM firsts""")
+  QUALIFY row_number() OVER (PARTITION BY lower(term), definition ORDER BY chunk, doc_id, line_no) = 1)
+SELECT row_number() OVER (ORDER BY chunk, doc_id, line_no) AS id, term, definition, source_file FROM firsts""")
 def merge_chunks_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _chunks(spark, sf_dir)
-    return merge.merge_named(merge.union_all([rows.where(F.col("chunk") == k) for k in range(4)]), ["chunk", "doc_id"])
+    return merge.merge_named(merge.union_all([rows.where(F.col("chunk") == k) for k in range(4)]), _CHUNK_ORDER)
 
 
-@_query("merge_chunks_positional", f"""WITH {CHUNKS}, firsts AS (SELECT * FROM chunks WHERE doc_id % 7 <> 0
-  QUALIFY row_number() OVER (PARTITION BY lower(term), definition ORDER BY chunk, doc_id) = 1)
-SELECT row_number() OVER (ORDER BY chunk, doc_id) AS id, term AS "English", definition AS "Arabic" FROM firsts""")
+@_query("merge_chunks_positional", f"""WITH {CHUNKS}, cut AS (SELECT *, string_split(line, ', ') AS c FROM chunks),
+wide AS (SELECT *, {_strip("c[2]")} AS e, {_strip("c[3]")} AS a FROM cut WHERE len(c) >= 3),
+firsts AS (SELECT * FROM wide QUALIFY row_number() OVER (PARTITION BY lower(e), a ORDER BY chunk, doc_id, line_no) = 1)
+SELECT row_number() OVER (ORDER BY chunk, doc_id, line_no) AS id, e AS "English", a AS "Arabic" FROM firsts""")
 def merge_chunks_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = F.when(F.col("doc_id") % 7 == 0, F.array("term")).otherwise(F.array(F.col("doc_id").cast("string"), "term", "definition"))
-    return merge.merge_positional(_chunks(spark, sf_dir).withColumn("cells", cells), ["chunk", "doc_id"])
+    """Lines cut at commas: those of fewer than three cells are short rows."""
+    return merge.merge_positional(_chunks(spark, sf_dir).withColumn("cells", F.split("term", ", ")), _CHUNK_ORDER)
 
 
 # --- structure ---------------------------------------------------------------
@@ -383,9 +386,11 @@ def ocr_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.confident(_boxes(spark, sf_dir)).select("pdf", "page", "pos", "text", "conf")
 
 
-@_query("page_range", f"WITH {BOXES} SELECT pdf, page, count(*) AS boxes FROM boxes WHERE page >= 6 AND page < 9 GROUP BY pdf, page")
+@_query("page_range", f"WITH {BOXES} SELECT pdf, page // 3 AS chunk, count(*) AS boxes, count(DISTINCT page) AS pages FROM boxes GROUP BY pdf, page // 3")
 def page_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.page_range(_boxes(spark, sf_dir), chunk_size=3, chunk=2).groupBy("pdf", "page").agg(F.count("*").alias("boxes"))
+    """Every chunk of three pages."""
+    boxes = _boxes(spark, sf_dir)
+    return boxes.groupBy("pdf", layout.page_chunk(F.col("page"), 3).alias("chunk")).agg(F.count("*").alias("boxes"), F.countDistinct("page").alias("pages"))
 
 
 @_query("column_split", f"WITH {BOXES} SELECT pdf, page, CASE WHEN x + 20 < 500 THEN 0 ELSE 1 END AS col, CASE WHEN x + 20 < 420 THEN 0 ELSE 1 END AS col_by_gutter, count(*) AS boxes FROM boxes GROUP BY ALL")
@@ -419,11 +424,8 @@ for _name, (_p, _numbered, _arabic) in _ENTRY_VARIANTS.items():
         return dictionary.dictionary(_boxes(spark, sf_dir), dictionary.Options(profile, numbered=numbered, arabic_first=arabic))
 
 
-_HEAD = "array_to_string(string_split(raw, ' ')[1:3], ' ')"
-
-
 @_query("text_layer_entries", f"""WITH raw AS (SELECT doc_id AS pdf, unnest(range(len(l)))::INT AS i, unnest(l) AS raw FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
-t AS (SELECT pdf, i // 4 AS page, i, {_strip(f"CASE WHEN i % 3 = 0 THEN {_HEAD} || ' ' || {_ARABIZE.format(_HEAD)} WHEN i % 3 = 1 THEN {_ARABIZE.format('raw')} ELSE raw END")} AS text FROM raw),
+t AS (SELECT pdf, i // 4 AS page, i, {_strip(f"CASE WHEN i % 3 = 0 THEN raw || ' ' || {_ARABIZE.format('raw')} WHEN i % 3 = 1 THEN {_ARABIZE.format('raw')} ELSE raw END")} AS text FROM raw),
 k AS (SELECT *, regexp_matches(text, '[A-Za-z]') AS l, regexp_matches(text, '{AR}') AS r FROM t),
 runs AS (SELECT *, list_transform(regexp_extract_all(text, '({AR}+(?:{S}+{AR}+)*|[^{AR[1:-1]}]+)'), lambda x: {_strip('x')}) AS p FROM k WHERE l OR r),
 sides AS (SELECT pdf, page, i, l AND r AS two,
@@ -436,14 +438,15 @@ def text_layer_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return en.fold_text_lines(samples.bilingual_lines(_table(spark, sf_dir, "documents")))
 
 
-@_query("dual_pass", f"""WITH {BOXES}, one AS (SELECT * FROM boxes WHERE pos % 3 <> 1 AND regexp_matches(text, '[A-Za-z]')),
-two AS (SELECT * FROM boxes WHERE pos % 2 = 1 AND regexp_matches(text, '{AR}')),
-near AS (SELECT * FROM two t WHERE NOT EXISTS (SELECT 1 FROM one o WHERE o.pdf = t.pdf AND o.page = t.page AND abs(o.x - t.x) < 20 AND abs(o.y - t.y) < 20)),
-taken AS (SELECT pdf, page, x, y, text FROM one UNION SELECT pdf, page, x, y, text FROM near)
-SELECT * FROM taken UNION SELECT pdf, page, x, y, text FROM boxes""")
+@_query("dual_pass", f"""WITH {BOXES}, one AS (SELECT * FROM boxes WHERE regexp_matches(text, '[A-Za-z]')),
+two AS (SELECT * FROM boxes WHERE regexp_matches(text, '{AR}')),
+near AS (SELECT * FROM two t WHERE NOT EXISTS (SELECT 1 FROM one o WHERE o.pdf = t.pdf AND o.page = t.page AND o.x > t.x - 20 AND o.x < t.x + 20 AND abs(o.y - t.y) < 20)),
+tagged AS (SELECT pdf, page, x, y, text, 1 AS scan FROM one UNION ALL SELECT pdf, page, x, y, text, 2 FROM near UNION ALL SELECT pdf, page, x, y, text, 3 FROM boxes)
+SELECT pdf, page, x, y, text, min(scan)::INT AS scan FROM tagged GROUP BY pdf, page, x, y, text""")
 def dual_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same boxes as all three scans."""
     boxes = _boxes(spark, sf_dir)
-    return layout.dual_pass(boxes.where("pos % 3 <> 1"), boxes.where("pos % 2 = 1"), boxes).select("pdf", "page", "x", "y", "text")
+    return layout.dual_pass(boxes, boxes, boxes).select("pdf", "page", "x", "y", "text", "scan")
 
 
 def _ink(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -521,15 +524,20 @@ def lexicon_known(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rare_and_common(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    # One byte a letter, as the SQL engine's edit distance counts bytes.
-    docs = _table(spark, sf_dir, "documents").select(F.regexp_replace("text", "[^\n -~]", "x").alias("text"))
-    freq = lexicon.word_frequencies(docs)
-    return freq.where("freq = 2 and length(word) >= 6").select(F.col("word").alias("token")), freq.where("freq >= 20 and length(word) >= 4")
-
-
-@_query("spell_edits", f"""WITH {FREQ.replace("lower(text)", "lower(regexp_replace(text, '[^' || chr(10) || ' -~]', 'x', 'g'))")}, rare AS (SELECT word AS token FROM freq WHERE freq = 2 AND length(word) >= 6), lex AS (SELECT word, freq FROM freq WHERE freq >= 20 AND length(word) >= 4)
-SELECT token, word, levenshtein(token, word)::INT AS edits FROM rare JOIN lex ON abs(length(token) - length(word)) <= 1 AND levenshtein(token, word) <= 1
-QUALIFY row_number() OVER (PARTITION BY token ORDER BY levenshtein(token, word), freq DESC, word) = 1""")
+    """Every word that is not in the lexicon, and the lexicon: words that
+    occur 20 times or more."""
+    freq = _frequencies(spark, sf_dir)
+    return freq.where("freq < 20 and length(word) >= 3").select(F.col("word").alias("token")), freq.where("freq >= 20")
+
+
+#: One edit: a letter more, a letter less, or another letter at one place.
+@_query("spell_edits", f"""WITH {FREQ}, cut AS (SELECT word, freq, i, word[:i - 1] || word[i + 1:] AS less FROM (SELECT word, freq, unnest(range(1, length(word) + 1)) AS i FROM freq)),
+rare AS (SELECT word AS token FROM freq WHERE freq < 20 AND length(word) >= 3), lex AS (SELECT word, freq FROM freq WHERE freq >= 20),
+pairs AS (
+  SELECT r.token, l.word, l.freq FROM rare r JOIN cut c ON c.word = r.token JOIN lex l ON l.word = c.less
+  UNION SELECT r.token, c.word, c.freq FROM rare r JOIN cut c ON c.less = r.token AND c.freq >= 20
+  UNION SELECT r.token, c.word, c.freq FROM rare r JOIN cut d ON d.word = r.token JOIN cut c ON c.less = d.less AND c.i = d.i AND c.freq >= 20)
+SELECT token, word, 1 AS edits FROM pairs QUALIFY row_number() OVER (PARTITION BY token ORDER BY freq DESC, word) = 1""")
 def spell_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon.nearest_by_edits(*_rare_and_common(spark, sf_dir))
 
@@ -540,21 +548,45 @@ def spell_correct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon.correct_tokens(rare, common)
 
 
+@_query("correct_texts")
+def correct_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text corrected token by token, each by its own script: the words
+    that occur 20 times or more are right, in both scripts."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("text")).otherwise(samples.to_arabic(F.col("text"))).alias("text"))
+    found = lexicon.lexicon_of(docs, "text", "text").where("freq >= 20")
+    return lexicon.correct_text(docs, materialize(found, "lexicon"), ["doc_id"], lang=None, profile="v4")
+
+
+@_query("lexicon_load", f"""WITH t AS (SELECT unnest(list_filter(regexp_split_to_array(text || ' ' || {_ARABIZE.format('text')} || ' ' || regexp_replace({_ARABIZE.format('text')}, 'ا', 'أ', 'g'), '{S}+'), lambda t: t <> '')) AS w FROM documents)
+SELECT lang, word, count(*) AS freq FROM (SELECT 'english' AS lang, lower(w) AS word FROM t WHERE regexp_matches(w, '[A-Za-z]')
+  UNION ALL SELECT 'arabic', trim(translate(w, 'آأإؤئى' || chr(1648) || '\u064b\u064c\u064d\u064e\u064f\u0650\u0651\u0652', 'اااويي')) FROM t WHERE regexp_matches(w, '{AR}')) GROUP BY lang, word""")
+def lexicon_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides of entries whose cells hold words of both scripts."""
+    arabic = samples.to_arabic(F.col("text"))
+    both = F.concat_ws(" ", "text", arabic, F.replace(arabic, F.lit("ا"), F.lit("أ")))
+    return lexicon.lexicon_of(_table(spark, sf_dir, "documents").select(both.alias("english"), both.alias("arabic")))
+
+
 @_query("similarity_ratio")
 def similarity_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.clean(F.col("text")).alias("text"))
-    pair = turns.join(turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")), ["conv_id", "turn"])
-    a, b = F.substring_index("text", " ", 12), F.substring_index("answer", " ", 12)
-    return pair.select("conv_id", "turn", sim.guarded_ratio(a, b).alias("ratio"), sim.letter_bound(a, b).alias("bound"))
+    """Each distinct pair of words that follow each other in a turn."""
+    words = _table(spark, sf_dir, "conversations").select(tx.words(F.lower("text")).alias("w"))
+    pairs = words.select(F.explode(F.arrays_zip(F.expr("slice(w, 1, greatest(size(w) - 1, 0))").alias("a"), F.expr("slice(w, 2, size(w))").alias("b"))).alias("p")).select("p.a", "p.b").distinct()
+    a, b = F.col("a"), F.col("b")
+    return pairs.select("a", "b", sim.guarded_ratio(a, b).alias("ratio"), sim.letter_bound(a, b).alias("bound"))
+
+
+_SENTENCES = "list_filter(list_transform(regexp_split_to_array(text, '[.!?\\n]+'), lambda x: trim(x)), lambda x: x <> '')"
 
 
-@_query("gold_eval", f"""WITH ours AS (SELECT lower(array_to_string(string_split(text, ' ')[1:3], ' ')) AS t, lang AS d FROM documents WHERE doc_id % 3 <> 0),
-gold AS (SELECT lower(array_to_string(string_split(text, ' ')[1:3], ' ')) AS t, lang AS d FROM documents WHERE doc_id % 2 = 0),
+@_query("gold_eval", f"""WITH ours AS (SELECT lower(unnest({_SENTENCES})) AS t, lang AS d FROM documents),
+gold AS (SELECT lower(unnest({_SENTENCES})) AS t, 'en' AS d FROM benchmark),
 c AS (SELECT count(*) AS gold_rows, count(*) FILTER (t IN (SELECT t FROM ours)) AS shared_terms, count(*) FILTER ((t, d) IN (SELECT t, d FROM ours)) AS exact_pairs FROM gold)
 SELECT gold_rows, (SELECT count(*) FROM ours) AS output_rows, shared_terms, exact_pairs, shared_terms / gold_rows AS shared_share, exact_pairs / gold_rows AS exact_share FROM c""")
 def gold_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = _table(spark, sf_dir, "documents").select("doc_id", F.substring_index("text", " ", 3).alias("term"), F.col("lang").alias("definition"))
-    return lexicon.overlap(pairs.where("doc_id % 3 <> 0"), pairs.where("doc_id % 2 = 0"))
+    """Sentences of the documents against those of the benchmark."""
+    cut = lambda name, lang: _table(spark, sf_dir, name).select(F.explode(F.split("text", "[.!?\n]+")).alias("term"), lang.alias("definition")).withColumn("term", F.btrim("term")).where("term <> ''")
+    return lexicon.overlap(cut("documents", F.col("lang")), cut("benchmark", F.lit("en")))
 
 
 # --- reports -----------------------------------------------------------------

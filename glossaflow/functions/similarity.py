@@ -1,24 +1,54 @@
-"""Ratcliff-Obershelp similarity, and native bounds above it.
+"""Ratcliff-Obershelp similarity as column expressions, and bounds above it.
 
-The ratio has no native form and runs in an Arrow-batched function. The bounds
-are native, never below the ratio, and leave it few pairs to look at.
+All is native. The bounds are cheap, never below the ratio, and leave it few
+pairs to look at.
 """
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
 
-@pandas_udf(T.DoubleType())
-def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+def _longest(a: Column, b: Column) -> Column:
+    """(n, -i): the longest common substring, the first in ``a`` of these; null
+    if there is none."""
+    starts = F.sequence(F.lit(1), F.length(a))
+    ends = lambda i: F.sequence(F.lit(1), F.length(a) - i + 1)
+    held = lambda i, n: F.when(F.instr(b, F.substring(a, i, n)) > 0, F.struct(n.alias("n"), (-i).alias("i")))
+    return F.array_max(F.flatten(F.transform(starts, lambda i: F.transform(ends(i), lambda n: held(i, n)))))
+
+
+def matched(a: Column, b: Column) -> Column:
+    """Letters in matching blocks: the longest common substring, and the same
+    to both sides of it. Open pieces are kept in a list; each step takes one,
+    so two steps for each letter of the shorter text are enough. Meant for
+    words: a step looks at all substrings of its piece."""
+    piece = lambda x, y: F.struct(x.alias("a"), y.alias("b"))
+    start = F.struct(F.filter(F.array(piece(a, b)), lambda p: (p["a"] != "") & (p["b"] != "")).alias("open"), F.lit(0).alias("n"))
+
+    def cut(x: Column, y: Column, m: Column) -> Column:
+        i, n = -m["i"], m["n"]
+        j = F.instr(y, F.substring(x, i, n))
+        rest = F.array(piece(F.substring(x, F.lit(1), i - 1), F.substring(y, F.lit(1), j - 1)), piece(F.substring(x, i + n, F.length(x)), F.substring(y, j + n, F.length(y))))
+        return F.filter(rest, lambda p: (p["a"] != "") & (p["b"] != ""))
+
+    def step(s: Column, _: Column) -> Column:
+        # A list of one is how an expression is named within another.
+        found = F.transform(F.slice(s["open"], 1, 1), lambda p: F.struct(p.alias("p"), _longest(p["a"], p["b"]).alias("m")))
+        hits = F.filter(found, lambda f: f["m"].isNotNull())
+        more = F.flatten(F.transform(hits, lambda f: cut(f["p"]["a"], f["p"]["b"], f["m"])))
+        n = F.aggregate(hits, F.lit(0), lambda t, f: t + f["m"]["n"])
+        rest = F.filter(s["open"], lambda _, k: k > 0)
+        return F.when(F.size(s["open"]) == 0, s).otherwise(F.struct(F.concat(rest, more).alias("open"), (s["n"] + n).alias("n")))
+
+    steps = F.sequence(F.lit(0), F.least(F.length(a), F.length(b)) * 2)
+    return F.aggregate(steps, start, step, lambda s: s["n"])
+
+
+def ratio(a: Column, b: Column) -> Column:
     """Similarity of ``a`` to ``b``; the order of the arguments matters."""
-    return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+    return F.coalesce(2.0 * matched(a, b) / F.nullif(F.length(a) + F.length(b), F.lit(0)), F.lit(1.0))
 
 
 def guarded_ratio(a: Column, b: Column) -> Column:
@@ -30,22 +60,34 @@ def length_bound(a: Column, b: Column) -> Column:
     return 2.0 * F.least(F.length(a), F.length(b)) / (F.length(a) + F.length(b))
 
 
-def letter_mask(text: Column) -> Column:
-    """The letters of a text as bits of one number, 64 classes of them."""
-    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.ascii(c) % 64).cast("int"))
-    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0).cast("bigint"), lambda s, c: s.bitwiseOR(bit(c)))
-
-
-def mask_bound(a: Column, b: Column, mask_a: Column, mask_b: Column) -> Column:
-    """Letters that the other side lacks altogether match nothing."""
-    left = lambda text, ours, theirs: F.length(text) - F.bit_count(ours.bitwiseAND(F.bitwise_not(theirs)))
-    return 2.0 * F.least(left(a, mask_a, mask_b), left(b, mask_b, mask_a)) / (F.length(a) + F.length(b))
-
-
 def letter_bound(a: Column, b: Column) -> Column:
     """Twice the letters in common, in any order, over all letters."""
     letters = F.array_distinct(F.split(a, ""))
     times = lambda text, c: F.length(text) - F.length(F.replace(text, c, F.lit("")))
-    # Only letters beyond the basic plane are longer than one; none are here.
     common = F.aggregate(letters, F.lit(0), lambda s, c: s + F.when(c == "", 0).otherwise(F.least(times(a, c), times(b, c))))
     return 2.0 * common / (F.length(a) + F.length(b))
+
+
+def unmatched(length: int, threshold: float, gap: int) -> int:
+    """The most letters that a word of ``length`` can have outside the matching
+    blocks with a word at most ``gap`` longer or shorter, if their ratio is
+    ``threshold`` or more."""
+    most = 0
+    for g in range(-min(gap, length - 1), gap + 1):
+        both = int((1 - threshold) * (2 * length + g) + 1e-9)
+        if both >= abs(g):
+            most = max(most, (both - g) // 2)
+    return most
+
+
+def without(word: Column, letters: Column, most: int) -> Column:
+    """``word`` with up to ``letters`` (``most`` at most) of its letters left
+    out, in all ways. Matching blocks are in one order in both words, so two
+    words share what is left when the unmatched letters of each are out."""
+    less = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
+    none = F.array().cast("array<string>")
+    levels = [F.array(word)]
+    for k in range(1, most + 1):
+        fewer = F.array_distinct(F.flatten(F.transform(F.filter(levels[-1], lambda w: w != ""), less)))
+        levels.append(F.when(letters >= k, fewer).otherwise(none))
+    return F.concat(*levels)

@@ -138,9 +138,10 @@ def segment_line(line: Column, *, strict: bool = True) -> tuple[Column, Column]:
     machine is reproduced in which a run is only closed at a non-blank buffer
     and a first letter can be left behind.
     """
-    other = f"[^{tx.ARABIC[1:-1]}]"
     if strict:
-        runs = F.regexp_extract_all(line, F.lit(f"({tx.ARABIC}+(?:{tx.SPACE}+{tx.ARABIC}+)*|{other}+)"), 1)
+        # Runs are trimmed below. No group is repeated, so that very long lines
+        # need no deep stack.
+        runs = F.regexp_extract_all(line, F.lit(f"({tx.ARABIC}[{tx.ARABIC[1:-1]}{tx.SPACE[1:-1]}]*+|[^{tx.ARABIC[1:-1]}]++)"), 1)
     else:
         runs = _machine(line)
     runs = F.transform(runs, tx.strip)

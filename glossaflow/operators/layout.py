@@ -36,6 +36,11 @@ def page_range(pages: DataFrame, start: int = 0, end: int | None = None, *, chun
     return kept if end is None else kept.where(F.col(page) < end)
 
 
+def page_chunk(page: Column, size: int, start: int = 0) -> Column:
+    """The chunk of ``size`` pages that a page is in, as for page_range."""
+    return F.floor((page - start) / size)
+
+
 def split_by_ratio(x: Column, w: Column, width: Column, ratio: float = GUTTER_RATIO) -> Column:
     """0 (left) or 1 (right) by a box's middle; no width is all left."""
     middle = x + F.floor(w / 2)
@@ -73,28 +78,35 @@ def line_buckets(words: DataFrame, keys: Sequence[str] = ("pdf", "page"), height
 
 
 def dual_pass(english: DataFrame, arabic: DataFrame, combined: DataFrame, keys: Sequence[str] = ("pdf", "page"), near: int = NEAR) -> DataFrame:
-    """The union of three passes over the same pages.
+    """The union of three passes over the same pages, with ``scan``, the pass
+    that a box is from.
 
     Latin boxes of the first pass, Arabic boxes of the second with no Latin box
     closer than ``near`` in both directions, and from the third what is not
-    there yet. Closeness is an equi-join on a grid of ``near`` pixels and its
-    neighbours; boxes that meet in the grid are then measured.
+    there yet. Closeness is an equi-join on a grid of ``near`` pixels, each
+    Arabic box at its own and the neighbouring squares; boxes that meet are then
+    measured. Of boxes of one place and text the earliest pass counts, of these
+    the last by ``pos``.
     """
-    place = [*keys, "x", "y", "text"]
-    one = english.where(tx.has_latin(F.col("text"))).dropDuplicates(place)
-    two = arabic.where(tx.has_arabic(F.col("text"))).dropDuplicates(place)
-    grid = [F.floor(F.col(c) / near).cast("bigint") for c in ("x", "y")]
-    around = one.select(*keys, F.col("x").alias("x1"), F.col("y").alias("y1"), F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("dx"))
-    around = around.withColumn("dy", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
-    around = around.withColumns({"gx": F.floor(F.col("x1") / near).cast("bigint") + F.col("dx"), "gy": F.floor(F.col("y1") / near).cast("bigint") + F.col("dy")}).drop("dx", "dy")
-    here = two.withColumns({"gx": grid[0], "gy": grid[1]})
-    same = [here[k].eqNullSafe(around[k]) for k in keys] + [here["gx"] == around["gx"], here["gy"] == around["gy"], F.abs(here["x"] - around["x1"]) < near, F.abs(here["y"] - around["y1"]) < near]
-    clear = here.join(around, same, "left_anti").drop("gx", "gy")
-    taken = one.unionByName(clear)
-    # A box of both passes counts once.
-    taken = taken.dropDuplicates(place)
-    rest = combined.dropDuplicates(place).join(taken.select(*place), place, "left_anti")
-    return taken.unionByName(rest)
+    columns = [c for c in english.columns if c in arabic.columns and c in combined.columns]
+    one = english.where(tx.has_latin(F.col("text"))).select(*columns)
+    two = arabic.where(tx.has_arabic(F.col("text"))).select(*columns)
+    grid = lambda c: F.floor(F.col(c) / near).cast("bigint")
+    cell = [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"_{k}") for k in keys]
+    here = one.select(*cell, F.col("x").alias("x1"), F.col("y").alias("y1"), grid("x").alias("gx"), grid("y").alias("gy")).distinct()
+    # Only squares that a box within reach can be in: four at most.
+    squares = lambda c: F.sequence(F.floor((F.col(c) - (near - 1)) / near).cast("bigint"), F.floor((F.col(c) + (near - 1)) / near).cast("bigint"))
+    around = two.select(*cell, "x", "y", F.explode(squares("x")).alias("gx")).distinct().select("*", F.explode(squares("y")).alias("gy"))
+    close = (F.abs(F.col("x") - F.col("x1")) < near) & (F.abs(F.col("y") - F.col("y1")) < near)
+    place = [f"_{k}" for k in keys]
+    met = around.join(here, [*place, "gx", "gy"]).where(close).select(*place, "x", "y").distinct().withColumn("met", F.lit(True))
+    clear = two.select("*", *cell).join(met, [*place, "x", "y"], "left_anti").select(*columns)
+    tagged = [df.select(*columns, F.lit(n).alias("scan")) for n, df in ((1, one), (2, clear), (3, combined))]
+    rest = [c for c in columns if c not in (*keys, "x", "y", "text")]
+    both = tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+    last = F.min_by(F.struct("scan", *rest), F.struct("scan", *([-F.col("pos")] if "pos" in rest else [])))
+    held = both.groupBy(*keys, "x", "y", "text").agg(last.alias("_b"))
+    return held.select(*(F.col(f"_b.{c}").alias(c) if c in rest else c for c in columns), "_b.scan")
 
 
 def column_profile(ink: DataFrame, keys: Sequence[str] = ("pdf", "page")) -> DataFrame:

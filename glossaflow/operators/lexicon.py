@@ -1,9 +1,9 @@
 """Lexicons, word frequencies and conservative spelling correction.
 
-Correction looks at distinct unknown tokens only. A token meets the lexicon's
-words of nearly its length, which is an equi-join on the length; native bounds
-leave few pairs for the exact similarity. The corrections are joined back and
-texts are put together in their old order.
+Correction looks at distinct unknown tokens only. A token meets the words that
+equal it once a few letters of both are left out; native bounds leave few pairs
+for the exact similarity. The corrections are joined back and texts are put
+together in their old order.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ THRESHOLD = 0.85
 LENGTH_GAP = 2
 #: Shortest English and Arabic tokens that are looked up, by profile.
 LEAST = {"english": 3, "arabic": 2}
+#: Words up to this length meet by what is left of them without some letters.
+KEYED_LENGTH = 18
 #: Lexicons up to this many words are broadcast.
 BROADCAST_WORDS = 500_000
 
@@ -32,9 +34,11 @@ def word_frequencies(texts: DataFrame, text: str = "text", *, lower: bool = True
 
 
 def lexicon_of(entries: DataFrame, english: str = "english", arabic: str = "arabic", least: int = 1) -> DataFrame:
-    """(lang, word, freq) of both sides of entries."""
-    one = word_frequencies(entries, english, least=least).withColumn("lang", F.lit("english"))
-    two = word_frequencies(entries, arabic, lower=False, least=least).withColumn("lang", F.lit("arabic"))
+    """(lang, word, freq) of both sides of entries: words with a letter of the
+    side's script, English in lower case, Arabic folded."""
+    one = word_frequencies(entries, english, least=least).where(tx.has_latin(F.col("word"))).withColumn("lang", F.lit("english"))
+    folded = entries.select(tx.normalize_arabic(F.array_join(tx.words(F.coalesce(arabic, F.lit(""))), " ")).alias("arabic"))
+    two = word_frequencies(folded, "arabic", lower=False, least=least).where(tx.has_arabic(F.col("word"))).withColumn("lang", F.lit("arabic"))
     return one.unionByName(two).select("lang", "word", "freq")
 
 
@@ -55,31 +59,50 @@ def known(tokens: DataFrame, lexicon: DataFrame, token: str = "token", *, normal
     return tokens.withColumn("_key", key(F.col(token))).join(_small(held, words), "_key", "left").withColumn("known", F.coalesce("known", F.lit(False))).drop("_key")
 
 
-def candidates(tokens: DataFrame, lexicon: DataFrame, threshold: float = THRESHOLD, gap: int = LENGTH_GAP, words: int | None = None) -> DataFrame:
+def _keyed(words: DataFrame, word: str, rest: Sequence[str], reach: Sequence[int]) -> DataFrame:
+    """(word, rest, key): the strings that a word shares with any word near
+    it. ``reach`` has the letters that may be left out for each length; words
+    beyond it, very long ones, meet by length and letters alone."""
+    size, most = F.length(word), max(reach)
+    allowed = F.get(F.array(*map(F.lit, reach)), F.least(size, F.lit(len(reach) - 1)))
+    keys = F.when(size < len(reach), sim.without(F.col(word), allowed, most)).otherwise(F.array())
+    around = F.transform(F.sequence(size - LENGTH_GAP, size + LENGTH_GAP), lambda n: F.concat(F.lit("\x00"), n.cast("string")))
+    long = F.when(size >= len(reach) - LENGTH_GAP, around if word == "token" else F.array(F.concat(F.lit("\x00"), size.cast("string"))))
+    return words.select(word, *rest, F.explode(F.array_distinct(F.concat(keys, F.coalesce(long, F.array().cast("array<string>"))))).alias("key"))
+
+
+def candidates(tokens: DataFrame, lexicon: DataFrame, threshold: float = THRESHOLD, gap: int = LENGTH_GAP) -> DataFrame:
     """(token, word, freq) pairs of like length whose bounds reach
-    ``threshold``; both sides distinct."""
-    lengths = F.sequence(F.length("token") - gap, F.length("token") + gap)
-    ours = tokens.select("token", sim.letter_mask(F.col("token")).alias("ma"), F.explode(lengths).alias("len"))
-    theirs = _small(lexicon.select("word", "freq", F.length("word").alias("len"), sim.letter_mask(F.col("word")).alias("mb")), words)
+    ``threshold``; both sides distinct.
+
+    Words meet where they are equal once their unmatched letters are left out,
+    so no key is hot and the pairs are nearly those that are asked for.
+    """
+    reach = [sim.unmatched(n, threshold, gap) for n in range(1, KEYED_LENGTH + 1)]
+    reach = [0, *(max(reach[: n + 1]) for n in range(len(reach)))]
+    ours, theirs = _keyed(tokens, "token", [], reach), _keyed(lexicon, "word", ["freq"], reach)
     a, b = F.col("token"), F.col("word")
-    near = (sim.length_bound(a, b) >= threshold) & (sim.mask_bound(a, b, F.col("ma"), F.col("mb")) >= threshold)
-    return ours.join(theirs, "len").where(near).where(sim.letter_bound(a, b) >= threshold).select("token", "word", "freq")
+    near = (F.abs(F.length(a) - F.length(b)) <= gap) & (sim.length_bound(a, b) >= threshold)
+    met = ours.join(theirs, "key").where(near).groupBy("token", "word").agg(F.first("freq").alias("freq"))
+    return met.where(sim.letter_bound(a, b) >= threshold).select("token", "word", "freq")
 
 
-def nearest_words(tokens: DataFrame, lexicon: DataFrame, threshold: float = THRESHOLD, gap: int = LENGTH_GAP, words: int | None = None) -> DataFrame:
+def nearest_words(tokens: DataFrame, lexicon: DataFrame, threshold: float = THRESHOLD, gap: int = LENGTH_GAP) -> DataFrame:
     """(token, word, similarity): the best word of each token, if any reaches
     ``threshold``; ties go to the more frequent, then the smaller word."""
-    scored = candidates(tokens, lexicon, threshold, gap, words).withColumn("similarity", sim.guarded_ratio(F.col("token"), F.col("word"))).where(F.col("similarity") >= threshold)
+    scored = candidates(tokens, lexicon, threshold, gap).withColumn("similarity", sim.guarded_ratio(F.col("token"), F.col("word"))).where(F.col("similarity") >= threshold)
     best = Window.partitionBy("token").orderBy(F.desc("similarity"), F.desc("freq"), "word")
     return scored.withColumn("_place", F.row_number().over(best)).where("_place = 1").select("token", "word", "similarity")
 
 
-def nearest_by_edits(tokens: DataFrame, lexicon: DataFrame, edits: int = 1, words: int | None = None) -> DataFrame:
+def nearest_by_edits(tokens: DataFrame, lexicon: DataFrame, edits: int = 1) -> DataFrame:
     """(token, word, edits): a native alternative by edit distance, which is
-    not the same measure."""
-    lengths = F.sequence(F.length("token") - edits, F.length("token") + edits)
-    theirs = _small(lexicon.select("word", "freq", F.length("word").alias("len")), words)
-    near = tokens.select("token", F.explode(lengths).alias("len")).join(theirs, "len").withColumn("edits", F.levenshtein("token", "word")).where(F.col("edits") <= edits)
+    not the same measure. Words within ``edits`` share a string when so many
+    letters are left out of each."""
+    keys = lambda c: F.array_distinct(sim.without(F.col(c), F.lit(edits), edits))
+    ours, theirs = tokens.select("token", F.explode(keys("token")).alias("key")), lexicon.select("word", "freq", F.explode(keys("word")).alias("key"))
+    met = ours.join(theirs, "key").where(F.abs(F.length("token") - F.length("word")) <= edits).groupBy("token", "word").agg(F.first("freq").alias("freq"))
+    near = met.withColumn("edits", F.levenshtein("token", "word")).where(F.col("edits") <= edits)
     best = Window.partitionBy("token").orderBy("edits", F.desc("freq"), "word")
     return near.withColumn("_place", F.row_number().over(best)).where("_place = 1").select("token", "word", F.col("edits").cast("int").alias("edits"))
 
@@ -96,7 +119,7 @@ def correct_tokens(tokens: DataFrame, lexicon: DataFrame, lang: str = "english",
     held = lexicon.select(fold(F.col("word")).alias("word"), "freq").groupBy("word").agg(F.sum("freq").alias("freq"))
     size = F.length("token") if lang == "english" or profile == "v4" else F.length("folded")
     open_ = folded.where(size >= LEAST[lang]).join(_small(held.select(F.col("word").alias("folded")), words), "folded", "left_anti")
-    best = nearest_words(open_.select(F.col("folded").alias("token")).distinct(), held, threshold, words=words)
+    best = nearest_words(open_.select(F.col("folded").alias("token")).distinct(), held, threshold)
     fixes = open_.join(best.select(F.col("token").alias("folded"), "word"), "folded").select("token", F.col("word").alias("corrected"))
     return tokens.join(fixes, "token", "left").withColumn("corrected", F.coalesce("corrected", "token"))
 

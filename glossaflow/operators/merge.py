@@ -60,8 +60,9 @@ def merge_named(rows: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def merge_positional(rows: DataFrame, order: Sequence[str], cells: str = "cells") -> DataFrame:
-    """(id, English, Arabic) of rows of three cells or more; empty sides stay."""
-    wide = rows.where(F.size(cells) >= 3).withColumns({"English": tx.strip(F.element_at(cells, 2)), "Arabic": tx.strip(F.element_at(cells, 3))})
+    """(id, English, Arabic) of rows of three cells or more; empty sides stay.
+    Null cells at the end are cells that a row lacks."""
+    wide = rows.where((F.size(cells) >= 3) & F.get(cells, F.lit(2)).isNotNull()).withColumns({"English": tx.strip(F.element_at(cells, 2)), "Arabic": tx.strip(F.element_at(cells, 3))})
     return renumber(first_wins(wide, entry_keys("English", "Arabic"), order), order).select("id", "English", "Arabic")
 
 

@@ -45,6 +45,5 @@ def bilingual_lines(docs: DataFrame) -> DataFrame:
     """(pdf, page, line_no, text): lines of one or both scripts."""
     lines = docs.select(F.col("doc_id").alias("pdf"), F.posexplode(F.split("text", "\n")).alias("i", "raw"))
     i, raw = F.col("i"), F.col("raw")
-    head = F.substring_index(raw, " ", 3)
-    text = F.when(i % 3 == 0, F.concat(head, F.lit(" "), to_arabic(head))).when(i % 3 == 1, to_arabic(raw)).otherwise(raw)
+    text = F.when(i % 3 == 0, F.concat(raw, F.lit(" "), to_arabic(raw))).when(i % 3 == 1, to_arabic(raw)).otherwise(raw)
     return lines.select("pdf", F.floor(i / 4).cast("int").alias("page"), F.col("i").alias("line_no"), text.alias("text"))

@@ -18,6 +18,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from glossaflow.functions import text as tx
 
@@ -268,11 +269,20 @@ def lexicon_columns(header: list[str]) -> tuple[int | None, int | None]:
     return at["en"], at["ar"]
 
 
+def csv_files(spark: SparkSession, path: str) -> list[str]:
+    """The CSV files of a folder, or the file itself."""
+    named = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+    return [r["path"] for r in named.select("path").orderBy("path").collect()]  # a listing
+
+
 def read_lexicon_csv(spark: SparkSession, paths: list[str], profile: str = "v3") -> DataFrame:
-    """(english, arabic) of CSV files, by their headers or else by place: the
-    last two of two columns (``v3``), the second and third of three or more."""
-    frames = []
-    for path in paths:
+    """(english, arabic) of CSV files and folders of them, by their headers or
+    else by place: the last two of two columns (``v3``), the second and third
+    of three or more. Files without a header that can be read are left out."""
+    frames = [spark.createDataFrame([], "english string, arabic string")]
+    for path in (file for given in paths for file in csv_files(spark, given)):
+        if spark.read.text(path).isEmpty():
+            continue
         rows = spark.read.csv(path, header=True, multiLine=True, escape='"', nullValue="\0", encoding="UTF-8")
         names = rows.columns
         en, ar = lexicon_columns(names)
@@ -296,14 +306,24 @@ def read_lexicon_json(spark: SparkSession, path: str) -> DataFrame:
     named = whole.select(F.from_json("value", "english array<string>, arabic array<string>").alias("j"))
     sides = [named.select(F.lit(lang).alias("lang"), F.explode(f"j.{lang}").alias("word")) for lang in ("english", "arabic")]
     listed = whole.where(tx.strip(F.col("value")).startswith("[")).select(F.explode(F.from_json("value", "array<string>")).alias("word"))
-    listed = listed.select(F.when(tx.has_arabic(F.col("word")), "arabic").otherwise("english").alias("lang"), "word")
+    listed = listed.select(tx.strip(F.col("word")).alias("word"))
+    # Latin letters come first: a word of both scripts is an English one.
+    latin = tx.has_latin(F.col("word"))
+    listed = listed.where(latin | tx.has_arabic(F.col("word"))).select(F.when(latin, "english").otherwise("arabic").alias("lang"), F.when(latin, F.lower("word")).otherwise(F.col("word")).alias("word"))
     words = sides[0].unionByName(sides[1]).unionByName(listed)
     return words.groupBy("lang", "word").agg(F.count("*").alias("freq"))
 
 
 def read_chunks(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """Rows of chunk files with ``file`` and ``pos``, in the order of the
-    files' names (``chunk10`` before ``chunk2``)."""
-    rows = spark.read.csv(path, header=True, multiLine=True, escape='"', sep=sep, nullValue="\0")
-    rows = rows.select(*(F.coalesce(rows[f"`{c}`"], F.lit("")).alias(re.sub("^\ufeff", "", c)) for c in rows.columns), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-    return rows.withColumn("pos", F.monotonically_increasing_id()).drop("block")
+    files' names (``chunk10`` before ``chunk2``). Empty cells are empty, those
+    that a short row lacks are null."""
+    settings = {"header": True, "multiLine": True, "escape": '"', "sep": sep, "nullValue": "\0"}
+    names = spark.read.csv(path, **settings).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, "_raw")])
+    rows = spark.read.schema(schema).csv(path, columnNameOfCorruptRecord="_raw", **settings)
+    # Rows of another length than the header come with their own text.
+    held = F.size(F.split(F.regexp_replace("_raw", '"[^"]*"', "x"), re.escape(sep)))
+    present = F.when(F.col("_raw").isNull(), len(names)).otherwise(held)
+    cells = [F.when(present > i, F.coalesce(rows[f"`{c}`"], F.lit(""))).alias(re.sub("^\ufeff", "", c)) for i, c in enumerate(names)]
+    return rows.select(*cells, F.col("_metadata.file_path").alias("file")).withColumn("pos", F.monotonically_increasing_id())

@@ -23,3 +23,9 @@ def test_dictionary_book_and_merge(spark, tmp_path):
     (chunks / "chunk2.csv").write_text("term,definition,source_file\ncat,قط,b\ndog,كلب,c\n")
     cli.run(spark, ["merge", "named", str(chunks), str(tmp_path / "merged")])
     assert "1,Cat,قط,a\r\n" in read(tmp_path / "merged") and "2,dog,كلب,c\r\n" in read(tmp_path / "merged")
+    # A row that lacks cells is skipped, one with empty cells is not.
+    short = tmp_path / "short"
+    short.mkdir()
+    (short / "chunk1.csv").write_text("id,English,Arabic\n1,Cat,قط\n2,short\n3,,كلب\n4,dog,\n")
+    cli.run(spark, ["merge", "positional", str(short), str(tmp_path / "positional")])
+    assert sorted(read(tmp_path / "positional").split("\r\n")) == sorted(["id,English,Arabic", "1,Cat,قط", "2,,كلب", "3,dog,", ""] + ["id,English,Arabic"] * (read(tmp_path / "positional").count("id,English") - 1))

@@ -80,6 +80,11 @@ def test_lexicons(spark, tmp_path):
     (tmp_path / "b.json").write_text(json.dumps(["dog", "كلب"]))
     assert {(r["lang"], r["word"]) for r in sources.read_lexicon_json(spark, str(tmp_path / "a.json")).collect()} == {("english", "cat"), ("arabic", "قط")}
     assert {(r["lang"], r["word"]) for r in sources.read_lexicon_json(spark, str(tmp_path / "b.json")).collect()} == {("english", "dog"), ("arabic", "كلب")}
+    # A folder is all its files; those that hold nothing are left out.
+    (tmp_path / "c.csv").write_text("")
+    assert sorted(tuple(r) for r in sources.read_lexicon_csv(spark, [str(tmp_path)]).collect()) == sorted(tuple(r) for r in got)
+    (tmp_path / "d.json").write_text(json.dumps([" Dog ", "12", "--", "abكلب", "كلب"]))
+    assert {(r["lang"], r["word"]) for r in sources.read_lexicon_json(spark, str(tmp_path / "d.json")).collect()} == {("english", "dog"), ("english", "abكلب"), ("arabic", "كلب")}
 
 
 def test_tables_come_back_as_written(spark, tmp_path):

@@ -1,5 +1,8 @@
 """Sections, lexicons, merging and the stream of pages."""
 
+import random
+from difflib import SequenceMatcher
+
 from pyspark.sql import functions as F
 
 from glossaflow.operators import lexicon, merge, sections
@@ -45,8 +48,6 @@ def test_corrections(spark):
 
 
 def test_pruned_neighbours_are_the_true_ones(spark):
-    from difflib import SequenceMatcher
-
     known = ["station", "nation", "rational", "notation", "national"]
     tokens = ["statoin", "natian", "rationall", "xyz", "notatoin"]
     lex = spark.createDataFrame([(w, 1) for w in known], "word string, freq long")
@@ -59,6 +60,33 @@ def test_pruned_neighbours_are_the_true_ones(spark):
     assert got == expected
 
 
+def test_neighbours_of_all_lengths_are_the_true_ones(spark):
+    rng, letters = random.Random(4), "abcdefghijkl"
+    known = ["".join(rng.choices(letters, k=n)) for n in [*range(3, 26)] * 4]
+
+    def near_copy(w):
+        w = list(w)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(w))
+            w[at : at + rng.randint(0, 1)] = rng.choice(["", rng.choice(letters)])
+        return "".join(w)
+
+    tokens = sorted({near_copy(w) for w in known for _ in range(3)} - {"", *known})
+    got = {r["token"]: r["word"] for r in lexicon.nearest_words(spark.createDataFrame([(t,) for t in tokens], "token string"), spark.createDataFrame([(w, 1) for w in known], "word string, freq long").distinct()).collect()}
+    expected = {}
+    for t in tokens:
+        near = [(-SequenceMatcher(None, t, w).ratio(), w) for w in known if abs(len(t) - len(w)) <= 2 and SequenceMatcher(None, t, w).ratio() >= 0.85]
+        if near:
+            expected[t] = min(near)[1]
+    assert got == expected and len(expected) > 50
+
+
+def test_lexicon_words_have_letters_of_their_side(spark):
+    entries = spark.createDataFrame([("Cat 12 -- قط", "أب abc 3"), (None, "اب")], "english string, arabic string")
+    got = {(r["lang"], r["word"], r["freq"]) for r in lexicon.lexicon_of(entries).collect()}
+    assert got == {("english", "cat", 1), ("arabic", "اب", 2)}
+
+
 def test_merges(spark):
     rows = spark.createDataFrame([("chunk1", 0, " Cat ", "قط", "a"), ("chunk10", 0, "cat", "قط", "b"), ("chunk2", 0, "dog", "", "c"), ("chunk2", 1, "ant", "نملة", "d")], "file string, pos int, term string, definition string, source_file string")
     assert [tuple(r) for r in merge.merge_named(rows, ["file", "pos"]).orderBy("id").collect()] == [(1, "Cat", "قط", "a"), (2, "ant", "نملة", "d")]
