@@ -8,12 +8,15 @@ all (those as common as the rarest kept stay, too); the others become ``<*>``.
 What varies in a family of lines is rarer than what does not, so its lines
 share one template, whatever else is in the leaf and however large it is. A
 template of at least ``MIN_DOCS`` documents is boilerplate. Lines of
-``LONG_TOKENS`` tokens or more are so from ``LONG_DOCS`` documents on where
-they agree in ``LONG_SIMILAR`` per cent of their tokens. Order plays no part,
-and lines meet in aggregates of their template only: no pairs are made.
+``LONG_TOKENS`` tokens or more are so from ``LONG_DOCS`` documents of different
+text on where they agree in ``LONG_SIMILAR`` per cent of their tokens: a few
+copies of a whole document are no sign of a passage, and are left whole for the
+dedup of documents. Order plays no part, and lines meet in aggregates of their
+template only: no pairs are made.
 
 Boilerplate lines are dropped from every document but the one with the
-smallest id, so that what a group of copies says is said once.
+smallest id (and, by the second rule, its copies), so that what a group of
+documents says is said once.
 
 A line is a row of hashes until its leaf is known to recur; the words of such
 leaves are then read once more, each distinct line once. A bitmap of
@@ -149,9 +152,10 @@ def _nth(counts: Column, n: Column, percent: int) -> Column:
 
 
 def templates(occurring: DataFrame, words: DataFrame, min_docs: int, similar: int, long: tuple[int, int, int]) -> DataFrame:
-    """(line_hash, first_id): the distinct lines of ``occurring`` that are
-    boilerplate, with the smallest document id of their template."""
-    held = materialize(occurring.where(F.col("id").isNotNull()).select("leaf", "line_hash", "id").distinct(), "held")
+    """(line_hash, first, strict): the distinct lines of ``occurring`` that are
+    boilerplate, with the (id, text_hash) that comes first in their template
+    and whether it is one of long lines."""
+    held = materialize(occurring.where(F.col("id").isNotNull()).select("leaf", "line_hash", "id", "text_hash").distinct(), "held")
     key = F.transform("words", lambda w, i: F.when(w != "<*>", F.xxhash64("leaf", i, w)))
     distinct = words.join(held.select("line_hash").distinct(), "line_hash", "left_semi").dropDuplicates(["line_hash"])
     keyed = distinct.withColumn("words", F.split("line", " ")).select("line_hash", F.size("words").alias("n"), F.array_compact(key).alias("keys"))
@@ -179,11 +183,12 @@ def templates(occurring: DataFrame, words: DataFrame, min_docs: int, similar: in
 
     # Lines of one strict template have the other kind's template in common,
     # too: they all go to that if it recurs, and else to the strict one.
-    met = held.select("line_hash", "id").join(shaped, "line_hash")
-    counted = met.groupBy("template", "strict").agg(F.countDistinct("id").alias("docs"), F.min("id").alias("first_id"))
-    recurring = materialize(counted.where(F.col("docs") >= F.when(F.col("strict") == 0, min_docs).otherwise(long[1])).select("template", "first_id"), "recurring")
-    drawn = shaped.join(recurring, "template").groupBy("line_hash").agg(F.min_by("first_id", "strict").alias("first_id"))
-    return materialize(drawn, "boilerplate")
+    met = held.select("line_hash", "id", "text_hash").join(shaped, "line_hash")
+    who = F.when(F.col("strict") == 0, F.xxhash64("id")).otherwise(F.col("text_hash"))
+    counted = met.groupBy("template", "strict").agg(F.countDistinct(who).alias("docs"), F.min(F.struct("id", "text_hash")).alias("first"))
+    recurring = materialize(counted.where(F.col("docs") >= F.when(F.col("strict") == 0, min_docs).otherwise(long[1])).select("template", "first"), "recurring")
+    drawn = shaped.join(recurring, "template").groupBy("line_hash").agg(F.min(F.struct("strict", "first")).alias("x"))
+    return materialize(drawn.select("line_hash", "x.strict", "x.first"), "boilerplate")
 
 
 def drops_of(docs: DataFrame, id_col: str, text_col: str, *, depth: int, min_docs: int, min_tokens: int, similar: int, long: tuple[int, int, int]) -> DataFrame:
@@ -194,7 +199,8 @@ def drops_of(docs: DataFrame, id_col: str, text_col: str, *, depth: int, min_doc
     # Joins by shuffle whatever the size: what is broadcast would grow.
     occurring = materialize(lines.join(leaves.hint("merge"), "leaf"), "occurring")
     drawn = templates(occurring, line_words(docs, leaves, text_col, depth, min_tokens), min_docs, similar, long)
-    gone = occurring.join(drawn.hint("merge"), "line_hash").where(~F.col("id").eqNullSafe(F.col("first_id")))
+    stays = F.col("id").eqNullSafe(F.col("first.id")) | ((F.col("strict") == 1) & (F.col("text_hash") == F.col("first.text_hash")))
+    gone = occurring.join(drawn.hint("merge"), "line_hash").where(~stays)
     return materialize(gone.groupBy("id", "text_hash").agg(F.collect_set("pos").alias("drops")), "drops")
 
 

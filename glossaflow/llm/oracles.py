@@ -26,10 +26,11 @@ kinds AS (
   UNION ALL SELECT leaf, t, 2, 1, places, counts[(n * 95 + 99) // 100] FROM counted WHERE n >= 50),
 shaped AS (
   SELECT leaf, t, need, strict, list_transform(list_filter(places, lambda p: p.seen >= least), lambda p: {{'i': p.i, 'w': p.w}}) AS shape FROM kinds WHERE least IS NOT NULL),
-members AS (SELECT o.doc_id, o.pos, o.leaf, s.need, s.strict, s.shape FROM leafed o JOIN shaped s ON s.leaf = o.leaf AND s.t = o.t),
-held AS (SELECT leaf, strict, shape, min(doc_id) AS f FROM members GROUP BY leaf, strict, shape, need HAVING count(DISTINCT doc_id) >= need),
-drawn AS (SELECT m.doc_id, m.pos, arg_min(h.f, h.strict) AS f FROM members m JOIN held h ON h.leaf = m.leaf AND h.strict = m.strict AND h.shape = m.shape GROUP BY m.doc_id, m.pos),
-gone AS (SELECT doc_id, pos FROM drawn WHERE doc_id <> f)
+class AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS c FROM documents),
+members AS (SELECT o.doc_id, CASE WHEN s.strict = 0 THEN o.doc_id ELSE c.c END AS who, o.pos, o.leaf, s.need, s.strict, s.shape FROM leafed o JOIN shaped s ON s.leaf = o.leaf AND s.t = o.t JOIN class c USING (doc_id)),
+held AS (SELECT leaf, strict, shape, min(who) AS f FROM members GROUP BY leaf, strict, shape, need HAVING count(DISTINCT who) >= need),
+drawn AS (SELECT m.doc_id, m.pos, arg_min(m.who <> h.f, h.strict) AS goes FROM members m JOIN held h ON h.leaf = m.leaf AND h.strict = m.strict AND h.shape = m.shape GROUP BY m.doc_id, m.pos),
+gone AS (SELECT doc_id, pos FROM drawn WHERE goes)
 SELECT l.doc_id, count(*) AS n_lines, count(g.pos) AS n_dropped,
   md5(coalesce(string_agg(l.raw, chr(10) ORDER BY l.pos) FILTER (g.pos IS NULL), '')) AS text_md5
 FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos GROUP BY l.doc_id

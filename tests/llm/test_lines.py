@@ -88,3 +88,13 @@ def test_a_document_that_holds_a_line_twice_keeps_both(frame):
     rows = [(i, "this is said by all of them\nthis is said by all of them") for i in range(5)] + [(0, "another text of id zero\nthis is said by all of them")]
     got = sorted((r["doc_id"], r["n_dropped"]) for r in lines.dedup_lines(frame(rows)).collect())
     assert got == [(0, 0), (0, 0), (1, 2), (2, 2), (3, 2), (4, 2)]
+
+
+def test_a_few_copies_of_a_document_stay_whole(frame):
+    passage = " ".join(f"{c}{d}" for c in "abcdef" for d in "abcdefghij")
+    copies = [(i, f"own line of these\n{passage}\nlast words of it") for i in (3, 4, 5)]
+    assert {r["n_dropped"] for r in lines.dedup_lines(frame(copies)).collect()} == {0}
+    # Another text with the passage comes first or later.
+    for i, dropped in ((1, {1: 0, 3: 1, 4: 1, 5: 1}), (9, {3: 0, 4: 0, 5: 0, 9: 1})):
+        got = lines.dedup_lines(frame([*copies, (i, f"{passage}\nsomething else")])).collect()
+        assert {r["doc_id"]: r["n_dropped"] for r in got} == dropped
