@@ -11,7 +11,8 @@ template of at least ``MIN_DOCS`` documents is boilerplate. Lines of
 ``LONG_TOKENS`` tokens or more are so from ``LONG_DOCS`` documents of different
 text on where they agree in ``LONG_SIMILAR`` per cent of their tokens: a few
 copies of a whole document are no sign of a passage, and are left whole for the
-dedup of documents. Order plays no part, and lines meet in aggregates of their
+dedup of documents. So is a document that this rule would take more than
+``COPY_SHARE`` per cent of its tokens from: it is a near copy. Order plays no part, and lines meet in aggregates of their
 template only: no pairs are made.
 
 Boilerplate lines are dropped from every document but the one with the
@@ -58,6 +59,8 @@ SIMILAR = 80
 #: Lines of so many tokens recur from so many documents on, if that per cent
 #: of their tokens is kept.
 LONG_TOKENS, LONG_DOCS, LONG_SIMILAR = 50, 2, 95
+#: Per cent of its tokens that a document can lose by that rule.
+COPY_SHARE = 67
 BITMAP_BITS = 1 << 25
 
 _DIGIT = re.compile(rb"[0-9]")
@@ -72,13 +75,18 @@ def tokens_of(line: bytes) -> list[bytes]:
 
 
 def _cut(text: str | None, depth: int, min_tokens: int) -> Iterator[tuple[int, int, int, bytes]]:
-    """(place, tokens, leaf, line) of the lines that are long enough."""
+    """(place, tokens, leaf, line) of the lines that are long enough; at the
+    end the tokens of all lines, under no place."""
     import xxhash
 
+    total = 0
+
     for pos, line in enumerate((text or "").encode("utf-8", "replace").split(b"\n")):
         tokens = tokens_of(line)
+        total += len(tokens)
         if len(tokens) >= min_tokens:
             yield pos, len(tokens), xxhash.xxh3_64_intdigest(b"%d %s" % (len(tokens), b" ".join(tokens[:depth]))), b" ".join(tokens)
+    yield -1, total, 0, b""
 
 
 def _hashes(values: list[int]) -> pa.Array:
@@ -86,15 +94,19 @@ def _hashes(values: list[int]) -> pa.Array:
 
 
 def line_hashes(docs: DataFrame, id_col: str, text_col: str, depth: int, min_tokens: int) -> DataFrame:
-    """(id, text_hash, pos, n, leaf, line_hash) of every line long enough."""
+    """(id, text_hash, pos, n, leaf, line_hash, total) of every line long
+    enough; ``total`` is the tokens of its document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
-            source, places, sizes, leaves, lines = [], [], [], [], []
+            source, places, sizes, leaves, lines, totals = [], [], [], [], [], []
             for i, text in enumerate(batch.column(2)):
                 for pos, n, leaf, line in _cut(text.as_py(), depth, min_tokens):
+                    if pos < 0:
+                        totals += [n] * (len(places) - len(totals))
+                        continue
                     source.append(i)
                     places.append(pos)
                     sizes.append(n)
@@ -102,14 +114,14 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str, depth: int, min_tok
                     lines.append(xxhash.xxh3_64_intdigest(line))
             at = pa.array(source, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(places, pa.int32()), pa.array(sizes, pa.int32()), _hashes(leaves), _hashes(lines)],
-                ["id", "text_hash", "pos", "n", "leaf", "line_hash"],
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(places, pa.int32()), pa.array(sizes, pa.int32()), _hashes(leaves), _hashes(lines), pa.array(totals, pa.int32())],
+                ["id", "text_hash", "pos", "n", "leaf", "line_hash", "total"],
             )
 
     cut = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     schema = T.StructType(
         [T.StructField("id", docs.schema[id_col].dataType), T.StructField("text_hash", T.LongType()), T.StructField("pos", T.IntegerType())]
-        + [T.StructField("n", T.IntegerType()), T.StructField("leaf", T.LongType()), T.StructField("line_hash", T.LongType())]
+        + [T.StructField("n", T.IntegerType()), T.StructField("leaf", T.LongType()), T.StructField("line_hash", T.LongType()), T.StructField("total", T.IntegerType())]
     )
     return cut.mapInArrow(lean(run), schema)
 
@@ -136,9 +148,9 @@ def line_words(docs: DataFrame, leaves: DataFrame, text_col: str, depth: int, mi
         for batch in batches:
             found: dict[bytes, int] = {}
             for text in batch.column(0):
-                for _, _, leaf, line in _cut(text.as_py(), depth, min_tokens):
+                for pos, _, leaf, line in _cut(text.as_py(), depth, min_tokens):
                     bit = leaf % BITMAP_BITS
-                    if bits[bit >> 3] >> (bit & 7) & 1:
+                    if pos >= 0 and bits[bit >> 3] >> (bit & 7) & 1:
                         found[line] = leaf
             hashes = [xxhash.xxh3_64_intdigest(line) for line in found]
             yield pa.RecordBatch.from_arrays([_hashes(list(found.values())), _hashes(hashes), pa.array(list(found), pa.binary()).cast(pa.string())], ["leaf", "line_hash", "line"])
@@ -201,7 +213,13 @@ def drops_of(docs: DataFrame, id_col: str, text_col: str, *, depth: int, min_doc
     drawn = templates(occurring, line_words(docs, leaves, text_col, depth, min_tokens), min_docs, similar, long)
     stays = F.col("id").eqNullSafe(F.col("first.id")) | ((F.col("strict") == 1) & (F.col("text_hash") == F.col("first.text_hash")))
     gone = occurring.join(drawn.hint("merge"), "line_hash").where(~stays)
-    return materialize(gone.groupBy("id", "text_hash").agg(F.collect_set("pos").alias("drops")), "drops")
+    strict = F.col("strict") == 1
+    each = gone.groupBy("id", "text_hash").agg(
+        F.coalesce(F.sum(F.when(strict, F.col("n"))), F.lit(0)).alias("lost"), F.max("total").alias("total"), F.collect_set(F.when(strict, F.col("pos"))).alias("long"), F.collect_set(F.when(~strict, F.col("pos"))).alias("other")
+    )
+    copy = F.col("lost") * 100 > F.col("total").cast("long") * COPY_SHARE
+    drops = each.select("id", "text_hash", F.when(copy, F.col("other")).otherwise(F.array_union("long", "other")).alias("drops"))
+    return materialize(drops.where(F.size("drops") > 0), "drops")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similar: int = SIMILAR, long: tuple[int, int, int] = (LONG_TOKENS, LONG_DOCS, LONG_SIMILAR)) -> DataFrame:

@@ -58,9 +58,11 @@ def test_a_variant_of_a_second_template_goes_too(frame):
 def test_long_lines_of_two_documents_go(frame):
     passage = " ".join(f"{c}{d}" for c in "abcdef" for d in "abcdefghij")
     near, far = passage.replace("ff", "zz"), " ".join(passage.split()[:40] + [f"{c}{c}z" for c in "abcdefghijklmnopqrst"])
-    rows = [(1, f"own line of one\n{passage}"), (2, f"{passage}\nown line of two"), (3, near), (4, far), (5, " ".join(passage.split()[:49])), (6, " ".join(passage.split()[:49]))]
+    more = [f"what document {c} says by itself is {c} and {c} and again {c} in so many words" for c in ("alpha", "beta", "gamma", "delta")]
+    own = {i: "\n".join(f"{m} of {chr(96 + i) * 3}" for m in more) for i in (1, 2, 3)}
+    rows = [(1, f"{own[1]}\n{passage}"), (2, f"{passage}\n{own[2]}"), (3, f"{near}\n{own[3]}"), (4, far), (5, " ".join(passage.split()[:49])), (6, " ".join(passage.split()[:49]))]
     got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(frame(rows)).collect()}
-    assert got == dict(rows) | {2: "own line of two", 3: ""}
+    assert got == dict(rows) | {2: own[2], 3: own[3]}
     apart = {r["n_dropped"] for r in lines.dedup_lines(frame(rows), long=(lines.LONG_TOKENS, lines.MIN_DOCS, lines.LONG_SIMILAR)).collect()}
     assert apart == {0}
 
@@ -94,7 +96,12 @@ def test_a_few_copies_of_a_document_stay_whole(frame):
     passage = " ".join(f"{c}{d}" for c in "abcdef" for d in "abcdefghij")
     copies = [(i, f"own line of these\n{passage}\nlast words of it") for i in (3, 4, 5)]
     assert {r["n_dropped"] for r in lines.dedup_lines(frame(copies)).collect()} == {0}
+    rest = " ".join(f"{c}{d}x" for c in "abcd" for d in "abcdefghij")
+    copies = [(i, f"{t}\n{rest}") for i, t in copies]
     # Another text with the passage comes first or later.
     for i, dropped in ((1, {1: 0, 3: 1, 4: 1, 5: 1}), (9, {3: 0, 4: 0, 5: 0, 9: 1})):
-        got = lines.dedup_lines(frame([*copies, (i, f"{passage}\nsomething else")])).collect()
+        got = lines.dedup_lines(frame([*copies, (i, f"{passage}\nsomething else {rest[::-1]}")])).collect()
         assert {r["doc_id"]: r["n_dropped"] for r in got} == dropped
+    # A near copy would lose nearly all it has: it is left whole.
+    near = [(1, f"{passage}\n{rest}"), (2, f"{passage}\nshort end")]
+    assert {r["doc_id"]: r["n_dropped"] for r in lines.dedup_lines(frame(near)).collect()} == {1: 0, 2: 0}
