@@ -7,6 +7,7 @@ White space, digits and word boundaries follow Unicode as Python's ``str`` and
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -19,6 +20,9 @@ ARABIC = r"[\u0600-\u06ff\u0750-\u077f\u08a0-\u08ff]"
 EASTERN_DIGITS = "٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹"
 WESTERN_DIGITS = "01234567890123456789"
 
+#: The characters of SPACE.
+SPACES = "".join(c for c in map(chr, range(0x3001)) if re.match(SPACE, c))
+
 #: Most digits of an entry number.
 NUMBER_DIGITS = {"v2": 4, "v3": 5, "v4": 5}
 
@@ -44,7 +48,7 @@ ENTITIES = (("&nbsp;", "\u00a0"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'
 
 def strip(text: Column) -> Column:
     """White space off both ends."""
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def collapse(text: Column) -> Column:

@@ -18,6 +18,8 @@ ROW_TOLERANCE = 12
 GUTTER_RATIO = 0.5
 NEAR = 20
 LINE_HEIGHT = 15
+#: Row numbers copied by one step of the fold over a page's boxes.
+CHUNK = 64
 
 
 def confident(words: DataFrame, least: int = MIN_CONF, conf: str = "conf") -> DataFrame:
@@ -56,15 +58,19 @@ def cluster_rows(words: DataFrame, keys: Sequence[str] = ("pdf", "page", "col"),
 
     By y, a box more than ``tol`` from its row's *first* box opens the next
     row; the anchor does not move, so this is no gap sessionisation. One fold
-    over each column's boxes, which a page bounds.
+    over each column's boxes, which a page bounds. Row numbers are gathered in
+    chunks: an append copies one chunk, not all of them.
     """
     rest = [c for c in words.columns if c not in keys]
-    boxes = words.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("y").alias("_y"), F.col("pos").alias("_pos"), F.struct(*rest).alias("box")))).alias("boxes"))
-    far = f"abs(b._y - s.anchor) > {int(tol)}"
+    boxes = words.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col("y").alias("_y"), F.col("pos").alias("_pos"), F.struct(*rest).alias("box")))).alias("boxes"))
+    opens = f"s.anchor is null or abs(b._y - s.anchor) > {int(tol)}"
+    full = f"size(s.chunk) = {CHUNK}"
     fold = (
-        "aggregate(boxes, struct(cast(null as bigint) as anchor, -1 as row, cast(array() as array<int>) as rows), (s, b) -> "
-        f"if(s.anchor is null or {far}, struct(cast(b._y as bigint) as anchor, s.row + 1 as row, array_append(s.rows, s.row + 1) as rows), "
-        "struct(s.anchor as anchor, s.row as row, array_append(s.rows, s.row) as rows)), s -> s.rows)"
+        "aggregate(boxes, struct(cast(null as bigint) as anchor, -1 as row, cast(array() as array<array<int>>) as done, cast(array() as array<int>) as chunk), (s, b) -> struct("
+        f"if({opens}, cast(b._y as bigint), s.anchor) as anchor, if({opens}, s.row + 1, s.row) as row, "
+        f"if({full}, array_append(s.done, s.chunk), s.done) as done, "
+        f"array_append(if({full}, cast(array() as array<int>), s.chunk), if({opens}, s.row + 1, s.row)) as chunk), "
+        "s -> flatten(array_append(s.done, s.chunk)))"
     )
     placed = boxes.withColumn("rows", F.expr(fold)).select(*keys, F.explode(F.arrays_zip("boxes", "rows")).alias("z"))
     return placed.select(*keys, "z.boxes.box.*", F.col("z.rows").alias("row"))
@@ -102,11 +108,9 @@ def dual_pass(english: DataFrame, arabic: DataFrame, combined: DataFrame, keys:
     met = around.join(here, [*place, "gx", "gy"]).where(close).select(*place, "x", "y").distinct().withColumn("met", F.lit(True))
     clear = two.select("*", *cell).join(met, [*place, "x", "y"], "left_anti").select(*columns)
     tagged = [df.select(*columns, F.lit(n).alias("scan")) for n, df in ((1, one), (2, clear), (3, combined))]
-    rest = [c for c in columns if c not in (*keys, "x", "y", "text")]
     both = tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
-    last = F.min_by(F.struct("scan", *rest), F.struct("scan", *([-F.col("pos")] if "pos" in rest else [])))
-    held = both.groupBy(*keys, "x", "y", "text").agg(last.alias("_b"))
-    return held.select(*(F.col(f"_b.{c}").alias(c) if c in rest else c for c in columns), "_b.scan")
+    first = Window.partitionBy(*keys, "x", "y", "text").orderBy("scan", *([F.desc("pos")] if "pos" in columns else []))
+    return both.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*columns, "scan")
 
 
 def column_profile(ink: DataFrame, keys: Sequence[str] = ("pdf", "page")) -> DataFrame:

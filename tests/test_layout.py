@@ -20,6 +20,23 @@ def test_rows_are_anchored_at_their_first_box(spark):
     assert got == {0: 0, 10: 0, 20: 1, 24: 1, 40: 2}
 
 
+def test_rows_of_a_page_of_many_boxes(spark):
+    heights = [i * 7 % 1000 for i in range(3 * layout.CHUNK + 1)]
+    words = boxes(spark, [(1, "a", 0, y) for y in heights]).withColumn("col", F.lit(0))
+    expected, anchor, row = {}, None, -1
+    for y, pos in sorted((y, i) for i, y in enumerate(heights)):
+        if anchor is None or y - anchor > layout.ROW_TOLERANCE:
+            anchor, row = y, row + 1
+        expected[pos] = row
+    assert {r["pos"]: r["row"] for r in layout.cluster_rows(words).collect()} == expected
+
+
+def test_of_boxes_of_one_place_the_earliest_pass_and_the_last_box_count(spark):
+    twice = boxes(spark, [(1, "ab", 5, 5), (1, "ab", 5, 5)])
+    got = layout.dual_pass(twice, twice, twice.withColumn("conf", F.lit(99))).collect()
+    assert [(r["pos"], r["conf"], r["scan"]) for r in got] == [(1, 90, 1)]
+
+
 def test_confidence_rules(spark):
     rows = spark.createDataFrame([("a", "96.5"), ("b", "96"), (" ", "99"), ("c", None), ("d", "29")], "text string, conf string")
     assert [r["text"] for r in layout.confident(rows).collect()] == ["b"]
