@@ -23,6 +23,8 @@ WESTERN_DIGITS = "01234567890123456789"
 #: The characters of SPACE.
 SPACES = "".join(c for c in map(chr, range(0x3001)) if re.match(SPACE, c))
 
+# The values down to ENTITIES are fixed, too.
+
 #: Most digits of an entry number.
 NUMBER_DIGITS = {"v2": 4, "v3": 5, "v4": 5}
 
@@ -74,6 +76,16 @@ def safe_name(name: Column) -> Column:
     return F.regexp_replace(strip(F.regexp_replace(kept, r"\.{2,}", ".")), "[._]+$", "")
 
 
+def note_name(stem: Column) -> Column:
+    """The file name of a source's note: spaces and slashes as ``_``."""
+    return F.translate(stem, " /", "__")
+
+
+def archive_name(name: Column) -> Column:
+    """The folder name of an archive: as above, brackets left out."""
+    return F.translate(name, " /\\()", "___")
+
+
 def has_latin(text: Column, pattern: str = LATIN) -> Column:
     return text.rlike(pattern)
 

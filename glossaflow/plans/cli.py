@@ -20,6 +20,7 @@ from glossaflow.sources import files as sources
 
 
 def parser() -> argparse.ArgumentParser:
+    # Names and defaults of the flags.
     top = argparse.ArgumentParser(prog="glossaflow")
     commands = top.add_subparsers(dest="command", required=True)
     one = commands.add_parser("dictionary")
@@ -29,6 +30,8 @@ def parser() -> argparse.ArgumentParser:
     one.add_argument("--min-conf", type=int, default=30)
     one.add_argument("--arabic-english", action="store_true")
     one.add_argument("--no-entry-numbers", action="store_true")
+    one.add_argument("--dual-pass", action="store_true")
+    one.add_argument("--src-name")
     two = commands.add_parser("book")
     two.add_argument("--incremental", action="store_true")
     for command in (one, two):
@@ -39,7 +42,7 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--chunk-size", type=int, default=0)
         command.add_argument("--chunk", type=int, default=-1)
         command.add_argument("--spell-dict")
-        command.add_argument("--spell-csvs", nargs="*", default=[])
+        command.add_argument("--spell-csvs", "--spell-csv", nargs="*", default=[])
     three = commands.add_parser("merge")
     three.add_argument("mode", choices=["named", "positional", "lines"])
     three.add_argument("input")
@@ -72,9 +75,14 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
             args.profile, args.start, args.end, args.gutter_ratio, args.row_tol, args.min_conf, args.arabic_english,
             not args.no_entry_numbers, args.chunk_size, args.chunk, words is not None,
         )
+        if args.dual_pass:
+            # Boxes of three scans: 1 Latin, 2 Arabic, 3 both scripts.
+            pages = layout.dual_pass(*(pages.where(F.col("scan") == n).drop("scan") for n in (1, 2, 3))).drop("scan")
         found = dictionary.dictionary(pages, options, words)
         sinks.write_bilingual(found, args.output)
         report = quality.entry_report(found, ["pdf"], profile="v4" if args.profile == "v4" else "v3")
+        if args.src_name:
+            report = report.withColumn("pdf_name", F.lit(args.src_name))
     else:
         kept = layout.page_range(pages, args.start, args.end, chunk_size=args.chunk_size, chunk=args.chunk)
         texts = reference_book.page_texts(kept, incremental=args.incremental) if "text_ara" in pages.columns else kept

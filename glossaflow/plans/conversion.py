@@ -45,7 +45,7 @@ def subset(catalogue: Sequence[Dictionary], formats: Sequence[str]) -> list[Dict
     return [d for d in catalogue if d.format in formats]
 
 
-def convert(spark: SparkSession, catalogue: Sequence[Dictionary], out: str, *, files: int | None = 1) -> DataFrame:
+def convert(spark: SparkSession, catalogue: Sequence[Dictionary], out: str, *, files: int | None = None) -> DataFrame:
     """Convert every dictionary; (name, csv_name, format, rows, status).
 
     A dictionary that fails is reported and does not stop the others.

@@ -98,12 +98,17 @@ def index_records(idx: bytes) -> Iterator[tuple[str, int, int]]:
 
 
 def read_stardict(spark: SparkSession, folder: str) -> DataFrame:
-    """(pos, term, definition, source_file) of StarDict dictionaries.
+    """(pos, term, definition, source_file) of a folder's StarDict files."""
+    return stardict_entries(binary_files(spark, folder, "*.{ifo,idx,dict,dz}"))
+
+
+def stardict_entries(files: DataFrame) -> DataFrame:
+    """(pos, term, definition, source_file) of StarDict dictionaries, from
+    files (name, stem, content).
 
     Definitions of type ``h`` or ``x`` lose their markup. Compressed data are
     preferred where both forms are there.
     """
-    files = binary_files(spark, folder, "*.{ifo,idx,dict,dz}")
     kind = F.regexp_extract("name", r"\.(ifo|idx|dict\.dz|dict)$", 1)
     content = lambda k: F.max(F.when(kind == k, F.col("content")))
     whole = files.groupBy("stem").agg(content("ifo").alias("ifo"), content("idx").alias("idx"), F.coalesce(content("dict.dz"), content("dict")).alias("dict"))
@@ -168,8 +173,13 @@ class _Words(HTMLParser):
 
 
 def read_dicthtml(spark: SparkSession, folder: str) -> DataFrame:
-    """(pos, term, definition, source_file) of HTML files of ``<w>`` entries,
-    gzipped or not; files that cannot be read are left out."""
+    """(pos, term, definition, source_file) of a folder's HTML dictionaries."""
+    return dicthtml_entries(binary_files(spark, folder, "*.html"))
+
+
+def dicthtml_entries(files: DataFrame) -> DataFrame:
+    """(pos, term, definition, source_file) of HTML files (stem, content) of
+    ``<w>`` entries, gzipped or not; files that cannot be read are left out."""
 
     def parse(row: dict) -> list[tuple]:
         try:
@@ -181,14 +191,15 @@ def read_dicthtml(spark: SparkSession, folder: str) -> DataFrame:
         words.close()
         return [(i, term, definition, row["stem"]) for i, (term, definition) in enumerate(words.found)]
 
-    return _parsed(binary_files(spark, folder, "*.html").select("stem", "content"), parse, ENTRY, ["pos", "term", "definition", "source_file"])
+    return _parsed(files.select("stem", "content"), parse, ENTRY, ["pos", "term", "definition", "source_file"])
 
 
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
 
-def read_docx_cells(spark: SparkSession, path: str) -> DataFrame:
-    """(file, kind, table, row, cells): table rows and paragraphs of DOCX."""
+def docx_cells(files: DataFrame) -> DataFrame:
+    """(file, kind, table, row, cells): table rows and paragraphs of DOCX
+    files (stem, content)."""
 
     def text(node: ET.Element) -> str:
         return "".join(t.text or "" for t in node.iter(f"{_W}t"))
@@ -199,7 +210,7 @@ def read_docx_cells(spark: SparkSession, path: str) -> DataFrame:
         out = [(row["stem"], "table", t, r, ["\n".join(map(text, cell.iter(f"{_W}p"))) for cell in line.findall(f"{_W}tc")]) for t, table in enumerate(body.findall(f"{_W}tbl")) for r, line in enumerate(table.findall(f"{_W}tr"))]
         return out + [(row["stem"], "paragraph", 0, i, [text(p)]) for i, p in enumerate(body.findall(f"{_W}p"))]
 
-    return _parsed(binary_files(spark, path, "*.docx").select("stem", "content"), parse, "file string, kind string, table int, row int, cells array<string>", ["file", "kind", "table", "row", "cells"])
+    return _parsed(files.select("stem", "content"), parse, "file string, kind string, table int, row int, cells array<string>", ["file", "kind", "table", "row", "cells"])
 
 
 def cells_to_entry(cells: Column) -> tuple[Column, Column, Column]:
@@ -218,9 +229,13 @@ def cell_entries(rows: DataFrame, keys: list[str], cells: str = "cells") -> Data
 
 
 def read_docx(spark: SparkSession, path: str, *, strict: bool = False) -> DataFrame:
-    """(pos, term, definition, source_file): table rows, or the paragraphs of
-    files that have no table entries."""
-    cells = read_docx_cells(spark, path)
+    """(pos, term, definition, source_file) of DOCX files."""
+    return docx_entries(docx_cells(binary_files(spark, path, "*.docx")), strict=strict)
+
+
+def docx_entries(cells: DataFrame, *, strict: bool = False) -> DataFrame:
+    """(pos, term, definition, source_file) of :func:`docx_cells`: table rows,
+    or the paragraphs of files that have no table entries."""
     tables = cell_entries(cells.where("kind = 'table'"), ["file", "table", "row"])
     term, definition = tx.split_columns(F.col("cells")[0], strict=strict)
     paragraphs = cells.where("kind = 'paragraph'").join(tables.select("file").distinct(), "file", "left_anti").select("file", "table", "row", term.alias("term"), definition.alias("definition")).where("term <> ''")
@@ -236,8 +251,13 @@ def read_tab_export(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_zip(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, member, content) of the files in ZIP archives; broken
-    archives are left out."""
+    """(archive, member, content) of the files in ZIP archives."""
+    return zip_members(binary_files(spark, path, "*.zip"))
+
+
+def zip_members(files: DataFrame) -> DataFrame:
+    """(archive, member, content) of archives (name, content); broken ones are
+    left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,7 +271,7 @@ def read_zip(spark: SparkSession, path: str) -> DataFrame:
                     names, contents = zip(*found, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array([row["name"]] * len(names)), pa.array(names), pa.array(contents, pa.binary())], ["archive", "member", "content"])
 
-    return binary_files(spark, path, "*.zip").select("name", "content").mapInArrow(run, "archive string, member string, content binary")
+    return files.select("name", "content").mapInArrow(run, "archive string, member string, content binary")
 
 
 # Headers that name the two sides of a lexicon.

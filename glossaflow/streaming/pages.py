@@ -8,6 +8,7 @@ they live over batches and restarts.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -66,3 +67,10 @@ def progress(query: StreamingQuery) -> dict:
     """Rows taken so far and whether the stream still runs."""
     taken = sum(p["numInputRows"] for p in query.recentProgress)
     return {"total_pages": taken, "status": "in_progress" if query.isActive else "stopped" if query.exception() else "completed"}
+
+
+def write_progress(spark: SparkSession, query: StreamingQuery, path: str) -> dict:
+    """Progress as one JSON object in ``path``."""
+    found = progress(query)
+    spark.createDataFrame([(json.dumps(found, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return found

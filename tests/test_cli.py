@@ -29,3 +29,11 @@ def test_dictionary_book_and_merge(spark, tmp_path):
     (short / "chunk1.csv").write_text("id,English,Arabic\n1,Cat,قط\n2,short\n3,,كلب\n4,dog,\n")
     cli.run(spark, ["merge", "positional", str(short), str(tmp_path / "positional")])
     assert sorted(read(tmp_path / "positional").split("\r\n")) == sorted(["id,English,Arabic", "1,Cat,قط", "2,,كلب", "3,dog,", ""] + ["id,English,Arabic"] * (read(tmp_path / "positional").count("id,English") - 1))
+
+
+def test_dual_pass_and_source_name(spark, tmp_path):
+    boxes = [(1, 0, i, t, x, y, 10, 10, 90, 1000, scan) for i, (t, x, y, scan) in enumerate([("cat", 20, 0, 1), ("قط", 400, 0, 2), ("قص", 25, 0, 2), ("1", 0, 0, 3)])]
+    spark.createDataFrame(boxes, "pdf long, page int, pos int, text string, x int, y int, w int, h int, conf int, width int, scan int").write.parquet(str(tmp_path / "boxes"))
+    cli.run(spark, ["dictionary", str(tmp_path / "boxes"), str(tmp_path / "dict"), "--dual-pass", "--src-name", "Book"])
+    assert "1,cat,قط\r\n" in read(tmp_path / "dict")
+    assert '"pdf_name":"Book"' in read(tmp_path / "dict_report")

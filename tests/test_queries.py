@@ -8,7 +8,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from glossaflow import catalog
+from glossaflow import catalog, catalog_files  # noqa: F401  (registers its queries)
 
 
 @pytest.fixture(scope="module")

@@ -26,6 +26,8 @@ def test_the_stream_goes_on_where_it_was(spark, tmp_path):
     spark.createDataFrame([(1, 2, "y\nقسم:\nz")], stream.PAGES).write.mode("append").parquet(source)
     query = stream.ingest(spark, source, out, checkpoint, seconds=120)
     assert stream.progress(query)["status"] == "completed"
+    assert stream.write_progress(spark, query, str(tmp_path / "progress")) == {"total_pages": 1, "status": "completed"}
+    assert spark.read.json(str(tmp_path / "progress")).first()["total_pages"] == 1
     got = spark.read.parquet(out).orderBy("page", "line_no").collect()
     assert [(r["Content"], r["Section"], r["Subsection"]) for r in got] == [("الفصل أ", "الفصل أ", ""), ("x", "الفصل أ", ""), ("y", "الفصل أ", ""), ("قسم:", "الفصل أ", "قسم:"), ("z", "الفصل أ", "قسم:")]
 

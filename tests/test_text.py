@@ -86,3 +86,8 @@ def test_cleaning_is_idempotent_and_as_in_python(spark, texts):
     for r in rows:
         assert r["c"] == r["cc"]
         assert r["c"] == " ".join(r["v"].replace("\xa0", " ").replace("​", "").replace("‏", "").split())
+
+
+def test_names_of_notes_and_archives(spark):
+    row = spark.createDataFrame([("a b/c (d)\\e",)], "n string").select(tx.note_name(F.col("n")), tx.archive_name(F.col("n"))).first()
+    assert tuple(row) == ("a_b_c_(d)\\e", "a_b_c_d_e")
