@@ -265,8 +265,10 @@ SELECT doc_id, n >= 50 AND (marks / greatest(words, 1) > 0.15 OR forms > 5 OR (l
   n >= 50 AND ((words > 0 AND marks / words > 0.15) OR (letters > 0 AND odd / letters > 0.5)) AS garbled_incremental FROM c""")
 def garble_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = _table(spark, sf_dir, "documents").select("doc_id", _half_arabic(F.col("text")).alias("t"))
-    t = F.col("t")
-    return body.select("doc_id", tx.is_garbled(t).alias("garbled"), tx.is_garbled(t, strict=True).alias("garbled_strict"), tx.is_garbled(t, presentation=False).alias("garbled_incremental"))
+    counts = tx.garble_counts(F.col("t"))
+    counted = body.select("doc_id", *(c.alias(k) for k, c in counts.items()))
+    held = {k: F.col(k) for k in counts}
+    return counted.select("doc_id", tx.is_garbled(held).alias("garbled"), tx.is_garbled(held, strict=True).alias("garbled_strict"), tx.is_garbled(held, presentation=False).alias("garbled_incremental"))
 
 
 @_query("split_columns", f"""WITH {LINES}, gapped AS (SELECT pdf, page, replace(text, '. ', '.   ') AS raw FROM lines)

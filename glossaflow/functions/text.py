@@ -135,25 +135,45 @@ def normalize_arabic(text: Column) -> Column:
     return strip(F.translate(text, FOLD_FROM, FOLD_TO))
 
 
-def is_garbled(text: Column, threshold: float = 0.15, *, presentation: bool = True, strict: bool = False) -> Column:
-    """Whether a text layer of 50 characters or more is wrongly encoded.
+def count_of(text: Column, letters: str) -> Column:
+    """How many characters of a class a text holds: what it loses without
+    them, so that no list of matches is made."""
+    return F.length(text) - F.length(F.regexp_replace(text, f"{letters}+", ""))
+
+
+def garble_counts(text: Column) -> dict[str, Column]:
+    """What :func:`is_garbled` counts in a text, as columns to be added where
+    several of its profiles are asked for."""
+    runs = {
+        "marks": r"[\u064b-\u0652]{2,}",
+        "words": r"[\u0621-\u063a\u0641-\u064a]{2,}",
+    }
+    classes = {
+        "odd": r"[\u0640\u064b-\u065f\u0670-\u06ff]",
+        "odd_loose": r"[\u0640-\u065f\u0670-\u06ff]",
+        "letters": r"[\u0621-\u063a\u0641-\u064a]",
+        "forms": r"[\ufb50-\ufdff\ufe70-\ufeff]",
+    }
+    counted = {k: F.regexp_count(text, F.lit(p)) for k, p in runs.items()} | {k: count_of(text, p) for k, p in classes.items()}
+    return {"length": F.length(text), **counted}
+
+
+def is_garbled(text: Column | dict[str, Column], threshold: float = 0.15, *, presentation: bool = True, strict: bool = False) -> Column:
+    """Whether a text layer of 50 characters or more is wrongly encoded, from
+    the text or its :func:`garble_counts`.
 
     ``presentation`` also counts presentation forms (off for the incremental
     profile). ``strict`` leaves ordinary letters out of the class of odd
     characters, which otherwise holds U+0641 to U+064A, too.
     """
-
-    def count(pattern: str) -> Column:
-        return F.regexp_count(text, F.lit(pattern)).cast("double")
-
-    marks, words = count(r"[\u064b-\u0652]{2,}"), count(r"[\u0621-\u063a\u0641-\u064a]{2,}")
-    odd = count(r"[\u0640\u064b-\u065f\u0670-\u06ff]" if strict else r"[\u0640-\u065f\u0670-\u06ff]")
-    letters = count(r"[\u0621-\u063a\u0641-\u064a]")
+    held = text if isinstance(text, dict) else garble_counts(text)
+    marks, words, letters = (held[k].cast("double") for k in ("marks", "words", "letters"))
+    odd = held["odd" if strict else "odd_loose"].cast("double")
     garbled = (F.greatest(words, F.lit(1.0)) * threshold < marks) if presentation else (words > 0) & (marks / F.nullif(words, F.lit(0.0)) > threshold)
     if presentation:
-        garbled = garbled | (count(r"[\ufb50-\ufdff\ufe70-\ufeff]") > 5)
+        garbled = garbled | (held["forms"] > 5)
     garbled = garbled | ((letters > 0) & (odd / F.nullif(letters, F.lit(0.0)) > 0.5))
-    return F.coalesce((F.length(text) >= 50) & F.coalesce(garbled, F.lit(False)), F.lit(False))
+    return F.coalesce((held["length"] >= 50) & F.coalesce(garbled, F.lit(False)), F.lit(False))
 
 
 def content_type(text: Column, *, chapters: tuple[str, ...] = CHAPTER_PATTERNS, letters: str = ARABIC, bullets: bool = True) -> Column:

@@ -14,7 +14,7 @@ def text_route(text: Column, *, letters: str = tx.ARABIC, presentation: bool = T
     """``text`` for pages whose text layer can be used, else ``ocr``: over 50
     characters, over a tenth of them Arabic, and not garbled."""
     body = F.coalesce(text, F.lit(""))
-    enough = (F.length(body) > 50) & (F.regexp_count(body, F.lit(letters)) > F.length(body) * 0.1)
+    enough = (F.length(body) > 50) & (tx.count_of(body, letters) > F.length(body) * 0.1)
     return F.when(enough & ~tx.is_garbled(body, presentation=presentation, strict=strict), "text").otherwise("ocr")
 
 

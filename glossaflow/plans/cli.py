@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from glossaflow.operators import layout, lexicon, merge, quality
 from glossaflow.plans import dictionary, reference_book
+from glossaflow.shared import materialize, scratch
 from glossaflow.sinks import files as sinks
 from glossaflow.sources import files as sources
 
@@ -58,7 +59,13 @@ def _words(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
 
 
 def run(spark: SparkSession, argv: Sequence[str]) -> None:
-    args = parser().parse_args(argv)
+    """Run one command. Dictionaries and books are written in a folder for
+    each PDF; the result is computed once for the table and its reports."""
+    with scratch(spark):
+        _run(spark, parser().parse_args(argv))
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "merge":
         rows = sources.read_chunks(spark, args.input, "\t" if args.mode == "lines" else ",")
         if args.mode == "named":
@@ -78,16 +85,16 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
         if args.dual_pass:
             # Boxes of three scans: 1 Latin, 2 Arabic, 3 both scripts.
             pages = layout.dual_pass(*(pages.where(F.col("scan") == n).drop("scan") for n in (1, 2, 3))).drop("scan")
-        found = dictionary.dictionary(pages, options, words)
-        sinks.write_bilingual(found, args.output)
+        found = materialize(dictionary.dictionary(pages, options, words), "result")
+        sinks.write_bilingual(found, args.output, by="pdf")
         report = quality.entry_report(found, ["pdf"], profile="v4" if args.profile == "v4" else "v3")
         if args.src_name:
             report = report.withColumn("pdf_name", F.lit(args.src_name))
     else:
         kept = layout.page_range(pages, args.start, args.end, chunk_size=args.chunk_size, chunk=args.chunk)
         texts = reference_book.page_texts(kept, incremental=args.incremental) if "text_ara" in pages.columns else kept
-        found = reference_book.structured_lines(texts, incremental=args.incremental, lexicon_words=words)
-        sinks.write_lines(found, args.output, order=["pdf", "page", "line_no"])
+        found = materialize(reference_book.structured_lines(texts, incremental=args.incremental, lexicon_words=words), "result")
+        sinks.write_lines(found, args.output, order=["pdf", "page", "line_no"], by="pdf")
         report = quality.line_report(found, ["pdf"])
     sinks.write_report(report, f"{args.output}_report")
     sinks.write_flag(report, f"{args.output}_verified")

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from glossaflow.operators import quality
+from glossaflow.shared import materialize, scratch
 from glossaflow.sinks import files as sinks
 from glossaflow.sources import files as sources
 
@@ -62,11 +63,15 @@ def convert(spark: SparkSession, catalogue: Sequence[Dictionary], out: str, *, f
         else:
             try:
                 found = READERS[item.format](spark, item.path)
-                n = found.count()
-                status = "OK" if n else "EMPTY"
-                if n:
-                    order = [c for c in ("source_file", "pos") if c in found.columns]
-                    sinks.write_entries(found, target, item.name, order=order, files=files)
+                order = [c for c in ("source_file", "pos") if c in found.columns]
+                if found.isEmpty():
+                    status = "EMPTY"
+                else:
+                    with scratch(spark):
+                        # Parsed once: the order's bounds are sampled first.
+                        held = materialize(found, "entries")
+                        sinks.write_entries(held, target, item.name, order=order, files=files)
+                        n = held.count()
             except Exception as error:  # any reader's failure is a status here
                 n, status = 0, f"ERROR: {type(error).__name__}"
         rows.append((item.name, item.csv_name, item.format, n, status))

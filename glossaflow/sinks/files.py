@@ -17,10 +17,30 @@ BOM = "\ufeff"
 NOTE = "[CONVERSION NOTE]"
 
 
-def _lines(rows: DataFrame, columns: Sequence[str], sep: str) -> DataFrame:
+def _lines(rows: DataFrame, columns: Sequence[str], sep: str, by: str | None = None) -> DataFrame:
+    """(by, value): lines of text, with the header before each task's first
+    line and, of rows in order of ``by``, before the first of each value."""
     options = {"escape": '"', "sep": sep, "emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    lines = rows.select(F.to_csv(F.struct(*columns), options).alias("value"))
+    value = F.to_csv(F.struct(*columns), options).alias("value")
     header = BOM + sep.join(columns)
+    if by:
+        lines = rows.select(by, value)
+
+        def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            last: list = []
+            for batch in batches:
+                keys, values = [], []
+                for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    if last != [key]:
+                        last = [key]
+                        keys.append(key)
+                        values.append(header)
+                    keys.append(key)
+                    values.append(text)
+                yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema.field(0).type), pa.array(values, pa.string())], [by, "value"])
+
+        return lines.mapInArrow(headed, lines.schema)
+    lines = rows.select(value)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([header])], ["value"])
@@ -29,14 +49,18 @@ def _lines(rows: DataFrame, columns: Sequence[str], sep: str) -> DataFrame:
     return lines.mapInArrow(run, "value string")
 
 
-def write_table(rows: DataFrame, path: str, columns: Sequence[str], *, order: Sequence[str] = (), sep: str = ",", files: int | None = None, mode: str = "overwrite") -> None:
-    """Columns as CSV or TSV with byte order mark, header and CR LF."""
+def write_table(rows: DataFrame, path: str, columns: Sequence[str], *, order: Sequence[str] = (), sep: str = ",", files: int | None = None, mode: str = "overwrite", by: str | None = None) -> None:
+    """Columns as CSV or TSV with byte order mark, header and CR LF; with
+    ``by`` in a folder for each of its values (``by`` leads the order)."""
+    if by:
+        order = [by, *(c for c in order if c != by)]
     if order:
         rows = rows.repartitionByRange(files, *order) if files else rows.repartitionByRange(*order)
         rows = rows.sortWithinPartitions(*order)
     elif files:
         rows = rows.coalesce(files)
-    _lines(rows, columns, sep).write.mode(mode).text(path, lineSep="\r\n")
+    writer = _lines(rows, columns, sep, by).write.mode(mode)
+    (writer.partitionBy(by) if by else writer).text(path, lineSep="\r\n")
 
 
 def write_entries(rows: DataFrame, path: str, source_name: str, **options) -> None:

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import gzip
 import io
+import itertools
 import re
 import struct
 import xml.etree.ElementTree as ET
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -44,15 +45,20 @@ def refuse_lzo(content: Column) -> Column:
     return F.when(F.substring(content, 1, 4) == F.lit(LZO), F.raise_error(F.lit("LZO compression is not supported")).cast("binary")).otherwise(content)
 
 
-def _parsed(files: DataFrame, parse: Callable[[dict], list[tuple]], schema: str, names: list[str]) -> DataFrame:
+#: Most rows of a file that are handed on at once.
+BATCH_ROWS = 4096
+
+
+def _parsed(files: DataFrame, parse: Callable[[dict], Iterable[tuple]], schema: str, names: list[str]) -> DataFrame:
     """``parse`` of each file's row, exploded; ``names`` are its columns."""
+    types = {"pos": pa.int32(), "table": pa.int32(), "row": pa.int32(), "cells": pa.list_(pa.string())}
+    fields = pa.schema([(n, types.get(n, pa.string())) for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                found = parse(row)
-                if found:
-                    yield pa.RecordBatch.from_pylist([dict(zip(names, x, strict=True)) for x in found], pa.schema([(n, pa.int32() if n in ("pos", "table", "row") else pa.list_(pa.string()) if n == "cells" else pa.string()) for n in names]))
+                for found in itertools.batched(parse(row), BATCH_ROWS):
+                    yield pa.RecordBatch.from_pylist([dict(zip(names, x, strict=True)) for x in found], fields)
 
     return files.mapInArrow(run, schema)
 
@@ -113,11 +119,11 @@ def stardict_entries(files: DataFrame) -> DataFrame:
     content = lambda k: F.max(F.when(kind == k, F.col("content")))
     whole = files.groupBy("stem").agg(content("ifo").alias("ifo"), content("idx").alias("idx"), F.coalesce(content("dict.dz"), content("dict")).alias("dict"))
 
-    def parse(row: dict) -> list[tuple]:
+    def parse(row: dict) -> Iterator[tuple]:
         info = dict(line.split("=", 1) for line in row["ifo"].decode("utf-8", "replace").splitlines() if "=" in line)
         data, marked = gunzip(row["dict"]), info.get("sametypesequence", "").strip()[:1] in ("h", "x")
         tidy = html_text if marked else squeeze
-        return [(i, word, tidy(data[a : a + n].decode("utf-8", "replace")), row["stem"]) for i, (word, a, n) in enumerate(index_records(row["idx"]))]
+        return ((i, word, tidy(data[a : a + n].decode("utf-8", "replace")), row["stem"]) for i, (word, a, n) in enumerate(index_records(row["idx"])))
 
     complete = whole.where("ifo is not null and idx is not null and dict is not null")
     return _parsed(complete, parse, ENTRY, ["pos", "term", "definition", "source_file"])

@@ -5,7 +5,7 @@ from glossaflow.plans import cli
 
 
 def read(folder):
-    return "".join(p.read_bytes().decode().replace("\ufeff", "") for p in sorted(folder.glob("part-*")))
+    return "".join(p.read_bytes().decode().replace("\ufeff", "") for p in sorted(folder.rglob("part-*")))
 
 
 def test_dictionary_book_and_merge(spark, tmp_path):
@@ -37,3 +37,13 @@ def test_dual_pass_and_source_name(spark, tmp_path):
     cli.run(spark, ["dictionary", str(tmp_path / "boxes"), str(tmp_path / "dict"), "--dual-pass", "--src-name", "Book"])
     assert "1,cat,قط\r\n" in read(tmp_path / "dict")
     assert '"pdf_name":"Book"' in read(tmp_path / "dict_report")
+
+
+def test_each_pdf_has_its_folder(spark, tmp_path):
+    pages = [(pdf, page, f"line {pdf} {page}") for pdf in (1, 2) for page in range(3)]
+    spark.createDataFrame(pages, schemas.PAGE_TEXT).repartition(3).write.parquet(str(tmp_path / "pages"))
+    cli.run(spark, ["book", str(tmp_path / "pages"), str(tmp_path / "book")])
+    for pdf in (1, 2):
+        text = read(tmp_path / "book" / f"pdf={pdf}")
+        assert [x for x in text.split("\r\n") if x.startswith("content")] == [f"content\t\t\tline {pdf} {page}" for page in range(3)]
+        assert text.startswith("Type\tSection\tSubsection\tContent\r\n")
