@@ -125,4 +125,21 @@ out AS (SELECT d.*, CASE WHEN tokens > 0 THEN coalesce(p, 0) ELSE 0 END AS p FRO
 SELECT doc_id, source, lang, topic, tokens, round(p, 6) AS probability, ('0x' || md5('mix:' || doc_id)[1:8])::BIGINT / 4294967296.0 < p AS kept FROM out
 """
 
-ORACLES: dict[str, str] = {"op10_mixing": OP10, "op4_line_dedup": OP4, "op7_vptree": OP7, "op8_neardup": OP8, "op9_urls": OP9}
+OP12 = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.e, r.e)::BIGINT AS score FROM v a JOIN v r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+OP13 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+f AS (SELECT page_id, octet_length(body) AS n, sha256(body) AS digest, min(page_id) OVER (PARTITION BY body) AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest, CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to, NULL::VARCHAR AS problem FROM f
+"""
+
+ORACLES: dict[str, str] = {"op10_mixing": OP10, "op12_hard_negatives": OP12, "op13_warc": OP13, "op4_line_dedup": OP4, "op7_vptree": OP7, "op8_neardup": OP8, "op9_urls": OP9}

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossaflow.llm import audio, bpe, lines, mixing, neardup, quality, token_counts, toxicity, urls, vptree
-from glossaflow.llm.common import read
+from glossaflow.llm import audio, bpe, lines, mining, mixing, neardup, quality, token_counts, toxicity, urls, vptree, warc
+from glossaflow.llm.common import read, shared_dir
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +56,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).withColumn("probability", F.round("probability", 6))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return mining.hard_negatives(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"), f"{shared_dir(spark)}/glossaflow/warc-{uuid.uuid4().hex}")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
@@ -65,4 +77,6 @@ QUERIES = {
     "op8_neardup": op8_neardup,
     "op9_urls": op9_urls,
     "op10_mixing": op10_mixing,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_warc": op13_warc,
 }
