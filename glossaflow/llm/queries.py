@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossaflow.llm import audio, bpe, lines, mining, mixing, neardup, quality, token_counts, toxicity, urls, vptree, warc
+from glossaflow.llm import alignment, audio, bpe, lines, mining, mixing, neardup, quality, token_counts, toxicity, urls, vptree, warc
 from glossaflow.llm.common import read, shared_dir
 
 
@@ -56,6 +56,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).withColumn("probability", F.round("probability", 6))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.col("label").cast("long")
     moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
@@ -77,6 +81,7 @@ QUERIES = {
     "op8_neardup": op8_neardup,
     "op9_urls": op9_urls,
     "op10_mixing": op10_mixing,
+    "op11_alignment": op11_alignment,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_warc": op13_warc,
 }
