@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 from glossaflow.llm.common import checked_broadcast, lean, materialize
 
 LEAST_BYTES = 100
-#: Rows (by hash of the digest), characters of each and bytes of the dictionary.
+#: Rows and characters of each that train the dictionary, and its bytes.
 SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 256, 16_384, 65_536
 #: Records of one archive, its dictionary counted in.
 ARCHIVE_RECORDS = 5_000
@@ -256,11 +256,13 @@ def mark_revisits(rows: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
 
 
 def train(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> bytes | None:
-    """A dictionary from a bounded sample of payloads, the rows of smallest
-    digest; none where there is too little to learn from."""
+    """A dictionary from a bounded sample of payloads; none where there is too
+    little to learn from. Rows are drawn where they are, so what reaches the
+    driver does not grow with the table."""
     import zstandard
 
-    few = rows.select("digest", F.substring("payload", 1, SAMPLE_CHARS).alias("payload")).orderBy("digest").limit(sample_rows).collect()
+    share = min(1.0, 2 * sample_rows / max(rows.count(), 1))
+    few = rows.sample(share, seed=1).select("digest", F.substring("payload", 1, SAMPLE_CHARS).alias("payload")).limit(sample_rows).collect()
     heads = [record("response", f"urn:record:{i}", "2000-01-01T00:00:00Z", None, bytes(r["payload"]), len(r["payload"]), r["digest"]) for i, r in enumerate(few)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, heads).as_bytes() if len(heads) > 8 else None
