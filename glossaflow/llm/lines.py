@@ -11,9 +11,12 @@ template of at least ``MIN_DOCS`` documents is boilerplate. Lines of
 ``LONG_TOKENS`` tokens or more are so from ``LONG_DOCS`` documents of different
 text on where they agree in ``LONG_SIMILAR`` per cent of their tokens: a few
 copies of a whole document are no sign of a passage, and are left whole for the
-dedup of documents. So is a document that this rule would take more than
-``COPY_SHARE`` per cent of its tokens from: it is a near copy. Order plays no part, and lines meet in aggregates of their
-template only: no pairs are made.
+dedup of documents. So are the long lines that a document shares with one that
+keeps them if the lines alone make both similar by ``copies`` per cent of their
+shingles of ``WORDS`` words (sure ones only, see :func:`near_copy`): dedup of
+documents at that threshold takes one of the two. Below it nothing else would
+take the lines, so they go. Order plays no part, and lines meet in aggregates
+of their template only: no pairs are made.
 
 Boilerplate lines are dropped from every document but the one with the
 smallest id (and, by the second rule, its copies), so that what a group of
@@ -59,8 +62,9 @@ SIMILAR = 80
 #: Lines of so many tokens recur from so many documents on, if that per cent
 #: of their tokens is kept.
 LONG_TOKENS, LONG_DOCS, LONG_SIMILAR = 50, 2, 95
-#: Per cent of its tokens that a document can lose by that rule.
-COPY_SHARE = 67
+#: Similarity in per cent from which two documents are left to the dedup of
+#: documents, and words of the shingles that this is measured in.
+COPIES, WORDS = 80, 5
 BITMAP_BITS = 1 << 25
 
 _DIGIT = re.compile(rb"[0-9]")
@@ -164,10 +168,11 @@ def _nth(counts: Column, n: Column, percent: int) -> Column:
 
 
 def templates(occurring: DataFrame, words: DataFrame, min_docs: int, similar: int, long: tuple[int, int, int]) -> DataFrame:
-    """(line_hash, first, strict): the distinct lines of ``occurring`` that are
-    boilerplate, with the (id, text_hash) that comes first in their template
-    and whether it is one of long lines."""
-    held = materialize(occurring.where(F.col("id").isNotNull()).select("leaf", "line_hash", "id", "text_hash").distinct(), "held")
+    """(line_hash, strict, first, equal): the distinct lines of ``occurring``
+    that are boilerplate, with the (id, text_hash, total) that comes first in
+    their template, whether it is one of long lines, and whether that document
+    holds the very line."""
+    held = materialize(occurring.where(F.col("id").isNotNull()).select("leaf", "line_hash", "id", "text_hash", "total").distinct(), "held")
     key = F.transform("words", lambda w, i: F.when(w != "<*>", F.xxhash64("leaf", i, w)))
     distinct = words.join(held.select("line_hash").distinct(), "line_hash", "left_semi").dropDuplicates(["line_hash"])
     keyed = distinct.withColumn("words", F.split("line", " ")).select("line_hash", F.size("words").alias("n"), F.array_compact(key).alias("keys"))
@@ -195,15 +200,29 @@ def templates(occurring: DataFrame, words: DataFrame, min_docs: int, similar: in
 
     # Lines of one strict template have the other kind's template in common,
     # too: they all go to that if it recurs, and else to the strict one.
-    met = held.select("line_hash", "id", "text_hash").join(shaped, "line_hash")
+    met = held.select("line_hash", "id", "text_hash", "total").join(shaped, "line_hash")
     who = F.when(F.col("strict") == 0, F.xxhash64("id")).otherwise(F.col("text_hash"))
-    counted = met.groupBy("template", "strict").agg(F.countDistinct(who).alias("docs"), F.min(F.struct("id", "text_hash")).alias("first"))
+    counted = met.groupBy("template", "strict").agg(F.countDistinct(who).alias("docs"), F.min(F.struct("id", "text_hash", "total")).alias("first"))
     recurring = materialize(counted.where(F.col("docs") >= F.when(F.col("strict") == 0, min_docs).otherwise(long[1])).select("template", "first"), "recurring")
     drawn = shaped.join(recurring, "template").groupBy("line_hash").agg(F.min(F.struct("strict", "first")).alias("x"))
-    return materialize(drawn.select("line_hash", "x.strict", "x.first"), "boilerplate")
+    own = held.groupBy("line_hash").agg(F.min(F.struct("id", "text_hash", "total")).alias("own"))
+    return materialize(drawn.join(own, "line_hash").select("line_hash", "x.strict", "x.first", (F.col("x.first") == F.col("own")).alias("equal")), "boilerplate")
 
 
-def drops_of(docs: DataFrame, id_col: str, text_col: str, *, depth: int, min_docs: int, min_tokens: int, similar: int, long: tuple[int, int, int]) -> DataFrame:
+def sure_shingles(n: Column, equal: Column, long: tuple[int, int, int]) -> Column:
+    """Shingles that a long line of ``n`` tokens has in common with one of its
+    template: all within it if they are equal; else each token that may differ
+    costs as many as a shingle has words."""
+    apart = F.floor((n * (100 - long[2]) + 99) / 100) * WORDS
+    return F.greatest(n - (WORDS - 1) - F.when(equal, 0).otherwise(apart), F.lit(0)).cast("long")
+
+
+def near_copy(shared: Column, total: Column, other: Column, percent: int) -> Column:
+    """Whether ``shared`` shingles make texts of so many tokens similar."""
+    return shared * 100 >= (total.cast("long") + other - 2 * (WORDS - 1) - shared) * percent
+
+
+def drops_of(docs: DataFrame, id_col: str, text_col: str, *, depth: int, min_docs: int, min_tokens: int, similar: int, long: tuple[int, int, int], copies: int) -> DataFrame:
     """(id, text_hash, drops): the places of the lines that each text loses."""
     lines = materialize(line_hashes(docs, id_col, text_col, depth, min_tokens), "lines")
     reached = lines.where(F.col("id").isNotNull()).select("leaf", "n", "id").distinct().groupBy("leaf", "n").agg(F.count("*").alias("docs"))
@@ -213,20 +232,20 @@ def drops_of(docs: DataFrame, id_col: str, text_col: str, *, depth: int, min_doc
     drawn = templates(occurring, line_words(docs, leaves, text_col, depth, min_tokens), min_docs, similar, long)
     stays = F.col("id").eqNullSafe(F.col("first.id")) | ((F.col("strict") == 1) & (F.col("text_hash") == F.col("first.text_hash")))
     gone = occurring.join(drawn.hint("merge"), "line_hash").where(~stays)
-    strict = F.col("strict") == 1
-    each = gone.groupBy("id", "text_hash").agg(
-        F.coalesce(F.sum(F.when(strict, F.col("n"))), F.lit(0)).alias("lost"), F.max("total").alias("total"), F.collect_set(F.when(strict, F.col("pos"))).alias("long"), F.collect_set(F.when(~strict, F.col("pos"))).alias("other")
-    )
-    copy = F.col("lost") * 100 > F.col("total").cast("long") * COPY_SHARE
-    drops = each.select("id", "text_hash", F.when(copy, F.col("other")).otherwise(F.array_union("long", "other")).alias("drops"))
-    return materialize(drops.where(F.size("drops") > 0), "drops")
+    # By the document that keeps the lines; by none for those of many.
+    with_ = F.when(F.col("strict") == 1, F.col("first"))
+    each = gone.groupBy("id", "text_hash", with_.alias("with")).agg(F.sum(sure_shingles(F.col("n"), F.col("equal"), long)).alias("shared"), F.max("total").alias("total"), F.collect_set("pos").alias("places"))
+    copy = F.coalesce(near_copy(F.col("shared"), F.col("total"), F.col("with.total"), copies), F.lit(False))
+    drops = each.where(~copy).groupBy("id", "text_hash").agg(F.flatten(F.collect_list("places")).alias("drops"))
+    return materialize(drops, "drops")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similar: int = SIMILAR, long: tuple[int, int, int] = (LONG_TOKENS, LONG_DOCS, LONG_SIMILAR)) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, similar: int = SIMILAR, long: tuple[int, int, int] = (LONG_TOKENS, LONG_DOCS, LONG_SIMILAR), copies: int = COPIES) -> DataFrame:
     """``docs`` with boilerplate lines out of ``text_col``, plus the columns
     ``n_lines`` and ``n_dropped`` (which replace any of that name).
-    ``long`` has the tokens, documents and per cent of long lines."""
-    drops = drops_of(docs, id_col, text_col, depth=depth, min_docs=min_docs, min_tokens=min_tokens, similar=similar, long=long)
+    ``long`` has the tokens, documents and per cent of long lines, ``copies``
+    the threshold of the dedup of documents that follows (over 100: none)."""
+    drops = drops_of(docs, id_col, text_col, depth=depth, min_docs=min_docs, min_tokens=min_tokens, similar=similar, long=long, copies=copies)
     # The document is one struct, so that none of its names meets one of ours.
     whole = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"))
     key = whole["id"].eqNullSafe(drops["id"]) & (whole["text_hash"] == drops["text_hash"])

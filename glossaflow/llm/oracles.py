@@ -29,10 +29,12 @@ shaped AS (
 class AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS c FROM documents),
 members AS (SELECT o.doc_id, CASE WHEN s.strict = 0 THEN o.doc_id ELSE c.c END AS who, o.pos, o.leaf, s.need, s.strict, s.shape FROM leafed o JOIN shaped s ON s.leaf = o.leaf AND s.t = o.t JOIN class c USING (doc_id)),
 held AS (SELECT leaf, strict, shape, min(who) AS f FROM members GROUP BY leaf, strict, shape, need HAVING count(DISTINCT who) >= need),
-drawn AS (SELECT m.doc_id, m.pos, arg_min(m.who <> h.f, h.strict) AS goes, min(h.strict) AS strict FROM members m JOIN held h ON h.leaf = m.leaf AND h.strict = m.strict AND h.shape = m.shape GROUP BY m.doc_id, m.pos),
-lost AS (SELECT doc_id, sum(len(t)) FILTER (strict = 1) AS lost FROM drawn JOIN toks USING (doc_id, pos) WHERE goes GROUP BY doc_id),
-copies AS (SELECT doc_id FROM lost JOIN (SELECT doc_id, sum(len(t)) AS total FROM toks GROUP BY doc_id) USING (doc_id) WHERE lost * 100 > total * 67),
-gone AS (SELECT doc_id, pos FROM drawn WHERE goes AND (strict = 0 OR doc_id NOT IN (SELECT doc_id FROM copies)))
+owners AS (SELECT t, min(c) AS own FROM leafed JOIN class USING (doc_id) GROUP BY t),
+drawn AS (SELECT m.doc_id, m.pos, m.leaf, arg_min(m.who <> h.f, h.strict) AS goes, min(h.strict) AS strict, arg_min(h.f, h.strict) AS f FROM members m JOIN held h ON h.leaf = m.leaf AND h.strict = m.strict AND h.shape = m.shape GROUP BY m.doc_id, m.pos, m.leaf),
+totals AS (SELECT doc_id, sum(len(t)) AS total FROM toks GROUP BY doc_id),
+shared AS (SELECT d.doc_id, d.f, sum(greatest(len(t) - 4 - CASE WHEN own = d.f THEN 0 ELSE (len(t) * 5 + 99) // 100 * 5 END, 0)) AS n FROM drawn d JOIN leafed USING (doc_id, pos) JOIN owners USING (t) WHERE goes AND strict = 1 GROUP BY d.doc_id, d.f),
+copies AS (SELECT s.doc_id, f FROM shared s JOIN totals a USING (doc_id) JOIN totals b ON b.doc_id = f WHERE n * 100 >= (a.total + b.total - 8 - n) * 80),
+gone AS (SELECT doc_id, pos FROM drawn d WHERE goes AND (strict = 0 OR NOT EXISTS (SELECT 1 FROM copies c WHERE c.doc_id = d.doc_id AND c.f = d.f)))
 SELECT l.doc_id, count(*) AS n_lines, count(g.pos) AS n_dropped,
   md5(coalesce(string_agg(l.raw, chr(10) ORDER BY l.pos) FILTER (g.pos IS NULL), '')) AS text_md5
 FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos GROUP BY l.doc_id

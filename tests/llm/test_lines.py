@@ -1,6 +1,8 @@
 """Line dedup: templates, what stays, edge cases."""
 
-from glossaflow.llm import lines
+import pytest
+
+from glossaflow.llm import lines, neardup
 
 
 def test_templates_with_fields_are_dropped_after_the_first(frame):
@@ -102,6 +104,33 @@ def test_a_few_copies_of_a_document_stay_whole(frame):
     for i, dropped in ((1, {1: 0, 3: 1, 4: 1, 5: 1}), (9, {3: 0, 4: 0, 5: 0, 9: 1})):
         got = lines.dedup_lines(frame([*copies, (i, f"{passage}\nsomething else {rest[::-1]}")])).collect()
         assert {r["doc_id"]: r["n_dropped"] for r in got} == dropped
-    # A near copy would lose nearly all it has: it is left whole.
+    # A passage that most of a document is of goes, unless both are near copies.
     near = [(1, f"{passage}\n{rest}"), (2, f"{passage}\nshort end")]
-    assert {r["doc_id"]: r["n_dropped"] for r in lines.dedup_lines(frame(near)).collect()} == {1: 0, 2: 0}
+    assert {r["doc_id"]: r["n_dropped"] for r in lines.dedup_lines(frame(near)).collect()} == {1: 0, 2: 1}
+
+
+def sharing(percent, n=4, size=200):
+    """Documents of ``size`` words of which ``percent`` are one line of all."""
+    words = size * percent // 100
+    passage = " ".join(f"{c}{d}{e}" for c in "abcdef" for d in "abcdefghij" for e in "xyzw")
+    passage = " ".join(passage.split()[:words])
+    return [(i, passage + "\n" + " ".join(f"{chr(97 + i)}{c}{d}o" for c in "abcdefghijklmnop" for d in "abcdefghij").rsplit(" ", 160 - size + words)[0]) for i in range(1, n + 1)]
+
+
+@pytest.mark.parametrize("percent", [60, 70, 75, 80, 85, 90, 95])
+def test_a_passage_is_left_once_by_line_or_document_dedup(frame, percent):
+    docs = frame(sharing(percent))
+    assert {len(t.split()) for _, t in sharing(percent)} == {200}
+    left = neardup.keep_one(lines.dedup_lines(docs, copies=80), percent=80).collect()
+    assert sum("\n" in r["text"] for r in left) == 1
+    assert len(left) == (1 if percent >= 90 else 4)
+    # With no dedup of documents to follow, lines alone see to it.
+    alone = lines.dedup_lines(docs, copies=101).collect()
+    assert sum("\n" in r["text"] for r in alone) == 1 and len(alone) == 4
+
+
+def test_a_copy_within_a_longer_text_loses_its_passage(frame):
+    (_, one), (_, two), *_ = sharing(90)
+    longer = one + "\n" + " ".join(f"q{c}{d}" for c in "abcdefghijklmnopqrstuvwxyz" for d in "abcdefghij")
+    got = {r["doc_id"]: r["n_dropped"] for r in lines.dedup_lines(frame([(1, longer), (2, two)])).collect()}
+    assert got == {1: 0, 2: 1}
