@@ -24,6 +24,10 @@ from glossaflow.llm import bpe, lines, mixing, neardup, quality
 from glossaflow.llm.common import read, scratch, shared_dir
 
 
+#: Similarity in per cent of near copies; what is below loses shared passages.
+COPIES = 80
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     return quality.keep_good(docs, read(spark, sf_dir, "labels"))
@@ -31,7 +35,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without recurring lines; one that held nothing else goes."""
-    out = lines.dedup_lines(docs)
+    out = lines.dedup_lines(docs, copies=COPIES)
     left = out.where((F.col("n_dropped") == 0) | (F.btrim("text", F.lit(" \t\n\x0b\x0c\r")) != ""))
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -40,7 +44,7 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, from 0.8 on."""
-    return neardup.keep_one(docs, percent=80)
+    return neardup.keep_one(docs, percent=COPIES)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
