@@ -36,10 +36,12 @@ from pyspark.sql import types as T
 
 from glossaflow.llm.bpe import safe_chunks
 from glossaflow.llm.common import checked_broadcast, lean, materialize
-from glossaflow.llm.token_counts import default_path
+from glossaflow.llm.token_counts import _ODD, default_path
 
 #: Characters aligned at once (one document at least).
 BATCH_CHARS = 1 << 19
+#: Words that a worker knows the ids of, and characters of the longest of them.
+CACHE_WORDS, CACHE_CHARS = 300_000, 64
 #: Pairs of most documents that are looked up without a shuffle.
 FREQUENT = 1 << 18
 #: Keys counted together in a task before they are handed on.
@@ -94,10 +96,26 @@ def byte_side(path: str) -> Side:
     for piece, i in vocabulary.items():
         pieces[i] = bytes(alphabet[c] for c in piece) if all(c in alphabet for c in piece) else piece.encode()
 
+    known: dict[str, list[int]] = {}
+
+    def learn(words: set[str]) -> None:
+        if missing := list(words.difference(known)):
+            if len(known) + len(missing) > CACHE_WORDS:
+                known.clear()
+                missing = list(words)
+            known.update(zip(missing, (e.ids for e in tokenizer.encode_batch_fast([f" {w}" for w in missing], add_special_tokens=False)), strict=True))
+
     def encode(texts: list[str]) -> list[list[int]]:
-        chunks = [list(safe_chunks(" " + t, 1 << 18)) for t in texts]
-        found = iter(tokenizer.encode_batch_fast([c for cs in chunks for c in cs], add_special_tokens=False))
-        return [[i for _ in cs for i in next(found).ids] for cs in chunks]
+        # A space before something else begins a pre-token, so what stands
+        # between single spaces is encoded by itself, once while it is known.
+        cut = [None if _ODD.search(f" {t}") else t.split(" ") for t in texts]
+        learn({w for words in cut for w in words or ()})
+        chunks = [[] if words else list(safe_chunks(f" {t}", 1 << 18)) for t, words in zip(texts, cut, strict=True)]
+        rest = iter(tokenizer.encode_batch_fast([c for cs in chunks for c in cs], add_special_tokens=False))
+        out = [[i for w in words for i in known[w]] if words else [i for _ in cs for i in next(rest).ids] for words, cs in zip(cut, chunks, strict=True)]
+        for w in {w for words in cut for w in words or () if len(w) > CACHE_CHARS}:
+            known.pop(w, None)
+        return out
 
     return Side(encode, pieces)
 
