@@ -7,6 +7,7 @@ file where the result is small enough for one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -103,5 +104,26 @@ def write_flag(report: DataFrame, path: str, name: str = "pdf_deletable") -> boo
     return True
 
 
+def write_files(files: DataFrame, folder: str) -> None:
+    """Rows (name, content) as files of a folder, in any store that Arrow's
+    file systems open. A file is written beside its place and moved there, so a
+    task that is run again writes the same file once more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from glossaflow.sources.datasources import file_system
+
+        system, place = file_system(folder)
+        for batch in batches:
+            for name, content in zip(*batch.columns, strict=True):
+                system.create_dir(place)
+                draft = f"{place}/.{name.as_py()}-{uuid.uuid4().hex}"
+                with system.open_output_stream(draft) as out:
+                    out.write(content.as_buffer())
+                system.move(draft, f"{place}/{name.as_py()}")
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["name"])
+
+    files.select("name", "content").mapInArrow(run, "name string").write.format("noop").mode("overwrite").save()
+
+
 def write_conversion_report(lines: DataFrame, path: str) -> None:
     lines.repartitionByRange(1, "section", "name").sortWithinPartitions("section", "name").select(F.col("line").alias("value")).write.mode("overwrite").text(path)

@@ -13,6 +13,7 @@ import re
 import struct
 import xml.etree.ElementTree as ET
 import zipfile
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from html.parser import HTMLParser
 
@@ -130,8 +131,9 @@ def stardict_entries(files: DataFrame) -> DataFrame:
 
 
 class _Words(HTMLParser):
-    """Entries of ``<w>`` elements: an anchor's name or the first bold text is
-    the term, the first block without its bold text the definition."""
+    """Entries of ``<w>`` elements: the first anchor's name as it is, or else
+    the first bold text, is the term; the first block without its first bold
+    text is the definition, or all text where there is no block."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -140,19 +142,18 @@ class _Words(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "w":
-            self.open, self.anchor, self.depth, self.blocks, self.bolds = True, "", 0, 0, 0
-            self.bold, self.block, self.all, self.in_bold, self.skip = [], [], [], 0, 0
-        elif self.open and tag == "a" and not self.anchor:
+            self.open, self.anchor, self.depth, self.blocks, self.bolds = True, None, 0, 0, 0
+            self.bold, self.block, self.all, self.in_bold, self.skip, self.taken = [], [], [], 0, False, False
+        elif self.open and tag == "a" and self.anchor is None:
             self.anchor = dict(attrs).get("name") or ""
         elif self.open and tag == "div":
             self.blocks += self.depth == 0
             self.depth += 1
-            self.block_bold = self.depth == 1 and self.blocks == 1
         elif self.open and tag == "b":
             self.bolds += self.in_bold == 0
             self.in_bold += 1
-            if self.depth and self.blocks == 1 and not getattr(self, "taken", False):
-                self.skip, self.taken = 1, True
+            if self.depth and self.blocks == 1 and not self.taken:
+                self.skip, self.taken = True, True
 
     def handle_endtag(self, tag: str) -> None:
         if not self.open:
@@ -163,10 +164,9 @@ class _Words(HTMLParser):
             self.in_bold -= 1
             self.skip = self.skip and self.in_bold > 0
         elif tag == "w":
-            term = squeeze(self.anchor) or squeeze(" ".join(self.bold))
-            if term:
+            if term := self.anchor or "".join(t.strip() for t in self.bold):
                 self.found.append((term, squeeze(" ".join(self.block if self.blocks else self.all))))
-            self.open, self.taken = False, False
+            self.open = False
 
     def handle_data(self, data: str) -> None:
         if not self.open:
@@ -183,19 +183,24 @@ def read_dicthtml(spark: SparkSession, folder: str) -> DataFrame:
     return dicthtml_entries(binary_files(spark, folder, "*.html"))
 
 
+def html_entries(content: bytes) -> list[tuple[str, str]]:
+    """(term, definition) of an HTML file, gzipped or not."""
+    words = _Words()
+    words.feed(gunzip(content).decode("utf-8", "replace"))
+    words.close()
+    return words.found
+
+
 def dicthtml_entries(files: DataFrame) -> DataFrame:
     """(pos, term, definition, source_file) of HTML files (stem, content) of
     ``<w>`` entries, gzipped or not; files that cannot be read are left out."""
 
     def parse(row: dict) -> list[tuple]:
         try:
-            html = gunzip(row["content"]).decode("utf-8", "replace")
-        except (OSError, EOFError):
+            found = html_entries(row["content"])
+        except (OSError, EOFError, ValueError, AssertionError, zlib.error):
             return []
-        words = _Words()
-        words.feed(html)
-        words.close()
-        return [(i, term, definition, row["stem"]) for i, (term, definition) in enumerate(words.found)]
+        return [(i, term, definition, row["stem"]) for i, (term, definition) in enumerate(found)]
 
     return _parsed(files.select("stem", "content"), parse, ENTRY, ["pos", "term", "definition", "source_file"])
 
@@ -203,18 +208,36 @@ def dicthtml_entries(files: DataFrame) -> DataFrame:
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
 
-def docx_cells(files: DataFrame) -> DataFrame:
-    """(file, kind, table, row, cells): table rows and paragraphs of DOCX
-    files (stem, content)."""
+def _docx_parts(content: bytes) -> tuple[list[tuple[int, int, list[str]]], list[tuple[int, str]]]:
+    """Table rows (table, row, cells) and paragraphs (place, text) of a file."""
 
     def text(node: ET.Element) -> str:
         return "".join(t.text or "" for t in node.iter(f"{_W}t"))
 
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        body = ET.fromstring(archive.read("word/document.xml")).find(f"{_W}body")
+    rows = [(t, r, ["\n".join(map(text, cell.iter(f"{_W}p"))) for cell in line.findall(f"{_W}tc")]) for t, table in enumerate(body.findall(f"{_W}tbl")) for r, line in enumerate(table.findall(f"{_W}tr"))]
+    return rows, [(i, text(p)) for i, p in enumerate(body.findall(f"{_W}p"))]
+
+
+def docx_rows(content: bytes) -> Iterator[tuple[int, str, str]]:
+    """(pos, term, definition) of a file: its table rows, or its paragraphs
+    where no table has an entry."""
+    rows, paragraphs = _docx_parts(content)
+    full = [(t * 1_000_000 + r, [c for c in cells if c.strip()]) for t, r, cells in rows]
+    entries = [(pos, squeeze(cells[0]), squeeze(" ".join(cells[1:]))) for pos, cells in full if cells]
+    yield from (e for e in entries if e[1] or e[2])
+    if not any(e[1] or e[2] for e in entries):
+        yield from ((i, squeeze(p), "") for i, p in paragraphs if squeeze(p))
+
+
+def docx_cells(files: DataFrame) -> DataFrame:
+    """(file, kind, table, row, cells): table rows and paragraphs of DOCX
+    files (stem, content)."""
+
     def parse(row: dict) -> list[tuple]:
-        with zipfile.ZipFile(io.BytesIO(row["content"])) as archive:
-            body = ET.fromstring(archive.read("word/document.xml")).find(f"{_W}body")
-        out = [(row["stem"], "table", t, r, ["\n".join(map(text, cell.iter(f"{_W}p"))) for cell in line.findall(f"{_W}tc")]) for t, table in enumerate(body.findall(f"{_W}tbl")) for r, line in enumerate(table.findall(f"{_W}tr"))]
-        return out + [(row["stem"], "paragraph", 0, i, [text(p)]) for i, p in enumerate(body.findall(f"{_W}p"))]
+        rows, paragraphs = _docx_parts(row["content"])
+        return [(row["stem"], "table", *r) for r in rows] + [(row["stem"], "paragraph", 0, i, [p]) for i, p in paragraphs]
 
     return _parsed(files.select("stem", "content"), parse, "file string, kind string, table int, row int, cells array<string>", ["file", "kind", "table", "row", "cells"])
 
