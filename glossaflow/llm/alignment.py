@@ -24,6 +24,7 @@ whole; an empty table gives an empty result. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 from functools import cache
 
@@ -34,14 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossaflow.llm.bpe import safe_chunks
+from glossaflow.llm.bpe import default_pattern, encode_text, safe_chunks
 from glossaflow.llm.common import checked_broadcast, lean, materialize
-from glossaflow.llm.token_counts import _ODD, default_path
+from glossaflow.llm.token_counts import _UNSTABLE, default_path
 
 #: Characters aligned at once (one document at least).
 BATCH_CHARS = 1 << 19
-#: Words that a worker knows the ids of, and characters of the longest of them.
-CACHE_WORDS, CACHE_CHARS = 300_000, 64
 #: Pairs of most documents that are looked up without a shuffle.
 FREQUENT = 1 << 18
 #: Keys counted together in a task before they are handed on.
@@ -79,6 +78,22 @@ class Side:
         return out
 
 
+def ranked(path: str, pieces: list[bytes]):
+    """The file's vocabulary as ranks for a faster encoder, or none where its
+    ids are not in order of its merges or its pattern is another."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    letters, merges = byte_alphabet(), told["model"].get("merges", [])
+    joined = [bytes(letters.get(c, 0) for c in (m if isinstance(m, str) else " ".join(m)).replace(" ", "")) for m in merges]
+    first = next((i for i, p in enumerate(pieces) if len(p) > 1), len(pieces))
+    split = told.get("pre_tokenizer") or {}
+    if told.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or split.get("use_regex") is False or joined != pieces[first : first + len(joined)]:
+        return None
+    return tiktoken.Encoding("local", pat_str=default_pattern(), mergeable_ranks={p: i for i, p in enumerate(pieces[: first + len(joined)])}, special_tokens={})
+
+
 @cache
 def byte_side(path: str) -> Side:
     """A tokenizer whose special tokens are plain text within texts."""
@@ -96,26 +111,17 @@ def byte_side(path: str) -> Side:
     for piece, i in vocabulary.items():
         pieces[i] = bytes(alphabet[c] for c in piece) if all(c in alphabet for c in piece) else piece.encode()
 
-    known: dict[str, list[int]] = {}
-
-    def learn(words: set[str]) -> None:
-        if missing := list(words.difference(known)):
-            if len(known) + len(missing) > CACHE_WORDS:
-                known.clear()
-                missing = list(words)
-            known.update(zip(missing, (e.ids for e in tokenizer.encode_batch_fast([f" {w}" for w in missing], add_special_tokens=False)), strict=True))
+    ranks = ranked(path, pieces)
 
     def encode(texts: list[str]) -> list[list[int]]:
-        # A space before something else begins a pre-token, so what stands
-        # between single spaces is encoded by itself, once while it is known.
-        cut = [None if _ODD.search(f" {t}") else t.split(" ") for t in texts]
-        learn({w for words in cut for w in words or ()})
-        chunks = [[] if words else list(safe_chunks(f" {t}", 1 << 18)) for t, words in zip(texts, cut, strict=True)]
+        # Of characters whose class differs between Unicode versions the
+        # library decides; for the others the ranks give the same ids sooner.
+        plain = [ranks is not None and (t.isascii() or not _UNSTABLE.search(t)) for t in texts]
+        apart = [t for t, p in zip(texts, plain, strict=True) if not p]
+        chunks = [list(safe_chunks(f" {t}", 1 << 18)) for t in apart]
         rest = iter(tokenizer.encode_batch_fast([c for cs in chunks for c in cs], add_special_tokens=False))
-        out = [[i for w in words for i in known[w]] if words else [i for _ in cs for i in next(rest).ids] for words, cs in zip(cut, chunks, strict=True)]
-        for w in {w for words in cut for w in words or () if len(w) > CACHE_CHARS}:
-            known.pop(w, None)
-        return out
+        slow = iter([[i for _ in cs for i in next(rest).ids] for cs in chunks])
+        return [encode_text(ranks, f" {t}") if p else next(slow) for t, p in zip(texts, plain, strict=True)]
 
     return Side(encode, pieces)
 

@@ -111,3 +111,15 @@ def test_hand_made_groups():
     assert sorted(zip(links["a_id"], links["b_id"], strict=True)) == [(0, 0), (0, 1), (1, 1), (2, 2), (3, 2), (3, 3)]
     n, texts = alignment.group_texts(a, b, links, one, two, 1)
     assert (n.tolist(), texts) == ([2], ["0,1|0,1;2,3|2,3"])
+
+
+def test_ranks_of_the_file_are_used_and_agree(sf_dir):
+    import pandas as pd
+    from tokenizers import Tokenizer
+
+    side = alignment.byte_side(A)
+    assert alignment.ranked(A, side.pieces) is not None
+    texts = [t for t in pd.read_parquet(f"{sf_dir}/documents.parquet")["text"] if t][:60] + TEXTS
+    tokenizer = Tokenizer.from_file(A)
+    tokenizer.encode_special_tokens = True
+    assert side.encode(texts) == [tokenizer.encode(f" {t}", add_special_tokens=False).ids for t in texts]
