@@ -71,8 +71,7 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         if args.mode == "named":
             sinks.write_numbered(merge.merge_named(rows, ["file", "pos"]), args.output)
         elif args.mode == "positional":
-            names = [c for c in rows.columns if c not in ("file", "pos")]
-            sinks.write_bilingual(merge.merge_positional(rows.withColumn("cells", F.array(*names)), ["file", "pos"]), args.output)
+            sinks.write_bilingual(merge.merge_positional(rows, ["file", "pos"]), args.output)
         else:
             sinks.write_lines(rows, args.output, order=["file", "pos"])
         return

@@ -6,6 +6,7 @@ do. A file is the unit of work; its parser turns one row into many.
 
 from __future__ import annotations
 
+import csv
 import gzip
 import io
 import itertools
@@ -14,7 +15,8 @@ import struct
 import xml.etree.ElementTree as ET
 import zipfile
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glossaflow.functions import text as tx
+from glossaflow.shared import materialize
 
 ENTRY = "pos int, term string, definition string, source_file string"
 GZIP = b"\x1f\x8b"
@@ -46,6 +49,8 @@ def refuse_lzo(content: Column) -> Column:
     return F.when(F.substring(content, 1, 4) == F.lit(LZO), F.raise_error(F.lit("LZO compression is not supported")).cast("binary")).otherwise(content)
 
 
+#: Files up to whose number the relation of first lines is broadcast.
+FEW_FILES = 100_000
 #: Most rows of a file that are handed on at once.
 BATCH_ROWS = 4096
 
@@ -318,34 +323,77 @@ def lexicon_columns(header: list[str]) -> tuple[int | None, int | None]:
     return at["en"], at["ar"]
 
 
-def csv_files(spark: SparkSession, path: str) -> list[str]:
-    """The CSV files of a folder, or the file itself."""
-    named = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
-    return [r["path"] for r in named.select("path").orderBy("path").collect()]  # a listing
+@dataclass(frozen=True)
+class Records:
+    """Records of files with headers of their own: ``rows`` (file, pos, line,
+    cells), ``line`` the first line of the file; and the cells of each distinct
+    first line. Empty cells are empty, those that a short row lacks are null."""
+
+    rows: DataFrame
+    shapes: dict[str, list[str]]
+
+    def place(self, choose: Callable[[list[str]], int | None]) -> Column:
+        """The cell that ``choose`` finds by a file's header, or null."""
+        at = {line: choose(names) for line, names in self.shapes.items()}
+        pairs = [F.lit(x) for line, i in at.items() if i is not None for x in (line, i)]
+        if not pairs:
+            return F.lit(None).cast("string")
+        return F.get("cells", F.try_element_at(F.create_map(*pairs), F.col("line")))
+
+    def named(self, name: str) -> Column:
+        """The cell under ``name``; of equal names the last."""
+        return self.place(lambda names: next((i for i in reversed(range(len(names))) if names[i] == name), None))
+
+
+def read_records(spark: SparkSession, paths: str | Sequence[str], sep: str = ",", glob: str | None = None) -> Records:
+    """Delimited files, each read by its own header, in one plan.
+
+    The first lines are a relation of their own (file, line). There are few
+    distinct ones, whatever the number of files: they are cut into names here,
+    and one scan reads all records, as wide as the widest header, and meets its
+    file's line.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    more = {"pathGlobFilter": glob} if glob else {}
+    file = F.col("_metadata.file_path").alias("file")
+    lines = spark.read.options(**more).text(paths).select(file, F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"), "value")
+    first = materialize(lines.where("start = 0").groupBy("file").agg(F.min_by("value", "n").alias("line")), "first-lines")
+    shapes = {}
+    for row in first.select("line").distinct().toLocalIterator():
+        names = next(csv.reader([row["line"].rstrip("\r")], delimiter=sep), [])
+        if names:
+            shapes[row["line"]] = [n.lstrip("\ufeff") for n in names]
+    width = max([3, *map(len, shapes.values())])
+    schema = T.StructType([*(T.StructField(f"_c{i}", T.StringType()) for i in range(width)), T.StructField("_raw", T.StringType())])
+    settings = {"header": True, "multiLine": True, "escape": '"', "sep": sep, "nullValue": "\0", "enforceSchema": True, "columnNameOfCorruptRecord": "_raw", **more}
+    rows = spark.read.schema(schema).options(**settings).csv(paths)
+    # Rows of another length come with their own text.
+    held = F.size(F.split(F.regexp_replace("_raw", '"[^"]*"', "x"), re.escape(sep)))
+    present = F.when(F.col("_raw").isNull(), width).otherwise(held)
+    cells = F.array(*(F.when(present > i, F.coalesce(f"_c{i}", F.lit(""))) for i in range(width)))
+    kept = rows.select(file, F.monotonically_increasing_id().alias("pos"), cells.alias("cells"))
+    # A row for each file: broadcast while these are few.
+    few = F.broadcast(first) if first.count() <= FEW_FILES else first
+    return Records(kept.join(few, "file").select("file", "pos", "line", "cells"), shapes)
 
 
 def read_lexicon_csv(spark: SparkSession, paths: list[str], profile: str = "v3") -> DataFrame:
     """(english, arabic) of CSV files and folders of them, by their headers or
     else by place: the last two of two columns (``v3``), the second and third
-    of three or more. Files without a header that can be read are left out."""
-    frames = [spark.createDataFrame([], "english string, arabic string")]
-    for path in (file for given in paths for file in csv_files(spark, given)):
-        if spark.read.text(path).isEmpty():
-            continue
-        rows = spark.read.csv(path, header=True, multiLine=True, escape='"', nullValue="\0", encoding="UTF-8")
-        names = rows.columns
+    of three or more. Empty files are left out."""
+    known = [p for p in paths if not spark.read.option("pathGlobFilter", "*.csv").text(p).isEmpty()]
+    if not known:
+        return spark.createDataFrame([], "english string, arabic string")
+    found = read_records(spark, known, glob="*.csv")
+
+    def sides(names: list[str]) -> tuple[int | None, int | None]:
         en, ar = lexicon_columns(names)
         if en is None and ar is None:
-            if len(names) >= 3:
-                en, ar = 1, 2
-            elif len(names) == 2 and profile == "v3":
-                en, ar = 0, 1
-        pick = lambda i, rows=rows, names=names: F.coalesce(rows[f"`{names[i]}`"], F.lit("")) if i is not None else F.lit("")
-        frames.append(rows.select(pick(en).alias("english"), pick(ar).alias("arabic")))
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+            en, ar = (1, 2) if len(names) >= 3 else (0, 1) if len(names) == 2 and profile == "v3" else (None, None)
+        return en, ar
+
+    side = lambda n: F.coalesce(found.place(lambda names: sides(names)[n]), F.lit(""))
+    return found.rows.select(side(0).alias("english"), side(1).alias("arabic"))
 
 
 def read_lexicon_json(spark: SparkSession, path: str) -> DataFrame:
@@ -364,15 +412,10 @@ def read_lexicon_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_chunks(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Rows of chunk files with ``file`` and ``pos``, in the order of the
-    files' names (``chunk10`` before ``chunk2``). Empty cells are empty, those
-    that a short row lacks are null."""
-    settings = {"header": True, "multiLine": True, "escape": '"', "sep": sep, "nullValue": "\0"}
-    names = spark.read.csv(path, **settings).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, "_raw")])
-    rows = spark.read.schema(schema).csv(path, columnNameOfCorruptRecord="_raw", **settings)
-    # Rows of another length than the header come with their own text.
-    held = F.size(F.split(F.regexp_replace("_raw", '"[^"]*"', "x"), re.escape(sep)))
-    present = F.when(F.col("_raw").isNull(), len(names)).otherwise(held)
-    cells = [F.when(present > i, F.coalesce(rows[f"`{c}`"], F.lit(""))).alias(re.sub("^\ufeff", "", c)) for i, c in enumerate(names)]
-    return rows.select(*cells, F.col("_metadata.file_path").alias("file")).withColumn("pos", F.monotonically_increasing_id())
+    """Rows of chunk files with ``file``, ``pos`` and ``cells``, in the order of
+    the files' names (``chunk10`` before ``chunk2``), and a column for each name
+    in any header, filled by the file's own. Empty cells are empty; those that
+    a short row or a file's header lacks are null."""
+    found = read_records(spark, path, sep)
+    names = dict.fromkeys(n for shape in found.shapes.values() for n in shape if n not in ("file", "pos", "cells"))
+    return found.rows.select(*(found.named(n).alias(n) for n in names), "file", "pos", "cells")

@@ -8,6 +8,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from glossaflow.operators import merge
 from glossaflow.plans import conversion
 from glossaflow.sinks import files as sinks
 from glossaflow.sources import files as sources
@@ -38,10 +39,19 @@ def test_dicthtml(spark, tmp_path):
     body = '<w><a name="cat"/><div><b>cat</b><br/>قط</div></w><w><b>dog</b> كلب</w><w>none</w>'
     (tmp_path / "aa.html").write_bytes(gzip.compress(body.encode()))
     (tmp_path / "bb.html").write_bytes(b"\x1f\x8bbroken")
+    packed = bytearray(gzip.compress(body.encode() * 50))
+    packed[20] ^= 255
+    (tmp_path / "cc.html").write_bytes(bytes(packed))
+    (tmp_path / "dd.html").write_bytes(gzip.compress(body.encode())[:-9])
     got = sources.read_dicthtml(spark, str(tmp_path)).orderBy("pos").collect()
     assert [tuple(r) for r in got] == [(0, "cat", "قط", "aa"), (1, "dog", "dog كلب", "aa")]
 
 
+def test_the_first_anchor_decides():
+    html = '<w><a/><a name="x  y"/><b> bold <i> it </i></b><div>d</div></w><w><a name=" x  y "/><div><b>p</b>q<b>r</b></div></w><w><a name=""/>z</w>'
+    assert sources.html_entries(html.encode()) == [("boldit", "d"), (" x  y ", "q r")]
+
+
 def docx(path, tables, paragraphs):
     p = lambda t: f"<w:p><w:r><w:t>{t}</w:t></w:r></w:p>"
     rows = "".join("<w:tr>" + "".join(f"<w:tc>{p(c)}</w:tc>" for c in row) + "</w:tr>" for row in tables)
@@ -126,3 +136,29 @@ def test_reports_and_flags(spark, tmp_path):
     assert json.loads("".join(p.read_text() for p in (tmp_path / "r").glob("part-*"))) == {"pdf_name": "قاموس", "pdf_deletable": True}
     assert sinks.write_flag(report, str(tmp_path / "f"))
     assert not sinks.write_flag(report.withColumn("pdf_deletable", F.lit(False)), str(tmp_path / "g"))
+
+
+def test_each_chunk_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "c1.csv").write_text("\ufeffid,term,definition,source_file\r\n1,cat,qitt,a\r\n2,\"a,\nb\",\"say \"\"x\"\"\",a\r\n", newline="")
+    (tmp_path / "c2.csv").write_text("id,definition,term,source_file\n1,kalb,dog,b\n2,short\n")
+    (tmp_path / "c3.csv").write_text("source_file,extra,more,term,definition\nc,,,ant,naml\n")
+    (tmp_path / "c4.csv").write_text("term,term,definition\nno,yes,na3am,over\n")
+    (tmp_path / "c5.csv").write_text("")
+    rows = sources.read_chunks(spark, str(tmp_path))
+    assert set(rows.columns) == {"id", "term", "definition", "source_file", "extra", "more", "file", "pos", "cells"}
+    got = sorted((r["file"][-6:], r["term"], r["definition"], r["source_file"]) for r in rows.where("definition is not null and term is not null").collect())
+    assert got == [("c1.csv", "a,\nb", 'say "x"', "a"), ("c1.csv", "cat", "qitt", "a"), ("c2.csv", "dog", "kalb", "b"), ("c3.csv", "ant", "naml", "c"), ("c4.csv", "yes", "na3am", None)]
+    short = rows.where("definition = 'short'").first()
+    assert short["term"] is None and short["source_file"] is None
+    merged = merge.merge_named(rows, ["file", "pos"]).orderBy("id").collect()
+    assert [tuple(r) for r in merged] == [(1, "cat", "qitt", "a"), (2, "a,\nb", 'say "x"', "a"), (3, "dog", "kalb", "b"), (4, "ant", "naml", "c"), (5, "yes", "na3am", "")]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("csv") == 1
+
+
+def test_lexicons_of_many_headers_in_one_plan(spark, tmp_path):
+    for name, body in (("a", "ID,English,Arabic\n1,cat,qitt\n"), ("b", "Definition,x, TERM \nkalb,-,dog\n"), ("c", "x,y\nant,naml\n"), ("d", "x,y,z\n1,bee,nahl\n"), ("e", "only\nword\n"), ("f", "ar\nbayt\n")):
+        (tmp_path / f"{name}.csv").write_text(body)
+    got = lambda profile: sorted(tuple(r) for r in sources.read_lexicon_csv(spark, [str(tmp_path)], profile).collect())
+    named = [("", ""), ("", "bayt"), ("bee", "nahl"), ("cat", "qitt"), ("dog", "kalb")]
+    assert got("v3") == sorted([*named, ("ant", "naml")]) and got("v4") == sorted([*named, ("", "")])
