@@ -1,9 +1,9 @@
 """Lexicons, word frequencies and conservative spelling correction.
 
-Correction looks at distinct unknown tokens only. A token meets the words that
-equal it once a few letters of both are left out; native bounds leave few pairs
-for the exact similarity. The corrections are joined back and texts are put
-together in their old order.
+Correction looks at distinct unknown tokens only. A token meets a word where
+they share a segment that none of the letters they differ in can have touched;
+native bounds leave few pairs for the exact similarity. Only what changed is
+joined back, and only to the texts that hold it.
 """
 
 from __future__ import annotations
@@ -16,15 +16,17 @@ from pyspark.sql import functions as F
 
 from glossaflow.functions import similarity as sim
 from glossaflow.functions import text as tx
+from glossaflow.shared import materialize
 
 THRESHOLD = 0.85
 LENGTH_GAP = 2
 #: Shortest English and Arabic tokens that are looked up, by profile.
 LEAST = {"english": 3, "arabic": 2}
-#: Words up to this length meet by what is left of them without some letters.
-KEYED_LENGTH = 18
-#: Lexicons up to this many words are broadcast.
-BROADCAST_WORDS = 500_000
+#: Words below this length meet by segments; longer ones by length.
+LONG = 64
+#: Lexicons up to this many words are broadcast, corrections up to so many
+#: bytes.
+BROADCAST_WORDS, BROADCAST_BYTES = 500_000, 32 << 20
 
 
 def word_frequencies(texts: DataFrame, text: str = "text", *, lower: bool = True, least: int = 1) -> DataFrame:
@@ -59,32 +61,79 @@ def known(tokens: DataFrame, lexicon: DataFrame, token: str = "token", *, normal
     return tokens.withColumn("_key", key(F.col(token))).join(_small(held, words), "_key", "left").withColumn("known", F.coalesce("known", F.lit(False))).drop("_key")
 
 
-def _keyed(words: DataFrame, word: str, rest: Sequence[str], reach: Sequence[int]) -> DataFrame:
-    """(word, rest, key): the strings that a word shares with any word near
-    it. ``reach`` has the letters that may be left out for each length; words
-    beyond it, very long ones, meet by length and letters alone."""
-    size, most = F.length(word), max(reach)
-    allowed = F.get(F.array(*map(F.lit, reach)), F.least(size, F.lit(len(reach) - 1)))
-    keys = F.when(size < len(reach), sim.without(F.col(word), allowed, most)).otherwise(F.array())
-    around = F.transform(F.sequence(size - LENGTH_GAP, size + LENGTH_GAP), lambda n: F.concat(F.lit("\x00"), n.cast("string")))
-    long = F.when(size >= len(reach) - LENGTH_GAP, around if word == "token" else F.array(F.concat(F.lit("\x00"), size.cast("string"))))
-    return words.select(word, *rest, F.explode(F.array_distinct(F.concat(keys, F.coalesce(long, F.array().cast("array<string>"))))).alias("key"))
+def edits_between(a: int, b: int, threshold: float) -> int:
+    """The most letters that words of lengths ``a`` and ``b`` can have outside
+    the matching blocks at a ratio of ``threshold``; below 0 if they cannot
+    reach it. Both sides' letters count, so it is odd or even as ``a + b``."""
+    most = int((1 - threshold) * (a + b) + 1e-9)
+    most -= (most - a - b) % 2
+    return most if most >= abs(a - b) else -1
+
+
+def _segments(length: int, edits: int) -> list[tuple[int, int]]:
+    """(start, size) of ``edits`` + 1 segments of a word, as even as can be."""
+    n = edits + 1
+    cuts = [length * i // n for i in range(n + 1)]
+    return [(x, y - x) for x, y in zip(cuts, cuts[1:], strict=False)]
+
+
+def segment_plan(threshold: float, gap: int, longest: int = LONG) -> tuple[list[tuple[int, ...]], list[tuple[int, ...]]]:
+    """(size, other, edits, part, start, length) of tokens and of words below
+    ``longest``.
+
+    With so many edits, one of as many segments and one more of the word stands
+    whole in the token, and one of these is moved by no more places than it has
+    segments before it, nor, against the ends, than it has behind it.
+    """
+    ours, theirs = [], set()
+    for a in range(1, longest):
+        for b in range(max(1, a - gap), min(a + gap, longest - 1) + 1):
+            if (edits := edits_between(a, b, threshold)) < 0:
+                continue
+            for part, (start, size) in enumerate(_segments(b, edits)):
+                theirs.add((b, b, edits, part, start + 1, size))
+                for moved in range(-part, part + 1):
+                    if abs(moved - (a - b)) <= edits - part and 0 <= start + moved and start + moved + size <= a:
+                        ours.append((a, b, edits, part, start + moved + 1, size))
+    return ours, sorted(theirs)
+
+
+def _letters(word: Column) -> Column:
+    """One bit for each letter that is there: words of so many edits differ in
+    no more bits."""
+    one = F.lit(1).cast("bigint")
+    return F.aggregate(F.split(word, ""), F.lit(0).cast("bigint"), lambda s, c: F.when(c == "", s).otherwise(s.bitwiseOR(F.call_function("shiftleft", one, F.pmod(F.hash(c), F.lit(64))))))
+
+
+def _keyed(words: DataFrame, word: str, plan: list[tuple[int, ...]]) -> DataFrame:
+    """``words`` with ``key`` for each segment, ``edits`` and ``letters``. The
+    plan is a table of fixed size."""
+    steps = words.sparkSession.createDataFrame(plan, "size int, other int, edits int, part int, start int, length int")
+    sized = words.withColumns({"size": F.length(word), "letters": _letters(F.col(word))})
+    cut = sized.join(F.broadcast(steps), "size")
+    return cut.select(*words.columns, "letters", "edits", F.xxhash64("other", "edits", "part", F.substring(word, F.col("start"), F.col("length"))).alias("key"))
 
 
 def candidates(tokens: DataFrame, lexicon: DataFrame, threshold: float = THRESHOLD, gap: int = LENGTH_GAP) -> DataFrame:
     """(token, word, freq) pairs of like length whose bounds reach
     ``threshold``; both sides distinct.
 
-    Words meet where they are equal once their unmatched letters are left out,
-    so no key is hot and the pairs are nearly those that are asked for.
+    Words meet by segment and are looked at where they meet: by the letters
+    they have, then by edits, which are no more than the letters outside of
+    matching blocks. Words of ``LONG`` letters and more meet by length.
     """
-    reach = [sim.unmatched(n, threshold, gap) for n in range(1, KEYED_LENGTH + 1)]
-    reach = [0, *(max(reach[: n + 1]) for n in range(len(reach)))]
-    ours, theirs = _keyed(tokens, "token", [], reach), _keyed(lexicon, "word", ["freq"], reach)
+    ours, theirs = segment_plan(threshold, gap)
     a, b = F.col("token"), F.col("word")
-    near = (F.abs(F.length(a) - F.length(b)) <= gap) & (sim.length_bound(a, b) >= threshold)
-    met = ours.join(theirs, "key").where(near).groupBy("token", "word").agg(F.first("freq").alias("freq"))
-    return met.where(sim.letter_bound(a, b) >= threshold).select("token", "word", "freq")
+    left, right = _keyed(tokens.select("token"), "token", ours), _keyed(lexicon.select("word", "freq"), "word", theirs)
+    right = right.withColumnsRenamed({"letters": "letters2", "edits": "edits2"})
+    near = (F.col("key") == F.col("key2")) & (F.col("edits") == F.col("edits2")) & (F.bit_count(F.col("letters").bitwiseXOR(F.col("letters2"))) <= F.col("edits"))
+    short = left.join(right.withColumnRenamed("key", "key2"), near).where(F.levenshtein("token", "word") <= F.col("edits")).select("token", "word", "freq")
+    around = F.explode(F.sequence(F.length("token") - gap, F.length("token") + gap))
+    long = tokens.where(F.length("token") >= LONG - gap).select("token", around.alias("size")).join(lexicon.where(F.length("word") >= LONG - gap).select("word", "freq", F.length("word").alias("size")), "size")
+    long = long.where((F.length("token") >= LONG) | (F.length("word") >= LONG)).select("token", "word", "freq")
+    met = short.unionByName(long).where((F.abs(F.length(a) - F.length(b)) <= gap) & (sim.length_bound(a, b) >= threshold)).groupBy("token", "word").agg(F.first("freq").alias("freq"))
+    # Written: the dear conditions that follow would be moved into the join.
+    return materialize(met, "met").where(sim.letter_bound(a, b) >= threshold).select("token", "word", "freq")
 
 
 def nearest_words(tokens: DataFrame, lexicon: DataFrame, threshold: float = THRESHOLD, gap: int = LENGTH_GAP) -> DataFrame:
@@ -107,8 +156,8 @@ def nearest_by_edits(tokens: DataFrame, lexicon: DataFrame, edits: int = 1) -> D
     return near.withColumn("_place", F.row_number().over(best)).where("_place = 1").select("token", "word", F.col("edits").cast("int").alias("edits"))
 
 
-def correct_tokens(tokens: DataFrame, lexicon: DataFrame, lang: str = "english", profile: str = "v3", threshold: float = THRESHOLD, words: int | None = None) -> DataFrame:
-    """(token, corrected) of distinct ``tokens``.
+def corrections(tokens: DataFrame, lexicon: DataFrame, lang: str = "english", profile: str = "v3", threshold: float = THRESHOLD, words: int | None = None) -> DataFrame:
+    """(token, corrected) of those distinct ``tokens`` that are corrected.
 
     Known and short tokens stay as they are. A correction is the lexicon's
     word, lower-cased (English) or folded (Arabic). ``v3`` measures an Arabic
@@ -120,7 +169,12 @@ def correct_tokens(tokens: DataFrame, lexicon: DataFrame, lang: str = "english",
     size = F.length("token") if lang == "english" or profile == "v4" else F.length("folded")
     open_ = folded.where(size >= LEAST[lang]).join(_small(held.select(F.col("word").alias("folded")), words), "folded", "left_anti")
     best = nearest_words(open_.select(F.col("folded").alias("token")).distinct(), held, threshold)
-    fixes = open_.join(best.select(F.col("token").alias("folded"), "word"), "folded").select("token", F.col("word").alias("corrected"))
+    return open_.join(best.select(F.col("token").alias("folded"), "word"), "folded").select("token", F.col("word").alias("corrected"))
+
+
+def correct_tokens(tokens: DataFrame, lexicon: DataFrame, lang: str = "english", profile: str = "v3", threshold: float = THRESHOLD, words: int | None = None) -> DataFrame:
+    """``tokens`` with ``corrected``: as :func:`corrections` has it, or as it is."""
+    fixes = corrections(tokens.select("token").distinct(), lexicon, lang, profile, threshold, words)
     return tokens.join(fixes, "token", "left").withColumn("corrected", F.coalesce("corrected", "token"))
 
 
@@ -128,20 +182,24 @@ def correct_text(texts: DataFrame, lexicon: DataFrame, keys: Sequence[str], text
     """``texts`` with ``text`` corrected token by token.
 
     ``lexicon`` is (lang, word, freq). ``lang`` None takes each token by its
-    own script (as ``v4`` does). ``keys`` name a row.
+    own script (as ``v4`` does). ``keys`` name a row. What changes is a small
+    table; a row's own changes are put in where the row is.
     """
-    tokens = texts.select(*keys, F.posexplode(tx.words(F.coalesce(text, F.lit("")))).alias("_pos", "token"))
+    body = tx.words(F.coalesce(text, F.lit("")))
+    each = texts.select(*keys, F.explode(F.array_distinct(body)).alias("token"))
+    distinct = each.select("token").distinct()
     script = F.when(tx.has_arabic(F.col("token")), "arabic").when(tx.has_latin(F.col("token")), "english")
-    tokens = tokens.withColumn("_lang", F.lit(lang) if lang else script)
     fixed = None
     for one in ("english", "arabic") if lang is None else (lang,):
-        distinct = tokens.where(F.col("_lang") == one).select("token").distinct()
-        held = lexicon.where(F.col("lang") == one).select("word", "freq")
-        done = correct_tokens(distinct, held, one, profile, threshold, words).withColumn("_lang", F.lit(one))
+        found = distinct if lang else distinct.where(script == one)
+        done = corrections(found, lexicon.where(F.col("lang") == one).select("word", "freq"), one, profile, threshold, words)
         fixed = done if fixed is None else fixed.unionByName(done)
-    joined = tokens.join(fixed, ["token", "_lang"], "left").withColumn("token", F.coalesce("corrected", "token"))
-    put = joined.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "token"))), lambda t: t["token"]), " ").alias("_fixed"))
-    return texts.join(put, list(keys), "left").withColumn(text, F.coalesce("_fixed", F.lit(""))).drop("_fixed")
+    fixed = materialize(fixed.where("token <> corrected"), "corrections")
+    size = fixed.agg(F.coalesce(F.sum(F.length("token") * 2 + F.length("corrected") * 2 + 64), F.lit(0))).first()[0]
+    side = F.broadcast(fixed) if size <= BROADCAST_BYTES else fixed
+    mine = each.join(side, "token").groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("token", "corrected"))).alias("_fixes"))
+    put = F.transform(body, lambda t: F.coalesce(F.try_element_at(F.col("_fixes"), t), t))
+    return texts.join(mine, list(keys), "left").withColumn(text, F.array_join(F.when(F.col("_fixes").isNull(), body).otherwise(put), " ")).drop("_fixes")
 
 
 def overlap(output: DataFrame, gold: DataFrame, term: str = "term", definition: str = "definition") -> DataFrame:

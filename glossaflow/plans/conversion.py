@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from glossaflow.operators import quality
 from glossaflow.shared import materialize, scratch
 from glossaflow.sinks import files as sinks
+from glossaflow.sources import datasources
 from glossaflow.sources import files as sources
 
 READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "mdx": lambda spark, path: datasources.read_entries(spark, "mdx", path),
     "stardict": sources.read_stardict,
     "dicthtml": sources.read_dicthtml,
     "docx": sources.read_docx,
