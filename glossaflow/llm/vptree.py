@@ -52,6 +52,8 @@ FACTOR = 1.0
 SHARD_ROWS = 16_384
 #: Pivots at most, of each length of vectors.
 PIVOTS = 1_024
+#: How many times as many ids as pivots are looked at.
+PIVOT_SLACK = 4
 #: Queries of one shard in one task.
 BLOCK_ROWS = 1 << 20
 LEAF = 1024
@@ -224,14 +226,25 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & fine & F.exists(v, lambda x: x != 0)).withColumn("dim", F.size(v))
 
 
-def pivots_of(rows: DataFrame, wanted: int) -> dict[int, np.ndarray]:
-    """Up to ``wanted`` vectors of each length, those of smallest id hash."""
-    place = F.row_number().over(Window.partitionBy("dim").orderBy("h", "id", "v"))
-    few = rows.withColumn("h", F.xxhash64("id")).withColumn("place", place).where(F.col("place") <= wanted)
+def pivots_of(rows: DataFrame, sizes: dict[int, int], wanted: int) -> dict[int, np.ndarray]:
+    """Up to ``wanted`` vectors of each length, those of smallest id hash.
+
+    Only ids whose hash is below a bound are looked at, a few times as many as
+    are wanted whatever the table's size; one vector of each id.
+    """
+    span = 1 << 62
+    bound = [x for dim, n in sizes.items() for x in (F.lit(dim), F.lit(min(span, span * (PIVOT_SLACK * wanted + 32) // n)))]
+    if not bound:
+        return {}
+    h = F.call_function("shiftrightunsigned", F.xxhash64("id"), F.lit(2))
+    few = rows.withColumn("h", h).where(F.col("h") <= F.try_element_at(F.create_map(*bound), F.col("dim"))).groupBy("dim", "h", "id").agg(F.min("v").alias("v"))
     found: dict[int, list] = {}
-    for row in few.orderBy("dim", "place").toLocalIterator():
-        found.setdefault(row["dim"], []).append(row["v"])
-    return {dim: np.unique(np.array(vs, np.float64), axis=0) for dim, vs in found.items()}
+    for row in few.toLocalIterator():
+        found.setdefault(row["dim"], []).append((row["h"], row["id"], row["v"]))
+    for dim in sizes.keys() - found.keys():  # rows of few ids may all lie beyond
+        row = rows.where(F.col("dim") == dim).withColumn("h", h).orderBy("h", "id", "v").first()
+        found[dim] = [(row["h"], row["id"], row["v"])]
+    return {dim: np.unique(np.array([v for _, _, v in sorted(held)[:wanted]], np.float64), axis=0) for dim, held in found.items()}
 
 
 def place(rows: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
@@ -270,7 +283,7 @@ def trees(placed: DataFrame, k: int) -> DataFrame:
 
 
 def send(asked: DataFrame, pivots: dict[int, np.ndarray], shards: dict[int, dict[int, tuple[float, int, int]]], factor: float, *, home: bool) -> DataFrame:
-    """``asked`` (id, v, dim, least) once for each shard it is to visit: those
+    """``asked`` (id, v, dim, least, pivot) once for each shard it is to visit: those
     of its own pivot (``home``), or the others that can reach ``least``.
     ``shards`` has each pivot's radius, first shard and number of shards."""
     shared = asked.sparkSession.sparkContext.broadcast((pivots, shards))
@@ -289,8 +302,7 @@ def send(asked: DataFrame, pivots: dict[int, np.ndarray], shards: dict[int, dict
                 norm = np.linalg.norm(q, axis=1)[:, None]
                 p = vectors[int(dim)][names]
                 product = q @ p.T
-                own = np.zeros(product.shape, bool)
-                own[np.arange(len(at)), product.argmax(1)] = True
+                own = names == np.asarray(batch.column(4))[at][:, None]
                 slack = MARGIN * int(dim) * norm * (np.linalg.norm(p, axis=1) + radius)
                 go = own if home else ~own & (product + factor * norm * radius + slack >= least[at][:, None])
                 i, j = np.nonzero(go)
@@ -347,7 +359,7 @@ def neighbours(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id",
     rows = usable(vectors, id_col, vector_col)
     sizes = {r["dim"]: r["count"] for r in rows.groupBy("dim").count().toLocalIterator()}
     wanted = min(PIVOTS, max([1, *(-(-n // shard_rows) for n in sizes.values())]))
-    pivots = pivots_of(rows, wanted)
+    pivots = pivots_of(rows, sizes, wanted)
     placed = materialize(place(rows, pivots), "placed")
 
     # One row for each pivot, however many vectors there are.
@@ -360,8 +372,9 @@ def neighbours(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id",
     dealt = placed.join(F.broadcast(spans), ["dim", "pivot"]).withColumn("shard", (F.col("first") + F.pmod(F.xxhash64("id"), "parts")).cast("int"))
     planted = materialize(trees(dealt, k), "trees")
 
-    asked = rows.withColumnRenamed("id", id_col).where(is_query).withColumnRenamed(id_col, "id")
-    asked = asked.groupBy("id").agg(F.min("v").alias("v")).select("id", "v", F.size("v").alias("dim"), F.lit(float("-inf")).alias("least"))
+    # The pivot of a query is worked out once, with the others.
+    asked = placed.withColumnRenamed("id", id_col).where(is_query).withColumnRenamed(id_col, "id")
+    asked = asked.groupBy("id").agg(F.min(F.struct("v", "pivot")).alias("q")).select("id", "q.v", F.size("q.v").alias("dim"), F.lit(float("-inf")).alias("least"), "q.pivot")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
 
     def ranked(found: DataFrame) -> DataFrame:
@@ -370,6 +383,6 @@ def neighbours(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id",
 
     first = materialize(ranked(visit(send(asked, pivots, shards, factor, home=True), planted, k, factor, block_rows)), "found")
     last = first.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
-    others = asked.join(last, "id", "left").select("id", "v", "dim", F.coalesce("kth", "least").alias("least"))
+    others = asked.join(last, "id", "left").select("id", "v", "dim", F.coalesce("kth", "least").alias("least"), "pivot")
     more = visit(send(others, pivots, shards, factor, home=False), planted, k, factor, block_rows)
     return ranked(first.drop("rank").unionByName(more)).select("query_id", "rank", F.col("id").alias(id_col), "score")

@@ -92,3 +92,17 @@ def test_odd_vectors(spark):
     # Of a query's own vectors the smallest counts.
     twice = spark.createDataFrame([(0, [2.0, 1.0]), (0, [1.0, 1.0]), (1, [1.0, 0.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in vptree.neighbours(twice, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 1.0)]
+
+
+def test_pivots_are_drawn_without_sorting_the_table(spark, monkeypatch):
+    """More pivots than a limit by rank would be pushed down for: few rows
+    reach the driver, and the search stays exact."""
+    rng = np.random.default_rng(8)
+    frame = spark.createDataFrame([(i % 2500, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(3000, 3)))], "id long, v array<double>").withColumn("dim", F.size("v"))
+    found = vptree.pivots_of(frame, {3: 3000}, 1024)
+    assert 900 < len(found[3]) <= 1024
+    assert 5 <= len(vptree.pivots_of(frame, {3: 3000}, 20)[3]) <= 20
+    data = [(i, v) for i, v in enumerate(rng.normal(size=(400, 4)))]
+    assert search(spark, data, "double", shard_rows=10, k=3) == brute(data, 3)
+    same = spark.createDataFrame([(7, [float(i), 1.0]) for i in range(500)], "id long, v array<double>").withColumn("dim", F.size("v"))
+    assert vptree.pivots_of(same, {2: 500}, 1)[2].tolist() == [[0.0, 1.0]]
