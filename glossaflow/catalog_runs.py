@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossaflow.catalog import _ARABIZE, BOXES, ORACLES, _boxes, _clean, _query, _strip, _table, quality_report
+from glossaflow.catalog import _ARABIZE, _CHAPTERS, _LETTERS, BOXES, ORACLES, _boxes, _clean, _headed, _query, _strip, _table, quality_report
 from glossaflow.catalog_files import BLOCK, _blocks, _escaped, _folder
 from glossaflow.functions import text as tx
 from glossaflow.operators import layout, merge
@@ -21,6 +21,7 @@ from glossaflow.plans import built, conversion, samples
 from glossaflow.sinks import files as sinks
 from glossaflow.sources import datasources
 from glossaflow.sources import files as sources
+from glossaflow.streaming import pages as stream
 
 #: Documents of one dictionary that is read in parts, and bytes of a part.
 BOOK, PART = 1000, 1 << 18
@@ -154,3 +155,29 @@ def verified_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_flag(report, path)
     lines = spark.read.text(path) if conversion.exists(spark, path) else spark.createDataFrame([], "value string")
     return lines.where(~tx.strip(F.col("value")).startswith("Date: ")).select(F.col("value").alias("line"))
+
+
+@_query("page_stream_shuffled", ORACLES["page_stream"])
+def page_stream_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of four lines that come out of order: those of odd number in a
+    first run, the others in a second one, spread over files and batches."""
+    source, out, state = (_folder(spark, name) for name in ("pages", "structured", "progress"))
+    lines = _headed(spark, sf_dir).withColumn("page", F.floor(F.col("line_no") / 4).cast("int"))
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "text"))), lambda x: x["text"]), "\n")
+    pages = lines.groupBy("pdf", "page").agg(text.alias("text"))
+    for rest in (1, 0):
+        pages.where(F.col("page") % 2 == rest).repartition(8, F.xxhash64("pdf", "page")).write.mode("append").parquet(source)
+        stream.ingest(spark, source, out, state, first=0, chapters=_CHAPTERS, letters=_LETTERS)
+    return spark.read.schema(stream.OUT).parquet(out)
+
+
+@_query("stream_progress", f"WITH s AS ({ORACLES['page_stream']}) SELECT max(page) + 1 AS last_page, count(*) AS total_lines, 'completed' AS status FROM s")
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The progress file of a stream of many batches, as read back."""
+    source, out, state, told = (_folder(spark, name) for name in ("pages", "structured", "progress", "told"))
+    lines = _headed(spark, sf_dir).withColumn("page", F.floor(F.col("line_no") / 4).cast("int"))
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "text"))), lambda x: x["text"]), "\n")
+    lines.groupBy("pdf", "page").agg(text.alias("text")).repartition(8, "pdf").write.parquet(source)
+    query = stream.ingest(spark, source, out, state, files=1, chapters=_CHAPTERS, letters=_LETTERS)
+    stream.write_progress(spark, query, out, told)
+    return spark.read.schema("last_page int, total_lines bigint, status string").json(told)

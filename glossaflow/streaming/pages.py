@@ -3,7 +3,7 @@
 New files are taken a few at a time; the checkpoint remembers which were done,
 so a run that is stopped goes on where it was, and the file sink writes each
 page once. The open chapter and section of a document are kept as state, so
-they live over batches and restarts.
+they live over batches and restarts; so are pages that came before their turn.
 """
 
 from __future__ import annotations
@@ -18,11 +18,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState
 
 from glossaflow.functions import text as tx
-from glossaflow.operators import sections
 
 PAGES = "pdf bigint, page int, text string"
 FILES_PER_BATCH = 5
 SECONDS = 1400
+STATE = "section string, subsection string, next int, waiting string"
 OUT = "pdf bigint, page int, line_no int, Type string, Section string, Subsection string, Content string"
 
 
@@ -30,32 +30,53 @@ def page_stream(spark: SparkSession, path: str, schema: str = PAGES, files: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
-def _carry(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Section and Subsection of one document's new lines, in page order."""
-    section, subsection = state.get if state.exists else ("", "")
-    lines = pd.concat(batches).sort_values(["page", "line_no"], kind="stable")
-    chapters, subs = [], []
-    for kind, text in zip(lines["Type"], lines["text"], strict=True):
-        if kind == "chapter":
-            section, subsection = text, ""
-        elif kind == "section":
-            subsection = text
-        chapters.append(section)
-        subs.append(subsection)
-    state.update((section, subsection))
-    yield pd.DataFrame({"pdf": lines["pdf"], "page": lines["page"], "line_no": lines["line_no"], "Type": lines["Type"], "Section": chapters, "Subsection": subs, "Content": lines["text"]})
-
-
-def structured_stream(pages: DataFrame, **kinds) -> DataFrame:
-    """Structured lines of a stream of pages (pdf, page, text)."""
-    lines = sections.page_lines(pages, ["pdf", "page"]).withColumn("Type", tx.content_type(F.col("text"), **kinds))
-    return lines.groupBy("pdf").applyInPandasWithState(_carry, OUT, "section string, subsection string", "append", "NoTimeout")
-
-
-def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *, files: int = FILES_PER_BATCH, seconds: int = SECONDS, **kinds) -> StreamingQuery:
+def _carry(first: int | None):
+    """Section and Subsection of one document's new lines, in page order.
+
+    With ``first`` pages are numbered from there on, and a page waits in the
+    state until all before it have come, in whatever batch; one that comes
+    again is passed over. Without it the pages of a batch are taken as they are.
+    """
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        section, subsection, at, waiting = state.get if state.exists else ("", "", first or 0, "{}")
+        held = {int(page): lines for page, lines in json.loads(waiting).items()}
+        for page, lines in pd.concat(batches).groupby("page", sort=False):
+            if first is None or page >= at:
+                held[int(page)] = sorted(zip(lines["line_no"].tolist(), lines["Type"], lines["text"], strict=True), key=lambda x: x[0])
+        out = []
+        for page in sorted(held):
+            if first is not None and page != at:
+                break
+            at = page + 1
+            for line_no, kind, text in held.pop(page):
+                if line_no < 0:
+                    continue
+                if kind == "chapter":
+                    section, subsection = text, ""
+                elif kind == "section":
+                    subsection = text
+                out.append((key[0], page, line_no, kind, section, subsection, text))
+        state.update((section, subsection, at, json.dumps(held, ensure_ascii=False)))
+        yield pd.DataFrame(out, columns=["pdf", "page", "line_no", "Type", "Section", "Subsection", "Content"])
+
+    return run
+
+
+def structured_stream(pages: DataFrame, first: int | None = None, **kinds) -> DataFrame:
+    """Structured lines of a stream of pages (pdf, page, text); with ``first``
+    in the order of pages over all batches."""
+    # A page is told by a line before its first, so that blank ones count.
+    marked = F.concat(F.array(F.lit("")), F.split(F.coalesce("text", F.lit("")), "\n"))
+    lines = pages.select("pdf", "page", F.posexplode(marked).alias("line_no", "text")).withColumns({"line_no": F.col("line_no") - 1, "text": tx.strip(F.col("text"))})
+    lines = lines.where("line_no < 0 or text <> ''").withColumn("Type", tx.content_type(F.col("text"), **kinds))
+    return lines.groupBy("pdf").applyInPandasWithState(_carry(first), OUT, STATE, "append", "NoTimeout")
+
+
+def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *, files: int = FILES_PER_BATCH, seconds: int = SECONDS, first: int | None = None, **kinds) -> StreamingQuery:
     """Structure what is there and not yet done, for ``seconds`` at most."""
     query = (
-        structured_stream(page_stream(spark, source, files=files), **kinds)
+        structured_stream(page_stream(spark, source, files=files), first, **kinds)
         .writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
     )
     if not query.awaitTermination(seconds):
@@ -63,14 +84,19 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *, files
     return query
 
 
-def progress(query: StreamingQuery) -> dict:
-    """Rows taken so far and whether the stream still runs."""
-    taken = sum(p["numInputRows"] for p in query.recentProgress)
-    return {"total_pages": taken, "status": "in_progress" if query.isActive else "stopped" if query.exception() else "completed"}
+def progress(spark: SparkSession, query: StreamingQuery, out: str) -> dict:
+    """How far the deliverable is, and whether the stream still runs.
+
+    Counted in what is written, not in the query's own reports: these cover its
+    last hundred batches, and no earlier run.
+    """
+    found = spark.read.schema(OUT).parquet(out).agg(F.coalesce(F.max("page") + 1, F.lit(0)).alias("last_page"), F.count("*").alias("total_lines")).first()
+    status = "in_progress" if query.isActive else "paused" if query.exception() else "completed"
+    return {"last_page": found["last_page"], "total_lines": found["total_lines"], "status": status}
 
 
-def write_progress(spark: SparkSession, query: StreamingQuery, path: str) -> dict:
+def write_progress(spark: SparkSession, query: StreamingQuery, out: str, path: str) -> dict:
     """Progress as one JSON object in ``path``."""
-    found = progress(query)
+    found = progress(spark, query, out)
     spark.createDataFrame([(json.dumps(found, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return found

@@ -25,13 +25,24 @@ def test_the_stream_goes_on_where_it_was(spark, tmp_path):
     stream.ingest(spark, source, out, checkpoint, seconds=120)
     spark.createDataFrame([(1, 2, "y\nقسم:\nz")], stream.PAGES).write.mode("append").parquet(source)
     query = stream.ingest(spark, source, out, checkpoint, seconds=120)
-    assert stream.progress(query)["status"] == "completed"
-    assert stream.write_progress(spark, query, str(tmp_path / "progress")) == {"total_pages": 1, "status": "completed"}
-    assert spark.read.json(str(tmp_path / "progress")).first()["total_pages"] == 1
+    assert stream.write_progress(spark, query, out, str(tmp_path / "progress")) == {"last_page": 3, "total_lines": 5, "status": "completed"}
+    assert spark.read.json(str(tmp_path / "progress")).first()["last_page"] == 3
     got = spark.read.parquet(out).orderBy("page", "line_no").collect()
     assert [(r["Content"], r["Section"], r["Subsection"]) for r in got] == [("الفصل أ", "الفصل أ", ""), ("x", "الفصل أ", ""), ("y", "الفصل أ", ""), ("قسم:", "الفصل أ", "قسم:"), ("z", "الفصل أ", "قسم:")]
 
 
+def test_pages_wait_for_their_turn(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    pages = {0: "الفصل أ\nx", 1: " \n", 2: "قسم:\ny", 3: "z", 5: "late"}
+    for batch in ([3, 1], [2, 3], [0, 5]):
+        spark.createDataFrame([(1, p, pages[p]) for p in batch] + [(2, p, "own") for p in batch if p == 0], stream.PAGES).coalesce(1).write.mode("append").parquet(source)
+        query = stream.ingest(spark, source, out, checkpoint, files=1, seconds=120, first=0)
+    got = spark.read.schema(stream.OUT).parquet(out).orderBy("pdf", "page", "line_no").collect()
+    assert [(r["pdf"], r["page"], r["Content"], r["Subsection"]) for r in got] == [(1, 0, "الفصل أ", ""), (1, 0, "x", ""), (1, 2, "قسم:", "قسم:"), (1, 2, "y", "قسم:"), (1, 3, "z", "قسم:"), (2, 0, "own", "")]
+    # Page 4 is not there yet, so page 5 is not out.
+    assert stream.progress(spark, query, out) == {"last_page": 4, "total_lines": 6, "status": "completed"}
+
+
 def test_routes_and_fallbacks(spark):
     arabic = "هذا نص عربي سليم " * 5
     rows = spark.createDataFrame([(arabic,), ("short",), ("latin text " * 9,), (None,)], "t string")
