@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossaflow.catalog import _ARABIZE, _CHAPTERS, _LETTERS, BOXES, ORACLES, _boxes, _clean, _headed, _query, _strip, _table, quality_report
+from glossaflow.catalog import _ARABIZE, _CHAPTERS, _LETTERS, BOXES, ORACLES, _boxes, _clean, _dictionary, _folded, _headed, _noise, _query, _strip, _table, _tidied_arabic, _tidied_english, quality_report
 from glossaflow.catalog_files import BLOCK, _blocks, _escaped, _folder
 from glossaflow.functions import text as tx
 from glossaflow.operators import layout, merge
-from glossaflow.plans import built, conversion, samples
+from glossaflow.plans import built, conversion, dictionary, samples
 from glossaflow.sinks import files as sinks
 from glossaflow.sources import datasources
 from glossaflow.sources import files as sources
@@ -181,3 +181,32 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     query = stream.ingest(spark, source, out, state, files=1, chapters=_CHAPTERS, letters=_LETTERS)
     stream.write_progress(spark, query, out, told)
     return spark.read.schema("last_page int, total_lines bigint, status string").json(told)
+
+
+#: Two columns that part at 400 of 1000 in every other document.
+_PARTED = "CASE WHEN x + 20 < 500 THEN 0 ELSE 1 END AS col", "CASE WHEN x + 20 < (CASE WHEN pdf % 2 = 0 THEN 400 ELSE 500 END) THEN 0 ELSE 1 END AS col"
+
+
+def _layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vote of three pages of each document."""
+    page = F.explode(F.array(*map(F.lit, range(3)))).alias("page")
+    pages = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pdf"), page)
+    two = (F.col("pdf") % 2 == 0) & (F.col("page") < 2)
+    facts = {"is_scanned": F.lit(True), "has_text": F.lit(False), "num_columns": F.when(two, 2).otherwise(1), "gutter_x": F.when(two, 390 + 20 * F.col("page")).otherwise(0), "page_width": F.lit(1000), "page_height": F.lit(1400), "image_w": 100 * F.col("page"), "image_h": F.lit(70)}
+    return layout.layout_vote(pages.withColumns(facts))
+
+
+@_query("layout_dictionary", _dictionary("v3").replace(*_PARTED))
+def layout_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose columns part where the layout of each document says."""
+    return dictionary.dictionary(_boxes(spark, sf_dir), dictionary.Options("v3"), layouts=_layouts(spark, sf_dir))
+
+
+@_query("run_counters", f"""WITH RECURSIVE {_folded("v3")}, tidy AS (SELECT {_tidied_english("english")} AS e, {_tidied_arabic("arabic", "v3")} AS a FROM folded)
+SELECT count(*) AS raw_entries, count(*) FILTER ({_noise("e", "a", "v3")}) AS skipped, count(*) FILTER (NOT ({_noise("e", "a", "v3")})) AS valid_entries FROM tidy""")
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run counted while its dictionary was written."""
+    counters = dictionary.Counters()
+    sinks.write_bilingual(dictionary.dictionary(_boxes(spark, sf_dir), dictionary.Options("v3"), counters=counters), _folder(spark, "bilingual"), by="pdf")
+    found = counters.read()
+    return spark.createDataFrame([tuple(found.values())], ", ".join(f"{k} bigint" for k in found))

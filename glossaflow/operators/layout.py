@@ -43,7 +43,7 @@ def page_chunk(page: Column, size: int, start: int = 0) -> Column:
     return F.floor((page - start) / size)
 
 
-def split_by_ratio(x: Column, w: Column, width: Column, ratio: float = GUTTER_RATIO) -> Column:
+def split_by_ratio(x: Column, w: Column, width: Column, ratio: float | Column = GUTTER_RATIO) -> Column:
     """0 (left) or 1 (right) by a box's middle; no width is all left."""
     middle = x + F.floor(w / 2)
     return F.when((width <= 0) | (middle < F.floor(width * F.lit(ratio))), 0).otherwise(1)

@@ -33,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
     one.add_argument("--no-entry-numbers", action="store_true")
     one.add_argument("--dual-pass", action="store_true")
     one.add_argument("--src-name")
+    one.add_argument("--layouts")
     two = commands.add_parser("book")
     two.add_argument("--incremental", action="store_true")
     for command in (one, two):
@@ -84,7 +85,10 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         if args.dual_pass:
             # Boxes of three scans: 1 Latin, 2 Arabic, 3 both scripts.
             pages = layout.dual_pass(*(pages.where(F.col("scan") == n).drop("scan") for n in (1, 2, 3))).drop("scan")
-        found = materialize(dictionary.dictionary(pages, options, words), "result")
+        layouts = layout.layout_vote(spark.read.parquet(args.layouts)) if args.layouts else None
+        counters = dictionary.Counters()
+        found = materialize(dictionary.dictionary(pages, options, words, layouts=layouts, counters=counters), "result")
+        sinks.write_report(spark.createDataFrame([tuple(counters.read().values())], ", ".join(f"{k} bigint" for k in counters.read())), f"{args.output}_counters")
         sinks.write_bilingual(found, args.output, by="pdf")
         report = quality.entry_report(found, ["pdf"], profile="v4" if args.profile == "v4" else "v3")
         if args.src_name:

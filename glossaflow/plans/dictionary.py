@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from glossaflow.functions import text as tx
@@ -29,26 +30,58 @@ class Options:
     correct: bool = False
 
 
-def place_words(words: DataFrame, options: Options) -> DataFrame:
+class Counters:
+    """Raw, skipped and valid entries of a run, counted while it runs.
+
+    They are there once the dictionary was written or collected, without a pass
+    of their own; a run that is repeated counts the first time only.
+    """
+
+    def __init__(self) -> None:
+        self._seen = Observation(f"run-{uuid.uuid4().hex}")
+
+    def observe(self, entries: DataFrame, noise: Column) -> DataFrame:
+        return entries.observe(self._seen, F.count(F.lit(1)).alias("raw_entries"), F.count_if(noise).alias("skipped"), F.count_if(~noise).alias("valid_entries"))
+
+    def read(self) -> dict[str, int]:
+        return self._seen.get
+
+
+def column_ratio(words: DataFrame, layouts: DataFrame | None, given: float) -> tuple[DataFrame, Column]:
+    """Boxes with the share of the width where their document's columns part:
+    at the detected gutter of two columns, or as ``given``. ``layouts`` has
+    pdf, num_columns, gutter_x and page_width, as a layout vote makes them."""
+    if layouts is None:
+        return words, F.lit(given)
+    wide = F.when(F.col("page_width") > 0, F.col("gutter_x") / F.col("page_width")).otherwise(0.5)
+    ratios = layouts.select("pdf", F.when((F.col("num_columns") == 2) & (F.col("gutter_x") > 0), wide).alias("_ratio"))
+    return words.join(ratios, "pdf", "left"), F.coalesce("_ratio", F.lit(given))
+
+
+def place_words(words: DataFrame, options: Options, layouts: DataFrame | None = None) -> DataFrame:
     """Boxes of the page range, kept by confidence, with col and row."""
     kept = layout.confident(layout.page_range(words, options.start, options.end, chunk_size=options.chunk_size, chunk=options.chunk), options.min_conf)
-    col = layout.split_by_ratio(F.col("x"), F.col("w"), F.col("width"), options.gutter_ratio)
-    return layout.cluster_rows(kept.withColumn("col", col), tol=options.row_tolerance)
+    kept, ratio = column_ratio(kept, layouts, options.gutter_ratio)
+    placed = kept.withColumn("col", layout.split_by_ratio(F.col("x"), F.col("w"), F.col("width"), ratio)).drop("_ratio")
+    return layout.cluster_rows(placed, tol=options.row_tolerance)
 
 
-def raw_entries(words: DataFrame, options: Options) -> DataFrame:
-    rows = en.row_texts(place_words(words, options), options.profile)
+def raw_entries(words: DataFrame, options: Options, layouts: DataFrame | None = None) -> DataFrame:
+    rows = en.row_texts(place_words(words, options, layouts), options.profile)
     return en.fold_entries(rows, options.profile, arabic_first=options.arabic_first, numbered=options.numbered)
 
 
-def tidy(entries: DataFrame, options: Options, words: DataFrame | None = None) -> DataFrame:
+def tidy(entries: DataFrame, options: Options, words: DataFrame | None = None, counters: Counters | None = None) -> DataFrame:
     """Cleaned entries without noise, corrected where asked for."""
     profile = options.profile
     cleaned = entries
     if profile != "v4":
         english = F.col("english") if profile == "v2" else tx.clean_english(F.col("english"))
         cleaned = entries.withColumns({"english": english, "arabic": tx.clean_arabic(F.col("arabic"), profile)})
-    cleaned = cleaned.where(~en.is_noise(F.col("english"), F.col("arabic"), profile))
+    noise = en.is_noise(F.col("english"), F.col("arabic"), profile)
+    if counters:
+        cleaned = counters.observe(cleaned, noise)
+    cleaned = cleaned.where(~noise)
     if options.correct and words is not None:
         keys = ["pdf", "page", "col", "entry"]
         for side in ("english", "arabic"):
@@ -56,12 +89,13 @@ def tidy(entries: DataFrame, options: Options, words: DataFrame | None = None) -
     return cleaned
 
 
-def dictionary(words: DataFrame, options: Options = Options(), lexicon_words: DataFrame | None = None) -> DataFrame:
+def dictionary(words: DataFrame, options: Options = Options(), lexicon_words: DataFrame | None = None, *, layouts: DataFrame | None = None, counters: Counters | None = None) -> DataFrame:
     """(pdf, id, English, Arabic): first-wins entries of each PDF, numbered.
 
     Each PDF is numbered by itself, so PDFs are the unit of parallelism.
+    ``layouts`` are detected columns, ``counters`` count as the run goes.
     """
-    tidied = tidy(raw_entries(words, options), options, lexicon_words)
+    tidied = tidy(raw_entries(words, options, layouts), options, lexicon_words, counters)
     if options.profile == "v4":
         order = [F.col("page"), F.col("col"), F.col("entry")]
     else:
