@@ -1,7 +1,8 @@
 """Lexicons, word frequencies and conservative spelling correction.
 
 Correction looks at distinct unknown tokens only. A token meets a word where
-they share a segment that none of the letters they differ in can have touched;
+they are equal but for a letter each, or else share a segment that none of the
+letters they differ in can have touched;
 native bounds leave few pairs for the exact similarity. Only what changed is
 joined back, and only to the texts that hold it.
 """
@@ -78,10 +79,12 @@ def _segments(length: int, edits: int) -> list[tuple[int, int]]:
 
 
 def segment_plan(threshold: float, gap: int, longest: int = LONG) -> tuple[list[tuple[int, ...]], list[tuple[int, ...]]]:
-    """(size, other, edits, part, start, length) of tokens and of words below
-    ``longest``.
+    """(size, other, edits, part, head, start, length) of tokens and of words
+    below ``longest``: a key is the first ``head`` letters and ``length`` more
+    from ``start`` on.
 
-    With so many edits, one of as many segments and one more of the word stands
+    Where each side has one letter too many at most, keys are what is left
+    without it. Else, with so many edits, one of as many segments and one more of the word stands
     whole in the token, and one of these is moved by no more places than it has
     segments before it, nor, against the ends, than it has behind it.
     """
@@ -90,11 +93,16 @@ def segment_plan(threshold: float, gap: int, longest: int = LONG) -> tuple[list[
         for b in range(max(1, a - gap), min(a + gap, longest - 1) + 1):
             if (edits := edits_between(a, b, threshold)) < 0:
                 continue
+            if edits <= 2 and abs(a - b) < 2:
+                whole = lambda n, less: [(i, i + 2, n) for i in range(n)] if less else [(0, 1, n)]
+                ours += [(a, b, edits, -1, *cut) for cut in whole(a, edits + a - b > 0)]
+                theirs.update((b, b, edits, -1, *cut) for cut in whole(b, edits - a + b > 0))
+                continue
             for part, (start, size) in enumerate(_segments(b, edits)):
-                theirs.add((b, b, edits, part, start + 1, size))
+                theirs.add((b, b, edits, part, 0, start + 1, size))
                 for moved in range(-part, part + 1):
                     if abs(moved - (a - b)) <= edits - part and 0 <= start + moved and start + moved + size <= a:
-                        ours.append((a, b, edits, part, start + moved + 1, size))
+                        ours.append((a, b, edits, part, 0, start + moved + 1, size))
     return ours, sorted(theirs)
 
 
@@ -108,10 +116,10 @@ def _letters(word: Column) -> Column:
 def _keyed(words: DataFrame, word: str, plan: list[tuple[int, ...]]) -> DataFrame:
     """``words`` with ``key`` for each segment, ``edits`` and ``letters``. The
     plan is a table of fixed size."""
-    steps = words.sparkSession.createDataFrame(plan, "size int, other int, edits int, part int, start int, length int")
+    steps = words.sparkSession.createDataFrame(plan, "size int, other int, edits int, part int, head int, start int, length int")
     sized = words.withColumns({"size": F.length(word), "letters": _letters(F.col(word))})
     cut = sized.join(F.broadcast(steps), "size")
-    return cut.select(*words.columns, "letters", "edits", F.xxhash64("other", "edits", "part", F.substring(word, F.col("start"), F.col("length"))).alias("key"))
+    return cut.select(*words.columns, "letters", "edits", F.xxhash64("other", "edits", "part", F.concat(F.substring(word, F.lit(1), F.col("head")), F.substring(word, F.col("start"), F.col("length")))).alias("key"))
 
 
 def candidates(tokens: DataFrame, lexicon: DataFrame, threshold: float = THRESHOLD, gap: int = LENGTH_GAP) -> DataFrame:
@@ -126,6 +134,9 @@ def candidates(tokens: DataFrame, lexicon: DataFrame, threshold: float = THRESHO
     a, b = F.col("token"), F.col("word")
     left, right = _keyed(tokens.select("token"), "token", ours), _keyed(lexicon.select("word", "freq"), "word", theirs)
     right = right.withColumnsRenamed({"letters": "letters2", "edits": "edits2"})
+    # A word has a key for about every fourth letter, and some more.
+    held = lexicon.agg(F.coalesce(F.sum((F.length("word") * 2 + 80) * (F.length("word") / 4 + 4)), F.lit(0.0))).first()[0]
+    right = F.broadcast(right) if held <= BROADCAST_BYTES else right
     near = (F.col("key") == F.col("key2")) & (F.col("edits") == F.col("edits2")) & (F.bit_count(F.col("letters").bitwiseXOR(F.col("letters2"))) <= F.col("edits"))
     short = left.join(right.withColumnRenamed("key", "key2"), near).where(F.levenshtein("token", "word") <= F.col("edits")).select("token", "word", "freq")
     around = F.explode(F.sequence(F.length("token") - gap, F.length("token") + gap))
@@ -139,7 +150,8 @@ def candidates(tokens: DataFrame, lexicon: DataFrame, threshold: float = THRESHO
 def nearest_words(tokens: DataFrame, lexicon: DataFrame, threshold: float = THRESHOLD, gap: int = LENGTH_GAP) -> DataFrame:
     """(token, word, similarity): the best word of each token, if any reaches
     ``threshold``; ties go to the more frequent, then the smaller word."""
-    scored = candidates(tokens, lexicon, threshold, gap).withColumn("similarity", sim.guarded_ratio(F.col("token"), F.col("word"))).where(F.col("similarity") >= threshold)
+    # Written, so that the similarity is worked out once and not in the filter too.
+    scored = materialize(candidates(tokens, lexicon, threshold, gap).withColumn("similarity", sim.guarded_ratio(F.col("token"), F.col("word"))), "scored").where(F.col("similarity") >= threshold)
     best = Window.partitionBy("token").orderBy(F.desc("similarity"), F.desc("freq"), "word")
     return scored.withColumn("_place", F.row_number().over(best)).where("_place = 1").select("token", "word", "similarity")
 
@@ -165,9 +177,9 @@ def corrections(tokens: DataFrame, lexicon: DataFrame, lang: str = "english", pr
     """
     fold = tx.normalize_arabic if lang == "arabic" else F.lower
     folded = tokens.select("token", fold(F.col("token")).alias("folded"))
-    held = lexicon.select(fold(F.col("word")).alias("word"), "freq").groupBy("word").agg(F.sum("freq").alias("freq"))
+    held = materialize(lexicon.select(fold(F.col("word")).alias("word"), "freq").groupBy("word").agg(F.sum("freq").alias("freq")), "lexicon")
     size = F.length("token") if lang == "english" or profile == "v4" else F.length("folded")
-    open_ = folded.where(size >= LEAST[lang]).join(_small(held.select(F.col("word").alias("folded")), words), "folded", "left_anti")
+    open_ = materialize(folded.where(size >= LEAST[lang]).join(_small(held.select(F.col("word").alias("folded")), words), "folded", "left_anti"), "unknown")
     best = nearest_words(open_.select(F.col("folded").alias("token")).distinct(), held, threshold)
     return open_.join(best.select(F.col("token").alias("folded"), "word"), "folded").select("token", F.col("word").alias("corrected"))
 
@@ -187,7 +199,7 @@ def correct_text(texts: DataFrame, lexicon: DataFrame, keys: Sequence[str], text
     """
     body = tx.words(F.coalesce(text, F.lit("")))
     each = texts.select(*keys, F.explode(F.array_distinct(body)).alias("token"))
-    distinct = each.select("token").distinct()
+    distinct = materialize(each.select("token").distinct(), "tokens")
     script = F.when(tx.has_arabic(F.col("token")), "arabic").when(tx.has_latin(F.col("token")), "english")
     fixed = None
     for one in ("english", "arabic") if lang is None else (lang,):

@@ -54,7 +54,7 @@ def test_segments_lose_nothing(spark, letters, n, longest, threshold):
 def test_keys_are_few():
     ours, theirs = lexicon.segment_plan(lexicon.THRESHOLD, lexicon.LENGTH_GAP)
     keys = lambda plan, n: sum(row[0] == n for row in plan)
-    assert all(keys(ours, n) <= 30 for n in range(1, 13)) and all(keys(theirs, n) <= 30 for n in range(1, 31))
+    assert all(keys(ours, n) <= 40 for n in range(1, 13)) and all(keys(theirs, n) <= 40 for n in range(1, 31))
     # The plan is of fixed size, and long words have keys in the hundreds.
     assert len(ours) < 20_000 and max(keys(ours, n) for n in range(1, 64)) < 1000
 
