@@ -8,6 +8,7 @@ White space, digits and word boundaries follow Unicode as Python's ``str`` and
 from __future__ import annotations
 
 import re
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column
@@ -70,6 +71,41 @@ def strip_html(html: Column) -> Column:
     return clean(reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), ENTITIES, text))
 
 
+# Blocks of letters in the shapes they have within words, marks of
+# direction, and what is left of glyphs without a character.
+FORMS = ("\ufb50", "\ufeff")
+FORM = r"[\ufb50-\ufdff\ufe70-\ufeff]"
+DIRECTIONS = "\u061c\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2066\u2067\u2068\u2069"
+CID = r"\(cid:[0-9]+\)"
+
+
+def presentation_forms(text: Column) -> Column:
+    """Letters in the shapes of their places in words, and ligatures of up to
+    eighteen letters, as the letters they stand for.
+
+    Each is replaced by its compatibility decomposition, composed; what comes of
+    neighbours is not composed with each other. Others stay, null stays null. A
+    text is cut at such letters only, and each is found by its place in a table.
+    """
+    low, high = map(ord, FORMS)
+    # Between the two blocks the table has what must not change.
+    letters = [unicodedata.normalize("NFKC", chr(c)) if re.match(FORM, chr(c)) else chr(c) for c in range(low, high + 1)]
+    table = F.split(F.lit("\x1f".join(letters)), "\x1f", -1)
+
+    def whole(piece: Column) -> Column:
+        at = F.ascii(piece) - low
+        return F.when(at.between(0, high - low) & (F.char_length(piece) == 1), F.get(table, at)).otherwise(piece)
+
+    pieces = F.split(text, f"(?<={FORM})|(?={FORM})", -1)
+    return F.when(text.rlike(FORM), F.array_join(F.transform(pieces, whole), "")).otherwise(text)
+
+
+def normalize_forms(text: Column) -> Column:
+    """Text of a file's own text layer: no marks of direction, no numbers of
+    nameless glyphs, letters for their shapes."""
+    return presentation_forms(F.regexp_replace(F.translate(text, DIRECTIONS, ""), CID, ""))
+
+
 def safe_name(name: Column) -> Column:
     """A name fit for a file: other characters as ``_``, dots single."""
     kept = F.regexp_replace(name, r"(?U)[^\w\u0600-\u06ff\u0750-\u077f\-. ]+", "_")

@@ -6,7 +6,9 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from glossaflow.functions import text as tx
 from glossaflow.operators import quality
 from glossaflow.shared import materialize, scratch
 from glossaflow.sinks import files as sinks
@@ -48,10 +50,11 @@ def subset(catalogue: Sequence[Dictionary], formats: Sequence[str]) -> list[Dict
     return [d for d in catalogue if d.format in formats]
 
 
-def convert(spark: SparkSession, catalogue: Sequence[Dictionary], out: str, *, files: int | None = None) -> DataFrame:
+def convert(spark: SparkSession, catalogue: Sequence[Dictionary], out: str, *, files: int | None = None, forms: bool = False) -> DataFrame:
     """Convert every dictionary; (name, csv_name, format, rows, status).
 
-    A dictionary that fails is reported and does not stop the others.
+    A dictionary that fails is reported and does not stop the others. With
+    ``forms`` both sides lose direction marks, nameless glyphs and letter shapes.
     """
     rows = []
     for item in catalogue:
@@ -65,6 +68,8 @@ def convert(spark: SparkSession, catalogue: Sequence[Dictionary], out: str, *, f
         else:
             try:
                 found = READERS[item.format](spark, item.path)
+                if forms:
+                    found = found.withColumns({c: tx.normalize_forms(F.col(c)) for c in ("term", "definition")})
                 order = [c for c in ("source_file", "pos") if c in found.columns]
                 if found.isEmpty():
                     status = "EMPTY"

@@ -8,7 +8,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from glossaflow import catalog, catalog_files, catalog_runs  # noqa: F401  (registers its queries)
+from glossaflow import catalog, catalog_files, catalog_pages, catalog_runs  # noqa: F401  (registers its queries)
 
 
 @pytest.fixture(scope="module")

@@ -1,5 +1,7 @@
 """Vectors for the column functions, quirks of every profile included."""
 
+import re
+import unicodedata
 from difflib import SequenceMatcher
 
 import pytest
@@ -91,3 +93,22 @@ def test_cleaning_is_idempotent_and_as_in_python(spark, texts):
 def test_names_of_notes_and_archives(spark):
     row = spark.createDataFrame([("a b/c (d)\\e",)], "n string").select(tx.note_name(F.col("n")), tx.archive_name(F.col("n"))).first()
     assert tuple(row) == ("a_b_c_(d)\\e", "a_b_c_d_e")
+
+
+def test_presentation_forms(spark):
+    """Each character as the library has it; neighbours are not composed."""
+    blocks = [chr(c) for c in range(0xFB40, 0xFF10)]
+    inside = [c for c in blocks if re.match(tx.FORM, c)]
+    for make in (lambda c: c, lambda c: f"a{c}{c}b", lambda c: f"كتاب {c}"):
+        rows = spark.createDataFrame([(c, make(c)) for c in blocks], "c string, t string").select("c", tx.presentation_forms(F.col("t")).alias("t")).collect()
+        wanted = {c: unicodedata.normalize("NFKC", c) if c in inside else c for c in blocks}
+        assert {r["c"]: r["t"] for r in rows} == {c: make(wanted[c]) for c in blocks}
+    texts = ["", None, "plain", "\U0001f600\ufefb\U0001f600", "\ufdfa", "x" * 100_000 + "\ufe8d"]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(tx.presentation_forms(F.col("t")).alias("t")).collect()
+    assert [r["t"] for r in found] == ["", None, "plain", "\U0001f600\u0644\u0627\U0001f600", unicodedata.normalize("NFKC", "\ufdfa"), "x" * 100_000 + "\u0627"]
+
+
+def test_normalize_forms(spark):
+    text = "\u202b\ufeb3\ufefc\ufee1\u202c (cid:12)(cid:x) \u200ea\u2069"
+    found = spark.createDataFrame([(text,)], "t string").select(tx.normalize_forms(F.col("t")).alias("t")).first()
+    assert found["t"] == "\u0633\u0644\u0627\u0645 (cid:x) a"
