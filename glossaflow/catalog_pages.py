@@ -6,13 +6,18 @@ tables alone.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from glossaflow.catalog import _ARABIZE, _query, _table
+from glossaflow.catalog_files import BLOCK, _blocks, _folder
 from glossaflow.functions import text as tx
 from glossaflow.operators import raster
-from glossaflow.plans import samples
+from glossaflow.plans import built, samples
+from glossaflow.sinks import files as sinks
+from glossaflow.sources import archives
 
 #: Vectors of one page.
 HIGH = 64
@@ -70,3 +75,46 @@ def letter_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
         shaped = F.replace(shaped, F.lit(pair), F.lit(one))
     shaped = F.concat(F.lit("\u202b"), F.translate(shaped, _PLAIN, _SHAPES), F.lit(" \u202c(cid:17)"), F.lower("text"))
     return _table(spark, sf_dir, "documents").select("doc_id", tx.normalize_forms(shaped).alias("folded"))
+
+
+#: Documents of an innermost archive, and innermost archives of one about them.
+LEAF, MIDDLE = 5, 4
+_FILES = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("content", T.BinaryType())]))
+
+
+@F.pandas_udf(_FILES)
+def _nested(blocks: pd.Series, ids: pd.Series, texts: pd.Series) -> pd.Series:
+    """Archives of three levels with a locked and a broken member each and, in
+    every fifth, a broken archive; every other one is cut into three volumes."""
+
+    def pack(block, keys, bodies):
+        docs = [(f"{k}.txt", t.encode()) for k, t in zip(keys, bodies, strict=True)]
+        leaves = [(f"leaf{n}.zip", built.zipped(docs[at : at + LEAF])) for n, at in enumerate(range(0, len(docs), LEAF))]
+        middles = [(f"in/middle{n}.zip", built.zipped(leaves[at : at + MIDDLE], stored=n % 2 == 0)) for n, at in enumerate(range(0, len(leaves), MIDDLE))]
+        more = [("locked.txt", b"x"), ("broken.txt", b"y" * 9000), *([("sick.zip", b"no archive")] if block % 5 == 0 else [])]
+        whole = built.zipped([*middles, *more], locked=["locked.txt"], broken=["broken.txt"])
+        if block % 2 == 0:
+            return [{"name": f"a{block}.zip", "content": whole}]
+        third = -(-len(whole) // 3)
+        return [{"name": f"a{block}.zip.{n + 1:03}", "content": whole[n * third : (n + 1) * third]} for n in range(3)]
+
+    return pd.Series([pack(*r) for r in zip(blocks, ids, texts, strict=True)])
+
+
+@_query("nested_archives", f"""WITH d AS (SELECT doc_id, text, doc_id // {BLOCK} AS b, row_number() OVER (PARTITION BY doc_id // {BLOCK} ORDER BY doc_id) - 1 AS n FROM documents),
+b AS (SELECT DISTINCT b FROM d)
+SELECT 'a' || b || '.zip/in/middle' || n // {LEAF * MIDDLE} || '.zip/leaf' || n // {LEAF} || '.zip' AS archive, doc_id || '.txt' AS member, 'OK' AS status, text FROM d
+UNION ALL SELECT 'a' || b || '.zip', 'locked.txt', 'ENCRYPTED', NULL FROM b UNION ALL SELECT 'a' || b || '.zip', 'broken.txt', 'DAMAGED', NULL FROM b
+UNION ALL SELECT 'a' || b || '.zip/sick.zip', NULL, 'DAMAGED', NULL FROM b WHERE b % 5 = 0""")
+def nested_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives in archives in archives, some in volumes; members in pieces of
+    4,096 bytes are put together again."""
+    path = _folder(spark, "nested")
+    books = _blocks(spark, sf_dir).groupBy("block").agg(F.sort_array(F.collect_list(F.struct("doc_id", "text"))).alias("e"))
+    packed = books.select(F.inline(_nested("block", F.transform("e", lambda x: x["doc_id"]), F.transform("e", lambda x: x["text"]))))
+    sinks.write_files(packed, path)
+    found = archives.unpack(spark, path, pieceBytes=4096, partBytes=1 << 16)
+    pieces = F.sort_array(F.collect_list(F.when(F.col("status") == archives.OK, F.struct("at", "content"))))
+    whole = F.unhex(F.array_join(F.transform("pieces", lambda p: F.hex(p["content"])), ""))
+    text = F.when(F.col("status") == archives.OK, F.decode(whole, "UTF-8"))
+    return found.groupBy("archive", "member", "status").agg(pieces.alias("pieces")).select("archive", "member", "status", text.alias("text"))

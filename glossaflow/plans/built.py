@@ -6,7 +6,9 @@ descriptions and not from the readers.
 
 from __future__ import annotations
 
+import io
 import struct
+import zipfile
 import zlib
 from collections.abc import Sequence
 
@@ -94,3 +96,17 @@ def stardict(entries: Sequence[Entry], kind: str = "m", *, wide: bool = False) -
         at += len(body)
     facts = f"StarDict's dict ifo file\nversion=2.4.2\n{'idxoffsetbits=64' + chr(10) if wide else ''}sametypesequence={kind}\n"
     return facts.encode(), b"".join(idx), b"".join(data)
+
+
+def zipped(members: Sequence[tuple[str, bytes]], *, locked: Sequence[str] = (), broken: Sequence[str] = (), stored: bool = False) -> bytes:
+    """A ZIP archive; ``locked`` members say that they are encrypted, ``broken``
+    ones have another checksum than their bytes."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED if stored else zipfile.ZIP_DEFLATED) as archive:
+        for name, content in members:
+            archive.writestr(zipfile.ZipInfo(name), content, zipfile.ZIP_STORED if stored else zipfile.ZIP_DEFLATED)
+        for info in archive.infolist():
+            # Only the directory is written from here on.
+            info.flag_bits |= info.filename in locked
+            info.CRC ^= info.filename in broken
+    return out.getvalue()

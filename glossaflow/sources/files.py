@@ -10,6 +10,7 @@ import csv
 import gzip
 import io
 import itertools
+import lzma
 import re
 import struct
 import xml.etree.ElementTree as ET
@@ -290,20 +291,26 @@ def read_zip(spark: SparkSession, path: str) -> DataFrame:
 
 
 def zip_members(files: DataFrame) -> DataFrame:
-    """(archive, member, content) of archives (name, content); broken ones are
-    left out."""
+    """(archive, member, content) of archives (name, content), one member at a
+    time. Broken archives are left out, and so are members that are damaged,
+    encrypted or packed by a method that is not known; ``sources.archives`` has
+    a row with the reason for each."""
+    damage = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, OSError, struct.error, NotImplementedError, RuntimeError)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 try:
-                    with zipfile.ZipFile(io.BytesIO(row["content"])) as archive:
-                        found = [(i.filename, archive.read(i)) for i in archive.infolist() if not i.is_dir()]
-                except zipfile.BadZipFile:
+                    archive = zipfile.ZipFile(io.BytesIO(row["content"]))
+                except damage:
                     continue
-                if found:
-                    names, contents = zip(*found, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([row["name"]] * len(names)), pa.array(names), pa.array(contents, pa.binary())], ["archive", "member", "content"])
+                for info in archive.infolist():
+                    try:
+                        content = None if info.is_dir() else archive.read(info)
+                    except damage:
+                        continue
+                    if content is not None:
+                        yield pa.RecordBatch.from_arrays([pa.array([row["name"]]), pa.array([info.filename]), pa.array([content], pa.binary())], ["archive", "member", "content"])
 
     return files.select("name", "content").mapInArrow(run, "archive string, member string, content binary")
 
