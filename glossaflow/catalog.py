@@ -527,8 +527,8 @@ def lexicon_known(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _rare_and_common(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Every word that is not in the lexicon, and the lexicon: words that
-    occur 20 times or more."""
-    freq = _frequencies(spark, sf_dir)
+    occur 20 times or more. Counted once for both."""
+    freq = materialize(_frequencies(spark, sf_dir), "frequencies")
     return freq.where("freq < 20 and length(word) >= 3").select(F.col("word").alias("token")), freq.where("freq >= 20")
 
 

@@ -38,11 +38,19 @@ def word_frequencies(texts: DataFrame, text: str = "text", *, lower: bool = True
 
 def lexicon_of(entries: DataFrame, english: str = "english", arabic: str = "arabic", least: int = 1) -> DataFrame:
     """(lang, word, freq) of both sides of entries: words with a letter of the
-    side's script, English in lower case, Arabic folded."""
-    one = word_frequencies(entries, english, least=least).where(tx.has_latin(F.col("word"))).withColumn("lang", F.lit("english"))
-    folded = entries.select(tx.normalize_arabic(F.array_join(tx.words(F.coalesce(arabic, F.lit(""))), " ")).alias("arabic"))
-    two = word_frequencies(folded, "arabic", lower=False, least=least).where(tx.has_arabic(F.col("word"))).withColumn("lang", F.lit("arabic"))
-    return one.unionByName(two).select("lang", "word", "freq")
+    side's script, English in lower case, Arabic folded.
+
+    Words are counted as they are written and then lowered or folded, which is
+    done once for each distinct one and not for each that occurs.
+    """
+    sides = (("english", english, F.lower, tx.has_latin), ("arabic", arabic, tx.normalize_arabic, tx.has_arabic))
+    both = []
+    for lang, column, fold, of_script in sides:
+        counted = entries.select(F.explode(tx.words(F.col(column))).alias("raw")).groupBy("raw").agg(F.count("*").alias("n"))
+        # Asked of the count too: else it would be moved to where each word occurs.
+        wanted = F.when(F.col("n") > 0, of_script(F.col("word")) & (F.length("word") >= least))
+        both.append(counted.select(F.lit(lang).alias("lang"), fold(F.col("raw")).alias("word"), "n").where(wanted))
+    return both[0].unionByName(both[1]).groupBy("lang", "word").agg(F.sum("n").alias("freq"))
 
 
 def union_lexicons(lexicons: Sequence[DataFrame]) -> DataFrame:
