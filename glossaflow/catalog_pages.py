@@ -108,12 +108,12 @@ UNION ALL SELECT 'a' || b || '.zip', 'locked.txt', 'ENCRYPTED', NULL FROM b UNIO
 UNION ALL SELECT 'a' || b || '.zip/sick.zip', NULL, 'DAMAGED', NULL FROM b WHERE b % 5 = 0""")
 def nested_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives in archives in archives, some in volumes; members in pieces of
-    4,096 bytes are put together again."""
+    64 KB are put together again."""
     path = _folder(spark, "nested")
     books = _blocks(spark, sf_dir).groupBy("block").agg(F.sort_array(F.collect_list(F.struct("doc_id", "text"))).alias("e"))
     packed = books.select(F.inline(_nested("block", F.transform("e", lambda x: x["doc_id"]), F.transform("e", lambda x: x["text"]))))
     sinks.write_files(packed, path)
-    found = archives.unpack(spark, path, pieceBytes=4096, partBytes=1 << 16)
+    found = archives.unpack(spark, path, pieceBytes=1 << 16, partBytes=1 << 20)
     pieces = F.sort_array(F.collect_list(F.when(F.col("status") == archives.OK, F.struct("at", "content"))))
     whole = F.unhex(F.array_join(F.transform("pieces", lambda p: F.hex(p["content"])), ""))
     text = F.when(F.col("status") == archives.OK, F.decode(whole, "UTF-8"))
