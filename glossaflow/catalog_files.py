@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossaflow.catalog import _CHAPTERS, _LETTERS, _ARABIZE, AR, BOXES, FILLED, ORACLES, S, _boxes, _clean, _dictionary, _headed, _query, _strip, _table, quality_report
+from glossaflow.catalog import _CHAPTERS, _LETTERS, _ARABIZE, AR, BOXES, FILLED, ORACLES, S, _clean, _dictionary, _headed, _query, _scanned, _strip, _table, quality_report
 from glossaflow.functions import text as tx
-from glossaflow.operators import layout, merge, quality
+from glossaflow.operators import merge, quality
 from glossaflow.plans import dictionary, reference_book, samples
 from glossaflow.shared import shared_dir
 from glossaflow.sinks import files as sinks
@@ -286,6 +286,4 @@ _DUAL = _dictionary("v3").replace(BOXES, f"{BOXES.replace('boxes AS (', 'boxes0
 SELECT *, round_even((entries_with_both / total_entries)::DOUBLE, 3)::DOUBLE AS estimated_accuracy, entries_with_both / total_entries > 0.7 AND total_entries > 100 AS pdf_deletable FROM c""")
 def dual_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report of a whole run over three scans of each page."""
-    boxes = _boxes(spark, sf_dir)
-    scanned = layout.dual_pass(boxes, boxes, boxes).drop("scan")
-    return quality.entry_report(dictionary.dictionary(scanned, dictionary.Options("v3")), ["pdf"], profile="v3")
+    return quality.entry_report(dictionary.dictionary(_scanned(spark, sf_dir), dictionary.Options("v3")), ["pdf"], profile="v3")

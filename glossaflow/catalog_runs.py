@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossaflow.catalog import _ARABIZE, _CHAPTERS, _LETTERS, BOXES, ORACLES, _boxes, _clean, _dictionary, _folded, _headed, _noise, _query, _strip, _table, _tidied_arabic, _tidied_english, quality_report
+from glossaflow.catalog import _ARABIZE, _CHAPTERS, _LETTERS, BOXES, ORACLES, _boxes, _clean, _dictionary, _folded, _headed, _noise, _pages, _query, _strip, _table, _tidied_arabic, _tidied_english, quality_report
 from glossaflow.catalog_files import BLOCK, _blocks, _escaped, _folder
 from glossaflow.functions import text as tx
 from glossaflow.operators import layout, merge
@@ -199,7 +199,7 @@ def _layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("layout_dictionary", _dictionary("v3").replace(*_PARTED))
 def layout_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run whose columns part where the layout of each document says."""
-    return dictionary.dictionary(_boxes(spark, sf_dir), dictionary.Options("v3"), layouts=_layouts(spark, sf_dir))
+    return dictionary.dictionary(_pages(spark, sf_dir), dictionary.Options("v3"), layouts=_layouts(spark, sf_dir))
 
 
 @_query("run_counters", f"""WITH RECURSIVE {_folded("v3")}, tidy AS (SELECT {_tidied_english("english")} AS e, {_tidied_arabic("arabic", "v3")} AS a FROM folded)
@@ -207,6 +207,6 @@ SELECT count(*) AS raw_entries, count(*) FILTER ({_noise("e", "a", "v3")}) AS sk
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a run counted while its dictionary was written."""
     counters = dictionary.Counters()
-    sinks.write_bilingual(dictionary.dictionary(_boxes(spark, sf_dir), dictionary.Options("v3"), counters=counters), _folder(spark, "bilingual"), by="pdf")
+    sinks.write_bilingual(dictionary.dictionary(_pages(spark, sf_dir), dictionary.Options("v3"), counters=counters), _folder(spark, "bilingual"), by="pdf")
     found = counters.read()
     return spark.createDataFrame([tuple(found.values())], ", ".join(f"{k} bigint" for k in found))

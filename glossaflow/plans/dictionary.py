@@ -58,17 +58,29 @@ def column_ratio(words: DataFrame, layouts: DataFrame | None, given: float) -> t
     return words.join(ratios, "pdf", "left"), F.coalesce("_ratio", F.lit(given))
 
 
+def _page_rows(words: DataFrame, options: Options, layouts: DataFrame | None = None) -> tuple[DataFrame, Column]:
+    """Packed pages of the range, and their rows: (col, row, boxes) of the
+    boxes that are kept by confidence."""
+    pages = layout.pages_of(layout.page_range(words, options.start, options.end, chunk_size=options.chunk_size, chunk=options.chunk))
+    kept, ratio = column_ratio(layout.confident(pages, options.min_conf), layouts, options.gutter_ratio)
+    side = lambda b: layout.split_by_ratio(b["x"], b["w"], b["width"], ratio)
+    return kept, layout.rows_of(F.col("boxes"), side, options.row_tolerance)
+
+
 def place_words(words: DataFrame, options: Options, layouts: DataFrame | None = None) -> DataFrame:
-    """Boxes of the page range, kept by confidence, with col and row."""
-    kept = layout.confident(layout.page_range(words, options.start, options.end, chunk_size=options.chunk_size, chunk=options.chunk), options.min_conf)
-    kept, ratio = column_ratio(kept, layouts, options.gutter_ratio)
-    placed = kept.withColumn("col", layout.split_by_ratio(F.col("x"), F.col("w"), F.col("width"), ratio)).drop("_ratio")
-    return layout.cluster_rows(placed, tol=options.row_tolerance)
+    """Boxes of the page range, kept by confidence, with col and row. Boxes
+    come one a row or packed by page; packed pages are not shuffled."""
+    kept, rows = _page_rows(words, options, layouts)
+    placed = F.flatten(F.transform(rows, lambda r: F.transform(r["boxes"], lambda b: F.struct(b.alias("box"), r["col"].alias("col"), r["row"].alias("row")))))
+    return layout.unpacked(kept, ["pdf", "page"], placed).select("pdf", "page", "box.*", "col", "row")
 
 
 def raw_entries(words: DataFrame, options: Options, layouts: DataFrame | None = None) -> DataFrame:
-    rows = en.row_texts(place_words(words, options, layouts), options.profile)
-    return en.fold_entries(rows, options.profile, arabic_first=options.arabic_first, numbered=options.numbered)
+    """(pdf, page, col, entry, number, english, arabic, y). A page is one row
+    from its boxes to its entries."""
+    kept, rows = _page_rows(words, options, layouts)
+    found = en.page_entries(en.page_rows(rows, options.profile), options.profile, arabic_first=options.arabic_first, numbered=options.numbered)
+    return layout.unpacked(kept, ["pdf", "page"], found)
 
 
 def tidy(entries: DataFrame, options: Options, words: DataFrame | None = None, counters: Counters | None = None) -> DataFrame:
@@ -77,7 +89,10 @@ def tidy(entries: DataFrame, options: Options, words: DataFrame | None = None, c
     cleaned = entries
     if profile != "v4":
         english = F.col("english") if profile == "v2" else tx.clean_english(F.col("english"))
-        cleaned = entries.withColumns({"english": english, "arabic": tx.clean_arabic(F.col("arabic"), profile)})
+        # Exploded, as what is only projected is worked out again for every
+        # condition of the filter that follows.
+        sides = F.explode_outer(F.array(F.struct(english.alias("english"), tx.clean_arabic(F.col("arabic"), profile).alias("arabic"))))
+        cleaned = entries.select(*(c for c in entries.columns if c not in ("english", "arabic")), sides.alias("_sides")).select("*", "_sides.*").drop("_sides")
     noise = en.is_noise(F.col("english"), F.col("arabic"), profile)
     if counters:
         cleaned = counters.observe(cleaned, noise)
@@ -100,7 +115,8 @@ def dictionary(words: DataFrame, options: Options = Options(), lexicon_words: Da
         order = [F.col("page"), F.col("col"), F.col("entry")]
     else:
         order = en.entry_order(tidied)
-    placed = tidied.withColumn("_order", F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order))))
+    # One shuffle, by PDF, for the first of each entry and for its number.
+    placed = tidied.repartition("pdf").withColumn("_order", F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order))))
     kept = merge.first_wins(placed, [F.col("pdf"), F.lower("english"), F.col("arabic")], ["_order"])
 
     number = F.row_number().over(Window.partitionBy("pdf").orderBy("_order")).cast("bigint")

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from glossaflow.operators import layout
+
 LATIN_LETTERS = "abcdefghijklmnopqrstuvwxyz"
 ARABIC_LETTERS = "ابتثجحخدذرزسشصضطظعغفقكلمنه"
 WIDTH = 1000
@@ -25,20 +27,32 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").alias("pdf"), F.posexplode(F.split("text", "\n")).alias("page", "text"))
 
 
+def page_boxes(docs: DataFrame) -> DataFrame:
+    """(pdf, page, boxes): a page of a scanner's output a row, its boxes an
+    array of (pos, text, x, y, w, h, conf, width)."""
+    tokens = lambda text: F.filter(F.split(text, " "), lambda t: t != "")
+
+    def box(letters, token, i):
+        # Letters of a whole line are changed at once: no blank comes or goes.
+        arabic = F.get(letters, i)
+        text = (
+            F.when(i % 7 == 3, (i * 31 % 4000).cast("string"))
+            .when(i % 11 == 5, F.concat(token, arabic))
+            .when(i % 3 == 1, arabic)
+            .otherwise(token)
+        )
+        return F.struct(
+            i.alias("pos"), text.alias("text"), (i * 173 % 900).alias("x"), (F.floor(i / 7) * 14 + i * 5 % 9).cast("int").alias("y"),
+            F.lit(40).alias("w"), F.lit(12).alias("h"), (i * 7 % 100).alias("conf"), F.lit(WIDTH).alias("width"),
+        )
+
+    boxes = layout.let(tokens(to_arabic(F.col("text"))), lambda letters: F.transform(tokens(F.col("text")), lambda t, i: box(letters, t, i)))
+    return lines_of(docs).select("pdf", "page", boxes.alias("boxes"))
+
+
 def word_boxes(docs: DataFrame) -> DataFrame:
     """(pdf, page, pos, text, x, y, w, h, conf, width)."""
-    words = lines_of(docs).select("pdf", "page", F.posexplode(F.filter(F.split("text", " "), lambda t: t != "")).alias("pos", "token"))
-    i, token = F.col("pos"), F.col("token")
-    text = (
-        F.when(i % 7 == 3, (i * 31 % 4000).cast("string"))
-        .when(i % 11 == 5, F.concat(token, to_arabic(token)))
-        .when(i % 3 == 1, to_arabic(token))
-        .otherwise(token)
-    )
-    return words.select(
-        "pdf", "page", "pos", text.alias("text"), (i * 173 % 900).alias("x"), (F.floor(i / 7) * 14 + i * 5 % 9).cast("int").alias("y"),
-        F.lit(40).alias("w"), F.lit(12).alias("h"), (i * 7 % 100).alias("conf"), F.lit(WIDTH).alias("width"),
-    )
+    return layout.unpacked(page_boxes(docs), ["pdf", "page"], F.col("boxes"))
 
 
 def bilingual_lines(docs: DataFrame) -> DataFrame:

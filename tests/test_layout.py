@@ -113,3 +113,29 @@ def test_empty_pages(spark):
     none = boxes(spark, PAGE).limit(0)
     for profile in ("v2", "v3", "v4"):
         assert dictionary.dictionary(none, dictionary.Options(profile)).count() == 0
+
+
+def _shuffles(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_packed_pages_are_not_shuffled(spark):
+    packed = layout.pages_of(boxes(spark, PAGE)).localCheckpoint()
+    rest = [c for c in BOX.replace(" int", "").replace(" string", "").split(", ") if c not in ("pdf", "page")]
+    three = packed.withColumn("boxes", layout.let(F.col("boxes"), lambda b: layout.passes(b, b, b, rest)))
+    options = dictionary.Options("v3")
+    assert [_shuffles(df) for df in (three, layout.line_buckets(packed), dictionary.place_words(packed, options), dictionary.raw_entries(three, options))] == [0, 0, 0, 0]
+    assert _shuffles(dictionary.dictionary(packed, options)) == 1
+    words = boxes(spark, PAGE)
+    whole, ours = dictionary.dictionary(words, options), dictionary.dictionary(packed, options)
+    assert sorted(whole.collect()) == sorted(ours.collect())
+    scanned = layout.unpacked(three, ["pdf", "page"], F.col("boxes"))
+    assert sorted(map(str, scanned.collect())) == sorted(map(str, layout.dual_pass(words, words, words).select(*scanned.columns).collect()))
+
+
+def test_passes_of_a_page_of_many_boxes_meet_in_bands(spark):
+    latin = [(1, "a", i * 37 % 200, i * 11 % 500) for i in range(150)]
+    arabic = [(1, "كت", i * 53 % 200, i * 7 % 500) for i in range(3 * layout.BAND + 5)]
+    one, two = boxes(spark, latin), boxes(spark, arabic)
+    got = {(r["x"], r["y"]) for r in layout.dual_pass(one, two, one.limit(0)).where("scan = 2").collect()}
+    assert got == {(x, y) for _, _, x, y in arabic if not any(abs(x - u) < 20 and abs(y - v) < 20 for _, _, u, v in latin)}
