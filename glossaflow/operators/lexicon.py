@@ -168,9 +168,11 @@ def nearest_by_edits(tokens: DataFrame, lexicon: DataFrame, edits: int = 1) -> D
     """(token, word, edits): a native alternative by edit distance, which is
     not the same measure. Words within ``edits`` share a string when so many
     letters are left out of each."""
-    keys = lambda c: F.array_distinct(sim.without(F.col(c), F.lit(edits), edits))
+    # Keys are hashed: what meets is measured anyway. A word has a key for each
+    # of its letters, which no estimate knows of: neither side is broadcast.
+    keys = lambda c: F.array_distinct(F.transform(sim.without(F.col(c), F.lit(edits), edits), lambda k: F.xxhash64(k)))
     ours, theirs = tokens.select("token", F.explode(keys("token")).alias("key")), lexicon.select("word", "freq", F.explode(keys("word")).alias("key"))
-    met = ours.join(theirs, "key").where(F.abs(F.length("token") - F.length("word")) <= edits).groupBy("token", "word").agg(F.first("freq").alias("freq"))
+    met = ours.hint("merge").join(theirs, "key").where((F.abs(F.length("token") - F.length("word")) <= edits) & (F.levenshtein("token", "word", edits) >= 0)).groupBy("token", "word").agg(F.first("freq").alias("freq"))
     near = met.withColumn("edits", F.levenshtein("token", "word")).where(F.col("edits") <= edits)
     best = Window.partitionBy("token").orderBy("edits", F.desc("freq"), "word")
     return near.withColumn("_place", F.row_number().over(best)).where("_place = 1").select("token", "word", F.col("edits").cast("int").alias("edits"))

@@ -66,3 +66,10 @@ def test_only_changes_are_joined_back(spark):
     texts = spark.createDataFrame([(1, " dictionari  and dictionari "), (2, None), (3, "none here"), (4, "")], "k long, text string")
     got = {r["k"]: r["text"] for r in lexicon.correct_text(texts, lex, ["k"]).collect()}
     assert got == {1: "dictionary and dictionary", 2: "", 3: "none here", 4: ""}
+
+
+def test_keys_of_edits_are_not_broadcast(spark):
+    tokens, words = spark.createDataFrame([("cats",), ("dg",)], "token string"), spark.createDataFrame([("cat", 9), ("dog", 3), ("dig", 3)], "word string, freq long")
+    found = lexicon.nearest_by_edits(tokens, words)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == [("cats", "cat", 1), ("dg", "dig", 1)]
