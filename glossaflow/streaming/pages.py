@@ -22,7 +22,11 @@ from glossaflow.functions import text as tx
 PAGES = "pdf bigint, page int, text string"
 FILES_PER_BATCH = 5
 SECONDS = 1400
-STATE = "section string, subsection string, next int, waiting string"
+#: Documents of neighbouring numbers whose state is one: a group costs a few
+#: milliseconds, whatever it holds. No shelf has more documents than this.
+SHELF = 64
+#: By document: its section and subsection, the next page, and pages that wait.
+STATE = "documents string"
 OUT = "pdf bigint, page int, line_no int, Type string, Section string, Subsection string, Content string"
 
 
@@ -31,20 +35,18 @@ def page_stream(spark: SparkSession, path: str, schema: str = PAGES, files: int
 
 
 def _carry(first: int | None):
-    """Section and Subsection of one document's new lines, in page order.
+    """Section and Subsection of new lines of one shelf's documents, each in
+    page order.
 
     With ``first`` pages are numbered from there on, and a page waits in the
     state until all before it have come, in whatever batch; one that comes
     again is passed over. Without it the pages of a batch are taken as they are.
     """
 
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        section, subsection, at, waiting = state.get if state.exists else ("", "", first or 0, "{}")
-        held = {int(page): lines for page, lines in json.loads(waiting).items()}
-        for page, lines in pd.concat(batches).groupby("page", sort=False):
-            if first is None or page >= at:
-                held[int(page)] = sorted(zip(lines["line_no"].tolist(), lines["Type"], lines["text"], strict=True), key=lambda x: x[0])
-        out = []
+    def document(pdf: int, pages: dict[int, list], known: list, out: list) -> list:
+        section, subsection, at, waiting = known
+        held = {int(page): lines for page, lines in waiting.items()}
+        held |= {page: sorted(lines) for page, lines in pages.items() if first is None or page >= at}
         for page in sorted(held):
             if first is not None and page != at:
                 break
@@ -56,8 +58,19 @@ def _carry(first: int | None):
                     section, subsection = text, ""
                 elif kind == "section":
                     subsection = text
-                out.append((key[0], page, line_no, kind, section, subsection, text))
-        state.update((section, subsection, at, json.dumps(held, ensure_ascii=False)))
+                out.append((pdf, page, line_no, kind, section, subsection, text))
+        return [section, subsection, at, held]
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        known = json.loads(state.get[0]) if state.exists else {}
+        came: dict[int, dict[int, list]] = {}
+        for batch in batches:
+            for pdf, page, line_no, kind, text in zip(*(batch[c].tolist() for c in ("pdf", "page", "line_no", "Type", "text")), strict=True):
+                came.setdefault(pdf, {}).setdefault(page, []).append((line_no, kind, text))
+        out: list[tuple] = []
+        for pdf, pages in came.items():
+            known[str(pdf)] = document(pdf, pages, known.get(str(pdf), ["", "", first or 0, {}]), out)
+        state.update((json.dumps(known, ensure_ascii=False),))
         yield pd.DataFrame(out, columns=["pdf", "page", "line_no", "Type", "Section", "Subsection", "Content"])
 
     return run
@@ -70,7 +83,7 @@ def structured_stream(pages: DataFrame, first: int | None = None, **kinds) -> Da
     marked = F.concat(F.array(F.lit("")), F.split(F.coalesce("text", F.lit("")), "\n"))
     lines = pages.select("pdf", "page", F.posexplode(marked).alias("line_no", "text")).withColumns({"line_no": F.col("line_no") - 1, "text": tx.strip(F.col("text"))})
     lines = lines.where("line_no < 0 or text <> ''").withColumn("Type", tx.content_type(F.col("text"), **kinds))
-    return lines.groupBy("pdf").applyInPandasWithState(_carry(first), OUT, STATE, "append", "NoTimeout")
+    return lines.withColumn("shelf", F.floor(F.col("pdf") / SHELF)).groupBy("shelf").applyInPandasWithState(_carry(first), OUT, STATE, "append", "NoTimeout")
 
 
 def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *, files: int = FILES_PER_BATCH, seconds: int = SECONDS, first: int | None = None, **kinds) -> StreamingQuery:

@@ -114,3 +114,16 @@ def test_overlap_with_a_gold_list(spark):
     ours = spark.createDataFrame([("Cat", "قط"), ("dog", "x")], "term string, definition string")
     gold = spark.createDataFrame([("cat", "قط"), ("Dog", "كلب"), ("ant", "نملة")], "term string, definition string")
     assert tuple(lexicon.overlap(ours, gold).first())[:4] == (3, 2, 2, 1)
+
+
+def test_documents_of_a_shelf_have_one_state(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state"))
+    n = 2 * stream.SHELF
+    for page, text in ((1, "الفصل ب"), (0, "x\ny")):
+        spark.createDataFrame([(pdf, page, f"{text} {pdf}") for pdf in range(n)], stream.PAGES).write.mode("append").parquet(source)
+        query = stream.ingest(spark, source, out, checkpoint, seconds=120, first=0)
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 2
+    rows = spark.read.schema(stream.OUT).parquet(out).orderBy("pdf", "page", "line_no").collect()
+    assert [tuple(r)[:4] + (r["Section"], r["Content"]) for r in rows] == [
+        x for p in range(n) for x in ((p, 0, 0, "content", "", "x"), (p, 0, 1, "content", "", f"y {p}"), (p, 1, 0, "chapter", f"الفصل ب {p}", f"الفصل ب {p}"))
+    ]
