@@ -142,7 +142,10 @@ def conversion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     statuses = conversion.convert(spark, catalogue, out)
     written = [sources.read_chunks(spark, f"{out}/{d.csv_name}").select(F.col("source_file").alias("name"), "term", "definition") for d in catalogue if d.name in ("Words", "Lines", "Other")]
-    return statuses.join(reduce(DataFrame.unionByName, written), "name", "left")
+    rows = reduce(DataFrame.unionByName, written)
+    # Of few names each: statuses go to the rows, not a name's rows to one task.
+    bare = statuses.join(F.broadcast(rows.select("name").distinct()), "name", "left_anti").select("*", F.lit(None).cast("string").alias("term"), F.lit(None).cast("string").alias("definition"))
+    return rows.join(F.broadcast(statuses), "name").select(*bare.columns).unionByName(bare)
 
 
 @_query("verified_flag", f"""WITH r AS (SELECT max(total_entries) AS n, bool_or(pdf_deletable) AS pdf_deletable FROM ({ORACLES['quality_report']}))

@@ -46,3 +46,8 @@ def test_entry_has_rows(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).limit(1).count() == 1
+
+
+def test_a_dictionary_of_many_rows_is_not_gathered_by_its_name(spark, sf_dir):
+    plan = catalog.QUERIES["conversion_run"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftOuter" not in plan and "Exchange hashpartitioning(name" not in plan.split("LeftAnti")[0]
