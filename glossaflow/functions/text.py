@@ -85,19 +85,28 @@ def presentation_forms(text: Column) -> Column:
 
     Each is replaced by its compatibility decomposition, composed; what comes of
     neighbours is not composed with each other. Others stay, null stays null. A
-    text is cut at such letters only, and each is found by its place in a table.
+    text is cut at those only that stand for several letters, and each is found
+    by its place in a table.
     """
     low, high = map(ord, FORMS)
+    whole = {c: unicodedata.normalize("NFKC", c) for c in map(chr, range(low, high + 1)) if re.match(FORM, c)}
+    # One letter for one needs no cut; the others are few in a text.
+    single = {c: into for c, into in whole.items() if len(into) == 1 and into != c}
     # Between the two blocks the table has what must not change.
-    letters = [unicodedata.normalize("NFKC", chr(c)) if re.match(FORM, chr(c)) else chr(c) for c in range(low, high + 1)]
-    table = F.split(F.lit("\x1f".join(letters)), "\x1f", -1)
+    table = F.split(F.lit("\x1f".join(whole.get(chr(c), chr(c)) for c in range(low, high + 1))), "\x1f", -1)
 
-    def whole(piece: Column) -> Column:
+    def spelled(piece: Column) -> Column:
         at = F.ascii(piece) - low
         return F.when(at.between(0, high - low) & (F.char_length(piece) == 1), F.get(table, at)).otherwise(piece)
 
-    pieces = F.split(text, f"(?<={FORM})|(?={FORM})", -1)
-    return F.when(text.rlike(FORM), F.array_join(F.transform(pieces, whole), "")).otherwise(text)
+    def cut(left: Column) -> Column:
+        pieces = F.split(left, f"(?<={FORM})|(?={FORM})", -1)
+        return F.when(left.rlike(FORM), F.array_join(F.transform(pieces, spelled), "")).otherwise(left)
+
+    # What a letter becomes is no letter of these blocks. In a list of one, so
+    # that it is worked out once.
+    left = F.translate(text, "".join(single), "".join(single.values()))
+    return F.get(F.transform(F.array(left), cut), F.lit(0))
 
 
 def normalize_forms(text: Column) -> Column:
@@ -157,14 +166,21 @@ def fix_ocr(text: Column, profile: str = "v2") -> Column:
     return reduce(lambda t, fix: F.regexp_replace(t, *fix), OCR_FIXES[profile], text)
 
 
+def _untailed(text: Column) -> Column:
+    """A mark that stands by itself at the end off, and white space off both
+    ends. White space is single or plain blanks here, so no pattern is needed."""
+    body = F.rtrim(text)
+    return strip(F.when(F.right(body, F.lit(2)).isin(" .", " ,", " ;", " :"), F.left(body, F.char_length(body) - 1)).otherwise(text))
+
+
 def clean_arabic(text: Column, profile: str = "v2") -> Column:
     marks = "\u200e\u200f" if profile == "v2" else "\u200e\u200f\u200d\u200c"
     out = F.translate(collapse(strip(text)), marks, "")
-    return strip(out if profile == "v2" else F.regexp_replace(out, f"{SPACE}+[.,;:]{SPACE}*$", ""))
+    return strip(out) if profile == "v2" else _untailed(out)
 
 
 def clean_english(text: Column) -> Column:
-    return strip(F.regexp_replace(collapse(strip(text)), f"{SPACE}+[.,;:]{SPACE}*$", ""))
+    return _untailed(collapse(strip(text)))
 
 
 def normalize_arabic(text: Column) -> Column:

@@ -112,3 +112,24 @@ def test_normalize_forms(spark):
     text = "\u202b\ufeb3\ufefc\ufee1\u202c (cid:12)(cid:x) \u200ea\u2069"
     found = spark.createDataFrame([(text,)], "t string").select(tx.normalize_forms(F.col("t")).alias("t")).first()
     assert found["t"] == "\u0633\u0644\u0627\u0645 (cid:x) a"
+
+
+def test_tails_and_shapes_are_as_by_their_patterns(spark):
+    import re
+    import unicodedata
+
+    from glossaflow.functions import text as tx
+
+    shapes = [chr(c) for c in range(0xFB50, 0xFF00) if re.match(tx.FORM, chr(c))]
+    tails = ["a .", "a. ", " .", ".", "a . .", "a ‏ .", "‏ .", "a .‌ ", "a ;", "a : ‍ ", "", " ", "a\n.\n", "a b"]
+    texts = [*tails, *shapes, "x" + "".join(shapes) + "y", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.presentation_forms(F.col("t")).alias("s"), tx.clean_english(F.col("t")).alias("e"), tx.clean_arabic(F.col("t"), "v3").alias("a"))
+    off = lambda t: t.strip(tx.SPACES)
+    for t, s, e, a in rows.collect():
+        if t is None:
+            assert (s, e, a) == (None, None, None)
+            continue
+        assert s == "".join(unicodedata.normalize("NFKC", c) if re.match(tx.FORM, c) else c for c in t)
+        one = re.sub(f"{tx.SPACE}+", " ", off(t))
+        assert e == off(re.sub(rf"{tx.SPACE}+[.,;:]{tx.SPACE}*\Z", "", one))
+        assert a == off(re.sub(rf"{tx.SPACE}+[.,;:]{tx.SPACE}*\Z", "", re.sub("[‎‏‍‌]", "", one)))
