@@ -47,6 +47,9 @@ PIECE_BYTES = 4 << 20
 #: archive that holds itself.
 DEPTH = 16
 ARCHIVE = r"(?i)\.(zip|7z|rar)(\.[0-9]{3,})?$"
+#: Archives of a sixteenth of a part at most are small; bytes are taken to be
+#: four times as many when inflated.
+SMALL, PACKED = 16, 4
 OK, ENCRYPTED, DAMAGED, UNSUPPORTED = "OK", "ENCRYPTED", "DAMAGED", "UNSUPPORTED"
 #: What inflating damaged bytes raises.
 DAMAGE = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, struct.error, ValueError, LookupError)
@@ -125,16 +128,24 @@ class Joined(io.RawIOBase):
 
 
 @dataclass
-class Members(InputPartition):
-    """A range of an archive's directory, or why there is none."""
+class Members:
+    """A range of an archive's directory (all of it without ``stop``), or why
+    there is none."""
 
     archive: str
     volumes: list[tuple[str, int]] = field(default_factory=list)
     start: int = 0
-    stop: int = 0
+    stop: int | None = None
     status: str = OK
 
 
+@dataclass
+class Part(InputPartition):
+    """What one task reads: ranges of archives, many where these are small."""
+
+    ranges: list[Members] = field(default_factory=list)
+
+
 class ArchiveReader(DataSourceReader):
     def __init__(self, options: dict):
         options = {k.lower(): v for k, v in options.items()}
@@ -151,35 +162,48 @@ class ArchiveReader(DataSourceReader):
     def _opened(self, volumes: list[tuple[str, int]]) -> zipfile.ZipFile:
         return zipfile.ZipFile(io.BufferedReader(Joined(file_system(self.path)[0], volumes), 1 << 16))
 
-    def partitions(self) -> list[Members]:
+    def partitions(self) -> list[Part]:
+        """Small archives are not opened here but by the tasks, as many in one
+        as make up a part."""
         found: dict[str, list[tuple[int, str, int]]] = {}
         for path, size in listed(self.path, ("",)):
             name = path.rpartition("/")[2]
             if shape := re.search(ARCHIVE, name):
                 volume = shape[2] or ""
                 found.setdefault(name.removesuffix(volume), []).append((int(volume[1:] or 0), path, size))
-        out: list[Members] = []
+        out: list[Part] = []
+        small, weight = [], 0
         for name, volumes in sorted(found.items()):
             files = [(path, size) for _, path, size in sorted(volumes)]
-            if not name.lower().endswith(".zip"):
-                out.append(Members(name, files, status=UNSUPPORTED))
+            total = sum(size for _, size in files)
+            readable = name.lower().endswith(".zip")
+            if not readable or total * SMALL <= self.part:
+                small.append(Members(name, files, status=OK if readable else UNSUPPORTED))
+                weight += total if readable else 0
+                if weight * PACKED >= self.part:
+                    out.append(Part(small))
+                    small, weight = [], 0
                 continue
             try:
                 with self._opened(files) as archive:
                     sizes = [i.file_size for i in archive.infolist()]
             except DAMAGE:
-                out.append(Members(name, files, status=DAMAGED))
+                small.append(Members(name, files, status=DAMAGED))
                 continue
             start = held = 0
             for n, size in enumerate(sizes, 1):
                 held += size
                 if held >= self.part or n == len(sizes):
-                    out.append(Members(name, files, start, n))
+                    out.append(Part([Members(name, files, start, n)]))
                     start, held = n, 0
         # None at all would be read as a source that is not partitioned.
-        return out or [Members("")]
+        return [*out, Part(small)] if small or not out else out
+
+    def read(self, part: Part) -> Iterator[pa.RecordBatch]:
+        for one in part.ranges:
+            yield from self._read(one)
 
-    def read(self, part: Members) -> Iterator[pa.RecordBatch]:
+    def _read(self, part: Members) -> Iterator[pa.RecordBatch]:
         def row(member: str | None, at: int | None, content: bytes | None, status: str) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((part.archive, member, at, content, status), FIELDS, strict=True)], schema=FIELDS)
 
@@ -188,9 +212,13 @@ class ArchiveReader(DataSourceReader):
             if self.members != "archives":
                 yield row(None, None, None, part.status)
             return
-        if not part.archive:
+        try:
+            opened = self._opened(part.volumes)
+        except DAMAGE:
+            if self.members != "archives":
+                yield row(None, None, None, DAMAGED)
             return
-        with self._opened(part.volumes) as archive:
+        with opened as archive:
             for info in archive.infolist()[part.start : part.stop]:
                 if not self._wanted(info):
                     continue

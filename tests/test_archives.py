@@ -91,3 +91,18 @@ def test_unpack(spark, tmp_path):
     assert all(whole[w, "x/é قط.txt"] == b"leaf" * 500 and whole[w, "none.txt"] == b"" for w in leaves)
     with pytest.raises(ValueError, match="levels"):
         archives.unpack(spark, str(tmp_path), depth=1)
+
+
+def test_small_archives_share_a_task_and_are_not_opened_to_plan(tmp_path, monkeypatch):
+    for n in range(40):
+        with zipfile.ZipFile(tmp_path / f"s{n}.zip", "w") as archive:
+            archive.writestr("a.txt", "x" * 100)
+    (tmp_path / "t.zip").write_bytes(b"no archive")
+    reader = archives.ArchiveReader({"path": str(tmp_path)})
+    opened = []
+    plain = archives.ArchiveReader._opened
+    monkeypatch.setattr(archives.ArchiveReader, "_opened", lambda self, v: opened.append(v) or plain(self, v))
+    parts = reader.partitions()
+    assert (len(parts), opened) == (1, [])
+    rows = [r for b in reader.read(parts[0]) for r in b.to_pylist()]
+    assert sorted(r["status"] for r in rows) == [archives.DAMAGED] + [archives.OK] * 40
