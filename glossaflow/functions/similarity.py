@@ -1,11 +1,13 @@
 """Ratcliff-Obershelp similarity as column expressions, and bounds above it.
 
-All is native. The bounds are cheap, never below the ratio, and leave it few
-pairs to look at.
+The bounds are cheap, never below the ratio, and leave it few pairs to look at.
+All is native but :func:`many_ratios`, which looks at a batch of pairs at once.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,6 +53,73 @@ def ratio(a: Column, b: Column) -> Column:
     return F.coalesce(2.0 * matched(a, b) / F.nullif(F.length(a) + F.length(b), F.lit(0)), F.lit(1.0))
 
 
+#: Cells of the tables that a batch of pairs is worked out in: they should stay
+#: in a core's cache.
+CELLS = 1 << 16
+
+
+def _codes(texts: np.ndarray, width: int) -> np.ndarray:
+    """A column of code points for each text, padded with 0."""
+    return np.ascontiguousarray(texts.astype(f"<U{width}").view(np.uint32).reshape(len(texts), width).T)
+
+
+def _blocks(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np.ndarray:
+    """Letters in matching blocks of pairs of columns, as :func:`matched` has
+    them.
+
+    Pieces of all pairs are looked at together; those to both sides of what is
+    found are the next step's.
+    """
+    total, pair = np.zeros(len(nx), np.int64), np.arange(len(nx))
+    a0, a1, b0, b1 = np.zeros_like(nx), nx, np.zeros_like(ny), ny
+    kind = np.int16 if len(y) < 1 << 15 else np.int32
+    while len(pair):
+        low, high = b0.min(), b1.max()
+        a, b = x[:, pair], y[low:high, pair]
+        at = np.arange(low, high)[:, None]
+        inside = ((at >= b0) & (at < b1)).astype(kind)
+        n, end_a, end_b = np.zeros(len(pair), kind), np.zeros(len(pair), np.int64), np.zeros(len(pair), np.int64)
+        # Cell j + 1: the common run that ends at i and low + j.
+        run = np.zeros((high - low + 1, len(pair)), kind)
+        for i in range(a0.min(), a1.max()):
+            same = (b == a[i]) & ((a0 <= i) & (i < a1))
+            run[1:] = (run[:-1] + 1) * (same * inside)
+            most = run.max(0)
+            longer = np.flatnonzero(most > n)
+            if len(longer):
+                n[longer], end_a[longer], end_b[longer] = most[longer], i + 1, low + run[:, longer].argmax(0)
+        np.add.at(total, pair, n)
+        pieces = ((a0, end_a - n, b0, end_b - n), (end_a, a1, end_b, b1))
+        keep = [(n > 0) & (p[0] < p[1]) & (p[2] < p[3]) for p in pieces]
+        a0, a1, b0, b1 = (np.concatenate([p[k][m] for p, m in zip(pieces, keep, strict=True)]) for k in range(4))
+        pair = np.concatenate([pair[m] for m in keep])
+    return total
+
+
+def ratios(a: pd.Series, b: pd.Series) -> pd.Series:
+    """:func:`guarded_ratio` of many pairs; texts of like length together."""
+    x, y = a.to_numpy(dtype=object), b.to_numpy(dtype=object)
+    nx, ny = (np.fromiter(map(len, t), np.int64, len(t)) for t in (x, y))
+    out = np.zeros(len(x))
+    size = np.maximum(nx, ny)
+    order = np.argsort(size, kind="stable")
+    order = order[(nx > 0)[order] & (ny > 0)[order]]
+    while len(order):
+        # Texts up to an eighth longer than the shortest that is left.
+        width = int(size[order[0]]) * 9 // 8 + 1
+        here = order[: min(int(np.searchsorted(size[order], width, "right")), max(1, CELLS // width))]
+        order = order[len(here) :]
+        met = _blocks(_codes(x[here], width), _codes(y[here], width), nx[here], ny[here])
+        out[here] = 2.0 * met / (nx[here] + ny[here])
+    return pd.Series(out)
+
+
+def many_ratios(a: Column, b: Column) -> Column:
+    """:func:`guarded_ratio` of columns without nulls, in batches. A filter
+    on it is not moved to where it would be worked out once more."""
+    return F.pandas_udf(ratios, "double").asNondeterministic()(a, b)
+
+
 def guarded_ratio(a: Column, b: Column) -> Column:
     """0 where a side is empty, 1 where both are equal."""
     return F.when((a == "") | (b == ""), 0.0).when(a == b, 1.0).otherwise(ratio(a, b))

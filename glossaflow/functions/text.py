@@ -255,7 +255,7 @@ def split_columns(raw: Column, *, strict: bool = False) -> tuple[Column, Column]
 
 def words(text: Column) -> Column:
     """Tokens between white space."""
-    return F.filter(F.split(text, f"{SPACE}+"), lambda t: t != "")
+    return F.array_remove(F.split(text, f"{SPACE}+"), "")
 
 
 def is_safe_category(text: Column) -> Column:

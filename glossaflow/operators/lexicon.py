@@ -1,16 +1,19 @@
 """Lexicons, word frequencies and conservative spelling correction.
 
 Correction looks at distinct unknown tokens only. A token meets a word where
-they are equal but for a letter each, or else share a segment that none of the
-letters they differ in can have touched;
-native bounds leave few pairs for the exact similarity. Only what changed is
-joined back, and only to the texts that hold it.
+they are equal without the letters that they may differ in; where these could
+be left out in too many ways, they share a segment that none of them can have
+touched. What meets is compared in batches. Only what changed is joined back,
+and only to the texts that hold it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Callable, Sequence
 from functools import reduce
+from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,17 +26,27 @@ THRESHOLD = 0.85
 LENGTH_GAP = 2
 #: Shortest English and Arabic tokens that are looked up, by profile.
 LEAST = {"english": 3, "arabic": 2}
-#: Words below this length meet by segments; longer ones by length.
+#: Words below this length meet by keys; longer ones by length.
 LONG = 64
+#: Letters that are left out of a word to make its keys, and ways to do it.
+MOST_LESS, MOST_WAYS = 3, 1200
+#: Pieces that are left of a word.
+PIECES = MOST_LESS + 1
 #: Lexicons up to this many words are broadcast, corrections up to so many
 #: bytes.
 BROADCAST_WORDS, BROADCAST_BYTES = 500_000, 32 << 20
 
 
+def _each(texts: DataFrame, keys: Sequence[str], tokens: Column, name: str) -> DataFrame:
+    """Keys and each token. Of a plain explode Spark would make a filter that
+    cuts all texts a second time."""
+    return texts.select(*keys, F.explode_outer(tokens).alias(name)).where(F.col(name).isNotNull())
+
+
 def word_frequencies(texts: DataFrame, text: str = "text", *, lower: bool = True, least: int = 1) -> DataFrame:
     """(word, freq) of all texts; counted before the shuffle."""
     body = F.lower(text) if lower else F.col(text)
-    return texts.select(F.explode(tx.words(body)).alias("word")).where(F.length("word") >= least).groupBy("word").agg(F.count("*").alias("freq"))
+    return _each(texts, [], tx.words(body), "word").where(F.length("word") >= least).groupBy("word").agg(F.count("*").alias("freq"))
 
 
 def lexicon_of(entries: DataFrame, english: str = "english", arabic: str = "arabic", least: int = 1) -> DataFrame:
@@ -46,7 +59,10 @@ def lexicon_of(entries: DataFrame, english: str = "english", arabic: str = "arab
     sides = (("english", english, F.lower, tx.has_latin), ("arabic", arabic, tx.normalize_arabic, tx.has_arabic))
     both = []
     for lang, column, fold, of_script in sides:
-        counted = entries.select(F.explode(tx.words(F.col(column))).alias("raw")).groupBy("raw").agg(F.count("*").alias("n"))
+        if lang == "english" or arabic != english:
+            counted = _each(entries, [], tx.words(F.col(column)), "raw").groupBy("raw").agg(F.count("*").alias("n"))
+            # Both sides in one column are counted once.
+            counted = materialize(counted, "counted") if arabic == english else counted
         # Asked of the count too: else it would be moved to where each word occurs.
         wanted = F.when(F.col("n") > 0, of_script(F.col("word")) & (F.length("word") >= least))
         both.append(counted.select(F.lit(lang).alias("lang"), fold(F.col("raw")).alias("word"), "n").where(wanted))
@@ -86,9 +102,49 @@ def _segments(length: int, edits: int) -> list[tuple[int, int]]:
     return [(x, y - x) for x, y in zip(cuts, cuts[1:], strict=False)]
 
 
-def segment_plan(threshold: float, gap: int, longest: int = LONG) -> tuple[list[tuple[int, ...]], list[tuple[int, ...]]]:
+def _less(a: int, b: int, edits: int) -> tuple[int, int]:
+    """Letters of ``edits`` that are those of a word of length ``a``, and of ``b``."""
+    return (edits + a - b) // 2, (edits - a + b) // 2
+
+
+def _by_deletion(a: int, b: int, edits: int) -> bool:
+    x, y = _less(a, b, edits)
+    return max(x, y) <= MOST_LESS and max(comb(a, x), comb(b, y)) <= MOST_WAYS
+
+
+def deletion_sizes(threshold: float, gap: int, longest: int = LONG) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """(size, less): how many letters are left out of tokens and of words.
+
+    Matching blocks are a common subsequence, so a pair that reaches
+    ``threshold`` is the same text when each side is without its share of the
+    letters that lie outside. Unlike a segment of two or three letters, that
+    text is met by hardly any word that is not near.
+    """
+    ours, theirs = set(), set()
+    for a in range(1, longest):
+        for b in range(max(1, a - gap), min(a + gap, longest - 1) + 1):
+            if (edits := edits_between(a, b, threshold)) >= 0 and _by_deletion(a, b, edits):
+                x, y = _less(a, b, edits)
+                ours.add((a, x))
+                theirs.add((b, y))
+    return sorted(ours), sorted(theirs)
+
+
+def _cuts(sizes: Sequence[tuple[int, int]]) -> list[tuple[int, ...]]:
+    """(size, edits, other, part, start, length, ...): the pieces that stay, for
+    each way to leave the letters out."""
+    rows = []
+    for size, less in sizes:
+        for out in combinations(range(1, size + 1), less):
+            ends = [0, *out, size + 1]
+            pieces = [(x + 1, y - x - 1) for x, y in zip(ends, ends[1:], strict=False) if y - x > 1]
+            rows.append((size, 0, 0, -1, *(n for piece in (pieces + [(1, 0)] * PIECES)[:PIECES] for n in piece)))
+    return rows
+
+
+def segment_plan(threshold: float, gap: int, longest: int = LONG, wanted: Callable[[int, int, int], bool] = lambda a, b, edits: True) -> tuple[list[tuple[int, ...]], list[tuple[int, ...]]]:
     """(size, other, edits, part, head, start, length) of tokens and of words
-    below ``longest``: a key is the first ``head`` letters and ``length`` more
+    below ``longest``, of the pairs of lengths that are ``wanted``: a key is the first ``head`` letters and ``length`` more
     from ``start`` on.
 
     Where each side has one letter too many at most, keys are what is left
@@ -99,7 +155,7 @@ def segment_plan(threshold: float, gap: int, longest: int = LONG) -> tuple[list[
     ours, theirs = [], set()
     for a in range(1, longest):
         for b in range(max(1, a - gap), min(a + gap, longest - 1) + 1):
-            if (edits := edits_between(a, b, threshold)) < 0:
+            if (edits := edits_between(a, b, threshold)) < 0 or not wanted(a, b, edits):
                 continue
             if edits <= 2 and abs(a - b) < 2:
                 whole = lambda n, less: [(i, i + 2, n) for i in range(n)] if less else [(0, 1, n)]
@@ -114,52 +170,53 @@ def segment_plan(threshold: float, gap: int, longest: int = LONG) -> tuple[list[
     return ours, sorted(theirs)
 
 
-def _letters(word: Column) -> Column:
-    """One bit for each letter that is there: words of so many edits differ in
-    no more bits."""
-    one = F.lit(1).cast("bigint")
-    return F.aggregate(F.split(word, ""), F.lit(0).cast("bigint"), lambda s, c: F.when(c == "", s).otherwise(s.bitwiseOR(F.call_function("shiftleft", one, F.pmod(F.hash(c), F.lit(64))))))
+def _plans(threshold: float, gap: int) -> tuple[list[tuple[int, ...]], list[tuple[int, ...]]]:
+    """Rows of :func:`_cuts` for the keys of tokens and of words, whichever way
+    they are made."""
+    both = []
+    for sizes, segments in zip(deletion_sizes(threshold, gap), segment_plan(threshold, gap, wanted=lambda *pair: not _by_deletion(*pair)), strict=True):
+        rest = [(size, edits, other, part, 1, head, start, length, *(1, 0) * (PIECES - 2)) for size, other, edits, part, head, start, length in segments]
+        both.append(_cuts(sizes) + rest)
+    return both[0], both[1]
 
 
 def _keyed(words: DataFrame, word: str, plan: list[tuple[int, ...]]) -> DataFrame:
-    """``words`` with ``key`` for each segment, ``edits`` and ``letters``. The
+    """``words`` with ``key`` for each row of the plan and ``letters``. The
     plan is a table of fixed size."""
-    steps = words.sparkSession.createDataFrame(plan, "size int, other int, edits int, part int, head int, start int, length int")
-    sized = words.withColumns({"size": F.length(word), "letters": _letters(F.col(word))})
-    cut = sized.join(F.broadcast(steps), "size")
-    return cut.select(*words.columns, "letters", "edits", F.xxhash64("other", "edits", "part", F.concat(F.substring(word, F.lit(1), F.col("head")), F.substring(word, F.col("start"), F.col("length")))).alias("key"))
+    pieces = [(f"start{i}", f"length{i}") for i in range(PIECES)]
+    steps = words.sparkSession.createDataFrame(plan, ", ".join(f"{c} int" for c in ("size", "edits", "other", "part", *(c for piece in pieces for c in piece))))
+    cut = words.withColumn("size", F.length(word)).join(F.broadcast(steps), "size")
+    kept = F.concat(*(F.substring(word, F.col(start), F.col(length)) for start, length in pieces))
+    return cut.select(*words.columns, F.xxhash64("other", "edits", "part", kept).alias("key"))
 
 
 def candidates(tokens: DataFrame, lexicon: DataFrame, threshold: float = THRESHOLD, gap: int = LENGTH_GAP) -> DataFrame:
     """(token, word, freq) pairs of like length whose bounds reach
     ``threshold``; both sides distinct.
 
-    Words meet by segment and are looked at where they meet: by the letters
-    they have, then by edits, which are no more than the letters outside of
-    matching blocks. Words of ``LONG`` letters and more meet by length.
+    Words meet by key and are looked at where they meet, by edits, which are no
+    more than the letters outside of matching blocks. Words of ``LONG`` letters
+    and more meet by length.
     """
-    ours, theirs = segment_plan(threshold, gap)
+    ours, theirs = _plans(threshold, gap)
     a, b = F.col("token"), F.col("word")
     left, right = _keyed(tokens.select("token"), "token", ours), _keyed(lexicon.select("word", "freq"), "word", theirs)
-    right = right.withColumnsRenamed({"letters": "letters2", "edits": "edits2"})
-    # A word has a key for about every fourth letter, and some more.
-    held = lexicon.agg(F.coalesce(F.sum((F.length("word") * 2 + 80) * (F.length("word") / 4 + 4)), F.lit(0.0))).first()[0]
-    right = F.broadcast(right) if held <= BROADCAST_BYTES else right
-    near = (F.col("key") == F.col("key2")) & (F.col("edits") == F.col("edits2")) & (F.bit_count(F.col("letters").bitwiseXOR(F.col("letters2"))) <= F.col("edits"))
-    short = left.join(right.withColumnRenamed("key", "key2"), near).where(F.levenshtein("token", "word") <= F.col("edits")).select("token", "word", "freq")
+    # As many bytes as the words' keys take: the plan knows how many each has.
+    keys = Counter(row[0] for row in theirs)
+    held = sum(r["count"] * keys[r["size"]] * (2 * r["size"] + 80) for r in lexicon.groupBy(F.least(F.length("word"), F.lit(LONG)).alias("size")).count().collect())
+    right = F.broadcast(right) if held <= BROADCAST_BYTES else right.hint("shuffle_hash")
+    edits = F.floor((1 - threshold) * (F.length(a) + F.length(b)) + 1e-9)
+    short = left.join(right, "key").where((F.abs(F.length(a) - F.length(b)) <= gap) & (sim.length_bound(a, b) >= threshold) & (F.levenshtein("token", "word") <= edits)).select("token", "word", "freq")
     around = F.explode(F.sequence(F.length("token") - gap, F.length("token") + gap))
     long = tokens.where(F.length("token") >= LONG - gap).select("token", around.alias("size")).join(lexicon.where(F.length("word") >= LONG - gap).select("word", "freq", F.length("word").alias("size")), "size")
-    long = long.where((F.length("token") >= LONG) | (F.length("word") >= LONG)).select("token", "word", "freq")
-    met = short.unionByName(long).where((F.abs(F.length(a) - F.length(b)) <= gap) & (sim.length_bound(a, b) >= threshold)).groupBy("token", "word").agg(F.first("freq").alias("freq"))
-    # Written: the dear conditions that follow would be moved into the join.
-    return materialize(met, "met").where(sim.letter_bound(a, b) >= threshold).select("token", "word", "freq")
+    long = long.where((F.length("token") >= LONG) | (F.length("word") >= LONG)).where((sim.length_bound(a, b) >= threshold) & (sim.letter_bound(a, b) >= threshold)).select("token", "word", "freq")
+    return short.unionByName(long).groupBy("token", "word").agg(F.first("freq").alias("freq"))
 
 
 def nearest_words(tokens: DataFrame, lexicon: DataFrame, threshold: float = THRESHOLD, gap: int = LENGTH_GAP) -> DataFrame:
     """(token, word, similarity): the best word of each token, if any reaches
     ``threshold``; ties go to the more frequent, then the smaller word."""
-    # Written, so that the similarity is worked out once and not in the filter too.
-    scored = materialize(candidates(tokens, lexicon, threshold, gap).withColumn("similarity", sim.guarded_ratio(F.col("token"), F.col("word"))), "scored").where(F.col("similarity") >= threshold)
+    scored = candidates(tokens, lexicon, threshold, gap).withColumn("similarity", sim.many_ratios(F.col("token"), F.col("word"))).where(F.col("similarity") >= threshold)
     best = Window.partitionBy("token").orderBy(F.desc("similarity"), F.desc("freq"), "word")
     return scored.withColumn("_place", F.row_number().over(best)).where("_place = 1").select("token", "word", "similarity")
 
@@ -208,7 +265,7 @@ def correct_text(texts: DataFrame, lexicon: DataFrame, keys: Sequence[str], text
     table; a row's own changes are put in where the row is.
     """
     body = tx.words(F.coalesce(text, F.lit("")))
-    each = texts.select(*keys, F.explode(F.array_distinct(body)).alias("token"))
+    each = _each(texts, keys, F.array_distinct(body), "token")
     distinct = materialize(each.select("token").distinct(), "tokens")
     script = F.when(tx.has_arabic(F.col("token")), "arabic").when(tx.has_latin(F.col("token")), "english")
     fixed = None

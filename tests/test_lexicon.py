@@ -3,8 +3,10 @@
 import random
 from difflib import SequenceMatcher
 
+import pandas as pd
 import pytest
 
+from glossaflow.functions import similarity
 from glossaflow.operators import lexicon
 
 
@@ -59,6 +61,25 @@ def test_keys_are_few():
     assert len(ours) < 20_000 and max(keys(ours, n) for n in range(1, 64)) < 1000
 
 
+def test_keys_of_ordinary_words_are_nearly_whole():
+    """Segments of two or three letters are met by words that are not near, the
+    more the larger the lexicon is."""
+    for plan in lexicon._plans(lexicon.THRESHOLD, lexicon.LENGTH_GAP):
+        assert all(row[0] - sum(row[5::2]) <= lexicon.MOST_LESS for row in plan if row[0] < 17)
+        assert max(sum(row[0] == n for row in plan) for n in range(1, 17)) <= 700 and len(plan) < 40_000
+
+
+def test_ratios_of_many_pairs_are_the_exact_ones():
+    words, tokens = [], []
+    for letters, n in (("ab", 12), ("abcdefgh", 30), ("كتابمدرسة😀", 80)):
+        found, known = made(letters, 60, n, 2)
+        known = [*known, ""]
+        tokens += found
+        words += [known[i % len(known)] for i in range(len(found))]
+    exact = [SequenceMatcher(None, t, w, autojunk=False).ratio() if t and w else 0.0 for t, w in zip(tokens, words, strict=True)]
+    assert list(similarity.ratios(pd.Series(tokens), pd.Series(words))) == exact
+
+
 def test_only_changes_are_joined_back(spark):
     lex = spark.createDataFrame([("english", "dictionary", 5), ("arabic", "مدرسة", 5)], "lang string, word string, freq long")
     tokens = spark.createDataFrame([(t,) for t in ("dictionari", "dictionary", "other", "xy")], "token string")
