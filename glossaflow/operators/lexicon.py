@@ -15,8 +15,10 @@ from functools import reduce
 from itertools import combinations
 from math import comb
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from glossaflow.functions import similarity as sim
 from glossaflow.functions import text as tx
@@ -257,6 +259,20 @@ def correct_tokens(tokens: DataFrame, lexicon: DataFrame, lang: str = "english",
     return tokens.join(fixes, "token", "left").withColumn("corrected", F.coalesce("corrected", "token"))
 
 
+@F.pandas_udf(T.StringType())
+def _put(text: pd.Series, tokens: pd.Series, words: pd.Series) -> pd.Series:
+    """Tokens between single blanks, those of a row's own list changed. A
+    row's changes may be thousands: Spark's maps are searched one by one."""
+
+    def put(body: str, old, new) -> str:
+        if old is None or len(old) == 0:
+            return body
+        to = dict(zip(old, new, strict=True))
+        return " ".join(to.get(t, t) for t in body.split(" "))
+
+    return pd.Series([put(*row) for row in zip(text, tokens, words, strict=True)], dtype=object)
+
+
 def correct_text(texts: DataFrame, lexicon: DataFrame, keys: Sequence[str], text: str = "text", lang: str | None = "english", profile: str = "v3", threshold: float = THRESHOLD, words: int | None = None) -> DataFrame:
     """``texts`` with ``text`` corrected token by token.
 
@@ -275,10 +291,9 @@ def correct_text(texts: DataFrame, lexicon: DataFrame, keys: Sequence[str], text
         fixed = done if fixed is None else fixed.unionByName(done)
     fixed = materialize(fixed.where("token <> corrected"), "corrections")
     size = fixed.agg(F.coalesce(F.sum(F.length("token") * 2 + F.length("corrected") * 2 + 64), F.lit(0))).first()[0]
-    side = F.broadcast(fixed) if size <= BROADCAST_BYTES else fixed
-    mine = each.join(side, "token").groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("token", "corrected"))).alias("_fixes"))
-    put = F.transform(body, lambda t: F.coalesce(F.try_element_at(F.col("_fixes"), t), t))
-    return texts.join(mine, list(keys), "left").withColumn(text, F.array_join(F.when(F.col("_fixes").isNull(), body).otherwise(put), " ")).drop("_fixes")
+    side = F.broadcast(fixed) if size <= BROADCAST_BYTES else fixed.hint("shuffle_hash")
+    mine = each.join(side, "token").groupBy(*keys).agg(F.collect_list(F.struct("token", "corrected")).alias("_fixes"))
+    return texts.join(mine, list(keys), "left").withColumn(text, _put(F.array_join(body, " "), F.col("_fixes.token"), F.col("_fixes.corrected"))).drop("_fixes")
 
 
 def overlap(output: DataFrame, gold: DataFrame, term: str = "term", definition: str = "definition") -> DataFrame:

@@ -89,6 +89,16 @@ def test_only_changes_are_joined_back(spark):
     assert got == {1: "dictionary and dictionary", 2: "", 3: "none here", 4: ""}
 
 
+def test_a_long_text_with_many_changes(spark):
+    """Each of a text's changes was looked for by going through all of them."""
+    words = [f"{i:04d}" + "abcdefghij"[i % 10] * 12 for i in range(400)]
+    lex = spark.createDataFrame([("english", w, 1) for w in words], "lang string, word string, freq long")
+    texts = spark.createDataFrame([(1, "\n".join(w + "x" for w in words))], "k long, text string")
+    fixed = lexicon.correct_text(texts, lex, ["k"])
+    assert "try_element_at" not in fixed._jdf.queryExecution().optimizedPlan().toString()
+    assert fixed.first()["text"] == " ".join(words)
+
+
 def test_keys_of_edits_are_not_broadcast(spark):
     tokens, words = spark.createDataFrame([("cats",), ("dg",)], "token string"), spark.createDataFrame([("cat", 9), ("dog", 3), ("dig", 3)], "word string, freq long")
     found = lexicon.nearest_by_edits(tokens, words)
