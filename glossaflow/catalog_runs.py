@@ -208,8 +208,10 @@ def layout_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("run_counters", f"""WITH RECURSIVE {_folded("v3")}, tidy AS (SELECT {_tidied_english("english")} AS e, {_tidied_arabic("arabic", "v3")} AS a FROM folded)
 SELECT count(*) AS raw_entries, count(*) FILTER ({_noise("e", "a", "v3")}) AS skipped, count(*) FILTER (NOT ({_noise("e", "a", "v3")})) AS valid_entries FROM tidy""")
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a run counted while its dictionary was written."""
+    """What a run counted while its dictionary was written: small PDFs share
+    a file, as a folder for each would be as many as there are documents."""
     counters = dictionary.Counters()
-    sinks.write_bilingual(dictionary.dictionary(_pages(spark, sf_dir), dictionary.Options("v3"), counters=counters), _folder(spark, "bilingual"), by="pdf")
+    found = dictionary.dictionary(_pages(spark, sf_dir), dictionary.Options("v3"), counters=counters)
+    sinks.write_table(found, _folder(spark, "bilingual"), ["pdf", "id", "English", "Arabic"], order=["pdf", "id"], placed=True)
     found = counters.read()
     return spark.createDataFrame([tuple(found.values())], ", ".join(f"{k} bigint" for k in found))

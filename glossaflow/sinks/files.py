@@ -50,12 +50,16 @@ def _lines(rows: DataFrame, columns: Sequence[str], sep: str, by: str | None = N
     return lines.mapInArrow(run, "value string")
 
 
-def write_table(rows: DataFrame, path: str, columns: Sequence[str], *, order: Sequence[str] = (), sep: str = ",", files: int | None = None, mode: str = "overwrite", by: str | None = None) -> None:
+def write_table(rows: DataFrame, path: str, columns: Sequence[str], *, order: Sequence[str] = (), sep: str = ",", files: int | None = None, mode: str = "overwrite", by: str | None = None, placed: bool = False) -> None:
     """Columns as CSV or TSV with byte order mark, header and CR LF; with
-    ``by`` in a folder for each of its values (``by`` leads the order)."""
+    ``by`` in a folder for each of its values (``by`` leads the order).
+    ``placed`` rows are only put in order where they are: ranges are drawn from
+    a sample, for which all that comes before is run once more."""
     if by:
         order = [by, *(c for c in order if c != by)]
-    if order:
+    if order and placed:
+        rows = rows.sortWithinPartitions(*order)
+    elif order:
         rows = rows.repartitionByRange(files, *order) if files else rows.repartitionByRange(*order)
         rows = rows.sortWithinPartitions(*order)
     elif files:

@@ -47,3 +47,17 @@ def test_each_pdf_has_its_folder(spark, tmp_path):
         text = read(tmp_path / "book" / f"pdf={pdf}")
         assert [x for x in text.split("\r\n") if x.startswith("content")] == [f"content\t\t\tline {pdf} {page}" for page in range(3)]
         assert text.startswith("Type\tSection\tSubsection\tContent\r\n")
+
+
+def test_small_pdfs_share_files(spark, sf_dir, tmp_path, monkeypatch):
+    """The run's dictionary is whole, in order, and not in a folder for each
+    PDF; rows are not dealt anew for it."""
+    from glossaflow import catalog_runs
+
+    monkeypatch.setattr(catalog_runs, "_folder", lambda spark, name: str(tmp_path / name))
+    counts = catalog_runs.run_counters(spark, sf_dir).first()
+    assert not list((tmp_path / "bilingual").glob("pdf=*"))
+    lines = [p.read_bytes().decode().split("\r\n") for p in (tmp_path / "bilingual").glob("part-*")]
+    parts = [[tuple(map(int, line.split(",")[:2])) for line in part if line[:1].isdigit()] for part in lines]
+    assert all(part == sorted(part) for part in parts)
+    assert 0 < sum(map(len, parts)) == len(set().union(*parts)) <= counts["valid_entries"]
