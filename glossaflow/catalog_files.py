@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import gzip
 import io
+import itertools
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,6 +66,18 @@ def _zipped(names: pd.Series, texts: pd.Series) -> pd.Series:
     return pd.Series([pack(*pair) for pair in zip(names, texts, strict=True)])
 
 
+def _archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """An archive for each block of rows (block, doc_id, text) in order: a task
+    holds one archive and a batch of documents, however many blocks it has."""
+    rows = (row for batch in batches for row in zip(*batch.columns, strict=True))
+    for block, members in itertools.groupby(rows, key=lambda row: row[0].as_py()):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+            for _, doc, text in members:
+                archive.writestr(f"{doc.as_py()}.txt", text.as_py())
+        yield pa.RecordBatch.from_arrays([pa.array([f"z{block}.zip"]), pa.array([out.getvalue()], pa.binary())], ["name", "content"])
+
+
 # --- binary formats ----------------------------------------------------------
 
 
@@ -119,9 +134,8 @@ def docx_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("zip_members", f"SELECT 'z' || doc_id // {BLOCK} || '.zip' AS archive, doc_id || '.txt' AS member, text FROM documents")
 def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    books = _blocks(spark, sf_dir).groupBy("block").agg(F.sort_array(F.collect_list(F.struct("doc_id", "text"))).alias("e"))
-    names = F.transform("e", lambda x: F.concat(x["doc_id"].cast("string"), F.lit(".txt")))
-    files = books.select(F.concat(F.lit("z"), F.col("block"), F.lit(".zip")).alias("name"), _zipped(names, F.transform("e", lambda x: x["text"])).alias("content"))
+    docs = _blocks(spark, sf_dir).select("block", "doc_id", "text").repartition("block").sortWithinPartitions("block", "doc_id")
+    files = docs.mapInArrow(_archives, "name string, content binary")
     members = sources.zip_members(files)
     return members.select("archive", "member", F.decode(sources.refuse_lzo(F.col("content")), "UTF-8").alias("text"))
 

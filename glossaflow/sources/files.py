@@ -299,9 +299,10 @@ def zip_members(files: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            # One archive at a time is copied out of the batch.
+            for name, packed in zip(*batch.columns, strict=True):
                 try:
-                    archive = zipfile.ZipFile(io.BytesIO(row["content"]))
+                    archive = zipfile.ZipFile(io.BytesIO(packed.as_py()))
                 except damage:
                     continue
                 for info in archive.infolist():
@@ -310,7 +311,7 @@ def zip_members(files: DataFrame) -> DataFrame:
                     except damage:
                         continue
                     if content is not None:
-                        yield pa.RecordBatch.from_arrays([pa.array([row["name"]]), pa.array([info.filename]), pa.array([content], pa.binary())], ["archive", "member", "content"])
+                        yield pa.RecordBatch.from_arrays([pa.array([name.as_py()]), pa.array([info.filename]), pa.array([content], pa.binary())], ["archive", "member", "content"])
 
     return files.select("name", "content").mapInArrow(run, "archive string, member string, content binary")
 

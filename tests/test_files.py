@@ -162,3 +162,27 @@ def test_lexicons_of_many_headers_in_one_plan(spark, tmp_path):
     got = lambda profile: sorted(tuple(r) for r in sources.read_lexicon_csv(spark, [str(tmp_path)], profile).collect())
     named = [("", ""), ("", "bayt"), ("bee", "nahl"), ("cat", "qitt"), ("dog", "kalb")]
     assert got("v3") == sorted([*named, ("ant", "naml")]) and got("v4") == sorted([*named, ("", "")])
+
+
+def test_archives_are_packed_one_at_a_time():
+    """A batch of whole archives' texts was held at once."""
+    import io
+    import zipfile
+
+    import pyarrow as pa
+
+    from glossaflow.catalog_files import _archives
+
+    taken = []
+
+    def batches():
+        for n in range(6):
+            taken.append(n)
+            yield pa.RecordBatch.from_arrays([pa.array([n // 2]), pa.array([n]), pa.array([f"text {n}"])], ["block", "doc_id", "text"])
+
+    packed = _archives(batches())
+    first = next(packed)
+    assert taken == [0, 1, 2] and first.column(0)[0].as_py() == "z0.zip"
+    archive = zipfile.ZipFile(io.BytesIO(first.column(1)[0].as_py()))
+    assert {n: archive.read(n) for n in archive.namelist()} == {"0.txt": b"text 0", "1.txt": b"text 1"}
+    assert [b.column(0)[0].as_py() for b in packed] == ["z1.zip", "z2.zip"]
