@@ -26,7 +26,9 @@ def first_wins(rows: DataFrame, keys: Sequence[Column], order: Sequence[str]) ->
 
 
 def entry_keys(english: str = "term", arabic: str = "definition") -> list[Column]:
-    return [F.lower(english), F.col(arabic)]
+    """Digests of both sides: entries are dealt out and sorted by them, and a
+    long text does not travel beside its own copy."""
+    return [F.sha2(F.lower(english), 256), F.sha2(F.col(arabic), 256)]
 
 
 def renumber(rows: DataFrame, order: Sequence[str], name: str = "id", partitions: int | None = None) -> DataFrame:
@@ -55,14 +57,14 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 def merge_named(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     """(id, term, definition, source_file): both sides required, first wins."""
     trimmed = rows.withColumns({c: tx.strip(F.coalesce(c, F.lit(""))) for c in ("term", "definition", "source_file")})
-    both = trimmed.where("term <> '' and definition <> ''")
+    both = trimmed.where("term <> '' and definition <> ''").select(*order, "term", "definition", "source_file")
     return renumber(first_wins(both, entry_keys(), order), order).select("id", "term", "definition", "source_file")
 
 
 def merge_positional(rows: DataFrame, order: Sequence[str], cells: str = "cells") -> DataFrame:
     """(id, English, Arabic) of rows of three cells or more; empty sides stay.
     Null cells at the end are cells that a row lacks."""
-    wide = rows.where((F.size(cells) >= 3) & F.get(cells, F.lit(2)).isNotNull()).withColumns({"English": tx.strip(F.element_at(cells, 2)), "Arabic": tx.strip(F.element_at(cells, 3))})
+    wide = rows.where((F.size(cells) >= 3) & F.get(cells, F.lit(2)).isNotNull()).withColumns({"English": tx.strip(F.element_at(cells, 2)), "Arabic": tx.strip(F.element_at(cells, 3))}).select(*order, "English", "Arabic")
     return renumber(first_wins(wide, entry_keys("English", "Arabic"), order), order).select("id", "English", "Arabic")
 
 

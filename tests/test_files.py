@@ -186,3 +186,13 @@ def test_archives_are_packed_one_at_a_time():
     archive = zipfile.ZipFile(io.BytesIO(first.column(1)[0].as_py()))
     assert {n: archive.read(n) for n in archive.namelist()} == {"0.txt": b"text 0", "1.txt": b"text 1"}
     assert [b.column(0)[0].as_py() for b in packed] == ["z1.zip", "z2.zip"]
+
+
+def test_merged_rows_travel_without_their_cells(spark):
+    from glossaflow.operators import merge
+
+    rows = spark.createDataFrame([("f", n, ["1", t, "x"]) for n, t in enumerate(("Cat", "cat", "dog"))], "file string, pos long, cells array<string>")
+    keyed = merge.merge_positional(rows, ["file", "pos"])
+    assert sorted(map(tuple, keyed.collect())) == [(1, "Cat", "x"), (2, "dog", "x")]
+    key = rows.select(F.lit("long text " * 100).alias("e"), F.lit("b").alias("a")).select(*(k.alias(f"k{i}") for i, k in enumerate(merge.entry_keys("e", "a")))).first()
+    assert [len(k) for k in key] == [64, 64]
