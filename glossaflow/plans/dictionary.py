@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from glossaflow.functions import text as tx
 from glossaflow.operators import entries as en
-from glossaflow.operators import layout, lexicon, merge
+from glossaflow.operators import folding, layout, lexicon, merge
 
 
 @dataclass(frozen=True)
@@ -58,11 +58,14 @@ def column_ratio(words: DataFrame, layouts: DataFrame | None, given: float) -> t
     return words.join(ratios, "pdf", "left"), F.coalesce("_ratio", F.lit(given))
 
 
+def _pages_in_range(words: DataFrame, options: Options) -> DataFrame:
+    return layout.pages_of(layout.page_range(words, options.start, options.end, chunk_size=options.chunk_size, chunk=options.chunk))
+
+
 def _page_rows(words: DataFrame, options: Options, layouts: DataFrame | None = None) -> tuple[DataFrame, Column]:
     """Packed pages of the range, and their rows: (col, row, boxes) of the
     boxes that are kept by confidence."""
-    pages = layout.pages_of(layout.page_range(words, options.start, options.end, chunk_size=options.chunk_size, chunk=options.chunk))
-    kept, ratio = column_ratio(layout.confident(pages, options.min_conf), layouts, options.gutter_ratio)
+    kept, ratio = column_ratio(layout.confident(_pages_in_range(words, options), options.min_conf), layouts, options.gutter_ratio)
     side = lambda b: layout.split_by_ratio(b["x"], b["w"], b["width"], ratio)
     return kept, layout.rows_of(F.col("boxes"), side, options.row_tolerance)
 
@@ -78,21 +81,24 @@ def place_words(words: DataFrame, options: Options, layouts: DataFrame | None =
 def raw_entries(words: DataFrame, options: Options, layouts: DataFrame | None = None) -> DataFrame:
     """(pdf, page, col, entry, number, english, arabic, y). A page is one row
     from its boxes to its entries."""
-    kept, rows = _page_rows(words, options, layouts)
-    found = en.page_entries(en.page_rows(rows, options.profile), options.profile, arabic_first=options.arabic_first, numbered=options.numbered)
-    return layout.unpacked(kept, ["pdf", "page"], found)
+    pages, ratio = column_ratio(_pages_in_range(words, options), layouts, options.gutter_ratio)
+    found = folding.page_entries("boxes", layout.confidences(pages), ratio, profile=options.profile, least=options.min_conf, tol=options.row_tolerance, arabic_first=options.arabic_first, numbered=options.numbered)
+    entries = layout.unpacked(pages, ["pdf", "page"], found)
+    # What OCR mends is within words, so texts of several rows are mended at once.
+    english = tx.fix_ocr(F.col("english"), options.profile)
+    english = english if options.profile == "v4" else tx.strip(tx.collapse(english))
+    return entries.withColumns({"number": tx.number(F.col("number")), "english": english, "y": F.col("y").cast(layout.box_type(pages, "y"))})
 
 
 def tidy(entries: DataFrame, options: Options, words: DataFrame | None = None, counters: Counters | None = None) -> DataFrame:
     """Cleaned entries without noise, corrected where asked for."""
     profile = options.profile
-    cleaned = entries
-    if profile != "v4":
-        english = F.col("english") if profile == "v2" else tx.clean_english(F.col("english"))
-        # Exploded, as what is only projected is worked out again for every
-        # condition of the filter that follows.
-        sides = F.explode_outer(F.array(F.struct(english.alias("english"), tx.clean_arabic(F.col("arabic"), profile).alias("arabic"))))
-        cleaned = entries.select(*(c for c in entries.columns if c not in ("english", "arabic")), sides.alias("_sides")).select("*", "_sides.*").drop("_sides")
+    english = F.col("english") if profile in ("v2", "v4") else tx.clean_english(F.col("english"))
+    arabic = F.col("arabic") if profile == "v4" else tx.clean_arabic(F.col("arabic"), profile)
+    # Exploded, as what is only projected is worked out again for every
+    # condition of the filter that follows.
+    sides = F.explode_outer(F.array(F.struct(english.alias("english"), arabic.alias("arabic"))))
+    cleaned = entries.select(*(c for c in entries.columns if c not in ("english", "arabic")), sides.alias("_sides")).select("*", "_sides.*").drop("_sides")
     noise = en.is_noise(F.col("english"), F.col("arabic"), profile)
     if counters:
         cleaned = counters.observe(cleaned, noise)

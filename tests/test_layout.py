@@ -1,10 +1,14 @@
 """Rows, columns, passes and entries on small pages."""
 
+import random
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from glossaflow.operators import entries as en
-from glossaflow.operators import layout
+from glossaflow.operators import folding, layout
 from glossaflow.plans import dictionary
 
 BOX = "pdf int, page int, pos int, text string, x int, y int, w int, h int, conf int, width int"
@@ -139,3 +143,37 @@ def test_passes_of_a_page_of_many_boxes_meet_in_bands(spark):
     one, two = boxes(spark, latin), boxes(spark, arabic)
     got = {(r["x"], r["y"]) for r in layout.dual_pass(one, two, one.limit(0)).where("scan = 2").collect()}
     assert got == {(x, y) for _, _, x, y in arabic if not any(abs(x - u) < 20 and abs(y - v) < 20 for _, _, u, v in latin)}
+
+
+def _by_rows(words, options):
+    """Entries by the operators on rows of words."""
+    rows = en.row_texts(dictionary.place_words(words, options), options.profile)
+    return en.fold_entries(rows, options.profile, arabic_first=options.arabic_first, numbered=options.numbered)
+
+
+@pytest.mark.parametrize("options", [("v2", False, True), ("v3", False, True), ("v3", True, True), ("v3", False, False), ("v3", True, False), ("v4", False, True)])
+def test_entries_of_batches_are_those_of_rows(spark, options):
+    draw = random.Random(7)
+    texts = ["cat", "rn", "a", "0ld", "قط", "و", "7", "12", "٣٤", "१२", "dogكلب", ".aب", "--", " cl ", " ", "", None, "123456"]
+    place = lambda: draw.choice([None, *range(0, 1000, 40)])
+    rows = [(pdf, page, i, draw.choice(texts), place(), draw.choice([None, *range(90), *range(90)]), 10, 10, draw.choice([None, 20, 90, 95]), draw.choice([1000, 1000, 0])) for pdf in range(3) for page in range(9) for i in range(draw.choice([0, 1, 2, 30]))]
+    words = spark.createDataFrame(rows, BOX).where("conf is not null")
+    options = dictionary.Options(options[0], arabic_first=options[1], numbered=options[2])
+    ours = dictionary.raw_entries(words, options)
+    assert sorted(map(str, ours.collect())) == sorted(map(str, _by_rows(words, options).select(ours.columns).collect()))
+
+
+def test_pages_are_worked_on_in_parts():
+    text = pa.array(["1", "cat", "قط", "2", "dog", "كلب"])
+    page, x, y, pos = (np.array(v, float) for v in ([0, 0, 0, 2, 2, 2], [0, 20, 40] * 2, [0, 0, 5] * 2, range(6)))
+    got = folding._entries(page.astype(int), 3, text, np.zeros(6, int), x, y, pos, "v2", 12, False, True).to_pylist()
+    assert [[(e["entry"], e["number"], e["english"], e["arabic"]) for e in p] for p in got] == [[(1, "1", "cat", "قط")], [], [(1, "2", "dog", "كلب")]]
+    none = folding._entries(page[:0].astype(int), 2, text[:0], np.zeros(0, int), x[:0], y[:0], pos[:0], "v3", 12, False, False)
+    assert none.to_pylist() == [[], []]
+
+
+def test_no_lambda_goes_over_the_boxes_of_an_entry(spark):
+    packed = layout.pages_of(boxes(spark, PAGE)).localCheckpoint()
+    for found in (dictionary.raw_entries, dictionary.dictionary):
+        plan = found(packed, dictionary.Options("v3"))._jdf.queryExecution().optimizedPlan().toString()
+        assert "lambda" not in plan and "ArrowEvalPython" in plan
