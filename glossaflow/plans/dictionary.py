@@ -96,8 +96,10 @@ def tidy(entries: DataFrame, options: Options, words: DataFrame | None = None, c
     english = F.col("english") if profile in ("v2", "v4") else tx.clean_english(F.col("english"))
     arabic = F.col("arabic") if profile == "v4" else tx.clean_arabic(F.col("arabic"), profile)
     # Exploded, as what is only projected is worked out again for every
-    # condition of the filter that follows.
-    sides = F.explode_outer(F.array(F.struct(english.alias("english"), arabic.alias("arabic"))))
+    # condition of the filter that follows; projected before, as what an
+    # explode holds is worked out again wherever it is used within it.
+    entries = entries.withColumns({"english": english, "arabic": arabic})
+    sides = F.explode_outer(F.array(F.struct("english", "arabic")))
     cleaned = entries.select(*(c for c in entries.columns if c not in ("english", "arabic")), sides.alias("_sides")).select("*", "_sides.*").drop("_sides")
     noise = en.is_noise(F.col("english"), F.col("arabic"), profile)
     if counters:

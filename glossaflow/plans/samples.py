@@ -30,24 +30,26 @@ def lines_of(docs: DataFrame) -> DataFrame:
 def page_boxes(docs: DataFrame) -> DataFrame:
     """(pdf, page, boxes): a page of a scanner's output a row, its boxes an
     array of (pos, text, x, y, w, h, conf, width)."""
-    tokens = lambda text: F.filter(F.split(text, " "), lambda t: t != "")
 
-    def box(letters, token, i):
-        # Letters of a whole line are changed at once: no blank comes or goes.
-        arabic = F.get(letters, i)
-        text = (
+    def printed(token, i):
+        arabic = to_arabic(token)
+        return (
             F.when(i % 7 == 3, (i * 31 % 4000).cast("string"))
             .when(i % 11 == 5, F.concat(token, arabic))
             .when(i % 3 == 1, arabic)
             .otherwise(token)
         )
-        return F.struct(
-            i.alias("pos"), text.alias("text"), (i * 173 % 900).alias("x"), (F.floor(i / 7) * 14 + i * 5 % 9).cast("int").alias("y"),
-            F.lit(40).alias("w"), F.lit(12).alias("h"), (i * 7 % 100).alias("conf"), F.lit(WIDTH).alias("width"),
-        )
 
-    boxes = layout.let(tokens(to_arabic(F.col("text"))), lambda letters: F.transform(tokens(F.col("text")), lambda t, i: box(letters, t, i)))
-    return lines_of(docs).select("pdf", "page", boxes.alias("boxes"))
+    # Cut once, in a row of its own, as each of the arrays below goes over them.
+    # An array for each field is far cheaper than a struct for each token.
+    tokens = lines_of(docs).select("pdf", "page", F.explode(F.array(F.array_remove(F.split("text", " "), ""))).alias("t"))
+    each = lambda f: F.transform("t", lambda t, i: f(i))
+    fields = {
+        "pos": each(lambda i: i), "text": F.transform("t", printed), "x": each(lambda i: i * 173 % 900), "y": each(lambda i: (i - i % 7) * 2 + i * 5 % 9),
+        "w": F.array_repeat(F.lit(40), F.size("t")), "h": F.array_repeat(F.lit(12), F.size("t")), "conf": each(lambda i: i * 7 % 100), "width": F.array_repeat(F.lit(WIDTH), F.size("t")),
+    }
+    boxes = F.arrays_zip(*(F.col(c) for c in fields))
+    return tokens.select("pdf", "page", *(c.alias(k) for k, c in fields.items())).select("pdf", "page", boxes.alias("boxes"))
 
 
 def word_boxes(docs: DataFrame) -> DataFrame:
