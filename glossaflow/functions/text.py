@@ -58,6 +58,11 @@ def collapse(text: Column) -> Column:
     return F.regexp_replace(text, f"{SPACE}+", " ")
 
 
+def condense(text: Column) -> Column:
+    """Collapsed, and none at the ends: blanks only are left to be trimmed."""
+    return F.trim(collapse(text))
+
+
 def clean(text: Column) -> Column:
     """Null as empty, hard spaces as spaces, zero-width marks out, runs of
     white space as one space, none at the ends."""
@@ -168,19 +173,19 @@ def fix_ocr(text: Column, profile: str = "v2") -> Column:
 
 def _untailed(text: Column) -> Column:
     """A mark that stands by itself at the end off, and white space off both
-    ends. White space is single or plain blanks here, so no pattern is needed."""
+    ends. White space is plain blanks here, so no pattern is needed."""
     body = F.rtrim(text)
-    return strip(F.when(F.right(body, F.lit(2)).isin(" .", " ,", " ;", " :"), F.left(body, F.char_length(body) - 1)).otherwise(text))
+    return F.trim(F.when(F.right(body, F.lit(2)).isin(" .", " ,", " ;", " :"), F.left(body, F.char_length(body) - 1)).otherwise(text))
 
 
 def clean_arabic(text: Column, profile: str = "v2") -> Column:
     marks = "\u200e\u200f" if profile == "v2" else "\u200e\u200f\u200d\u200c"
-    out = F.translate(collapse(strip(text)), marks, "")
-    return strip(out) if profile == "v2" else _untailed(out)
+    out = F.translate(condense(text), marks, "")
+    return F.trim(out) if profile == "v2" else _untailed(out)
 
 
 def clean_english(text: Column) -> Column:
-    return _untailed(collapse(strip(text)))
+    return _untailed(condense(text))
 
 
 def normalize_arabic(text: Column) -> Column:

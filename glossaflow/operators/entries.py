@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossaflow.functions import text as tx
-from glossaflow.operators import layout
 
 KEYS = ("pdf", "page", "col")
 #: Where entries without a number sort.
@@ -88,9 +87,9 @@ def row_texts(words: DataFrame, profile: str = "v2", keys: Sequence[str] = KEYS)
     )
 
 
-def _starts(profile: str, arabic_first: bool, numbered: bool, row: Column | None = None) -> Column:
-    """Whether a row starts an entry: its columns, or the fields of ``row``."""
-    field = F.col if row is None else row.getField
+def _starts(profile: str, arabic_first: bool, numbered: bool) -> Column:
+    """Whether a row starts an entry."""
+    field = F.col
     english, arabic, number = field("english") != "", field("arabic") != "", field("number").isNotNull()
     if not numbered:
         first = field("arabic_x") < field("english_x") if arabic_first else field("english_x") < field("arabic_x")
@@ -129,75 +128,6 @@ def fold_entries(rows: DataFrame, profile: str = "v2", *, arabic_first: bool = F
     return parts.select(*keys, F.col("entry").cast("int").alias("entry"), number.alias("number"), text("e").alias("english"), text("a").alias("arabic"), "y")
 
 
-def page_rows(rows: Column, profile: str = "v2") -> Column:
-    """As :func:`row_texts`, of one page: its rows (col, row, boxes) as an
-    array of (col, row, y, number, english, arabic, english_x, arabic_x)."""
-
-    def typed(b: Column) -> Column:
-        def parts(kind: Column) -> Column:
-            mixed = kind == "mixed"
-            latin = F.when(kind == "english", b["text"]).when(mixed, tx.latin_part(b["text"]))
-            letters = F.when(kind == "arabic", b["text"]).when(mixed, tx.arabic_part(b["text"]))
-            return F.struct(b["x"].alias("x"), b["y"].alias("y"), b["pos"].alias("pos"), b["text"].alias("text"), kind.alias("kind"), latin.alias("e"), letters.alias("a"))
-
-        return layout.let(tx.classify(b["text"], profile), parts)
-
-    def row(r: Column) -> Column:
-        # By x, then by y and place.
-        def sides(seated: Column) -> Column:
-            number = F.get(F.filter(seated, lambda b: b["kind"] == "digit"), F.lit(0))["text"]
-            e, a = F.filter(seated, lambda b: F.length(b["e"]) >= 2), F.filter(seated, lambda b: b["a"] != "")
-            return F.struct(r["col"].alias("col"), r["row"].alias("row"), F.get(seated, F.lit(0))["y"].alias("y"), tx.number(number).alias("number"), e.alias("e"), a.alias("a"))
-
-        return layout.let(F.sort_array(F.transform(r["boxes"], typed)), sides)
-
-    def joined(r: Column) -> Column:
-        english = tx.fix_ocr(tx.strip(F.array_join(F.transform(r["e"], lambda b: b["e"]), " ")), profile)
-        english = english if profile == "v4" else tx.strip(tx.collapse(english))
-        if profile == "v4":
-            letters = F.sort_array(F.transform(r["a"], lambda b: b["a"]), asc=False)
-        else:
-            letters = F.transform(F.sort_array(F.transform(r["a"], lambda b: F.struct((-b["x"]).alias("x"), b["y"].alias("y"), b["pos"].alias("pos"), b["a"].alias("a")))), lambda b: b["a"])
-        left = lambda c: F.get(r[c], F.lit(0))["x"]
-        return F.struct(r["col"].alias("col"), r["row"].alias("row"), r["y"].alias("y"), r["number"].alias("number"), english.alias("english"), tx.strip(F.array_join(letters, " ")).alias("arabic"), left("e").alias("english_x"), left("a").alias("arabic_x"))
-
-    return F.transform(F.transform(rows, row), joined)
-
-
-def page_entries(rows: Column, profile: str = "v2", *, arabic_first: bool = False, numbered: bool = True) -> Column:
-    """As :func:`fold_entries`, of one page: its :func:`page_rows` as an array
-    of (col, entry, number, english, arabic, y)."""
-    fields = lambda r, entry, number, english, arabic: F.struct(r["col"].alias("col"), entry.cast("int").alias("entry"), number.cast("bigint").alias("number"), english.alias("english"), arabic.alias("arabic"), r["y"].alias("y"))
-    worded = lambda r: (r["english"] != "") | (r["arabic"] != "")
-    if profile == "v4":
-        return F.transform(F.filter(rows, worded), lambda r: fields(r, r["row"], F.lit(None), r["english"], r["arabic"]))
-    used = F.filter(rows, lambda r: worded(r) | r["number"].isNotNull()) if numbered else F.filter(rows, worded)
-
-    def more(r: Column) -> Column:
-        if profile == "v2":
-            return F.lit(False)
-        return F.lit(True) if arabic_first or not numbered else r["arabic"] == ""
-
-    def entry(held: Column, starts: Column, cols: Column, s: Column, k: Column) -> Column:
-        # Rows of the next column that stand before its first entry are none's.
-        part = F.filter(F.slice(held, s["at"] + 1, F.coalesce(F.get(starts, k + 1)["at"], F.size(held)) - s["at"]), lambda r: r["col"] == s["col"])
-        place = k + 2 - F.array_position(cols, s["col"])
-
-        def whole(p: Column) -> Column:
-            text = lambda c: F.array_join(F.filter(c, lambda t: t != ""), " ")
-            english = text(F.transform(p, lambda r, i: F.when((i == 0) | more(r), r["english"]).otherwise("")))
-            head = F.get(p, F.lit(0))
-            return fields(head, place, head["number"] if numbered else place, english, text(F.transform(p, lambda r: r["arabic"])))
-
-        return layout.let(part, whole)
-
-    def folded(held: Column) -> Column:
-        at = F.transform(held, lambda r, i: F.when(_starts(profile, arabic_first, numbered, r), F.struct(i.alias("at"), r["col"].alias("col"))))
-        return layout.let(F.filter(at, lambda s: s.isNotNull()), lambda starts: layout.let(F.transform(starts, lambda x: x["col"]), lambda cols: F.transform(starts, lambda s, k: entry(held, starts, cols, s, k))))
-
-    return layout.let(used, folded)
-
-
 def entry_order(entries: DataFrame) -> list[Column]:
     """By number, page and height; a left column comes before a right one."""
     return [F.coalesce(F.nullif("number", F.lit(0)), F.lit(NO_NUMBER)), F.col("page"), F.col("y"), F.col("col"), F.col("entry")]

@@ -86,7 +86,7 @@ def raw_entries(words: DataFrame, options: Options, layouts: DataFrame | None =
     entries = layout.unpacked(pages, ["pdf", "page"], found)
     # What OCR mends is within words, so texts of several rows are mended at once.
     english = tx.fix_ocr(F.col("english"), options.profile)
-    english = english if options.profile == "v4" else tx.strip(tx.collapse(english))
+    english = english if options.profile == "v4" else tx.condense(english)
     return entries.withColumns({"number": tx.number(F.col("number")), "english": english, "y": F.col("y").cast(layout.box_type(pages, "y"))})
 
 

@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from glossaflow.functions import text as tx
 from glossaflow.operators import entries as en
 from glossaflow.operators import folding, layout
 from glossaflow.plans import dictionary
@@ -177,3 +178,13 @@ def test_no_lambda_goes_over_the_boxes_of_an_entry(spark):
     for found in (dictionary.raw_entries, dictionary.dictionary):
         plan = found(packed, dictionary.Options("v3"))._jdf.queryExecution().optimizedPlan().toString()
         assert "lambda" not in plan and "ArrowEvalPython" in plan
+
+
+def test_sides_are_collapsed_once_and_ends_are_trimmed_of_blanks_only(spark):
+    rows = spark.createDataFrame([("  cat  big .\t",), (" ;",), ("‏ قط‌  ,",), ("",)], "t string")
+    cleaned = rows.select(tx.clean_english(F.col("t")).alias("e"), tx.clean_arabic(F.col("t"), "v3").alias("a"), tx.clean_arabic(F.col("t")).alias("b"))
+    assert [tuple(r) for r in cleaned.collect()] == [("cat big", "cat big", "cat big ."), (";", ";", ";"), ("‏ قط‌", "قط", "قط‌ ,"), ("", "", "")]
+    packed = layout.pages_of(boxes(spark, PAGE)).localCheckpoint()
+    plan = dictionary.dictionary(packed, dictionary.Options("v3"))._jdf.queryExecution().optimizedPlan().toString()
+    exploded = [line for line in plan.splitlines() if "Generate" in line]
+    assert exploded and not any("regexp_replace" in line for line in exploded)
