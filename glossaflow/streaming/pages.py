@@ -21,13 +21,23 @@ from glossaflow.functions import text as tx
 
 PAGES = "pdf bigint, page int, text string"
 FILES_PER_BATCH = 5
-SECONDS = 1400
 #: Documents of neighbouring numbers whose state is one: a group costs a few
 #: milliseconds, whatever it holds. No shelf has more documents than this.
 SHELF = 64
 #: By document: its section and subsection, the next page, and pages that wait.
 STATE = "documents string"
 OUT = "pdf bigint, page int, line_no int, Type string, Section string, Subsection string, Content string"
+#: Runs that were stopped before their end.
+_STOPPED: set[str] = set()
+
+
+class Paused(TimeoutError):
+    """A run that was stopped before its end: what is written is a part. The
+    next run goes on from there."""
+
+    def __init__(self, query: StreamingQuery, seconds: float):
+        super().__init__(f"pages are left after {seconds} seconds")
+        self.query = query
 
 
 def page_stream(spark: SparkSession, path: str, schema: str = PAGES, files: int = FILES_PER_BATCH) -> DataFrame:
@@ -86,14 +96,22 @@ def structured_stream(pages: DataFrame, first: int | None = None, **kinds) -> Da
     return lines.withColumn("shelf", F.floor(F.col("pdf") / SHELF)).groupBy("shelf").applyInPandasWithState(_carry(first), OUT, STATE, "append", "NoTimeout")
 
 
-def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *, files: int = FILES_PER_BATCH, seconds: int = SECONDS, first: int | None = None, **kinds) -> StreamingQuery:
-    """Structure what is there and not yet done, for ``seconds`` at most."""
+def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *, files: int = FILES_PER_BATCH, seconds: float | None = None, first: int | None = None, **kinds) -> StreamingQuery:
+    """Structure what is there and not yet done, to its end.
+
+    A run that fails raises its error. With ``seconds`` one that takes longer is
+    stopped and raises :class:`Paused`, so no part passes for the whole.
+    """
     query = (
         structured_stream(page_stream(spark, source, files=files), first, **kinds)
         .writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
     )
-    if not query.awaitTermination(seconds):
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
+        _STOPPED.add(str(query.runId))
         query.stop()
+        raise Paused(query, seconds)
     return query
 
 
@@ -104,7 +122,7 @@ def progress(spark: SparkSession, query: StreamingQuery, out: str) -> dict:
     last hundred batches, and no earlier run.
     """
     found = spark.read.schema(OUT).parquet(out).agg(F.coalesce(F.max("page") + 1, F.lit(0)).alias("last_page"), F.count("*").alias("total_lines")).first()
-    status = "in_progress" if query.isActive else "paused" if query.exception() else "completed"
+    status = "in_progress" if query.isActive else "paused" if query.exception() or str(query.runId) in _STOPPED else "completed"
     return {"last_page": found["last_page"], "total_lines": found["total_lines"], "status": status}
 
 

@@ -3,6 +3,7 @@
 import random
 from difflib import SequenceMatcher
 
+import pytest
 from pyspark.sql import functions as F
 
 from glossaflow.operators import lexicon, merge, sections
@@ -31,6 +32,19 @@ def test_the_stream_goes_on_where_it_was(spark, tmp_path):
     assert [(r["Content"], r["Section"], r["Subsection"]) for r in got] == [("الفصل أ", "الفصل أ", ""), ("x", "الفصل أ", ""), ("y", "الفصل أ", ""), ("قسم:", "الفصل أ", "قسم:"), ("z", "الفصل أ", "قسم:")]
 
 
+def test_a_stream_that_is_stopped_is_no_result(spark, tmp_path):
+    """What was written by the limit passed for the whole, and for completed."""
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    spark.createDataFrame([(1, 0, "a")], stream.PAGES).write.parquet(source)
+    stream.ingest(spark, source, out, checkpoint)
+    spark.createDataFrame([(1, 1, "b\nc")], stream.PAGES).write.mode("append").parquet(source)
+    with pytest.raises(stream.Paused) as stopped:
+        stream.ingest(spark, source, out, checkpoint, seconds=0.001)
+    assert stream.progress(spark, stopped.value.query, out)["status"] == "paused"
+    query = stream.ingest(spark, source, out, checkpoint)
+    assert stream.progress(spark, query, out) == {"last_page": 2, "total_lines": 3, "status": "completed"}
+
+
 def test_pages_wait_for_their_turn(spark, tmp_path):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     pages = {0: "الفصل أ\nx", 1: " \n", 2: "قسم:\ny", 3: "z", 5: "late"}
