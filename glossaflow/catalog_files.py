@@ -177,8 +177,9 @@ SELECT row_number() OVER (ORDER BY doc_id) AS id, e AS "English", a AS "Arabic"
 def merge_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bilingual files, written in order and merged by the places of cells."""
     path = _folder(spark, "bilingual")
-    docs = _table(spark, sf_dir, "documents")
-    sinks.write_bilingual(docs.select(F.col("doc_id").alias("id"), F.col("text").alias("English"), samples.to_arabic(F.col("text")).alias("Arabic")), path)
+    # Put in order before there is a second side.
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("English")).repartitionByRange("id")
+    sinks.write_bilingual(docs.withColumn("Arabic", samples.to_arabic(F.col("English"))), path, placed=True)
     rows = sources.read_chunks(spark, path).withColumn("cells", F.array("id", "English", "Arabic"))
     return merge.merge_positional(rows, ["file", "pos"])
 

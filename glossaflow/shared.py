@@ -25,7 +25,7 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, not the plan so far.
@@ -35,7 +35,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/glossaflow/{name}-{uuid.uuid4().hex}"
     if _SCOPES:
         _SCOPES[-1].append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -196,3 +196,22 @@ def test_merged_rows_travel_without_their_cells(spark):
     assert sorted(map(tuple, keyed.collect())) == [(1, "Cat", "x"), (2, "dog", "x")]
     key = rows.select(F.lit("long text " * 100).alias("e"), F.lit("b").alias("a")).select(*(k.alias(f"k{i}") for i, k in enumerate(merge.entry_keys("e", "a")))).first()
     assert [len(k) for k in key] == [64, 64]
+
+
+def test_merged_texts_stay_where_they_are(spark, monkeypatch):
+    """Only digests are dealt out; they were, with the texts, three times."""
+    from glossaflow.operators import merge
+
+    rows = spark.createDataFrame([(f"f{n % 3}", n, "" if n % 50 == 7 else f"T{n % 900}" if n % 2 else f"t{n % 900}", f"d{n % 900}", "s") for n in range(2500)], "file string, pos long, term string, definition string, source_file string").repartition(5)
+    wanted, seen = [], set()
+    for r in sorted(rows.collect(), key=lambda r: (r["file"], r["pos"])):
+        if r["term"] and (key := (r["term"].lower(), r["definition"])) not in seen:
+            seen.add(key)
+            wanted.append((len(wanted) + 1, r["term"], r["definition"], "s"))
+    merged = merge.merge_named(rows, ["file", "pos"])
+    assert "Exchange hashpartitioning" not in merged._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, merged.collect())) == wanted
+    monkeypatch.setattr(merge, "BROADCAST_BYTES", 0)
+    dealt = merge.merge_named(rows, ["file", "pos"])
+    assert "Exchange hashpartitioning(_block" in dealt._jdf.queryExecution().executedPlan().toString() and sorted(map(tuple, dealt.collect())) == wanted
+    assert merge.merge_named(rows.limit(0), ["file", "pos"]).count() == 0
