@@ -10,12 +10,13 @@ and only to the texts that hold it.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from itertools import combinations
 from math import comb
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,8 @@ PIECES = MOST_LESS + 1
 #: Lexicons up to this many words are broadcast, corrections up to so many
 #: bytes.
 BROADCAST_WORDS, BROADCAST_BYTES = 500_000, 32 << 20
+#: Bits of one row of a bitmap, for each key in it, and of all its rows at most.
+ROW_BITS, KEY_BITS, MOST_BITS = 1 << 15, 64, 1 << 29
 
 
 def _each(texts: DataFrame, keys: Sequence[str], tokens: Column, name: str) -> DataFrame:
@@ -51,18 +54,40 @@ def word_frequencies(texts: DataFrame, text: str = "text", *, lower: bool = True
     return _each(texts, [], tx.words(body), "word").where(F.length("word") >= least).groupBy("word").agg(F.count("*").alias("freq"))
 
 
-def lexicon_of(entries: DataFrame, english: str = "english", arabic: str = "arabic", least: int = 1) -> DataFrame:
+def counted_words(texts: DataFrame, text: str = "text") -> DataFrame:
+    """(raw, n): words as they are written, and how often; counted in each batch
+    first. White space is the same here as in ``tx.words``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter[str] = Counter()
+            for body in batch.column(0):
+                counts.update((body.as_py() or "").split())
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["raw", "n"])
+
+    return texts.select(text).mapInArrow(run, "raw string, n bigint").groupBy("raw").agg(F.sum("n").alias("n"))
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _distinct(text: pd.Series) -> pd.Series:
+    """A text's words, each once."""
+    return text.map(lambda body: list(dict.fromkeys(body.split())))
+
+
+def lexicon_of(entries: DataFrame, english: str = "english", arabic: str = "arabic", least: int = 1, counted: DataFrame | None = None) -> DataFrame:
     """(lang, word, freq) of both sides of entries: words with a letter of the
     side's script, English in lower case, Arabic folded.
 
     Words are counted as they are written and then lowered or folded, which is
-    done once for each distinct one and not for each that occurs.
+    done once for each distinct one and not for each that occurs. ``counted``
+    are the :func:`counted_words` of both sides in one column, where they are
+    known.
     """
     sides = (("english", english, F.lower, tx.has_latin), ("arabic", arabic, tx.normalize_arabic, tx.has_arabic))
     both = []
     for lang, column, fold, of_script in sides:
-        if lang == "english" or arabic != english:
-            counted = _each(entries, [], tx.words(F.col(column)), "raw").groupBy("raw").agg(F.count("*").alias("n"))
+        if counted is None or arabic != english:
+            counted = counted_words(entries, column)
             # Both sides in one column are counted once.
             counted = materialize(counted, "counted") if arabic == english else counted
         # Asked of the count too: else it would be moved to where each word occurs.
@@ -183,32 +208,60 @@ def _plans(threshold: float, gap: int) -> tuple[list[tuple[int, ...]], list[tupl
 
 
 def _keyed(words: DataFrame, word: str, plan: list[tuple[int, ...]]) -> DataFrame:
-    """``words`` with ``key`` for each row of the plan and ``letters``. The
-    plan is a table of fixed size."""
+    """``words`` with ``key`` for each row of the plan and ``less``, the letters
+    that are left out, or -1 where the key is a segment. The plan is a table of
+    fixed size."""
     pieces = [(f"start{i}", f"length{i}") for i in range(PIECES)]
     steps = words.sparkSession.createDataFrame(plan, ", ".join(f"{c} int" for c in ("size", "edits", "other", "part", *(c for piece in pieces for c in piece))))
     cut = words.withColumn("size", F.length(word)).join(F.broadcast(steps), "size")
     kept = F.concat(*(F.substring(word, F.col(start), F.col(length)) for start, length in pieces))
-    return cut.select(*words.columns, F.xxhash64("other", "edits", "part", kept).alias("key"))
+    less = F.when(F.col("other") == 0, F.col("size") - sum(F.col(length) for _, length in pieces)).otherwise(-1)
+    return cut.select(*words.columns, F.xxhash64("other", "edits", "part", kept).alias("key"), less.alias("less"))
+
+
+def may_meet(rows: DataFrame, key: Column, keys: DataFrame, count: int) -> DataFrame:
+    """``rows`` without most of those whose 64-bit ``key`` is not among
+    ``keys`` (key), some ``count``: they need not be dealt out to be dropped.
+
+    A bitmap of the keys is broadcast: some 64 bits a key, 64 MB at most.
+    """
+    rows_log = min(MOST_BITS // ROW_BITS, max(2, KEY_BITS * count // ROW_BITS)).bit_length() - 1
+    row, place = lambda k: F.shiftrightunsigned(k, 64 - rows_log), lambda k: k.bitwiseAND(ROW_BITS - 1)
+    rowed = keys.select(row(F.col("key")).alias("_row"), place(F.col("key")).alias("place")).groupBy("_row").agg(F.bitmap_construct_agg("place").alias("bits"))
+    # As whole numbers of eight bytes, the first the highest.
+    longs = F.transform(F.sequence(F.lit(0), F.lit(ROW_BITS // 64 - 1)), lambda i: F.conv(F.hex(F.substring("bits", i * 8 + 1, F.lit(8))), 16, -10).cast("bigint"))
+    met = rows.withColumn("_row", row(key)).join(F.broadcast(rowed.select("_row", longs.alias("_bits"))), "_row")
+    held, bit = F.get("_bits", F.shiftright(place(key), 6).cast("int")), key.bitwiseAND(63).bitwiseXOR(56).cast("int")
+    return met.where(F.getbit(held, bit) == 1).select(*rows.columns)
 
 
 def candidates(tokens: DataFrame, lexicon: DataFrame, threshold: float = THRESHOLD, gap: int = LENGTH_GAP) -> DataFrame:
     """(token, word, freq) pairs of like length whose bounds reach
     ``threshold``; both sides distinct.
 
-    Words meet by key and are looked at where they meet, by edits, which are no
-    more than the letters outside of matching blocks. Words of ``LONG`` letters
-    and more meet by length.
+    Words meet by key and are looked at where they meet: as many letters have to
+    be left out as may lie outside of matching blocks, so that words that are
+    nearer do not meet in more ways, nor others at all; of segments, by edits,
+    which are no more than those letters. Words of ``LONG`` letters and more
+    meet by length.
     """
     ours, theirs = _plans(threshold, gap)
     a, b = F.col("token"), F.col("word")
     left, right = _keyed(tokens.select("token"), "token", ours), _keyed(lexicon.select("word", "freq"), "word", theirs)
     # As many bytes as the words' keys take: the plan knows how many each has.
     keys = Counter(row[0] for row in theirs)
-    held = sum(r["count"] * keys[r["size"]] * (2 * r["size"] + 80) for r in lexicon.groupBy(F.least(F.length("word"), F.lit(LONG)).alias("size")).count().collect())
-    right = F.broadcast(right) if held <= BROADCAST_BYTES else right.hint("shuffle_hash")
-    edits = F.floor((1 - threshold) * (F.length(a) + F.length(b)) + 1e-9)
-    short = left.join(right, "key").where((F.abs(F.length(a) - F.length(b)) <= gap) & (sim.length_bound(a, b) >= threshold) & (F.levenshtein("token", "word") <= edits)).select("token", "word", "freq")
+    sizes = [(r["size"], r["count"] * keys[r["size"]]) for r in lexicon.groupBy(F.least(F.length("word"), F.lit(LONG)).alias("size")).count().collect()]
+    if sum(n * (2 * size + 80) for size, n in sizes) <= BROADCAST_BYTES:
+        right = F.broadcast(right)
+    else:
+        # A token has many keys, and hardly any is one of a word.
+        left, right = may_meet(left, F.col("key"), right.select("key"), sum(n for _, n in sizes)), right.hint("shuffle_hash")
+    both = F.length(a) + F.length(b)
+    edits = F.floor((1 - threshold) * both + 1e-9)
+    # Odd or even as both lengths together, as in edits_between.
+    near = F.when(F.col("less") < 0, F.levenshtein("token", "word") <= edits).otherwise(F.col("less") + F.col("other_less") == edits - F.pmod(edits - both, F.lit(2)))
+    met = left.join(right.withColumnRenamed("less", "other_less"), "key")
+    short = met.where((F.abs(F.length(a) - F.length(b)) <= gap) & (sim.length_bound(a, b) >= threshold) & near).select("token", "word", "freq")
     around = F.explode(F.sequence(F.length("token") - gap, F.length("token") + gap))
     long = tokens.where(F.length("token") >= LONG - gap).select("token", around.alias("size")).join(lexicon.where(F.length("word") >= LONG - gap).select("word", "freq", F.length("word").alias("size")), "size")
     long = long.where((F.length("token") >= LONG) | (F.length("word") >= LONG)).where((sim.length_bound(a, b) >= threshold) & (sim.letter_bound(a, b) >= threshold)).select("token", "word", "freq")
@@ -262,27 +315,27 @@ def correct_tokens(tokens: DataFrame, lexicon: DataFrame, lang: str = "english",
 @F.pandas_udf(T.StringType())
 def _put(text: pd.Series, tokens: pd.Series, words: pd.Series) -> pd.Series:
     """Tokens between single blanks, those of a row's own list changed. A
-    row's changes may be thousands: Spark's maps are searched one by one."""
+    row's changes may be thousands: Spark's maps are searched one by one. What
+    parts tokens is the same white space here as in ``tx.words``."""
 
     def put(body: str, old, new) -> str:
-        if old is None or len(old) == 0:
-            return body
-        to = dict(zip(old, new, strict=True))
-        return " ".join(to.get(t, t) for t in body.split(" "))
+        to = {} if old is None else dict(zip(old, new, strict=True))
+        return " ".join(to.get(t, t) for t in body.split())
 
     return pd.Series([put(*row) for row in zip(text, tokens, words, strict=True)], dtype=object)
 
 
-def correct_text(texts: DataFrame, lexicon: DataFrame, keys: Sequence[str], text: str = "text", lang: str | None = "english", profile: str = "v3", threshold: float = THRESHOLD, words: int | None = None) -> DataFrame:
+def correct_text(texts: DataFrame, lexicon: DataFrame, keys: Sequence[str], text: str = "text", lang: str | None = "english", profile: str = "v3", threshold: float = THRESHOLD, words: int | None = None, tokens: DataFrame | None = None) -> DataFrame:
     """``texts`` with ``text`` corrected token by token.
 
     ``lexicon`` is (lang, word, freq). ``lang`` None takes each token by its
     own script (as ``v4`` does). ``keys`` name a row. What changes is a small
-    table; a row's own changes are put in where the row is.
+    table; a row's own changes are put in where the row is. ``tokens`` (token)
+    are the distinct ones of all texts, where they are known.
     """
-    body = tx.words(F.coalesce(text, F.lit("")))
-    each = _each(texts, keys, F.array_distinct(body), "token")
-    distinct = materialize(each.select("token").distinct(), "tokens")
+    body = F.coalesce(text, F.lit(""))
+    each = _each(texts, keys, _distinct(body), "token")
+    distinct = materialize(each.select("token").distinct(), "tokens") if tokens is None else tokens
     script = F.when(tx.has_arabic(F.col("token")), "arabic").when(tx.has_latin(F.col("token")), "english")
     fixed = None
     for one in ("english", "arabic") if lang is None else (lang,):
@@ -290,10 +343,13 @@ def correct_text(texts: DataFrame, lexicon: DataFrame, keys: Sequence[str], text
         done = corrections(found, lexicon.where(F.col("lang") == one).select("word", "freq"), one, profile, threshold, words)
         fixed = done if fixed is None else fixed.unionByName(done)
     fixed = materialize(fixed.where("token <> corrected"), "corrections")
-    size = fixed.agg(F.coalesce(F.sum(F.length("token") * 2 + F.length("corrected") * 2 + 64), F.lit(0))).first()[0]
-    side = F.broadcast(fixed) if size <= BROADCAST_BYTES else fixed.hint("shuffle_hash")
+    size, count = fixed.agg(F.coalesce(F.sum(F.length("token") * 2 + F.length("corrected") * 2 + 64), F.lit(0)), F.count("*")).first()
+    if size <= BROADCAST_BYTES:
+        side = F.broadcast(fixed)
+    else:
+        each, side = may_meet(each, F.xxhash64("token"), fixed.select(F.xxhash64("token").alias("key")), count), fixed.hint("shuffle_hash")
     mine = each.join(side, "token").groupBy(*keys).agg(F.collect_list(F.struct("token", "corrected")).alias("_fixes"))
-    return texts.join(mine, list(keys), "left").withColumn(text, _put(F.array_join(body, " "), F.col("_fixes.token"), F.col("_fixes.corrected"))).drop("_fixes")
+    return texts.join(mine.hint("shuffle_hash"), list(keys), "left").withColumn(text, _put(body, F.col("_fixes.token"), F.col("_fixes.corrected"))).drop("_fixes")
 
 
 def overlap(output: DataFrame, gold: DataFrame, term: str = "term", definition: str = "definition") -> DataFrame:

@@ -5,6 +5,7 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from glossaflow.functions import similarity
 from glossaflow.operators import lexicon
@@ -104,3 +105,34 @@ def test_keys_of_edits_are_not_broadcast(spark):
     found = lexicon.nearest_by_edits(tokens, words)
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, found.collect())) == [("cats", "cat", 1), ("dg", "dig", 1)]
+
+
+def test_keys_that_meet_nothing_are_not_dealt_out(spark):
+    """All keys of all tokens were shuffled, and hardly any is one of a word."""
+    rows = spark.range(100_000).select("id", F.xxhash64("id").alias("key"))
+    keys = rows.where("id % 100 = 7").select("key")
+    for count in (1000, 5000, 3_000_000):
+        left = lexicon.may_meet(rows, F.col("key"), keys, count)
+        assert left.columns == ["id", "key"] and left.where("id % 100 = 7").count() == 1000
+        assert left.count() < 5000
+    assert lexicon.may_meet(rows, F.col("key"), keys.limit(0), 0).count() == 0
+
+
+@pytest.mark.parametrize("letters, n, longest, threshold", [("abcdefghijklmnopqrstuvwxyz", 800, 60, 0.85), ("ab", 300, 14, 0.85), ("كتابمدرسة", 300, 70, 0.8)])
+def test_a_bitmap_loses_nothing(spark, monkeypatch, letters, n, longest, threshold):
+    monkeypatch.setattr(lexicon, "BROADCAST_BYTES", -1)
+    tokens, words = made(letters, n, longest, 3)
+    lex = spark.createDataFrame(list(words.items()), "word string, freq long")
+    frame = spark.createDataFrame([(t,) for t in tokens], "token string")
+    wanted = brute(tokens, words, threshold)
+    assert {r["token"]: (r["word"], round(r["similarity"], 9)) for r in lexicon.nearest_words(frame, lex, threshold).collect()} == wanted
+    fixes = {t: w for t, (w, _) in wanted.items() if t not in words and len(t) >= lexicon.LEAST["english"]}
+    texts = spark.createDataFrame([(i, f" {t}\t{t} {t} ") for i, t in enumerate(tokens)] + [(-1, None)], "k long, text string")
+    got = {r["k"]: r["text"] for r in lexicon.correct_text(texts, lex.select(F.lit("english").alias("lang"), "*"), ["k"], threshold=threshold).collect()}
+    assert got == {i: " ".join([fixes.get(t, t)] * 3) for i, t in enumerate(tokens)} | {-1: ""}
+
+
+def test_pairs_meet_by_as_many_letters_as_may_differ(spark):
+    """Words with two letters changed met where only one may be."""
+    pair = spark.createDataFrame([("abcdefgh",)], "token string"), spark.createDataFrame([("abXdeXgh", 1), ("abcdefgX", 1)], "word string, freq long")
+    assert [r["word"] for r in lexicon.candidates(*pair).collect()] == ["abcdefgX"]
