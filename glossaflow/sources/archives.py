@@ -16,6 +16,10 @@ An empty member is one empty piece. Nothing ends the run but a store that fails.
 Options: ``pieceBytes`` and ``partBytes``; ``members``, ``archives`` or
 ``others`` for those whose names say that they are archives or not;
 ``contents``, ``false`` for one row a member without reading it.
+With ``nestedBytes`` a member of that size at most that is a ZIP archive, and no
+volume, is opened where it is found, on ``levels`` levels at most: its members
+are rows, and ``archive`` is the way to it. Without contents ``at`` is then the
+level on which a member was found.
 """
 
 from __future__ import annotations
@@ -29,9 +33,10 @@ import struct
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
+from typing import IO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,9 +52,12 @@ PIECE_BYTES = 4 << 20
 #: archive that holds itself.
 DEPTH = 16
 ARCHIVE = r"(?i)\.(zip|7z|rar)(\.[0-9]{3,})?$"
-#: Archives of a sixteenth of a part at most are small; bytes are taken to be
-#: four times as many when inflated.
-SMALL, PACKED = 16, 4
+#: Bytes are taken to be four times as many when inflated; archives that make a
+#: part at most by this are small.
+PACKED = 4
+#: Largest archive within an archive that is held by a task, and rows and bytes
+#: that are handed on at once, where one piece is not more.
+NESTED_BYTES, BATCH_ROWS, BATCH_BYTES = 4 << 20, 4096, 1 << 20
 OK, ENCRYPTED, DAMAGED, UNSUPPORTED = "OK", "ENCRYPTED", "DAMAGED", "UNSUPPORTED"
 #: What inflating damaged bytes raises.
 DAMAGE = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, struct.error, ValueError, LookupError)
@@ -60,24 +68,33 @@ def unlocked(info: zipfile.ZipInfo) -> bool:
     return not info.flag_bits & 1
 
 
-def state_of(archive: zipfile.ZipFile, info: zipfile.ZipInfo, chunk: int = PIECE_BYTES) -> str:
-    """Whether a member can be read to its end; its checksum is compared."""
+def _read(archive: zipfile.ZipFile, info: zipfile.ZipInfo, use: Callable[[IO[bytes]], bytes | None]) -> tuple[str, bytes | None]:
+    """(status, what ``use`` makes of a member that it reads to its end); the
+    checksum is compared."""
     if not unlocked(info):
-        return ENCRYPTED
+        return ENCRYPTED, None
     try:
         with archive.open(info) as source:
-            while source.read(chunk):
-                pass
+            return OK, use(source)
     except (NotImplementedError, RuntimeError):
-        return UNSUPPORTED
+        return UNSUPPORTED, None
     except DAMAGE:
-        return DAMAGED
+        return DAMAGED, None
     except OSError:
         # Of these methods only this one says so of damaged bytes.
         if info.compress_type != zipfile.ZIP_BZIP2:
             raise
-        return DAMAGED
-    return OK
+        return DAMAGED, None
+
+
+def state_of(archive: zipfile.ZipFile, info: zipfile.ZipInfo, chunk: int = PIECE_BYTES) -> str:
+    """Whether a member can be read to its end."""
+
+    def through(source: IO[bytes]) -> None:
+        while source.read(chunk):
+            pass
+
+    return _read(archive, info, through)[0]
 
 
 class Joined(io.RawIOBase):
@@ -127,6 +144,10 @@ class Joined(io.RawIOBase):
         super().close()
 
 
+#: (archive, member, at, content, status)
+Row = tuple[str, str | None, int | None, bytes | None, str]
+
+
 @dataclass
 class Members:
     """A range of an archive's directory (all of it without ``stop``), or why
@@ -152,13 +173,11 @@ class ArchiveReader(DataSourceReader):
         self.path = options["path"]
         self.piece, self.part = int(options.get("piecebytes", PIECE_BYTES)), int(options.get("partbytes", PART_BYTES))
         self.contents = options.get("contents", "true").lower() == "true"
+        self.nested, self.levels = int(options.get("nestedbytes", 0)), int(options.get("levels", DEPTH))
         self.members = options.get("members", "all")
         if self.members not in ("all", "archives", "others"):
             raise ValueError("members is all, archives or others")
 
-    def _wanted(self, info: zipfile.ZipInfo) -> bool:
-        return not info.is_dir() and (self.members == "all" or bool(re.search(ARCHIVE, info.filename)) == (self.members == "archives"))
-
     def _opened(self, volumes: list[tuple[str, int]]) -> zipfile.ZipFile:
         return zipfile.ZipFile(io.BufferedReader(Joined(file_system(self.path)[0], volumes), 1 << 16))
 
@@ -177,7 +196,7 @@ class ArchiveReader(DataSourceReader):
             files = [(path, size) for _, path, size in sorted(volumes)]
             total = sum(size for _, size in files)
             readable = name.lower().endswith(".zip")
-            if not readable or total * SMALL <= self.part:
+            if not readable or total * PACKED <= self.part:
                 small.append(Members(name, files, status=OK if readable else UNSUPPORTED))
                 weight += total if readable else 0
                 if weight * PACKED >= self.part:
@@ -200,39 +219,78 @@ class ArchiveReader(DataSourceReader):
         return [*out, Part(small)] if small or not out else out
 
     def read(self, part: Part) -> Iterator[pa.RecordBatch]:
-        for one in part.ranges:
-            yield from self._read(one)
-
-    def _read(self, part: Members) -> Iterator[pa.RecordBatch]:
-        def row(member: str | None, at: int | None, content: bytes | None, status: str) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((part.archive, member, at, content, status), FIELDS, strict=True)], schema=FIELDS)
-
+        held, size = [], 0
+        for row in itertools.chain.from_iterable(map(self._range, part.ranges)):
+            held.append(row)
+            size += len(row[3] or b"")
+            if size >= min(self.piece, BATCH_BYTES) or len(held) == BATCH_ROWS:
+                yield self._batch(held)
+                held, size = [], 0
+        if held:
+            yield self._batch(held)
+
+    def _batch(self, rows: list[Row]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), FIELDS, strict=True)], schema=FIELDS)
+
+    def _sick(self, archive: str, status: str, member: str | None = None) -> Iterator[Row]:
+        # Once, whichever members are asked for.
+        if self.members != "archives":
+            yield archive, member, None, None, status
+
+    def _range(self, part: Members) -> Iterator[Row]:
         if part.status != OK:
-            # Once, whichever members are asked for.
-            if self.members != "archives":
-                yield row(None, None, None, part.status)
+            yield from self._sick(part.archive, part.status)
             return
         try:
             opened = self._opened(part.volumes)
         except DAMAGE:
-            if self.members != "archives":
-                yield row(None, None, None, DAMAGED)
+            yield from self._sick(part.archive, DAMAGED)
             return
         with opened as archive:
-            for info in archive.infolist()[part.start : part.stop]:
-                if not self._wanted(info):
-                    continue
-                name = info.filename
-                status = state_of(archive, info, self.piece) if self.contents else OK if unlocked(info) else ENCRYPTED
-                if status != OK or not self.contents:
-                    yield row(name, None, None, status)
-                    continue
-                with archive.open(info) as source:
-                    at, piece = 0, source.read(self.piece)
-                    while piece or not at:
-                        yield row(name, at, piece, OK)
-                        at += len(piece) or 1
-                        piece = source.read(self.piece)
+            yield from self._rows(part.archive, archive, archive.infolist()[part.start : part.stop])
+
+    def _rows(self, name: str, archive: zipfile.ZipFile, members: list[zipfile.ZipInfo], level: int = 0) -> Iterator[Row]:
+        shapes = ((i.filename, re.search(ARCHIVE, i.filename)) for i in archive.infolist())
+        cut = {n.removesuffix(shape[2]) for n, shape in shapes if shape and shape[2]}
+        for info in members:
+            member, kind = info.filename, bool(re.search(ARCHIVE, info.filename))
+            if info.is_dir():
+                continue
+            if kind and info.file_size <= self.nested and self.nested and level < self.levels and unlocked(info) and member.lower().endswith(".zip") and member not in cut:
+                yield from self._inner(name, archive, info, level + 1)
+            elif self.members == "all" or kind == (self.members == "archives"):
+                yield from self._pieces(name, archive, info) if self.contents else [(name, member, level if self.nested else None, None, OK if unlocked(info) else ENCRYPTED)]
+
+    def _inner(self, name: str, archive: zipfile.ZipFile, info: zipfile.ZipInfo, level: int) -> Iterator[Row]:
+        """What an archive within an archive holds, which is held here."""
+        status, data = _read(archive, info, lambda source: source.read())
+        if status != OK:
+            yield from self._sick(name, status, info.filename)
+            return
+        way = f"{name}/{info.filename}"
+        try:
+            opened = zipfile.ZipFile(io.BytesIO(data))
+        except DAMAGE:
+            yield from self._sick(way, DAMAGED)
+            return
+        with opened as inner:
+            yield from self._rows(way, inner, inner.infolist(), level)
+
+    def _pieces(self, name: str, archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> Iterator[Row]:
+        member = info.filename
+        if info.file_size <= self.piece:
+            # One piece is read once.
+            status, data = _read(archive, info, lambda source: source.read())
+            yield name, member, 0 if status == OK else None, data, status
+            return
+        if (status := state_of(archive, info, self.piece)) != OK:
+            yield name, member, None, None, status
+            return
+        with archive.open(info) as source:
+            at = 0
+            while piece := source.read(self.piece):
+                yield name, member, at, piece, OK
+                at += len(piece)
 
 
 class Archive(DataSource):
@@ -275,32 +333,41 @@ def unpack(spark: SparkSession, path: str, *, depth: int = DEPTH, **options) ->
     archives in them, until none is left; ``archive`` is the way to it, parts
     between slashes.
 
-    Archives found are written to the shared folder, each piece a volume, and
-    are the next level's input: a level is one job over all its archives. What
-    cannot be opened is a row, at any level. The folder stays as long as the
-    frame may be read.
+    An archive found in one, of ``nestedBytes`` at most, is opened by the task
+    that found it. Larger ones, and volumes, are written to the shared folder,
+    each piece a volume, and are the next level's input: a level is one job over
+    all its archives. What cannot be opened is a row, at any level. The folder
+    stays as long as the frame may be read.
     """
+    options = {"nestedBytes": NESTED_BYTES, **options}
     piece = int(options.get("pieceBytes", PIECE_BYTES))
     at, ways, found = path, None, []
 
     def told(rows: DataFrame) -> DataFrame:
-        """Rows with the way to their archive in place of its written name."""
+        """Rows with the way to their archive in place of its written name, and
+        with the level of that."""
         if ways is None:
-            return rows
-        return rows.join(ways, "archive", "left").select(F.coalesce("way", "archive").alias("archive"), *rows.columns[1:])
-
-    for level in range(depth + 1):
-        found.append(told(read_archives(spark, at, members="others", **options)))
+            return rows.withColumn("level", F.lit(0))
+        # A written name is before the first slash, and what follows is the way on.
+        root = F.substring_index("archive", "/", 1)
+        way = F.concat(F.coalesce("way", "root"), F.substring(F.col("archive"), F.length("root") + 1, F.length("archive")))
+        return rows.withColumn("root", root).join(ways, "root", "left").select(way.alias("archive"), *rows.columns[1:], F.coalesce("level", F.lit(0)).alias("level"))
+
+    for level in itertools.count():
+        options["levels"] = max(0, depth - level)
+        found.append(told(read_archives(spark, at, members="others", **options)).drop("level"))
         inner = read_archives(spark, at, members="archives", **options)
         listing = told(read_archives(spark, at, members="archives", **options, contents="false"))
         name, (whole, volume) = _written(F.col("archive"), F.col("member")), _whole(F.col("member"))
-        after = materialize(listing.select(name.alias("archive"), F.concat_ws("/", "archive", whole).alias("way")).distinct(), "ways")
-        if after.isEmpty():
+        # Without archives opened in place all are of the level that is read.
+        after = listing.select(name.alias("root"), F.concat_ws("/", "archive", whole).alias("way"), (F.col("level") + F.coalesce("at", F.lit(0)) + 1).cast("int").alias("level"))
+        after = materialize(after.distinct(), "ways")
+        if (deepest := after.agg(F.max("level")).first()[0]) is None:
             break
-        if level == depth:
+        if deepest > depth:
             raise ValueError(f"archives within archives on more than {depth} levels")
         # The way, not the written name, is what an inner archive is named by.
-        pieces = told(inner)
+        pieces = told(inner).drop("level")
         folder = f"{shared_dir(spark)}/glossaflow/inner-{uuid.uuid4().hex}"
         number = F.lpad((volume * 1_000_000 + F.floor(F.col("at") / piece) + 1).cast("string"), 12, "0")
         sound = pieces.where(F.col("status") == OK)

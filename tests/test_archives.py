@@ -106,3 +106,25 @@ def test_small_archives_share_a_task_and_are_not_opened_to_plan(tmp_path, monkey
     assert (len(parts), opened) == (1, [])
     rows = [r for b in reader.read(parts[0]) for r in b.to_pylist()]
     assert sorted(r["status"] for r in rows) == [archives.DAMAGED] + [archives.OK] * 40
+
+
+def test_small_archives_in_archives_are_opened_where_they_are(spark, tmp_path, monkeypatch):
+    """Each was written to the shared folder, piece by piece, and read again."""
+    leaves = [(f"leaf{n}.zip", built.zipped([(f"{n}.txt", b"t" * n * 99), ("e.txt", b"")])) for n in range(4)]
+    middle = built.zipped([*leaves, ("sick.zip", b"no"), ("lock.zip", leaves[0][1]), ("bad.zip", leaves[1][1])], locked=["lock.zip"], broken=["bad.zip"], stored=True)
+    for n in range(3):
+        (tmp_path / f"a{n}.zip").write_bytes(built.zipped([("in/m.zip", middle), ("t.txt", b"top"), ("leaf1.zip", leaves[1][1])]))
+    written = []
+    plain = archives.write_files
+    monkeypatch.setattr(archives, "write_files", lambda files, folder: written.append(folder) or plain(files, folder))
+    # The last holds the middle ones in pieces, but not the leaves in them.
+    found = {size: rows_of(archives.unpack(spark, str(tmp_path), pieceBytes=500, nestedBytes=size)) for size in (0, 1 << 20, 250)}
+    assert found[0] == found[1 << 20] == found[250] and len(found[0]) == 3 * (len(leaves) * 2 + 1 + 2 + 3)
+    # Only the locked one, which nobody can open, is among those to be written.
+    assert len(written) == 2 + 1 + 2
+    for size in (0, 1 << 20):
+        with pytest.raises(ValueError, match="levels"):
+            archives.unpack(spark, str(tmp_path), depth=1, nestedBytes=size)
+    parts = archives.ArchiveReader({"path": str(tmp_path), "nestedBytes": "1048576", "members": "others"})
+    batches = [b for p in parts.partitions() for b in parts.read(p)]
+    assert len(batches) == 1 and batches[0].num_rows == len(found[0]) - 3
