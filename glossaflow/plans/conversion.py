@@ -20,7 +20,7 @@ READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stardict": sources.read_stardict,
     "dicthtml": sources.read_dicthtml,
     "docx": sources.read_docx,
-    "tab": sources.read_tab_export,
+    "tab": lambda spark, path: sources.read_tab_export(spark, path, placed=True),
 }
 #: Formats that are listed and noted, not read.
 UNSUPPORTED = {"bgl": "export as tab-separated text first", "ld2": "export as tab-separated text first"}
@@ -70,15 +70,14 @@ def convert(spark: SparkSession, catalogue: Sequence[Dictionary], out: str, *, f
                 found = READERS[item.format](spark, item.path)
                 if forms:
                     found = found.withColumns({c: tx.normalize_forms(F.col(c)) for c in ("term", "definition")})
-                order = [c for c in ("source_file", "pos") if c in found.columns]
-                if found.isEmpty():
-                    status = "EMPTY"
-                else:
-                    with scratch(spark):
-                        # Parsed once: the order's bounds are sampled first.
-                        held = materialize(found, "entries")
+                order = [c for c in ("source_file", "block", "pos") if c in found.columns]
+                with scratch(spark):
+                    # Parsed once: entries are counted, and the order's bounds sampled.
+                    held = materialize(found, "entries")
+                    if n := held.count():
                         sinks.write_entries(held, target, item.name, order=order, files=files)
-                        n = held.count()
+                    else:
+                        status = "EMPTY"
             except Exception as error:  # any reader's failure is a status here
                 n, status = 0, f"ERROR: {type(error).__name__}"
         rows.append((item.name, item.csv_name, item.format, n, status))

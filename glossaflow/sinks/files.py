@@ -68,9 +68,12 @@ def write_table(rows: DataFrame, path: str, columns: Sequence[str], *, order: Se
     (writer.partitionBy(by) if by else writer).text(path, lineSep="\r\n")
 
 
-def write_entries(rows: DataFrame, path: str, source_name: str, **options) -> None:
-    """term, definition and the registered name, whatever the rows' own was."""
-    write_table(rows.withColumn("source_file", F.lit(source_name)), path, ["term", "definition", "source_file"], **options)
+def write_entries(rows: DataFrame, path: str, source_name: str, *, order: Sequence[str] = (), **options) -> None:
+    """term, definition and the registered name, whatever the rows' own was;
+    ``order`` is by their own: the registered one is the same for all."""
+    own = {"source_file": "_own_file"}
+    rows = rows.withColumnsRenamed(own).withColumn("source_file", F.lit(source_name))
+    write_table(rows, path, ["term", "definition", "source_file"], order=[own.get(c, c) for c in order], **options)
 
 
 def write_note(spark, path: str, source_name: str, note: str) -> None:

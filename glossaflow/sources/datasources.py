@@ -6,8 +6,8 @@ is a file, a folder or a pattern, in any store that Arrow's file systems open;
 stores that Spark alone reaches have the readers of ``sources.files``.
 
 Partitions are planned from directories, not contents: ranges of an MDict
-file's key blocks, byte ranges of a StarDict index, one file of the others. No
-task holds a whole dictionary.
+file's key blocks, as many small files in one as make up a part, byte ranges of
+a StarDict index, one file of the others. No task holds a whole dictionary.
 
 Options: ``stems``, a JSON list of the ``source_file`` names wanted, by which
 files are chosen before any is opened (filters are not taken from Spark: as
@@ -75,6 +75,15 @@ class Part(InputPartition):
     start: int
     stop: int
     kind: str = "entries"
+    #: Bytes that it makes, where the directory tells.
+    size: int = 0
+
+
+@dataclass
+class Parts(InputPartition):
+    """Small parts that one task reads."""
+
+    ranges: list[Part]
 
 
 def stem_of(path: str) -> str:
@@ -102,7 +111,7 @@ class EntryReader(DataSourceReader):
         with self._system.open_input_file(file) as source:
             return source.read()
 
-    def partitions(self) -> list[Part]:
+    def partitions(self) -> list[Part | Parts]:
         out: list[Part] = []
         for file, size in listed(self.path, self.endings):
             if self.stems is None or stem_of(file) in self.stems:
@@ -112,9 +121,25 @@ class EntryReader(DataSourceReader):
                     if not self.drop:
                         raise
         # None at all would be read as a source that is not partitioned.
-        return out or [Part("", 0, 0)]
-
-    def read(self, part: Part) -> Iterator[pa.RecordBatch]:
+        return self._packed(out) or [Part("", 0, 0)]
+
+    def _packed(self, parts: list[Part]) -> list[Part | Parts]:
+        """Parts of known size, as many in one as make up a part."""
+        out: list[Part | Parts] = [p for p in parts if not p.size]
+        held, weight = [], 0
+        for part in (p for p in parts if p.size):
+            if held and weight + part.size > self.part_bytes:
+                out.append(Parts(held))
+                held, weight = [], 0
+            held.append(part)
+            weight += part.size
+        return [*out, Parts(held)] if held else out
+
+    def read(self, part: Part | Parts) -> Iterator[pa.RecordBatch]:
+        for one in part.ranges if isinstance(part, Parts) else [part]:
+            yield from self._read(one)
+
+    def _read(self, part: Part) -> Iterator[pa.RecordBatch]:
         if not part.file:
             return
         held, chars, stem = [], 0, stem_of(part.file)
@@ -152,7 +177,7 @@ class MdxReader(EntryReader):
             box = mdict.open_container(lambda at, n: source.read_at(n, at))
         count = max(1, min(len(box.keys), -(-box.size // self.part_bytes)))
         edges = [len(box.keys) * i // count for i in range(count + 1)]
-        return [Part(file, a, b) for a, b in zip(edges, edges[1:], strict=False) if a < b]
+        return [Part(file, a, b, size=max(1, box.size // count)) for a, b in zip(edges, edges[1:], strict=False) if a < b]
 
     def entries(self, part: Part) -> Iterator[tuple[int, str, str]]:
         with self._system.open_input_file(part.file) as source:

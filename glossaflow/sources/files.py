@@ -278,11 +278,14 @@ def docx_entries(cells: DataFrame, *, strict: bool = False) -> DataFrame:
     return both.select((F.col("table") * 1_000_000 + F.col("row")).cast("int").alias("pos"), "term", "definition", F.col("file").alias("source_file"))
 
 
-def read_tab_export(spark: SparkSession, path: str) -> DataFrame:
-    """(term, definition, source_file) of lines cut at their first tab."""
-    lines = spark.read.text(path).withColumn("source_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)).where(F.contains("value", F.lit("\t")))
+def read_tab_export(spark: SparkSession, path: str, *, placed: bool = False) -> DataFrame:
+    """(term, definition, source_file) of lines cut at their first tab; where
+    ``placed``, (block, pos) too: where the part of the file begins that the line
+    is in, and a number that grows within it."""
+    place = (F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos")) if placed else ()
+    lines = spark.read.text(path).select("value", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("source_file"), *place).where(F.contains("value", F.lit("\t")))
     parts = F.split("value", "\t", 2)
-    return lines.select(parts[0].alias("term"), parts[1].alias("definition"), "source_file")
+    return lines.select(parts[0].alias("term"), parts[1].alias("definition"), "source_file", *(("block", "pos") if placed else ()))
 
 
 def read_zip(spark: SparkSession, path: str) -> DataFrame:

@@ -145,3 +145,14 @@ def test_docx_source(sources, tmp_path):
             archive.writestr("word/document.xml", f'<w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"><w:body>{body}</w:body></w:document>')
     got = sorted(tuple(r) for r in datasources.read_entries(sources, "docx", str(tmp_path)).collect())
     assert got == [(0, "cat", "one two", "a"), (0, "first line", "", "b")]
+
+
+def test_small_mdx_files_share_a_task(sources, tmp_path):
+    """A task for each file was more work than the file."""
+    for n in range(30):
+        (tmp_path / f"f{n:02}.mdx").write_bytes(built.mdx([(f"k{n}", "v")], block=1000))
+    (tmp_path / "long.mdx").write_bytes(built.mdx(ENTRIES, block=1000))
+    frame = sources.read.format("mdx").option("partBytes", 10_000).load(str(tmp_path))
+    alone = sources.read.format("mdx").option("partBytes", 10_000).load(str(tmp_path / "long.mdx"))
+    assert 1 < alone.rdd.getNumPartitions() <= frame.rdd.getNumPartitions() <= alone.rdd.getNumPartitions() + 1
+    assert sorted(r["term"] for r in frame.collect()) == sorted([k for k, _ in ENTRIES] + [f"k{n}" for n in range(30)])

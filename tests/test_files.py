@@ -215,3 +215,35 @@ def test_merged_texts_stay_where_they_are(spark, monkeypatch):
     dealt = merge.merge_named(rows, ["file", "pos"])
     assert "Exchange hashpartitioning(_block" in dealt._jdf.queryExecution().executedPlan().toString() and sorted(map(tuple, dealt.collect())) == wanted
     assert merge.merge_named(rows.limit(0), ["file", "pos"]).count() == 0
+
+
+def test_entries_are_written_by_many_tasks_in_order(spark, tmp_path):
+    """All entries of a run have one registered name: ordered by that, they
+    were one task's, and those of several files were mixed."""
+    source = tmp_path / "in"
+    source.mkdir()
+    for stem in "cab":
+        (source / f"{stem}.tab").write_text("".join(f"{stem}{n:03}\tx\n" for n in range(200)))
+    (source / "note.tab").write_text("no entry\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        got = conversion.convert(spark, [conversion.Dictionary("Tab", "tab.csv", str(source), "tab")], str(tmp_path / "out"), files=3)
+        assert [(r["rows"], r["status"]) for r in got.collect()] == [(600, "OK")]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    parts = [p.read_text().splitlines()[1:] for p in sorted((tmp_path / "out" / "tab.csv").glob("part-*"))]
+    assert len(parts) == 3 and max(map(len, parts)) < 600
+    assert sum(parts, []) == [f"{stem}{n:03},x,Tab" for stem in "abc" for n in range(200)]
+
+
+def test_a_conversion_reads_its_entries_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def told(rows):
+        for row in rows:
+            read.add(1)
+            yield row
+
+    conversion.register("told", lambda spark, path: spark.createDataFrame(spark.sparkContext.parallelize([(f"t{n}", "d", "s", n) for n in range(40)], 4).mapPartitions(told), "term string, definition string, source_file string, pos int"))
+    got = conversion.convert(spark, [conversion.Dictionary("Told", "told.csv", str(tmp_path), "told")], str(tmp_path / "out"))
+    assert (got.first()["rows"], read.value) == (40, 40)
